@@ -79,15 +79,19 @@ def rouge_words(text) -> Column:
 
 def ngrams(words_col, n: int) -> Column:
     """Contiguous n-grams as space-joined strings (words hold no space,
-    so the join is injective). Empty when there are fewer than n words."""
+    so the join is injective). Empty when there are fewer than n words.
+
+    Built from n shifted slices zipped together, so the word array is never
+    referenced inside a lambda (a lambda reference would re-evaluate the
+    whole word expression per element)."""
     w = _c(words_col)
     if n == 1:
         return w
-    return F.when(
-        F.size(w) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(w) - n),
-                    lambda i: F.array_join(F.slice(w, i + 1, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    k = F.size(w) - n + 1
+    parts = [F.slice(w, i + 1, F.greatest(k, F.lit(1))).alias(f"g{i}") for i in range(n)]
+    zipped = F.arrays_zip(*parts)
+    grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{i}"] for i in range(n)]))
+    return F.when(k >= 1, grams).otherwise(F.array().cast("array<string>"))
 
 
 def word_count(text) -> Column:
@@ -116,3 +120,44 @@ def chars(text) -> Column:
 def strip_py(s) -> Column:
     """Python ``str.strip()`` (Unicode whitespace incl. U+001C..U+001F)."""
     return F.regexp_replace(_c(s), f"\\A{WS_CLASS}+|{WS_CLASS}+\\z", "")
+
+
+# Characters escaped inside a fenced code block of a chat
+# transcript, applied in this order.
+HTML_CODE_ESCAPES = [
+    ("`", "\\`"), ("<", "&lt;"), (">", "&gt;"), (" ", "&nbsp;"), ("*", "&ast;"),
+    ("_", "&lowbar;"), ("-", "&#45;"), (".", "&#46;"), ("!", "&#33;"), ("(", "&#40;"),
+    (")", "&#41;"), ("$", "&#36;"),
+]
+FENCE = "```"
+
+
+def escape_code(line) -> Column:
+    out = _c(line)
+    for a, b in HTML_CODE_ESCAPES:
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def render_transcript_html(text) -> Column:
+    """Chat text -> HTML: empty lines dropped; a line holding a fence opens
+    ``<pre><code class="language-X">`` (X = text after the last backtick)
+    or closes the block; every later line gets ``<br>`` in front and is
+    escaped while inside a block; the first line is left untouched."""
+    lines = F.filter(F.split(_c(text), "\n", -1), lambda l: l != "")
+    init = F.struct(F.lit(0).alias("cnt"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, i):
+        line = F.element_at(lines, i + 1)
+        fence = F.instr(line, FENCE) > 0
+        cnt = acc["cnt"] + F.when(fence, 1).otherwise(0)
+        lang = F.element_at(F.split(line, "`", -1), -1)
+        fenced = F.when(cnt % 2 == 1, F.concat(F.lit('<pre><code class="language-'), lang, F.lit('">'))) \
+            .otherwise(F.lit("<br></code></pre>"))
+        body = F.when(i > 0, F.concat(F.lit("<br>"), F.when(cnt % 2 == 1, escape_code(line)).otherwise(line))) \
+            .otherwise(line)
+        rendered = F.when(fence, fenced).otherwise(body)
+        return F.struct(cnt.alias("cnt"), F.concat(acc["out"], F.array(rendered)).alias("out"))
+    html = F.array_join(F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), init, step,
+                                    lambda a: a["out"]), "")
+    return F.when(F.size(lines) == 0, F.lit("")).otherwise(html)

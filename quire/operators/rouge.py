@@ -104,7 +104,10 @@ def score(df: DataFrame, hyp: str, ref: str, metrics=None, stats=None, exclusive
     if ignore_empty:
         df = df.where((F.length(hyp) > 0) & (F.length(ref) > 0))
     hw, rw = "__hyp_words", "__ref_words"
-    out = df.withColumn(hw, tx.rouge_words(F.col(hyp))).withColumn(rw, tx.rouge_words(F.col(ref)))
+    out = (df.withColumn("__hs", tx.normalise_sentences(tx.split_sentences(F.col(hyp))))
+             .withColumn("__rs", tx.normalise_sentences(tx.split_sentences(F.col(ref))))
+             .withColumn(hw, F.when(F.size("__hs") > 0, tx.words(F.col("__hs"))))
+             .withColumn(rw, F.when(F.size("__rs") > 0, tx.words(F.col("__rs")))))
     cols = []
     for m in metrics:
         if m == "rouge-l":
@@ -148,9 +151,9 @@ def pair_index_scores(seqs: DataFrame, pairs: DataFrame, n: int = 2, exclusive:
     """Score pairs (hyp_id, ref_id) over shared sequences; the n-grams of
     every sequence are built once (one projection of ``seqs``) and joined to
     the pairs twice. Missing ids raise (left-anti check first)."""
-    grams = seqs.select(F.col(id_col).alias("__id"),
-                        F.array_distinct(tx.ngrams(tx.rouge_words(F.col(text_col)), n)).alias("__g")
-                        if exclusive else tx.ngrams(tx.rouge_words(F.col(text_col)), n).alias("__g"))
+    w = seqs.select(F.col(id_col).alias("__id"), tx.rouge_words(F.col(text_col)).alias("__w"))
+    g = tx.ngrams(F.col("__w"), n)
+    grams = w.select("__id", (F.array_distinct(g) if exclusive else g).alias("__g"))
     ids = pairs.select(F.col(hyp_id).alias("__id")).union(pairs.select(F.col(ref_id).alias("__id"))).distinct()
     missing = ids.join(grams.select("__id"), "__id", "left_anti").limit(1).collect()
     if missing:
