@@ -38,11 +38,28 @@ def range_buckets(df: DataFrame, key: str, buckets: int) -> Column:
     if buckets <= 1:
         return F.lit(0)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.col(key).cast("double").alias("k")).approxQuantile("k", probs, 0.001)
+    num = numeric_key(df, key)
+    if num is None:
+        return F.lit(0)
+    cuts = df.select(num.alias("k")).approxQuantile("k", probs, 0.001)
     cuts = sorted(set(c for c in cuts if c is not None and not math.isnan(c)))
     if not cuts:
         return F.lit(0)
-    return _bucket_expr(F.col(key).cast("double"), cuts)
+    return _bucket_expr(num, cuts)
+
+
+def numeric_key(df: DataFrame, key: str) -> Column | None:
+    """A double that is monotone in ``key``'s order (None if there is none:
+    then a single bucket is used)."""
+    from pyspark.sql import types as T
+    dt = df.schema[key].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
+    if isinstance(dt, T.NumericType):
+        return F.col(key).cast("double")
+    if isinstance(dt, T.BooleanType):
+        return F.col(key).cast("double")
+    return None
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -93,15 +110,19 @@ def head_percent_split(df: DataFrame, percent: float, order_cols, split_col: str
 
 
 def shuffle_key(row_id: str, seed: int) -> Column:
-    """Reproducible permutation key under any partitioning."""
-    return F.xxhash64(F.col(row_id), F.lit(seed))
+    """Reproducible permutation key under any partitioning: the hex MD5
+    of ``"<seed>:<row id>"`` (a portable, well-mixed hash; ties broken by
+    row id)."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")))
 
 
 def shuffled_index(df: DataFrame, row_id: str, seed: int, name: str = "perm_idx") -> DataFrame:
-    """Position of each row in a seeded permutation (ties on the hash
-    broken by row id)."""
-    keyed = df.withColumn("__h", shuffle_key(row_id, seed))
-    return with_row_index(keyed, ["__h", row_id], name=name).drop("__h")
+    """Position of each row in the seeded permutation. The first 60 bits
+    of the hash (numeric, same order as the hex string) drive the range
+    buckets of the dense index."""
+    keyed = df.withColumn("__h", shuffle_key(row_id, seed)) \
+              .withColumn("__h60", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long"))
+    return with_row_index(keyed, ["__h60", "__h", row_id], name=name).drop("__h", "__h60")
 
 
 def assign_batches(idx: str, batch_size: int) -> Column:

@@ -14,6 +14,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,10 +164,6 @@ _NFKC_CACHE = {}
 def nfkc() -> Column:
     """NFKC normalisation (no Catalyst built-in): Arrow-batched UDF."""
     if "f" not in _NFKC_CACHE:
-        import unicodedata
-
-        import pandas as pd
-
         @F.pandas_udf(T.StringType())
         def _nfkc(s: pd.Series) -> pd.Series:
             return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
@@ -201,8 +200,8 @@ def _apply_merge(syms: Column, left: str, right: str) -> Column:
 
     def step(acc, i):
         cur = F.element_at(syms, i + 1)
-        nxt = F.element_at(syms, i + 2)
-        hit = (~acc["skip"]) & (cur == F.lit(left)) & (nxt == F.lit(right)) & (i + 1 < F.size(syms))
+        nxt = F.try_element_at(syms, i + 2)
+        hit = (~acc["skip"]) & (cur == F.lit(left)) & F.coalesce(nxt == F.lit(right), F.lit(False))
         return F.when(acc["skip"], F.struct(acc["out"].alias("out"), F.lit(False).alias("skip"))) \
             .when(hit, F.struct(F.concat(acc["out"], F.array(F.lit(merged))).alias("out"), F.lit(True).alias("skip"))) \
             .otherwise(F.struct(F.concat(acc["out"], F.array(cur)).alias("out"), F.lit(False).alias("skip")))
@@ -265,7 +264,6 @@ def bpe_encode_words(words: DataFrame, merges: DataFrame, max_merges: int = 100_
     """T4: encode each distinct pre-token once with the ranked merges
     (broadcast under a checked bound) in an Arrow batch function; callers
     join the pieces back to their texts."""
-    import pandas as pd
     spark = words.sparkSession
     n = merges.count()
     if n > max_merges:

@@ -77,12 +77,39 @@ def generation_metrics(spark, sf):
         F.count(F.lit(1)).alias("n_pairs"))
 
 
-def queries() -> dict:
+def _load_all():
     # import for side effects: every module registers its queries
-    from quire.plans import queries_more  # noqa: F401
-    return dict(QUERIES)
+    from quire.plans import queries_more, queries_order, queries_runs  # noqa: F401
+
+
+def normalise_types(df: DataFrame) -> DataFrame:
+    """Integers leave as bigint and floats as double, so the schema matches
+    the SQL oracle's BIGINT / DOUBLE."""
+    from pyspark.sql import types as T
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            cols.append(F.col(f.name).cast("bigint").alias(f.name))
+        elif isinstance(f.dataType, T.FloatType):
+            cols.append(F.col(f.name).cast("double").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+def _wrapped(fn):
+    def run(spark, sf):
+        return normalise_types(fn(spark, sf))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def queries() -> dict:
+    _load_all()
+    return {k: _wrapped(v) for k, v in QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    from quire.plans import queries_more  # noqa: F401
+    _load_all()
     return dict(ORACLES)

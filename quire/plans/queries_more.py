@@ -324,8 +324,8 @@ x AS (SELECT ec.pair_id, ec.ids[1:512] AS c, er.ids[1:512] AS r FROM ec JOIN er
 f AS (SELECT *, row_number() OVER (ORDER BY pair_id) - 1 AS idx FROM x
       WHERE len(c) > 0 AND len(c) <= 512 AND len(r) > 0 AND len(r) <= 512),
 w AS (SELECT *, idx // 4 AS batch,
-        CAST(ceil(max(len(c)) OVER (PARTITION BY idx // 4) / 8.0) * 8 AS INTEGER) AS wc,
-        CAST(ceil(max(len(r)) OVER (PARTITION BY idx // 4) / 8.0) * 8 AS INTEGER) AS wr FROM f)
+        CAST(ceil(max(len(c)) OVER (PARTITION BY idx // 4) / 8.0) * 8 AS BIGINT) AS wc,
+        CAST(ceil(max(len(r)) OVER (PARTITION BY idx // 4) / 8.0) * 8 AS BIGINT) AS wr FROM f)
 SELECT pair_id, batch, len(c) AS n_chosen, len(r) AS n_rejected, wc AS width_chosen, wr AS width_rejected,
        array_to_string(list_concat(c, list_transform(range(wc - len(c)), lambda k: {PAD})), ' ') AS input_ids_chosen,
        list_sum(list_concat(list_transform(c, lambda k: 1), list_transform(range(wc - len(c)), lambda k: 0))) AS mask_chosen,
