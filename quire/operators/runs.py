@@ -39,7 +39,8 @@ def capped_count(df: DataFrame, max_samples: int | None) -> Column:
 
 def throughput(df: DataFrame, group_col: str, ts: str, total_batch: int) -> DataFrame:
     """Samples and steps per second; steps = ceil(samples / batch)."""
-    secs = (F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / F.lit(1e6)
+    t = F.col(ts).cast("timestamp")
+    secs = (F.unix_micros(F.max(t)) - F.unix_micros(F.min(t))) / F.lit(1e6)
     out = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("samples"), secs.alias("runtime"))
     steps = F.ceil(F.col("samples") / F.lit(total_batch))
     return out.select(group_col, "samples", "runtime", steps.alias("steps"),
@@ -75,7 +76,7 @@ def interval_loss(df: DataFrame, run: str, step: str, loss: str, logging_steps:
     """Mean loss since the last log, rounded to 4 digits."""
     interval = F.ceil(F.col(step) / F.lit(logging_steps)).cast("long")
     return df.groupBy(run, interval.alias("interval")).agg(
-        F.round(F.avg(loss), 4).alias("loss"), F.max(step).alias("step"), F.count(F.lit(1)).alias("steps"))
+        F.bround(F.avg(loss), 4).alias("loss"), F.max(step).alias("step"), F.count(F.lit(1)).alias("steps"))
 
 
 def nan_filtered_interval(df: DataFrame, run: str, step: str, loss: str, logging_steps: int) -> DataFrame:
@@ -93,7 +94,7 @@ def nan_filtered_interval(df: DataFrame, run: str, step: str, loss: str, logging
         return F.struct((acc["sum"] + add).alias("sum"), (acc["k"] + 1).alias("k"))
     folded = F.aggregate("xs", init, step_fn)
     return g.select(run, "interval", folded["sum"].alias("running_sum"), folded["k"].alias("steps"),
-                    F.round(folded["sum"] / folded["k"], 4).alias("loss"))
+                    F.bround(folded["sum"] / folded["k"], 4).alias("loss"))
 
 
 def best_so_far(df: DataFrame, run: str, step: str, metric: str, greater_is_better: bool = True) -> DataFrame:

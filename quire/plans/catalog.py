@@ -61,19 +61,19 @@ cnt AS (
          len(hw) AS hl, len(rw) AS rl, {S.lcs('hw', 'rw')} AS ol,
          {S.bleu_counts('answer', 'query')} AS nd
   FROM seg)
-SELECT round(avg(round({S.prf('h1', 'r1', 'o1')['f']} * 100, 4)), 6) AS rouge_1,
-       round(avg(round({S.prf('h2', 'r2', 'o2')['f']} * 100, 4)), 6) AS rouge_2,
-       round(avg(round({S.prf('hl', 'rl', 'ol')['f']} * 100, 4)), 6) AS rouge_l,
-       round(avg(round({S.bleu_from_counts('nd', 'answer', 'query')} * 100, 4)), 6) AS bleu_4,
+SELECT round(avg({S.r4(S.prf('h1', 'r1', 'o1')['f'] + ' * 100')}), 6) AS rouge_1,
+       round(avg({S.r4(S.prf('h2', 'r2', 'o2')['f'] + ' * 100')}), 6) AS rouge_2,
+       round(avg({S.r4(S.prf('hl', 'rl', 'ol')['f'] + ' * 100')}), 6) AS rouge_l,
+       round(avg({S.r4(S.bleu_from_counts('nd', 'answer', 'query') + ' * 100')}), 6) AS bleu_4,
        count(*) AS n_pairs
 FROM cnt""")
 def generation_metrics(spark, sf):
     s = _generation_scored(spark, sf)
     return s.agg(
-        r6(F.avg(F.round(F.col("rouge_1_f") * 100, 4))).alias("rouge_1"),
-        r6(F.avg(F.round(F.col("rouge_2_f") * 100, 4))).alias("rouge_2"),
-        r6(F.avg(F.round(F.col("rouge_l_f") * 100, 4))).alias("rouge_l"),
-        r6(F.avg(F.round(F.col("bleu") * 100, 4))).alias("bleu_4"),
+        r6(F.avg(F.bround(F.col("rouge_1_f") * 100, 4))).alias("rouge_1"),
+        r6(F.avg(F.bround(F.col("rouge_2_f") * 100, 4))).alias("rouge_2"),
+        r6(F.avg(F.bround(F.col("rouge_l_f") * 100, 4))).alias("rouge_l"),
+        r6(F.avg(F.bround(F.col("bleu") * 100, 4))).alias("bleu_4"),
         F.count(F.lit(1)).alias("n_pairs"))
 
 

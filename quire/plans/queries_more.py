@@ -117,11 +117,11 @@ def rouge_avg(spark, sf):
 @register("bleu_pairs", sql=f"""
 WITH {S.INSTRUCTION_PAIRS},
 c AS (SELECT conv_id, turn, answer, query, {S.bleu_counts('answer', 'query')} AS nd FROM instruction_pairs)
-SELECT conv_id, turn, round(round({S.bleu_from_counts('nd', 'answer', 'query')} * 100, 4), 6) AS bleu_4 FROM c""")
+SELECT conv_id, turn, round({S.r4(S.bleu_from_counts('nd', 'answer', 'query') + ' * 100')}, 6) AS bleu_4 FROM c""")
 def bleu_pairs(spark, sf):
     """Per-pair character BLEU-4 x100, rounded to 4 digits."""
     p = _pairs(spark, sf)
-    return p.select("conv_id", "turn", r6(F.round(bl.bleu4(F.col("answer"), F.col("query")) * 100, 4)).alias("bleu_4"))
+    return p.select("conv_id", "turn", r6(F.bround(bl.bleu4(F.col("answer"), F.col("query")) * 100, 4)).alias("bleu_4"))
 
 
 @register("sentence_split", sql=f"""

@@ -219,7 +219,7 @@ def best_trial(spark, sf):
 @register("clear_segments", sql="""
 SELECT event_id, user_id,
        sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS segment
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS segment
 FROM events WHERE NOT (value < 1.0)""")
 def clear_segments(spark, sf):
     """W2: 'error' events act as the clear command, values below 1 as
@@ -240,7 +240,7 @@ def _steps(spark, sf):
 
 @register("interval_loss", sql=f"""
 WITH s AS ({_steps_sql()})
-SELECT user_id, CAST(ceil(step / 10.0) AS BIGINT) AS interval, round(avg(value), 4) AS loss, max(step) AS step,
+SELECT user_id, CAST(ceil(step / 10.0) AS BIGINT) AS interval, {S.r4('avg(value)')} AS loss, max(step) AS step,
        count(*) AS steps
 FROM s GROUP BY user_id, CAST(ceil(step / 10.0) AS BIGINT)""")
 def interval_loss(spark, sf):
@@ -256,7 +256,7 @@ g AS (SELECT user_id, CAST(ceil(step / 10.0) AS BIGINT) AS interval,
 f AS (SELECT user_id, interval, len(xs) AS steps,
         list_reduce(list_zip(xs, range(0, len(xs))), lambda acc, x: CASE WHEN isnan(x[1]) OR isinf(x[1])
                     THEN acc + acc / (1 + x[2]) ELSE acc + x[1] END, 0.0::DOUBLE) AS running_sum FROM g)
-SELECT user_id, interval, round(running_sum, 6) AS running_sum, steps, round(running_sum / steps, 4) AS loss FROM f""")
+SELECT user_id, interval, round(running_sum, 6) AS running_sum, steps, {S.r4('running_sum / steps')} AS loss FROM f""")
 def nan_interval(spark, sf):
     """NaN/inf steps ('error' events) add running_sum / (1 + steps
     since the last log) instead of their loss."""

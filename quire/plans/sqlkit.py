@@ -11,6 +11,13 @@ WS = ("[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
 HAN = "[\\x{4e00}-\\x{9fa5}]"
 
 
+def r4(x: str) -> str:
+    """Round to 4 digits half-even on the shortest decimal form of the
+    double, as Spark's ``bround`` does (Python's ``round`` differs only when
+    that form is an exact tie while the binary value is not)."""
+    return f"CAST(round_even(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), 4) AS DOUBLE)"
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
