@@ -11,20 +11,27 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it inside ``body`` (a lambda variable
+    reference is a lookup; a captured expression would be re-evaluated for
+    every element of an enclosing higher-order function)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def arr_max(a) -> Column:
     return F.array_max(_c(a))
 
 
 def logsumexp(a) -> Column:
     a = _c(a).cast("array<double>")
-    m = F.array_max(a)
-    return m + F.log(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+    return let(F.struct(a.alias("a"), F.array_max(a).alias("m")), lambda s: s["m"] + F.log(
+        F.aggregate(s["a"], F.lit(0.0), lambda acc, x: acc + F.exp(x - s["m"]))))
 
 
 def log_softmax(a) -> Column:
     a = _c(a).cast("array<double>")
-    lse = logsumexp(a)
-    return F.transform(a, lambda x: x - lse)
+    return let(F.struct(a.alias("a"), logsumexp(a).alias("lse")),
+               lambda s: F.transform(s["a"], lambda x: x - s["lse"]))
 
 
 def softmax(a) -> Column:
@@ -32,7 +39,7 @@ def softmax(a) -> Column:
 
 
 def softmax_at(a, i: int) -> Column:
-    """softmax(a)[i] (0-based); NULL-safe error if fewer than i+1 logits."""
+    """softmax(a)[i] (0-based); an error when there are fewer than i+1 logits."""
     a = _c(a).cast("array<double>")
     return F.when(F.size(a) > i, F.exp(F.element_at(a, i + 1) - logsumexp(a))) \
         .otherwise(F.raise_error(F.lit("need at least two logits")))

@@ -27,12 +27,13 @@ SENTENCE_RULES = [
     "(…{2})([^”’])",
     "([。！？\\?][”’])([^，。！？\\?])",
 ]
-# Whitespace exactly as Python's str.isspace()/str.split() see it (Java's
-# Unicode \s lacks U+001C..U+001F, so the class is spelled out):
+# Whitespace exactly as Python's str.isspace()/str.split() see it:
 # U+0009..U+000D, U+001C..U+0020, U+0085, U+00A0, U+1680, U+2000..U+200A,
-# U+2028, U+2029, U+202F, U+205F, U+3000.
-WS_CLASS = ("[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
-            "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+# U+2028, U+2029, U+202F, U+205F, U+3000. Java's Unicode \s covers all but
+# U+001C..U+001F, which are added to the class.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+WS_CLASS = "(?U)[\\s\\x{1c}-\\x{1f}]"
 # Han range used for "is a Chinese word": U+4E00 .. U+9FA5 inclusive.
 HAN_CLASS = "[\\x{4e00}-\\x{9fa5}]"
 # ---------------------------------------------------------------------------
@@ -47,7 +48,7 @@ def split_sentences(text) -> Column:
     t = _c(text)
     for rule in SENTENCE_RULES:
         t = F.regexp_replace(t, rule, "$1\n$2")
-    t = F.regexp_replace(t, f"{WS_CLASS}+\\z", "")
+    t = rstrip_py(t)
     return F.split(t, "\n", -1)
 
 
@@ -118,8 +119,14 @@ def chars(text) -> Column:
 
 
 def strip_py(s) -> Column:
-    """Python ``str.strip()`` (Unicode whitespace incl. U+001C..U+001F)."""
-    return F.regexp_replace(_c(s), f"\\A{WS_CLASS}+|{WS_CLASS}+\\z", "")
+    """Python ``str.strip()`` (Unicode whitespace incl. U+001C..U+001F);
+    a character-set trim, no regex."""
+    return F.btrim(_c(s), F.lit(WS_CHARS))
+
+
+def rstrip_py(s) -> Column:
+    """Python ``str.rstrip()``: SQL ``rtrim(trimStr, str)``."""
+    return F.call_function("rtrim", F.lit(WS_CHARS), _c(s))
 
 
 # Characters escaped inside a fenced code block of a chat
@@ -144,7 +151,11 @@ def render_transcript_html(text) -> Column:
     ``<pre><code class="language-X">`` (X = text after the last backtick)
     or closes the block; every later line gets ``<br>`` in front and is
     escaped while inside a block; the first line is left untouched."""
-    lines = F.filter(F.split(_c(text), "\n", -1), lambda l: l != "")
+    from quire.functions.arrays import let
+    return let(F.filter(F.split(_c(text), "\n", -1), lambda l: l != ""), _render_lines)
+
+
+def _render_lines(lines: Column) -> Column:
     init = F.struct(F.lit(0).alias("cnt"), F.array().cast("array<string>").alias("out"))
 
     def step(acc, i):

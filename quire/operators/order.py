@@ -16,9 +16,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import broadcast_if_small
-
-OFFSETS_BROADCAST_ROWS = 1_000_000
 
 
 def _bucket_expr(key: Column, cuts: list[float]) -> Column:
@@ -80,7 +77,8 @@ def with_row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "ro
     w = Window.partitionBy(*partition_cols).orderBy("__bkt") if partition_cols else Window.orderBy("__bkt")
     offsets = counts.select(*keys, (F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0))
                                     - F.col("__n")).alias("__off"))
-    offsets = broadcast_if_small(offsets, OFFSETS_BROADCAST_ROWS)
+    # No broadcast hint: the big side is already hash-partitioned on ``keys``
+    # by the numbering window, so the join only shuffles the tiny offsets.
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols))
     numbered = bucketed.withColumn("__rn", rn)
     return (numbered.join(offsets, keys)

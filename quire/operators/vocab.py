@@ -65,16 +65,23 @@ def vocab_from_words(words: DataFrame, order_cols, specials=(), origin: str = "w
     return out.select("id", "piece", F.lit(0.0).alias("score"), F.lit(origin).alias("origin"))
 
 
-def new_pieces(candidates: DataFrame, *existing: DataFrame, col: str = "piece") -> DataFrame:
-    """Candidates not present in any of ``existing`` (left anti)."""
+def new_pieces(candidates: DataFrame, *existing: DataFrame, col: str = "piece",
+               bounds=None) -> DataFrame:
+    """Candidates not present in any of ``existing`` (left anti).
+    ``bounds`` (one per existing table, None = unknown) lets a vocabulary of
+    proven size be broadcast without counting it."""
     out = candidates
-    for ex in existing:
-        out = out.join(broadcast_if_small(ex.select(F.col(col)).distinct(), VOCAB_BROADCAST_ROWS), col, "left_anti")
+    bounds = list(bounds) if bounds is not None else [None] * len(existing)
+    for ex, b in zip(existing, bounds):
+        side = ex.select(F.col(col)).distinct()
+        side = broadcast_if_small(side, VOCAB_BROADCAST_ROWS, bound=b) if b is not None else side
+        out = out.join(side, col, "left_anti")
     return out
 
 
 def merge_vocab(base: DataFrame, domain: DataFrame, cjk_words: DataFrame | None = None,
-                top: DataFrame | None = None) -> DataFrame:
+                top: DataFrame | None = None, base_rows: int | None = None,
+                domain_rows: int | None = None) -> DataFrame:
     """Append to ``base`` (id, piece, score) in order: domain pieces not
     in base (domain order), then all-Han words not in base or added (code
     point order), then top words not in base or added (frequency rank).
@@ -82,19 +89,19 @@ def merge_vocab(base: DataFrame, domain: DataFrame, cjk_words: DataFrame | None
     b = base.select("id", "piece", "score", F.lit("base").alias("origin"), F.lit(0).alias("step"),
                     F.col("id").cast("long").alias("__o"))
     parts = [b]
-    d = new_pieces(domain.select("piece", F.col("id").alias("__o")), base)
+    d = new_pieces(domain.select("piece", F.col("id").alias("__o")), base, bounds=[base_rows])
     parts.append(d.select(F.lit(None).cast("long").alias("id"), "piece", F.lit(0.0).alias("score"),
                           F.lit("domain").alias("origin"), F.lit(1).alias("step"), F.col("__o").cast("long")))
     added = d.select("piece")
     if cjk_words is not None:
         c = cjk_words.select(F.col("word").alias("piece")).where(tx.is_cjk_word(F.col("piece"))).distinct()
-        c = new_pieces(c, base, added)
+        c = new_pieces(c, base, added, bounds=[base_rows, domain_rows])
         parts.append(c.select(F.lit(None).cast("long").alias("id"), "piece", F.lit(0.0).alias("score"),
                               F.lit("cjk").alias("origin"), F.lit(2).alias("step"), F.lit(0).cast("long").alias("__o")))
         added = added.unionByName(c.select("piece"))
     if top is not None:
         t = top.select(F.col("word").alias("piece"), F.col("rank").cast("long").alias("__o"))
-        t = new_pieces(t, base, added)
+        t = new_pieces(t, base, added, bounds=[base_rows, None])
         parts.append(t.select(F.lit(None).cast("long").alias("id"), "piece", F.lit(0.0).alias("score"),
                               F.lit("top").alias("origin"), F.lit(3).alias("step"), "__o"))
     allp = parts[0]
@@ -107,14 +114,15 @@ def merge_vocab(base: DataFrame, domain: DataFrame, cjk_words: DataFrame | None
 # ------------------------------------------------------------- encoding ---
 
 def encode(df: DataFrame, key_cols, tokens: Column, vocab: DataFrame, unk_id: int,
-           out: str = "ids") -> DataFrame:
+           out: str = "ids", vocab_rows: int | None = None) -> DataFrame:
     """J6/T4 (word level): token strings -> ids in position order.
 
     posexplode -> join with the vocabulary -> regroup per row key, sorted
     by position. Rows with no tokens come back with []."""
     key_cols = list(key_cols)
     ex = df.select(*key_cols, F.posexplode(tokens).alias("__pos", "piece"))
-    v = broadcast_if_small(vocab.select("piece", F.col("id").cast("int").alias("__id")), VOCAB_BROADCAST_ROWS)
+    v = broadcast_if_small(vocab.select("piece", F.col("id").cast("int").alias("__id")), VOCAB_BROADCAST_ROWS,
+                           bound=vocab_rows)
     looked = ex.join(v, "piece", "left").select(*key_cols, "__pos",
                                                 F.coalesce("__id", F.lit(unk_id)).alias("__id"))
     grouped = looked.groupBy(*key_cols).agg(
@@ -124,14 +132,15 @@ def encode(df: DataFrame, key_cols, tokens: Column, vocab: DataFrame, unk_id: in
 
 
 def decode(df: DataFrame, key_cols, ids: str, vocab: DataFrame, skip_ids=(), out: str = "text",
-           sep: str = " ") -> DataFrame:
+           sep: str = " ", vocab_rows: int | None = None) -> DataFrame:
     """Ids -> pieces (specials in ``skip_ids`` dropped) joined by
     ``sep``, stripped."""
     key_cols = list(key_cols)
     ex = df.select(*key_cols, F.posexplode(F.col(ids)).alias("__pos", "__id"))
     if skip_ids:
         ex = ex.where(~F.col("__id").isin(list(skip_ids)))
-    v = broadcast_if_small(vocab.select(F.col("id").cast("int").alias("__id"), "piece"), VOCAB_BROADCAST_ROWS)
+    v = broadcast_if_small(vocab.select(F.col("id").cast("int").alias("__id"), "piece"), VOCAB_BROADCAST_ROWS,
+                           bound=vocab_rows)
     looked = ex.join(v, "__id", "left")
     grouped = looked.groupBy(*key_cols).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("piece", F.lit("")).alias("p")))),
@@ -145,11 +154,13 @@ def decode_pieces(pieces) -> Column:
     return F.regexp_replace(F.regexp_replace(F.array_join(_c(pieces), ""), SP_SPACE, " "), "^ ", "")
 
 
-def fertility(df: DataFrame, text_col: str, vocab: DataFrame, group_col: str, key_col: str) -> DataFrame:
+def fertility(df: DataFrame, text_col: str, vocab: DataFrame, group_col: str, key_col: str,
+              vocab_rows: int | None = None) -> DataFrame:
     """Tokens per word by group; a known word is one token, an unknown
     word falls back to one token per character."""
     ex = df.select(key_col, group_col, F.explode(ws_tokens(text_col)).alias("piece"))
-    v = broadcast_if_small(vocab.select("piece", F.lit(1).alias("__known")).distinct(), VOCAB_BROADCAST_ROWS)
+    v = broadcast_if_small(vocab.select("piece", F.lit(1).alias("__known")).distinct(), VOCAB_BROADCAST_ROWS,
+                           bound=vocab_rows)
     toks = ex.join(v, "piece", "left").select(
         group_col, F.when(F.col("__known").isNotNull(), F.lit(1)).otherwise(F.length("piece")).alias("__t"))
     return toks.groupBy(group_col).agg((F.sum("__t") / F.count(F.lit(1))).alias("fertility"),

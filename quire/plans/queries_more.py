@@ -176,6 +176,8 @@ def overlap_candidates(spark, sf):
     bg = bw.select("item_id", F.explode(F.array_distinct(tx.ngrams(F.col("w"), CONTAM_N))).alias("g"))
     dg = dw.select("doc_id", F.explode(F.array_distinct(tx.ngrams(F.col("w"), CONTAM_N))).alias("g"))
     cand = dg.join(broadcast_if_small(bg, 5_000_000), "g").select("item_id", "doc_id").distinct()
+    # score only the candidate documents: n-grams of the rest are never built
+    d = d.join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
     seqs = (b.select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("seq_id"), "text")
             .unionByName(d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("seq_id"), "text")))
     pairs = cand.select("item_id", "doc_id", F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("hyp_id"),
@@ -216,6 +218,7 @@ def history_prompts(spark, sf):
 SPECIALS = ["<pad>", "<unk>", "<mask>", "<bos>", "<eos>"]
 PAD, UNK, MASK, BOS, EOS = range(5)
 VOCAB_K = 3000
+VOCAB_ROWS = VOCAB_K + len(SPECIALS)  # proven bound: specials + top-k
 
 
 def conv_vocab(spark, sf, k=VOCAB_K):
@@ -271,8 +274,8 @@ def train_examples(spark, sf):
     p = _pairs(spark, sf)
     p = p.select("conv_id", "turn", pp.build_prompt(F.col("query"), F.col("history"), "train").alias("prompt"), "answer")
     v = conv_vocab(spark, sf)
-    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("prompt"), v, UNK, "a_ids")
-    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids")
+    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("prompt"), v, UNK, "a_ids", VOCAB_ROWS)
+    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids", VOCAB_ROWS)
     ex = pp.build_example(F.col("a_ids"), F.col("b_ids"), SRC_LEN, TGT_LEN, MASK, BOS, EOS, PAD)
     return eb.select("conv_id", "turn", ex.alias("e")).select(
         "conv_id", "turn", F.col("e.context_length").alias("context_length"),
@@ -305,8 +308,8 @@ def eval_examples(spark, sf):
     p = _pairs(spark, sf).select("conv_id", "turn", "query", "answer")
     p = od.with_row_index(p, ["conv_id", "turn"], name="idx").withColumn("batch", od.assign_batches("idx", EVAL_BATCH))
     v = conv_vocab(spark, sf)
-    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("query"), v, UNK, "a_ids")
-    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids")
+    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("query"), v, UNK, "a_ids", VOCAB_ROWS)
+    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids", VOCAB_ROWS)
     e = pp.eval_examples(eb, "a_ids", "b_ids", "batch", SRC_LEN, TGT_LEN, MASK, BOS, PAD)
     return e.select("conv_id", "turn", "batch", F.array_join("input_ids", " ").alias("input_ids"),
                     F.array_join("labels", " ").alias("labels"),
@@ -328,7 +331,7 @@ w AS (SELECT *, idx // 4 AS batch,
         CAST(ceil(max(len(r)) OVER (PARTITION BY idx // 4) / 8.0) * 8 AS BIGINT) AS wr FROM f)
 SELECT pair_id, batch, len(c) AS n_chosen, len(r) AS n_rejected, wc AS width_chosen, wr AS width_rejected,
        array_to_string(list_concat(c, list_transform(range(wc - len(c)), lambda k: {PAD})), ' ') AS input_ids_chosen,
-       list_sum(list_concat(list_transform(c, lambda k: 1), list_transform(range(wc - len(c)), lambda k: 0))) AS mask_chosen,
+       CAST(list_sum(list_concat(list_transform(c, lambda k: 1), list_transform(range(wc - len(c)), lambda k: 0))) AS BIGINT) AS mask_chosen,
        array_to_string(list_concat(r, list_transform(range(wr - len(r)), lambda k: {PAD})), ' ') AS input_ids_rejected
 FROM w""")
 def reward_examples(spark, sf):
@@ -339,8 +342,8 @@ def reward_examples(spark, sf):
     t = pr.select("pair_id", pp.reward_text(F.col("question"), F.col("response_chosen")).alias("tc"),
                   pp.reward_text(F.col("question"), F.col("response_rejected")).alias("tr"))
     v = conv_vocab(spark, sf)
-    e = vc.encode(t, ["pair_id"], vc.ws_tokens("tc"), v, UNK, "c")
-    e = vc.encode(e, ["pair_id"], vc.ws_tokens("tr"), v, UNK, "r")
+    e = vc.encode(t, ["pair_id"], vc.ws_tokens("tc"), v, UNK, "c", VOCAB_ROWS)
+    e = vc.encode(e, ["pair_id"], vc.ws_tokens("tr"), v, UNK, "r", VOCAB_ROWS)
     x = e.select("pair_id", *pp.reward_example("q", "c", "r"))
     x = pp.filter_length(x, ["input_ids_chosen", "input_ids_rejected"], pp.REWARD_MAX_LEN)
     x = od.with_row_index(x, ["pair_id"], name="idx").withColumn("batch", od.assign_batches("idx", 4))

@@ -10,7 +10,7 @@ from quire.operators import order as od
 from quire.operators import vocab as vc
 from quire.plans import sqlkit as S
 from quire.plans.catalog import r6, register
-from quire.plans.queries_more import UNK, _ws_sql, conv_vocab
+from quire.plans.queries_more import UNK, VOCAB_ROWS, _ws_sql, conv_vocab
 from quire.plans.standins import table
 
 
@@ -227,7 +227,7 @@ def vocab_merge(spark, sf):
     dom = lang_top("de", 400).select(F.col("rank").cast("long").alias("id"), F.col("word").alias("piece"))
     words = vc.word_freq(d, "text")
     top = lang_top("fr", 300)
-    merged = vc.merge_vocab(base, dom, words, top)
+    merged = vc.merge_vocab(base, dom, words, top, base_rows=400, domain_rows=400)
     return merged.select("id", "piece", "origin")
 
 
@@ -247,8 +247,8 @@ def encode_decode(spark, sf):
     vocabulary, decode skipping special ids except unknown."""
     c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     v = conv_vocab(spark, sf)
-    e = vc.encode(c, ["conv_id", "turn"], vc.ws_tokens("text"), v, UNK, "ids")
-    dd = vc.decode(e, ["conv_id", "turn"], "ids", v, skip_ids=(0, 2, 3, 4), out="decoded")
+    e = vc.encode(c, ["conv_id", "turn"], vc.ws_tokens("text"), v, UNK, "ids", VOCAB_ROWS)
+    dd = vc.decode(e, ["conv_id", "turn"], "ids", v, skip_ids=(0, 2, 3, 4), out="decoded", vocab_rows=VOCAB_ROWS)
     return dd.select("conv_id", "turn", F.size("ids").alias("n_ids"),
                      F.size(F.filter("ids", lambda x: x == UNK)).alias("n_unk"), "decoded")
 
@@ -272,8 +272,8 @@ def fertility(spark, sf):
         return t.select(F.col("word").alias("piece"), (F.row_number().over(Window.orderBy(F.desc("freq"), "word")) - 1).alias("id"))
     base = lang_top("en", 400)
     new = base.select("piece").unionByName(lang_top("de", 400).select("piece")).distinct()
-    old = vc.fertility(d, "text", base, "lang", "doc_id").select("lang", r6(F.col("fertility")).alias("fertility_old"))
-    nw = vc.fertility(d, "text", new, "lang", "doc_id").select("lang", r6(F.col("fertility")).alias("fertility_new"))
+    old = vc.fertility(d, "text", base, "lang", "doc_id", 400).select("lang", r6(F.col("fertility")).alias("fertility_old"))
+    nw = vc.fertility(d, "text", new, "lang", "doc_id", 800).select("lang", r6(F.col("fertility")).alias("fertility_new"))
     return old.join(nw, "lang")
 
 

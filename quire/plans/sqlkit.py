@@ -74,9 +74,9 @@ def multiset_overlap(a: str, b: str) -> str:
 
 def lcs(h: str, r: str) -> str:
     """LCS length by the DP recurrence, one row per token of ``h``."""
-    return (f"list_reduce({h}, lambda row, x: list_reduce(range(1, len({r}) + 1), lambda acc, j: "
+    return (f"CAST(list_reduce({h}, lambda row, x: list_reduce(range(1, len({r}) + 1), lambda acc, j: "
             f"list_append(acc, CASE WHEN x = {r}[j] THEN row[j] + 1 ELSE greatest(row[j + 1], acc[j]) END), [0]), "
-            f"list_transform(range(0, len({r}) + 1), lambda k: 0))[-1]")
+            f"list_transform(range(0, len({r}) + 1), lambda k: 0))[-1] AS BIGINT)")
 
 
 def prf(h: str, r: str, o: str) -> dict:

@@ -79,9 +79,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, count: int | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, count: int | None = None,
+                       bound: int | None = None) -> DataFrame:
     """Broadcast ``df`` only behind a checked row bound; otherwise return it
-    unchanged so the join falls back to a shuffle join."""
+    unchanged so the join falls back to a shuffle join (where AQE may still
+    pick a broadcast from runtime sizes).
+
+    ``bound`` is an upper bound the caller has proven by construction (a
+    top-k limit, a fixed table); without it the rows are counted, stopping
+    after ``max_rows + 1``."""
     from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count() if count is None else count
+    if bound is not None:
+        n = bound
+    else:
+        n = df.limit(max_rows + 1).count() if count is None else count
     return F.broadcast(df) if n <= max_rows else df
