@@ -168,7 +168,7 @@ def overlap_candidates(spark, sf):
     """J4 -> J2: candidate pairs are found by an equi-join on shared
     8-grams (benchmark grams broadcast under a checked bound; no cross
     product), then scored with ROUGE-2 over n-grams built once per text."""
-    from quire.session import broadcast_if_small
+    from quire.session import broadcast_if_small, cut_lineage
     b = table(spark, sf, "benchmark")
     d = table(spark, sf, "documents")
     bw = b.select("item_id", tx.rouge_words(F.col("text")).alias("w"))
@@ -176,6 +176,10 @@ def overlap_candidates(spark, sf):
     bg = bw.select("item_id", F.explode(F.array_distinct(tx.ngrams(F.col("w"), CONTAM_N))).alias("g"))
     dg = dw.select("doc_id", F.explode(F.array_distinct(tx.ngrams(F.col("w"), CONTAM_N))).alias("g"))
     cand = dg.join(broadcast_if_small(bg, 5_000_000), "g").select("item_id", "doc_id").distinct()
+    # the candidate set is small and feeds three consumers (id check, doc
+    # restriction, pairs): compute the 8-gram join once, into the shared
+    # checkpoint folder (reliable, survives executor loss)
+    cand = cut_lineage(cand)
     # score only the candidate documents: n-grams of the rest are never built
     d = d.join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
     seqs = (b.select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("seq_id"), "text")
