@@ -8,9 +8,12 @@ unique keys), so the whole score is one projection.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.operators.rouge import multiset_overlap
 
@@ -24,16 +27,47 @@ def char_ngrams(text: Column, n: int) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def bleu4(hyp: Column, ref: Column) -> Column:
+_ND_TYPE = T.ArrayType(T.StructType([T.StructField("num", T.DoubleType()), T.StructField("den", T.DoubleType())]))
+
+
+@F.pandas_udf(_ND_TYPE)
+def _clipped_counts(hyp: pd.Series, ref: pd.Series) -> pd.Series:
+    """[(clipped numerator, denominator)] for n = 1..4 per pair (Counter
+    intersections in C; one Arrow batch at a time)."""
+    out = []
+    for h, r in zip(hyp, ref):
+        if h is None or r is None:
+            out.append(None)
+            continue
+        row = []
+        for n in range(1, MAX_N + 1):
+            ch = Counter(h[i:i + n] for i in range(len(h) - n + 1))
+            cr = Counter(r[i:i + n] for i in range(len(r) - n + 1))
+            row.append({"num": float(sum((ch & cr).values())), "den": float(max(1, len(h) - n + 1))})
+        out.append(row)
+    return pd.Series(out)
+
+
+def clipped_counts(hyp: Column, ref: Column, engine: str = "arrow") -> Column:
+    """The four (clipped numerator, denominator) pairs. ``engine='catalyst'``
+    computes them with JVM higher-order functions (sort + fold per order);
+    ``'arrow'`` (default) with a vectorised UDF, several times faster on
+    long texts because interpreted folds allocate a struct per element."""
+    if engine == "arrow":
+        return _clipped_counts(hyp, ref)
+    return F.array(*[
+        F.struct(multiset_overlap(char_ngrams(hyp, n), char_ngrams(ref, n)).cast("double").alias("num"),
+                 F.greatest(F.lit(1), F.size(char_ngrams(hyp, n))).cast("double").alias("den"))
+        for n in range(1, MAX_N + 1)])
+
+
+def bleu4(hyp: Column, ref: Column, engine: str = "arrow") -> Column:
     """BLEU-4 in [0, 1] of ``hyp`` against the single reference ``ref``.
 
     The four (clipped numerator, denominator) pairs are built once into an
     array and folded in a single ``aggregate`` (smoothing counter, log sum,
     no-unigram-match flag), so no n-gram count is evaluated twice."""
-    nd = F.array(*[
-        F.struct(multiset_overlap(char_ngrams(hyp, n), char_ngrams(ref, n)).cast("double").alias("num"),
-                 F.greatest(F.lit(1), F.size(char_ngrams(hyp, n))).cast("double").alias("den"))
-        for n in range(1, MAX_N + 1)])
+    nd = clipped_counts(hyp, ref, engine)
     init = F.struct(F.lit(0).alias("k"), F.lit(0.0).alias("s"), F.lit(0).alias("i"),
                     F.lit(False).alias("z1"))
 
