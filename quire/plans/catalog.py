@@ -99,6 +99,9 @@ def normalise_types(df: DataFrame) -> DataFrame:
 
 def _wrapped(fn):
     def run(spark, sf):
+        from quire.session import ensure_checkpoint_dir, ship_package
+        ensure_checkpoint_dir(spark)
+        ship_package(spark)
         return normalise_types(fn(spark, sf))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

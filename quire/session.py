@@ -47,6 +47,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -73,6 +74,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in the Python workers (UDFs pickle by
+    module reference). On a cluster pass the package with ``--py-files``;
+    here it is zipped once per session and added with ``addPyFile``."""
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="quire-pkg-") if sc.master.startswith("local") \
+        else ensure_checkpoint_dir(spark)
+    zpath = os.path.join(out_dir, "quire.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
