@@ -85,14 +85,16 @@ def assemble_chunks(chunks: DataFrame, key: str, seq: str, text: str, stop: str,
         pos = F.instr(joined, stop)
         res = F.when(pos > 0, F.substring(joined, 1, pos - 1)).otherwise(joined)
     else:
-        init = F.struct(F.lit("").alias("out"), F.lit(False).alias("stop"))
-
-        def step(acc, c):
-            p = F.instr(c["t"], stop)
-            return F.when(acc["stop"], acc).when(
-                p > 0, F.struct(F.concat(acc["out"], F.substring(c["t"], 1, p - 1)).alias("out"), F.lit(True).alias("stop"))
-            ).otherwise(F.struct(F.concat(acc["out"], c["t"]).alias("out"), F.lit(False).alias("stop")))
-        res = F.aggregate("__c", init, step, lambda a: a["out"])
+        # first chunk holding the stop string, then one join of the chunks
+        # before it plus the head of that chunk: linear in the text length
+        def cut(cs):
+            texts = F.transform(cs, lambda c: c["t"])
+            k = F.array_position(F.transform(texts, lambda t: F.instr(t, stop) > 0), True).cast("int")
+            head = F.array_join(F.slice(texts, 1, F.greatest(k - 1, F.lit(0))), "")
+            tk = F.element_at(texts, F.greatest(k, F.lit(1)))
+            return F.when(k == 0, F.array_join(texts, "")).otherwise(
+                F.concat(head, F.substring(tk, 1, F.instr(tk, stop) - 1)))
+        res = ar.let(F.col("__c"), cut)
     return g.select(key, res.alias("text"))
 
 
