@@ -65,11 +65,12 @@ def default_objective(metrics: dict) -> float:
 
 def clear_segments(df: DataFrame, user: str, order: str, is_clear: Column, is_empty: Column | None = None) -> DataFrame:
     """A clear command starts a new history; empty inputs are skipped.
-    segment = number of clears so far (window partitioned by user)."""
-    w = Window.partitionBy(user).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    segment = number of clears so far per user: a two-pass prefix sum
+    (Q2-style buckets), so one very active user is not a single task."""
+    from quire.operators.order import running_sum
     out = df if is_empty is None else df.where(~is_empty)
-    return out.withColumn("segment", F.sum(F.when(is_clear, 1).otherwise(0)).over(w)) \
-              .withColumn("is_clear", is_clear)
+    out = out.withColumn("is_clear", is_clear)
+    return running_sum(out, F.when(F.col("is_clear"), 1).otherwise(0), [order], [user], name="segment")
 
 
 def interval_loss(df: DataFrame, run: str, step: str, loss: str, logging_steps: int) -> DataFrame:

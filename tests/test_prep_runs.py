@@ -206,3 +206,14 @@ def test_word_freq_files(spark, scratch):
     assert sorted(r["raw"] for r in bad.collect()) == ["and x", "bad"]
     open(f"{scratch}/v.txt", "w").write("w1 3\n\nw2\nw1 x\n")
     assert sorted(r["word"] for r in fs.read_vocab_words(spark, f"{scratch}/v.txt").collect()) == ["w1", "w2"]
+
+
+def test_running_sum_hot_group(spark):
+    # one group holds most rows; the prefix sum must equal the sequential one
+    rows = [("hot", i, i % 3) for i in range(900)] + [("cold", i, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, o int, v int").repartition(7)
+    got = {(r["g"], r["o"]): r["running"] for r in od.running_sum(df, F.col("v"), ["o"], ["g"]).collect()}
+    acc = {}
+    for g, o, v in rows:
+        acc[g] = acc.get(g, 0) + v
+        assert got[(g, o)] == acc[g]
