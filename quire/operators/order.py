@@ -86,28 +86,41 @@ def with_row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "ro
             .drop("__bkt", "__rn", "__off"))
 
 
-def running_sum(df: DataFrame, value: Column, order_cols, partition_cols=(), name: str = "running",
-                buckets: int | None = None) -> DataFrame:
-    """Inclusive prefix sum of ``value`` by ``order_cols`` per group, as a
-    two-pass scan: range buckets on the first order key, a sum per
+def running_agg(df: DataFrame, value: Column, order_cols, partition_cols=(), how: str = "sum",
+                inclusive: bool = True, name: str = "running", buckets: int | None = None) -> DataFrame:
+    """Prefix sum / max of ``value`` by ``order_cols`` per group, as a
+    two-pass scan: range buckets on the first order key, one aggregate per
     (group, bucket) on the small table, offsets by a window over that
-    table, then a running sum inside (group, bucket). A group holding a
-    large share of the rows is spread over many tasks instead of one."""
+    table, then the running aggregate inside (group, bucket). A group
+    holding a large share of the rows is spread over many tasks instead of
+    one. ``inclusive=False`` excludes the current row (NULL when nothing
+    precedes it for ``max``)."""
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     partition_cols = list(partition_cols)
+    agg = {"sum": F.sum, "max": F.max}[how]
     b = default_buckets(df) if buckets is None else buckets
     bucketed = df.withColumn("__bkt", range_buckets(df, order_cols[0], b)).withColumn("__v", value)
     keys = partition_cols + ["__bkt"]
-    sums = bucketed.groupBy(*keys).agg(F.sum("__v").alias("__s"))
+    per = bucketed.groupBy(*keys).agg(agg("__v").alias("__s"))
     w = Window.partitionBy(*partition_cols).orderBy("__bkt") if partition_cols else Window.orderBy("__bkt")
-    offsets = sums.select(*keys, (F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    inner = F.sum("__v").over(Window.partitionBy(*keys).orderBy(*order_cols)
-                              .rowsBetween(Window.unboundedPreceding, 0))
+    offsets = per.select(*keys, agg("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))
+    end = 0 if inclusive else -1
+    inner = agg("__v").over(Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end))
+    if how == "sum":
+        combined = F.coalesce(F.col("__off"), F.lit(0)) + F.coalesce(F.col("__in"), F.lit(0))
+    else:
+        combined = F.greatest(F.col("__off"), F.col("__in"))
     return (bucketed.withColumn("__in", inner).join(offsets, keys)
-            .withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__in"))
+            .withColumn(name, combined)
             .drop("__bkt", "__v", "__in", "__off"))
 
 
+def running_sum(df: DataFrame, value: Column, order_cols, partition_cols=(), name: str = "running",
+                buckets: int | None = None) -> DataFrame:
+    """Inclusive prefix sum per group (see ``running_agg``)."""
+    return running_agg(df, value, order_cols, partition_cols, "sum", True, name, buckets)
+
+
 def take_first(df: DataFrame, n: int, order_cols) -> DataFrame:
     """First min(len, n) rows in order. Small n -> TakeOrderedAndProject
     (a per-partition top-n then a merge); large n -> dense index filter."""

@@ -100,17 +100,25 @@ def nan_filtered_interval(df: DataFrame, run: str, step: str, loss: str, logging
 
 def best_so_far(df: DataFrame, run: str, step: str, metric: str, greater_is_better: bool = True) -> DataFrame:
     """Running best with a strict comparison (first value wins ties).
-    A leading NaN compares false against everything, so it stays best."""
-    w_prev = Window.partitionBy(run).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(run).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-    first_nan = F.first(F.isnan(F.col(metric)), ignorenulls=False).over(w_all)
-    clean = F.when(F.isnan(F.col(metric)), F.lit(None)).otherwise(F.col(metric))
-    prev_best = (F.max(clean) if greater_is_better else F.min(clean)).over(w_prev)
-    improves = prev_best.isNull() | ((clean > prev_best) if greater_is_better else (clean < prev_best))
-    marked = df.withColumn("__first_nan", first_nan).withColumn(
-        "__new_best", F.when(F.col("__first_nan"), F.col(step) == F.min(step).over(w_all))
-        .otherwise(clean.isNotNull() & improves))
-    best_step = F.max(F.when(F.col("__new_best"), F.col(step))).over(w_all)
-    best_val = F.max(F.when(F.col("__new_best"), F.struct(F.col(step), F.col(metric)))).over(w_all)
-    return marked.select(run, step, metric, best_step.alias("best_step"),
-                         best_val[metric].alias("best_metric")).drop("__first_nan", "__new_best")
+    A leading NaN compares false against everything, so it stays best.
+
+    Built from two-pass prefix aggregates (``running_agg``), so one very
+    long run is not a single task: previous best (exclusive prefix max),
+    new-best flags, last new-best step (inclusive prefix max), then the
+    metric at that step by an equi-join on (run, step)."""
+    from quire.operators.order import running_agg
+    from quire.session import broadcast_if_small
+    sign = 1.0 if greater_is_better else -1.0
+    clean = F.when(F.isnan(F.col(metric)), F.lit(None)).otherwise(F.col(metric) * F.lit(sign))
+    heads = df.groupBy(run).agg(F.min(step).alias("__first_step"),
+                                F.min_by(F.isnan(F.col(metric)), F.col(step)).alias("__first_nan"))
+    base = df.select(run, step, metric).join(broadcast_if_small(heads, 1_000_000), run)
+    prev = running_agg(base, clean, [step], [run], "max", inclusive=False, name="__prev")
+    flagged = prev.withColumn("__new_best", F.when(F.col("__first_nan"), F.col(step) == F.col("__first_step"))
+                              .otherwise(clean.isNotNull() & (F.col("__prev").isNull() | (clean > F.col("__prev")))))
+    best = running_agg(flagged, F.when(F.col("__new_best"), F.col(step)), [step], [run], "max",
+                       inclusive=True, name="best_step")
+    at = df.select(F.col(run).alias("__r"), F.col(step).alias("best_step"), F.col(metric).alias("best_metric"))
+    out = best.join(at, (best[run] == at["__r"]) & (best["best_step"] == at["best_step"]), "left") \
+        .select(best[run], best[step], best[metric], best["best_step"], "best_metric")
+    return out
