@@ -181,7 +181,9 @@ def overlap_candidates(spark, sf):
     # checkpoint folder (reliable, survives executor loss)
     cand = cut_lineage(cand)
     # score only the candidate documents: n-grams of the rest are never built
-    d = d.join(cand.select("doc_id").distinct(), "doc_id", "left_semi")
+    # (candidate ids are counted first: broadcast them so the document side
+    # is filtered in place instead of being shuffled by doc_id)
+    d = d.join(broadcast_if_small(cand.select("doc_id").distinct(), 10_000_000), "doc_id", "left_semi")
     seqs = (b.select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("seq_id"), "text")
             .unionByName(d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("seq_id"), "text")))
     pairs = cand.select("item_id", "doc_id", F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("hyp_id"),
