@@ -2,9 +2,10 @@
 
 * Word counts are a partial+final hash aggregate over exploded words.
 * A vocabulary is a table ``(id, piece, score, origin)``; position = id.
-* Encoding joins exploded tokens with the vocabulary (broadcast only under a
-  checked row bound, shuffle join beyond it) and regroups per row in
-  position order; rows are bounded by text length, so no group is hot.
+* Encoding with a vocabulary of proven size is a broadcast lookup per row
+  (no shuffle); otherwise exploded tokens are joined with the vocabulary
+  and regrouped per row in position order (rows are bounded by text
+  length, so no group is hot).
 * BPE training works on the distinct weighted pre-tokens: each round counts
   adjacent symbol pairs with ``groupBy(l, r).sum(freq)``, picks the best
   pair(s) with a deterministic tie rule (count desc, left, right) and
@@ -117,9 +118,13 @@ def encode(df: DataFrame, key_cols, tokens: Column, vocab: DataFrame, unk_id: in
            out: str = "ids", vocab_rows: int | None = None) -> DataFrame:
     """J6/T4 (word level): token strings -> ids in position order.
 
+    With a proven vocabulary bound (``vocab_rows``) the ids come from a
+    broadcast lookup in an Arrow batch function (no shuffle). Without one:
     posexplode -> join with the vocabulary -> regroup per row key, sorted
     by position. Rows with no tokens come back with []."""
     key_cols = list(key_cols)
+    if vocab_rows is not None and vocab_rows <= VOCAB_BROADCAST_ROWS:
+        return df.withColumn(out, encode_lookup(tokens, vocab, unk_id))
     ex = df.select(*key_cols, F.posexplode(tokens).alias("__pos", "piece"))
     v = broadcast_if_small(vocab.select("piece", F.col("id").cast("int").alias("__id")), VOCAB_BROADCAST_ROWS,
                            bound=vocab_rows)
@@ -131,6 +136,22 @@ def encode(df: DataFrame, key_cols, tokens: Column, vocab: DataFrame, unk_id: in
         out, F.coalesce(F.col(out), F.array().cast("array<int>")))
 
 
+def encode_lookup(tokens: Column, vocab: DataFrame, unk_id: int) -> Column:
+    """J6/T4 for a vocabulary of proven size: the piece -> id table is
+    collected once (bounded), broadcast to the executors, and looked up per
+    token inside an Arrow batch function. Unlike the join path this needs
+    no shuffle of tokens and no shuffle of the rows to regroup them."""
+    spark = vocab.sparkSession
+    table = {r["piece"]: int(r["id"]) for r in vocab.select("piece", "id").collect()}
+    bc = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def _lookup(toks: pd.Series) -> pd.Series:
+        m = bc.value
+        return pd.Series([None if t is None else [m.get(x, unk_id) for x in t] for t in toks])
+    return _lookup(tokens)
+
+
 def decode(df: DataFrame, key_cols, ids: str, vocab: DataFrame, skip_ids=(), out: str = "text",
            sep: str = " ", vocab_rows: int | None = None) -> DataFrame:
     """Ids -> pieces (specials in ``skip_ids`` dropped) joined by
