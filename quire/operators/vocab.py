@@ -248,22 +248,49 @@ def pair_counts(words: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("cnt"))
 
 
+def _disjoint_best(cands, k: int):
+    """Greedy pick, in rank order, of up to k pairs that share no symbol
+    (so applying them in one pass equals applying them one by one)."""
+    used, out = set(), []
+    for r in cands:
+        l, rr = r["l"], r["r"]
+        if l in used or rr in used:
+            continue
+        out.append((l, rr, int(r["cnt"])))
+        used.update((l, rr))
+        if len(out) == k:
+            break
+    return out
+
+
 def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", checkpoint_every: int = 10,
-              normalise: bool = True) -> DataFrame:
-    """T3 (exact mode): one merge per round, best pair by (count desc, left,
-    right). Returns merges (rank, left, right, merged, count). Only the
-    single best pair (one row) reaches the driver each round."""
+              normalise: bool = True, merges_per_round: int = 1) -> DataFrame:
+    """BPE merges over the distinct weighted pre-tokens; best pair by
+    (count desc, left, right). Returns (rank, left, right, merged, count).
+
+    ``merges_per_round=1`` is the exact mode. With k > 1, each round takes
+    the best pairs that share no symbol (up to k) and applies them in one
+    pass: one Spark job per round instead of per merge. The batched mode may
+    differ from the exact one where a merge creates a pair that would have
+    outranked a later pick of the same round. Only the candidate pairs of a
+    round (a few rows) reach the driver."""
     spark = corpus.sparkSession
     words = bpe_words(corpus, text_col, normalise=normalise).select("freq", "syms").persist()
     merges = []
-    for rnd in range(num_merges):
-        best = pair_counts(words).orderBy(F.desc("cnt"), "l", "r").limit(1).collect()
-        if not best:
+    rnd = 0
+    while len(merges) < num_merges:
+        k = min(merges_per_round, num_merges - len(merges))
+        cands = pair_counts(words).orderBy(F.desc("cnt"), "l", "r").limit(max(1, 4 * k)).collect()
+        picked = _disjoint_best(cands, k)
+        if not picked:
             break
-        l, r, cnt = best[0]["l"], best[0]["r"], best[0]["cnt"]
-        merges.append((rnd, l, r, l + r, int(cnt)))
-        nxt = words.select("freq", _apply_merge(F.col("syms"), l, r).alias("syms"))
-        if (rnd + 1) % checkpoint_every == 0:
+        nxt = words
+        for l, r, cnt in picked:
+            merges.append((len(merges), l, r, l + r, cnt))
+            # one projection per merge (symbol-disjoint, so order is free)
+            nxt = nxt.select("freq", _apply_merge(F.col("syms"), l, r).alias("syms"))
+        rnd += 1
+        if rnd % checkpoint_every == 0:
             nxt = cut_lineage(nxt)
         else:
             nxt = nxt.persist()

@@ -305,6 +305,13 @@ def bpe_merges(spark, sf):
     return vc.train_bpe(table(spark, sf, "documents"), 12, "text")
 
 
+@register("bpe_merges_batched")
+def bpe_merges_batched(spark, sf):
+    """T3 batched mode: 40 merges over the documents, up to 8 symbol-disjoint
+    merges per round (one Spark job per round)."""
+    return vc.train_bpe(table(spark, sf, "documents"), 40, "text", merges_per_round=8)
+
+
 @register("bpe_encode")
 def bpe_encode(spark, sf):
     """T4 + T5: encode the distinct pre-tokens of the benchmark texts with

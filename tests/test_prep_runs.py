@@ -217,3 +217,18 @@ def test_running_sum_hot_group(spark):
     for g, o, v in rows:
         acc[g] = acc.get(g, 0) + v
         assert got[(g, o)] == acc[g]
+
+
+def test_bpe_batched_and_encode_paths(spark):
+    texts = ["low lower lowest", "newer newest new", "low new lower"]
+    corpus = spark.createDataFrame([(t,) for t in texts], "text string")
+    batched = vc.train_bpe(corpus, 6, normalise=False, merges_per_round=3).orderBy("rank").collect()
+    assert len(batched) == 6
+    exact = vc.train_bpe(corpus, 1, normalise=False).collect()[0]
+    assert (batched[0]["left"], batched[0]["right"]) == (exact["left"], exact["right"])
+    # the lookup and the join encode paths agree
+    v = spark.createDataFrame([(0, "<unk>"), (1, "low"), (2, "new")], "id long, piece string")
+    df = spark.createDataFrame([(1, "low new x"), (2, "")], "k int, t string")
+    a = {r["k"]: r["ids"] for r in vc.encode(df, ["k"], vc.ws_tokens("t"), v, 0, vocab_rows=3).collect()}
+    b = {r["k"]: r["ids"] for r in vc.encode(df, ["k"], vc.ws_tokens("t"), v, 0).collect()}
+    assert a == b == {1: [1, 2, 0], 2: []}
