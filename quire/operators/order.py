@@ -63,6 +63,42 @@ def default_buckets(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
 
 
+def _hot_split(df: DataFrame, order_cols, buckets: int):
+    """(bucket, sub-bucket) columns for the dense index.
+
+    Buckets are ranges of the first order key. A value that spans two or
+    more quantile steps (it holds at least 1/buckets of the rows) gets its
+    own bucket, split again by ranges of the second order key, so a hot
+    value does not end up in a single task."""
+    k1 = order_cols[0]
+    num1 = numeric_key(df, k1)
+    if buckets <= 1 or num1 is None:
+        return F.lit(0).cast("long"), F.lit(0).cast("long")
+    probs = [i / buckets for i in range(1, buckets)]
+    raw = [c for c in df.select(num1.alias("k")).approxQuantile("k", probs, 0.001)
+           if c is not None and not math.isnan(c)]
+    if not raw:
+        return F.lit(0).cast("long"), F.lit(0).cast("long")
+    uniq = sorted(set(raw))
+    hot = sorted(v for v in uniq if raw.count(v) >= 2)
+    b = _bucket_expr(num1, uniq).cast("long")
+    if not hot or len(order_cols) < 2 or numeric_key(df, order_cols[1]) is None:
+        return b, F.lit(0).cast("long")
+    num2 = numeric_key(df, order_cols[1])
+    exact = F.lit(False)
+    sub = F.lit(0).cast("long")
+    for v in hot:
+        inner = [c for c in df.where(num1 == F.lit(v)).select(num2.alias("k"))
+                 .approxQuantile("k", probs, 0.001) if c is not None and not math.isnan(c)]
+        inner = sorted(set(inner))
+        is_v = num1 == F.lit(v)
+        exact = exact | is_v
+        if inner:
+            sub = F.when(is_v, _bucket_expr(num2, inner).cast("long")).otherwise(sub)
+    # rows equal to a hot cut value sort after the rest of their range
+    return b * 2 + F.when(exact, 1).otherwise(0), sub
+
+
 def with_row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "row_idx",
                    buckets: int | None = None) -> DataFrame:
     """Q2: dense 0-based index by ``order_cols`` (ascending; ties must be
@@ -71,10 +107,11 @@ def with_row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "ro
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     partition_cols = list(partition_cols)
     b = default_buckets(df) if buckets is None else buckets
-    bucketed = df.withColumn("__bkt", range_buckets(df, order_cols[0], b))
-    keys = partition_cols + ["__bkt"]
+    bkt, sub = _hot_split(df, order_cols, b)
+    bucketed = df.withColumn("__bkt", bkt).withColumn("__sub", sub)
+    keys = partition_cols + ["__bkt", "__sub"]
     counts = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(*partition_cols).orderBy("__bkt") if partition_cols else Window.orderBy("__bkt")
+    w = (Window.partitionBy(*partition_cols) if partition_cols else Window).orderBy("__bkt", "__sub")
     offsets = counts.select(*keys, (F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0))
                                     - F.col("__n")).alias("__off"))
     # No broadcast hint: the big side is already hash-partitioned on ``keys``
@@ -83,7 +120,7 @@ def with_row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "ro
     numbered = bucketed.withColumn("__rn", rn)
     return (numbered.join(offsets, keys)
             .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long"))
-            .drop("__bkt", "__rn", "__off"))
+            .drop("__bkt", "__sub", "__rn", "__off"))
 
 
 def running_agg(df: DataFrame, value: Column, order_cols, partition_cols=(), how: str = "sum",

@@ -232,3 +232,14 @@ def test_bpe_batched_and_encode_paths(spark):
     a = {r["k"]: r["ids"] for r in vc.encode(df, ["k"], vc.ws_tokens("t"), v, 0, vocab_rows=3).collect()}
     b = {r["k"]: r["ids"] for r in vc.encode(df, ["k"], vc.ws_tokens("t"), v, 0).collect()}
     assert a == b == {1: [1, 2, 0], 2: []}
+
+
+def test_row_index_hot_value(spark):
+    # one value of the first key holds most rows: it is split by the second key
+    rows = [(5, i) for i in range(600)] + [(k, 0) for k in range(10) if k != 5]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(4)
+    got = sorted((r["a"], r["b"], r["row_idx"]) for r in od.with_row_index(df, ["a", "b"], buckets=8).collect())
+    want = sorted(rows)
+    assert [(a, b) for a, b, _ in sorted(got, key=lambda x: x[2])] == want
+    bk, sub = od._hot_split(df, ["a", "b"], 8)
+    assert df.select(sub.alias("s")).where("a = 5").distinct().count() > 1
