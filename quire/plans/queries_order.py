@@ -41,11 +41,14 @@ def row_index_grouped(spark, sf):
 
 
 @register("take_first", sql="""
-SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1000""")
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate
+FROM orders ORDER BY orders.o_orderdate, o_orderkey LIMIT 1000""")
 def take_first(spark, sf):
-    """The first 1000 rows in order (the limit is the operator)."""
+    """The first 1000 rows in order (the limit is the operator); the
+    timestamp is rendered as text so both engines compare it exactly."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return od.take_first(o, 1000, ["o_orderdate", "o_orderkey"])
+    t = od.take_first(o, 1000, ["o_orderdate", "o_orderkey"])
+    return t.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("o_orderdate"))
 
 
 PCT = 5

@@ -64,7 +64,8 @@ def stream_clear_segments(spark, sf):
 
 
 @register("stream_run_monitor", sql="""
-SELECT user_id, date_trunc('day', ts) AS window_start, count(*) AS samples, round(avg(value), 6) AS mean_value
+SELECT user_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS samples,
+       round(avg(value), 6) AS mean_value
 FROM events GROUP BY user_id, date_trunc('day', ts)""")
 def stream_run_monitor(spark, sf):
     """Watermarked tumbling-window monitor (samples, mean value per run
@@ -77,8 +78,8 @@ def stream_run_monitor(spark, sf):
         batch.write.mode("overwrite").parquet(out + "/data")
     st.run_foreach_batch(mon, sink, out + "/ckpt", output_mode="complete")
     r = spark.read.parquet(out + "/data")
-    return r.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "samples",
-                    r6(F.col("mean_value")).alias("mean_value"))
+    return r.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    "samples", r6(F.col("mean_value")).alias("mean_value"))
 
 
 @register("stream_chunks", sql=f"""
