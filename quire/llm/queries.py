@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import exact_dedup, simhash
+from quire.llm import bpe, exact_dedup, simhash, toxicity
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -32,6 +32,33 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# --------------------------------------------------------------- 2 toxicity
+
+@register("op2_toxicity")
+def op2_toxicity(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    grammar = toxicity.learn(docs, read(spark, sf, "labels"))
+    return toxicity.annotate(docs, grammar).select(
+        F.col("row")["doc_id"].alias("doc_id"), toxicity.held_out(F.col("row")["doc_id"]).alias("held_out"),
+        F.col("toxicity")["score"].alias("score"), (F.col("toxicity")["score"] >= 0.5).cast("int").alias("predicted"),
+        F.size(F.col("toxicity")["matches"]).alias("n_clauses"))
+
+
+# -------------------------------------------------- 3 BPE encoding, decoding
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op3_bpe_codec")
+def op3_bpe_codec(spark, sf, tokenizer_path: str | None = None):
+    path = tokenizer_path or tokenizer_file()
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.select(F.col("row")["doc_id"].alias("doc_id"), *bpe.digests(coded))
+
+
 # ------------------------------------------------------------ 6 exact dedup
 
 @register("op6_exact_dedup", sql=r"""
