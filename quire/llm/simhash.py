@@ -168,11 +168,13 @@ def _spread(rows: DataFrame, depth: int, radius: int) -> DataFrame:
     for m in _chains(depth, radius):
         free = [p for p in range(BITS) if not m >> p & 1]
         table[m] = [m | x for x in covering_masks(free, radius)]
-    spark = rows.sparkSession
-    small = spark.createDataFrame([(_signed(m), [_signed(x) for x in xs]) for m, xs in table.items()],
-                                  "mask long, masks array<long>")
-    return (rows.join(F.broadcast(small), "mask")  # at most 15 ** depth rows, depth <= 3
-            .select("path", "fp", F.explode("masks").alias("mask"))
+    if depth == 0:
+        spread = rows.withColumn("masks", F.array(*[F.lit(_signed(x)) for x in table[0]]))
+    else:  # at most 15 ** depth rows, depth <= 3
+        small = rows.sparkSession.createDataFrame(
+            [(_signed(m), [_signed(x) for x in xs]) for m, xs in table.items()], "mask long, masks array<long>")
+        spread = rows.join(F.broadcast(small), "mask")
+    return (spread.select("path", "fp", F.explode("masks").alias("mask"))
             .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
 
 
