@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, exact_dedup, simhash, toxicity
+from quire.llm import bpe, exact_dedup, mixing, quality, simhash, toxicity
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -81,3 +81,24 @@ def op8_simhash_near_dedup(spark, sf):
     found = simhash.annotate(read(spark, sf, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"),
                         "component_id")
+
+
+# ------------------------------------------- 9 mixing sources to target weights
+
+@register("op9_mixing")
+def op9_mixing(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, mixing.domains_of(read(spark, sf, "labels")))
+    return mixed.select(F.col("id").alias("doc_id"), F.col("tokens").alias("n_tokens"),
+                        *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)], "rate", "copies")
+
+
+# --------------------------------------------------------- 10 quality classifier
+
+@register("op10_quality")
+def op10_quality(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    model = quality.learn(docs, quality.grades_of(read(spark, sf, "labels")))
+    return quality.annotate(docs, model).select(
+        F.col("row")["doc_id"].alias("doc_id"), F.col("rated")["expected_grade"].alias("expected_grade"),
+        F.col("rated")["tail"].alias("tail_probability"), (F.col("rated")["tail"] >= 0.5).alias("kept"))
