@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, exact_dedup, mixing, quality, simhash, toxicity
+from quire.llm import bpe, chat, exact_dedup, mixing, quality, simhash, toxicity, warc
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -59,6 +59,20 @@ def op3_bpe_codec(spark, sf, tokenizer_path: str | None = None):
     return coded.select(F.col("row")["doc_id"].alias("doc_id"), *bpe.digests(coded))
 
 
+# ------------------------------------------------------------------ 5 WARC
+
+@register("op5_warc", sql="""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+      FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM f""")
+def op5_warc(spark, sf):
+    return warc.round_trip(read(spark, sf, "pages")).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 # ------------------------------------------------------------ 6 exact dedup
 
 @register("op6_exact_dedup", sql=r"""
@@ -74,6 +88,37 @@ def op6_exact_dedup(spark, sf):
         F.col("row")["doc_id"].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+# ------------------------------------------------------- 7 chat formatting
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@register("op7_chat_format", sql=r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, length('<s></s>') + length(role) + 1 + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 ELSE 0 END
+             + length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)')) AS chars,
+             CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(length(learned))::BIGINT AS loss_chars, sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id""")
+def op7_chat_format(spark, sf):
+    own = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                                "conv_id long, turn long, role string, text string")
+    turns = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    back = F.array_join(F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return (chat.format_chats(turns)
+            .withColumns({"back": back, "learned": chat.trained_text(F.col("segments"))})
+            .select("conv_id", "n_turns", F.sha2(F.col("back").cast("binary"), 256).alias("turns_sha256"),
+                    F.length("learned").cast("long").alias("loss_chars"),
+                    F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+                    F.length("formatted").cast("long").alias("formatted_chars")))
+
+
 # ------------------------------------------------------- 8 SimHash near-dedup
 
 @register("op8_simhash_near_dedup")
