@@ -44,16 +44,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from quire.llm.common import packed, small_batches
+from quire.llm.common import materialise, packed, small_batches
 
 LEXICON_WORDS = 50_000
 LEXICON_BYTES = 64       # longer words take the exact path
-MEMO_WORDS = 1 << 18     # per worker; forgotten beyond that
+MEMO_WORDS = 400_000     # per worker; forgotten beyond that
+LEAST_COUNT = 3          # rarer words are not in the lexicon
 FLUSH_WORDS = 300_000
 # White space as in Unicode, without the separators U+001C..U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
-WORDS = regex.compile(rf"{SHORT}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+SHORT = "'(?:s|t|re|ve|m|ll|d)"
+WORDS = regex.compile(rf"\p{{L}}+|\p{{N}}|{SHORT}|[^{SPACE}\p{{L}}\p{{N}}]+")
+# The same for texts of Latin-1 characters, which most are.
+LETTERS, NUMBERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+WORDS_LATIN = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|{SHORT}|[^\\t-\\r \x85\xa0{LETTERS}{NUMBERS}]+")
 # Letters and numbers that are newer than ``unicodedata``: whether they are
 # letters to the tokenizer, and their lower case, is asked of its library.
 _NEWER = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xd800), *range(0xe000, 0x110000)])))
@@ -79,18 +83,16 @@ NEWER = re.compile(f"[{_ranges(_NEWER)}]")
 @lru_cache(maxsize=1)
 def _words_newer() -> regex.Pattern:
     symbols = _ranges("".join(c for c in _NEWER if not _LETTER.pre_tokenize_str(c)))
-    return regex.compile(rf"{SHORT}|(?:(?![{symbols}])\p{{L}})+|(?![{symbols}])\p{{N}}"
+    return regex.compile(rf"(?:(?![{symbols}])\p{{L}})+|(?![{symbols}])\p{{N}}|{SHORT}"
                          rf"|(?:[{symbols}]|[^{SPACE}\p{{L}}\p{{N}}])+")
 
 
 def words_of(text: str) -> list[str]:
-    if not text.isascii():
-        try:
-            text.encode("latin-1")  # the quick way to see that no newer letter is in it
-        except UnicodeEncodeError:
-            if NEWER.search(text):
-                return _words_newer().findall(text.translate(_LOWER))
-    return WORDS.findall(text)
+    try:
+        text.encode("latin-1")  # the quick way to see which characters occur
+    except UnicodeEncodeError:
+        return _words_newer().findall(text.translate(_LOWER)) if NEWER.search(text) else WORDS.findall(text)
+    return WORDS_LATIN.findall(text)
 
 
 # ------------------------------------------------------------------ vocabulary
@@ -103,6 +105,9 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in keep else chr(next(other)) for b in range(256)]
 
 
+NEW = (1 << 32) - 1
+
+
 class Vocabulary:
     """A tokenizer file: BPE with word ends, over byte characters."""
 
@@ -110,10 +115,10 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
-        self.pieces = {i: p for p, i in vocab.items()}
         self.suffix = spec["model"]["end_of_word_suffix"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.pieces.update({i: p for p, i in self.added.items()})
+        named = {i: p for p, i in vocab.items()} | {i: p for p, i in self.added.items()}
+        self.pieces = [named.get(i, "") for i in range(max(named) + 1)]
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) \
             if self.added else None
         self.inner = [vocab[c] for c in _byte_chars()]
@@ -121,7 +126,7 @@ class Vocabulary:
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocab[a], vocab[b]] = rank, vocab[a + b]
+            self.merges[vocab[a], vocab[b]] = rank << 32 | vocab[a + b]  # rank and new id in one number
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word by exact merging."""
@@ -134,17 +139,17 @@ class Vocabulary:
 
         def offer(i: int) -> None:
             j = nxt[i]
-            if j < n and (found := self.merges.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+            if j < n and (found := self.merges.get((ids[i], ids[j]))) is not None:
+                heapq.heappush(heap, (found, i, ids[i], ids[j]))
 
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            found, i, a, b = heapq.heappop(heap)
             j = nxt[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue  # one side has gone into another piece
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = found & NEW, -1
             nxt[i] = nxt[j]
             if nxt[i] < n:
                 prv[nxt[i]] = i
@@ -155,19 +160,16 @@ class Vocabulary:
 
     def _merge_short(self, ids: list[int]) -> list[int]:
         """The same by a list of the pairs' ranks."""
-        merges, none = self.merges, (1 << 30, -1)
-        found = [merges.get(p, none) for p in zip(ids, ids[1:])]
-        while found:
-            best = min(found)
-            if best is none:
-                break
+        get, none = self.merges.get, 1 << 62
+        found = [get(p, none) for p in zip(ids, ids[1:])]
+        while found and (best := min(found)) != none:
             i = found.index(best)
-            ids[i:i + 2] = [best[1]]
+            ids[i:i + 2] = [best & NEW]
             del found[i]
             if i:
-                found[i - 1] = merges.get((ids[i - 1], ids[i]), none)
+                found[i - 1] = get((ids[i - 1], ids[i]), none)
             if i < len(found):
-                found[i] = merges.get((ids[i], ids[i + 1]), none)
+                found[i] = get((ids[i], ids[i + 1]), none)
         return ids
 
     def parts(self, text: str) -> Iterator[str | int]:
@@ -236,8 +238,9 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
             outputs.append(out)
             out += counts[s]
         first.append(len(labels))
-    blocks = [np.array(x, "<i4") for x in (first, labels, targets, outputs, [f for f, _ in states], offsets, ids)]
-    return MAGIC + struct.pack("<i7i", root, *map(len, blocks)) + b"".join(b.tobytes() for b in blocks)
+    blocks = [np.array(x, "<i4") for x in (first, targets, outputs, [f for f, _ in states], offsets, ids)]
+    return MAGIC + struct.pack("<i7i", root, *map(len, blocks), len(labels)) + b"".join(b.tobytes() for b in blocks) \
+        + bytes(labels)
 
 
 class Lexicon:
@@ -248,65 +251,60 @@ class Lexicon:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         if self.map[:4] != MAGIC:
             raise ValueError(f"not a lexicon: {path}")
-        self.root, *sizes = struct.unpack("<i7i", self.map[4:36])
+        self.root, *sizes, labels = struct.unpack("<i7i", self.map[4:36])
         view, at, blocks = memoryview(self.map), 36, []
         for n in sizes:
             blocks.append(view[at:at + 4 * n].cast("i"))
             at += 4 * n
-        self.first, self.labels, self.targets, self.outputs, self.final, self.offsets, self.ids = blocks
+        self.first, self.targets, self.outputs, self.final, self.offsets, self.ids = blocks
+        self.labels = at  # one byte for each arc, to the end of the file
 
     def find(self, word: bytes) -> list[int] | None:
         """The ids of the word, or None: follow its bytes, add the outputs."""
-        state, place = self.root, 0
-        for byte in word:
-            lo, hi = self.first[state], self.first[state + 1]
-            while lo < hi:
-                mid = (lo + hi) >> 1
-                if self.labels[mid] < byte:
-                    lo = mid + 1
-                else:
-                    hi = mid
-            if lo >= self.first[state + 1] or self.labels[lo] != byte:
+        state, place, base = self.root, 0, self.labels
+        search, first = self.map.find, self.first
+        for k in range(len(word)):
+            arc = search(word[k:k + 1], base + first[state], base + first[state + 1]) - base
+            if arc < 0:
                 return None
-            place += self.outputs[lo]
-            state = self.targets[lo]
+            place += self.outputs[arc]
+            state = self.targets[arc]
         if not self.final[state]:
             return None
         return self.ids[self.offsets[place]:self.offsets[place + 1]].tolist()
 
 
-class Encoder(dict):
-    """word -> its ids as little-endian bytes; a bounded memo before the
-    automaton and the exact merges."""
+class Encoder:
+    """Texts to ids (little-endian bytes) and back; a bounded memo of words
+    stands before the automaton and the exact merges."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
-        super().__init__()
         self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.memo: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
+    def word(self, word: str) -> bytes:
         raw = word.encode("utf-8")
         ids = self.lexicon.find(raw) if self.lexicon is not None and len(raw) <= LEXICON_BYTES else None
         if ids is None:
             ids = self.vocabulary.merge(raw)
-        out = np.array(ids, "<u4").tobytes()
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(raw) <= LEXICON_BYTES:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = out
+            if len(self.memo) >= MEMO_WORDS:
+                self.memo.clear()
+            self.memo[word] = out
         return out
 
     def encode(self, text: str | None) -> bytes:
-        out = []
+        out, known, new = [], self.memo.get, self.word
         for part in self.vocabulary.parts(text or ""):
             if isinstance(part, int):
                 out.append(struct.pack("<I", part))
             else:
-                out.extend(map(self.__getitem__, words_of(part)))
+                out += [known(w) or new(w) for w in words_of(part)]
         return b"".join(out)
 
     def decode(self, ids: bytes | None) -> str:
-        pieces = self.vocabulary.pieces
-        return " ".join([pieces[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
+        return " ".join(map(self.vocabulary.pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
 # ----------------------------------------------------------------- Spark side
@@ -323,8 +321,9 @@ def _ship(spark: SparkSession, path: str) -> str:
 
 
 def frequent_words(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words over all texts (at most ``words``); each task
-    counts what it has read before anything is shuffled."""
+    """The most frequent words over all texts (at most ``words``, those of the
+    last count that fits); each task counts what it has read before anything
+    is shuffled, and only the chosen words reach the driver."""
     tokenizer = _ship(df.sparkSession, tokenizer_path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -344,10 +343,18 @@ def frequent_words(df: DataFrame, tokenizer_path: str, text_col: str = "text", w
                 seen.clear()
         yield out()
 
-    top = (df.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long")
-           .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-           .orderBy(F.col("n").desc(), "word").limit(words))
-    return [r.word for r in top.collect()]
+    counted = materialise(
+        df.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long")
+        .groupBy("word").agg(F.sum("n").alias("n")).where(f"n >= {LEAST_COUNT}"))
+    # the least count that at most ``words`` words reach, from how often each count occurs
+    reach = counted.groupBy(F.least("n", F.lit(1_000_000)).alias("n")).count().orderBy(F.col("n").desc()).collect()
+    cut, total = 1 << 60, 0
+    for r in reach:
+        total += r["count"]
+        if total > words:
+            break
+        cut = r.n
+    return sorted(r.word for r in counted.where(F.col("n") >= cut).select("word").collect())
 
 
 def build_lexicon(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
