@@ -77,13 +77,12 @@ def sample(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str, rows:
 class Sparse:
     """Rows of features, and products with them."""
 
-    def __init__(self, pdf: pd.DataFrame):
-        sizes = [len(x) for x in pdf["index"]]
-        self.rows = len(pdf)
-        self.index = np.concatenate([*pdf["index"], np.zeros(0)]).astype(np.int64)
-        self.value = np.concatenate([*pdf["value"], np.zeros(0)]).astype(np.float64)
-        self.row = np.repeat(np.arange(self.rows), sizes)
-        self.label = pdf["label"].to_numpy(dtype=np.int64)
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, int]]):
+        self.rows = len(rows)
+        self.index = np.concatenate([*(r[0] for r in rows), np.zeros(0, np.int32)]).astype(np.int64)
+        self.value = np.concatenate([*(r[1] for r in rows), np.zeros(0, np.float32)]).astype(np.float64)
+        self.row = np.repeat(np.arange(self.rows), [len(r[0]) for r in rows])
+        self.label = np.array([r[2] for r in rows], dtype=np.int64)
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * w[self.index], self.rows)
@@ -98,13 +97,14 @@ def training_rows(chosen: DataFrame) -> Sparse:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [features(t) for t in pdf["text"]]
-            yield pd.DataFrame({"index": [g[0] for g in got], "value": [g[1].astype(np.float32) for g in got],
+            yield pd.DataFrame({"index": [g[0].tobytes() for g in got],
+                                "value": [g[1].astype(np.float32).tobytes() for g in got],
                                 "label": pdf["label"].to_numpy()})
 
     # in a fixed order: the fit does not depend on the order of tasks
-    pdf = chosen.mapInPandas(run, "index array<int>, value array<float>, label int").toPandas()
-    order = sorted(range(len(pdf)), key=lambda i: (int(pdf["label"][i]), pdf["index"][i].tobytes()))
-    return Sparse(pdf.iloc[order])
+    rows = sorted((r.label, bytes(r.index), bytes(r.value)) for r in
+                  chosen.mapInPandas(run, "index binary, value binary, label int").collect())
+    return Sparse([(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), label) for label, i, v in rows])
 
 
 def descend(params: np.ndarray, gradient, steps: int = 200, rate: float = 0.2) -> np.ndarray:
