@@ -102,7 +102,7 @@ def training_rows(chosen: DataFrame) -> Sparse:
                                 "label": pdf["label"].to_numpy()})
 
     # in a fixed order: the fit does not depend on the order of tasks
-    rows = sorted((r.label, bytes(r.index), bytes(r.value)) for r in
+    rows = sorted((r["label"], bytes(r["index"]), bytes(r["value"])) for r in
                   chosen.mapInPandas(run, "index binary, value binary, label int").collect())
     return Sparse([(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), label) for label, i, v in rows])
 
