@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, exact_dedup, mixing, quality, simhash, toxicity, warc
+from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, toxicity, warc
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -59,6 +59,16 @@ def op3_bpe_codec(spark, sf, tokenizer_path: str | None = None):
     return coded.select(F.col("row")["doc_id"].alias("doc_id"), *bpe.digests(coded))
 
 
+# --------------------------------------------------------------- 4 licenses
+
+@register("op4_license_scan")
+def op4_license_scan(spark, sf):
+    found = licenses.scan(read(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(F.col("row")["doc_id"].alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"),
+                        "score", F.size("detections").alias("n_detections"))
+
+
 # ------------------------------------------------------------------ 5 WARC
 
 @register("op5_warc", sql="""
