@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, toxicity, warc
+from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, topk, toxicity, warc
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -32,6 +32,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# ----------------------------------------------------------- 1 exact top-k search
+
+@register("op1_topk_search", sql="""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op1_topk_search(spark, sf):
+    return topk.top_k(read(spark, sf, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 # --------------------------------------------------------------- 2 toxicity
 
 @register("op2_toxicity")
