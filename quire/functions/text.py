@@ -101,9 +101,13 @@ def word_count(text) -> Column:
     return F.when(F.length(c) == 0, F.lit(0)).otherwise(F.size(F.split(c, " ", -1)))
 
 
-def segment(text) -> Column:
-    """R12 default segmenter: every Han character is its own word, other
-    text splits on whitespace; result re-joined by single spaces."""
+def segment(text, segmenter=None) -> Column:
+    """Words joined by single spaces. ``segmenter`` is the plug-in: a
+    function of a string column that gives an array of words (a Catalyst
+    expression or a pandas UDF around a user's segmenter). By default every
+    Han character is its own word and other text splits on whitespace."""
+    if segmenter is not None:
+        return F.array_join(F.filter(segmenter(_c(text)), lambda w: w != ""), " ")
     spaced = F.regexp_replace(_c(text), f"({HAN_CLASS})", " $1 ")
     return collapse_ws(spaced)
 

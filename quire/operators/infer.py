@@ -1,10 +1,12 @@
 """Batch inference surface (I1-I6, F9): pluggable scorers and generators
-run inside ``mapInPandas`` (loaded once per Python worker, Arrow batches),
-keyed by ``row_id`` so a retried task recomputes exactly its own rows.
+run inside ``mapInPandas`` on Arrow batches. A model is built once per Python
+worker process and query; keys travel through the batch function, so scored
+rows are never joined back to their input.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -15,27 +17,46 @@ from quire.functions import arrays as ar
 from quire.functions import text as tx
 from quire.operators.reward import pair_scores
 
+# Models of this worker process by the id that the query gave them. A worker
+# serves many tasks; a closure is unpickled anew for each of them, this
+# module is not.
+_MODELS: dict[str, object] = {}
+_MODELS_KEPT = 4
+
+
+def worker_model(name: str, factory: Callable[[], object]):
+    """The model ``name`` of this process, built on first use."""
+    if name not in _MODELS:
+        while len(_MODELS) >= _MODELS_KEPT:
+            _MODELS.pop(next(iter(_MODELS)))
+        _MODELS[name] = factory()
+    return _MODELS[name]
+
 
 def quality(logits) -> Column:
     """quality = softmax(logits)[1] (D5: needs at least two logits)."""
     return ar.softmax_at(logits, 1)
 
 
-def score_texts(df: DataFrame, key: str, text: str, scorer_factory: Callable[[], Callable[[pd.Series], pd.Series]],
+def _schema(df: DataFrame, columns) -> str:
+    types = dict(df.dtypes)
+    return ", ".join(f"`{c}` {types[c]}" for c in columns)
+
+
+def score_texts(df: DataFrame, key, text: str, scorer_factory: Callable[[], Callable[[pd.Series], pd.Series]],
                 out: str = "score") -> DataFrame:
     """Scores from a user model; ``scorer_factory`` is called once
     per worker process, the scorer maps a Series of texts to a Series of
-    floats."""
-    cache = {}
+    floats. ``key``: one or more columns that stay beside the score."""
+    keys = [key] if isinstance(key, str) else list(key)
+    name = uuid.uuid4().hex
 
     def run(it):
-        if "s" not in cache:
-            cache["s"] = scorer_factory()
-        s = cache["s"]
+        score = worker_model(name, scorer_factory)
         for pdf in it:
-            yield pd.DataFrame({key: pdf[key], out: s(pdf[text]).astype("float64")})
-    key_type = dict(df.dtypes)[key]
-    return df.select(key, text).mapInPandas(run, f"{key} {key_type}, {out} double")
+            yield pdf[keys].assign(**{out: score(pdf[text]).astype("float64")})
+    read = list(dict.fromkeys([*keys, text]))
+    return df.select(*read).mapInPandas(run, f"{_schema(df, keys)}, `{out}` double")
 
 
 def score_pairs(pairs: DataFrame, scorer_factory, pair_col: str = "pair_id",
@@ -45,30 +66,42 @@ def score_pairs(pairs: DataFrame, scorer_factory, pair_col: str = "pair_id",
     sides = pairs.select(pair_col, F.explode(F.array(
         F.struct(F.lit("chosen").alias("side"), F.col(chosen_text).alias("text")),
         F.struct(F.lit("rejected").alias("side"), F.col(rejected_text).alias("text")))).alias("s"))
-    flat = sides.select(F.concat_ws(":", F.col(pair_col).cast("string"), F.col("s.side")).alias("__k"),
-                        pair_col, F.col("s.side").alias("side"), F.col("s.text").alias("text"))
-    scored = score_texts(flat, "__k", "text", scorer_factory)
-    long = flat.select("__k", pair_col, "side").join(scored, "__k")
-    return pair_scores(long, pair_col, "side", "score")
+    flat = sides.select(pair_col, F.col("s.side").alias("side"), F.col("s.text").alias("text"))
+    return pair_scores(score_texts(flat, [pair_col, "side"], "text", scorer_factory), pair_col, "side", "score")
+
 
+def keep_last_words(prompt: Column, limit: int) -> Column:
+    """The last ``limit`` white-space tokens of a prompt that has more."""
+    words = F.split(prompt, tx.WS_CLASS + "+")
+    return F.when(F.size(words) > limit, F.array_join(F.slice(words, -limit, limit), " ")).otherwise(prompt) \
+        if limit > 0 else F.lit("")
 
-def generate(df: DataFrame, key: str, prompt: str, generator_factory, stop: str | None = None,
-             out: str = "Output") -> DataFrame:
-    """Prompts -> generator -> cut at the stop string -> strip. The
-    generator maps a Series of prompts to a Series of texts."""
-    cache = {}
+
+def generate(df: DataFrame, key, prompt: str, generator_factory, stop: str | None = None,
+             out: str = "Output", context: int | None = None, max_new: int = 0, reserve: int = 8) -> DataFrame:
+    """Prompts -> the last context - max_new - reserve tokens (with
+    ``context``) -> generator -> cut at the stop string -> strip. The
+    generator maps a Series of prompts to a Series of texts; a NULL prompt is
+    an empty one, and a NULL output stays NULL. ``Input`` is the prompt as
+    given; ``key`` as in ``score_texts``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    name = uuid.uuid4().hex
+
+    def cut(t):
+        if t is None or t is pd.NA or t != t:
+            return None
+        return (t.split(stop, 1)[0] if stop else t).strip()
 
     def run(it):
-        if "g" not in cache:
-            cache["g"] = generator_factory()
-        g = cache["g"]
+        model = worker_model(name, generator_factory)
         for pdf in it:
-            texts = g(pdf[prompt])
-            if stop:
-                texts = texts.map(lambda t: t.split(stop, 1)[0])
-            yield pd.DataFrame({key: pdf[key], "Input": pdf[prompt], out: texts.str.strip()})
-    key_type = dict(df.dtypes)[key]
-    return df.select(key, prompt).mapInPandas(run, f"{key} {key_type}, Input string, {out} string")
+            texts = [cut(t) for t in model(pdf["__asked"])]
+            yield pdf[keys].assign(Input=pdf[prompt], **{out: pd.Series(texts, index=pdf.index, dtype="object")})
+    asked = F.coalesce(F.col(prompt), F.lit(""))
+    if context is not None:
+        asked = keep_last_words(asked, context - max_new - reserve)
+    read = list(dict.fromkeys([*keys, prompt]))
+    return df.select(*read, asked.alias("__asked")).mapInPandas(run, f"{_schema(df, keys)}, Input string, `{out}` string")
 
 
 def assemble_chunks(chunks: DataFrame, key: str, seq: str, text: str, stop: str,
@@ -105,16 +138,30 @@ def predictions(df: DataFrame, label: str, predict: str) -> DataFrame:
 
 def transform_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                       remove_columns: bool = True) -> DataFrame:
-    """Batched map (columnar pandas batches in parallel tasks); with
-    ``remove_columns`` the output replaces the input schema."""
+    """Batched map (columnar pandas batches in parallel tasks). With
+    ``remove_columns`` the function's columns replace the input's; without,
+    they stand beside them (one output row per input row; a column of the
+    same name is replaced)."""
+    made = df.sparkSession.createDataFrame([], schema).columns
+    kept = [] if remove_columns else [c for c in df.columns if c not in made]
+
     def run(it):
         for pdf in it:
-            yield fn(pdf)
-    out = df.mapInPandas(run, schema)
-    return out
-
-
-def metric_columns(df: DataFrame, metrics: dict[str, Column], group_cols=()) -> DataFrame:
-    """Registered column-expression metrics evaluated in one aggregate."""
-    aggs = [c.alias(n) for n, c in metrics.items()]
+            got = fn(pdf)
+            if kept and len(got) != len(pdf):
+                raise ValueError(f"{len(got)} rows made from {len(pdf)}: input columns cannot stay")
+            yield got[made] if not kept else pd.concat(
+                [pdf[kept].reset_index(drop=True), got[made].reset_index(drop=True)], axis=1)
+    return df.mapInPandas(run, f"{_schema(df, kept)}, {schema}" if kept else schema)
+
+
+def metric_columns(df: DataFrame, metrics: dict[str, Column], group_cols=(),
+                   preprocess: Callable[[DataFrame], DataFrame] | None = None,
+                   include_inputs: tuple[str, ...] = ()) -> DataFrame:
+    """Registered metrics evaluated in one aggregate. ``preprocess``
+    changes the predictions first; ``include_inputs`` keeps a sample-free
+    summary of inputs (count of non-NULL values per column) beside them. A
+    metric may also be a grouped Arrow aggregate (a pandas UDF column)."""
+    df = preprocess(df) if preprocess is not None else df
+    aggs = [c.alias(n) for n, c in metrics.items()] + [F.count(c).alias(f"n_{c}") for c in include_inputs]
     return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)

@@ -1,12 +1,12 @@
 """Row identity, ordering, batching and sharding (Q*, P7-P9).
 
 Spark has no row order, so every positional rule of the reference takes an
-explicit order key. The dense index (Q2) is built without a global
-single-partition window: rows are bucketed by range on the first order key
-(cut points from one ``approxQuantile`` pass, then a fixed expression, so
-re-evaluation gives the same buckets), numbered inside each bucket with a
-window partitioned by (group, bucket), and shifted by per-bucket offsets
-computed on the tiny (group x bucket) count table.
+explicit order key. The dense index (Q2) uses no window over the table: rows
+are range-partitioned by all their keys (Spark samples the splitters, so any
+key type, NULLs and dominant first keys are spread over the tasks), sorted
+inside each partition and numbered there; the partitions' counts, one row
+each, give the offsets. NULL keys come first, as in Spark's own sort, and a
+NULL group is a group like others.
 """
 
 from __future__ import annotations
@@ -16,140 +16,76 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import cut_lineage
 
-
-def _bucket_expr(key: Column, cuts: list[float]) -> Column:
-    """Binary search over sorted literal cut points as a nested CASE tree:
-    O(log B) comparisons per row, deterministic, JVM side."""
-    def build(lo: int, hi: int) -> Column:
-        # bucket index in [lo, hi]; cuts[i] separates bucket i and i+1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key <= F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(cuts))
-
-
-def range_buckets(df: DataFrame, key: str, buckets: int) -> Column:
-    """Bucket column for ``key`` with ~equal counts (approximate quantiles)."""
-    if buckets <= 1:
-        return F.lit(0)
-    probs = [i / buckets for i in range(1, buckets)]
-    num = numeric_key(df, key)
-    if num is None:
-        return F.lit(0)
-    cuts = df.select(num.alias("k")).approxQuantile("k", probs, 0.001)
-    cuts = sorted(set(c for c in cuts if c is not None and not math.isnan(c)))
-    if not cuts:
-        return F.lit(0)
-    return _bucket_expr(num, cuts)
-
-
-def numeric_key(df: DataFrame, key: str) -> Column | None:
-    """A double that is monotone in ``key``'s order (None if there is none:
-    then a single bucket is used)."""
-    from pyspark.sql import types as T
-    dt = df.schema[key].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
-    if isinstance(dt, T.NumericType):
-        return F.col(key).cast("double")
-    if isinstance(dt, T.BooleanType):
-        return F.col(key).cast("double")
-    return None
+# monotonically_increasing_id() holds the partition above this bit and the
+# row's place in its partition below it.
+_PLACE_BITS = 33
 
 
 def default_buckets(df: DataFrame) -> int:
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
-
-
-def _hot_split(df: DataFrame, order_cols, buckets: int):
-    """(bucket, sub-bucket) columns for the dense index.
-
-    Buckets are ranges of the first order key. A value that spans two or
-    more quantile steps (it holds at least 1/buckets of the rows) gets its
-    own bucket, split again by ranges of the second order key, so a hot
-    value does not end up in a single task."""
-    k1 = order_cols[0]
-    num1 = numeric_key(df, k1)
-    if buckets <= 1 or num1 is None:
-        return F.lit(0).cast("long"), F.lit(0).cast("long")
-    probs = [i / buckets for i in range(1, buckets)]
-    raw = [c for c in df.select(num1.alias("k")).approxQuantile("k", probs, 0.001)
-           if c is not None and not math.isnan(c)]
-    if not raw:
-        return F.lit(0).cast("long"), F.lit(0).cast("long")
-    uniq = sorted(set(raw))
-    hot = sorted(v for v in uniq if raw.count(v) >= 2)
-    b = _bucket_expr(num1, uniq).cast("long")
-    if not hot or len(order_cols) < 2 or numeric_key(df, order_cols[1]) is None:
-        return b, F.lit(0).cast("long")
-    num2 = numeric_key(df, order_cols[1])
-    exact = F.lit(False)
-    sub = F.lit(0).cast("long")
-    for v in hot:
-        inner = [c for c in df.where(num1 == F.lit(v)).select(num2.alias("k"))
-                 .approxQuantile("k", probs, 0.001) if c is not None and not math.isnan(c)]
-        inner = sorted(set(inner))
-        is_v = num1 == F.lit(v)
-        exact = exact | is_v
-        if inner:
-            sub = F.when(is_v, _bucket_expr(num2, inner).cast("long")).otherwise(sub)
-    # rows equal to a hot cut value sort after the rest of their range
-    return b * 2 + F.when(exact, 1).otherwise(0), sub
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _ranged(df: DataFrame, partition_cols, order_cols, buckets: int | None) -> DataFrame:
+    """The rows range-partitioned and sorted by (group, order), with
+    ``__pid`` (partition), ``__pos`` (place in it) and ``__grp`` (the group
+    as a struct, which joins NULLs with NULLs); checkpointed, so that the
+    places are the same in every later job."""
+    keys = [*partition_cols, *order_cols]
+    b = default_buckets(df) if buckets is None else max(1, buckets)
+    placed = (df.repartitionByRange(b, *keys).sortWithinPartitions(*keys)
+              .withColumn("__id", F.monotonically_increasing_id()))
+    group = F.struct(*partition_cols) if partition_cols else F.struct(F.lit(0).alias("all"))
+    return cut_lineage(placed
+                       .withColumn("__pid", F.shiftright("__id", _PLACE_BITS))
+                       .withColumn("__pos", F.col("__id").bitwiseAND((1 << _PLACE_BITS) - 1))
+                       .withColumn("__grp", group).drop("__id"))
 
 
 def with_row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "row_idx",
                    buckets: int | None = None) -> DataFrame:
-    """Q2: dense 0-based index by ``order_cols`` (ascending; ties must be
-    broken by the caller's key), optionally restarting per ``partition_cols``.
-    """
+    """Q2: dense 0-based index by ``order_cols`` (ascending, NULLs first; ties
+    must be broken by the caller's key), optionally restarting per
+    ``partition_cols``."""
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     partition_cols = list(partition_cols)
-    b = default_buckets(df) if buckets is None else buckets
-    bkt, sub = _hot_split(df, order_cols, b)
-    bucketed = df.withColumn("__bkt", bkt).withColumn("__sub", sub)
-    keys = partition_cols + ["__bkt", "__sub"]
-    counts = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    w = (Window.partitionBy(*partition_cols) if partition_cols else Window).orderBy("__bkt", "__sub")
-    offsets = counts.select(*keys, (F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-                                    - F.col("__n")).alias("__off"))
-    # No broadcast hint: the big side is already hash-partitioned on ``keys``
-    # by the numbering window, so the join only shuffles the tiny offsets.
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols))
-    numbered = bucketed.withColumn("__rn", rn)
-    return (numbered.join(offsets, keys)
-            .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long"))
-            .drop("__bkt", "__sub", "__rn", "__off"))
+    placed = _ranged(df, partition_cols, order_cols, buckets)
+    # one row per partition: at most ``buckets`` rows, so both the window and
+    # the broadcast are bounded whatever the size of the table
+    offsets = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
+    out = placed.join(F.broadcast(offsets), "__pid").withColumn(name, F.col("__off") + F.col("__pos"))
+    if partition_cols:
+        starts = out.groupBy("__grp").agg(F.min(name).alias("__start"))
+        out = out.join(starts, "__grp").withColumn(name, F.col(name) - F.col("__start")).drop("__start")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.col(name).cast("long").alias(name))
 
 
 def running_agg(df: DataFrame, value: Column, order_cols, partition_cols=(), how: str = "sum",
                 inclusive: bool = True, name: str = "running", buckets: int | None = None) -> DataFrame:
     """Prefix sum / max of ``value`` by ``order_cols`` per group, as a
-    two-pass scan: range buckets on the first order key, one aggregate per
-    (group, bucket) on the small table, offsets by a window over that
-    table, then the running aggregate inside (group, bucket). A group
-    holding a large share of the rows is spread over many tasks instead of
-    one. ``inclusive=False`` excludes the current row (NULL when nothing
+    two-pass scan: one aggregate per (group, range partition) on the sorted
+    table, offsets by a window over that small table, then the running
+    aggregate inside (group, partition). A group holding a large share of the
+    rows is spread over many tasks. ``value`` may also be a struct for
+    ``max``. ``inclusive=False`` excludes the current row (NULL when nothing
     precedes it for ``max``)."""
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    partition_cols = list(partition_cols)
     agg = {"sum": F.sum, "max": F.max}[how]
-    b = default_buckets(df) if buckets is None else buckets
-    bucketed = df.withColumn("__bkt", range_buckets(df, order_cols[0], b)).withColumn("__v", value)
-    keys = partition_cols + ["__bkt"]
-    per = bucketed.groupBy(*keys).agg(agg("__v").alias("__s"))
-    w = Window.partitionBy(*partition_cols).orderBy("__bkt") if partition_cols else Window.orderBy("__bkt")
-    offsets = per.select(*keys, agg("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__off"))
+    placed = _ranged(df.withColumn("__v", value), list(partition_cols), order_cols, buckets)
+    per = placed.groupBy("__grp", "__pid").agg(agg("__v").alias("__s"))
+    before = Window.partitionBy("__grp").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("__grp", "__pid", agg("__s").over(before).alias("__off"))
     end = 0 if inclusive else -1
-    inner = agg("__v").over(Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end))
+    inner = agg("__v").over(Window.partitionBy("__grp", "__pid").orderBy("__pos")
+                            .rowsBetween(Window.unboundedPreceding, end))
     if how == "sum":
         combined = F.coalesce(F.col("__off"), F.lit(0)) + F.coalesce(F.col("__in"), F.lit(0))
     else:
         combined = F.greatest(F.col("__off"), F.col("__in"))
-    return (bucketed.withColumn("__in", inner).join(offsets, keys)
-            .withColumn(name, combined)
-            .drop("__bkt", "__v", "__in", "__off"))
+    out = placed.withColumn("__in", inner).join(offsets, ["__grp", "__pid"])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], combined.alias(name))
 
 
 def running_sum(df: DataFrame, value: Column, order_cols, partition_cols=(), name: str = "running",
@@ -159,8 +95,9 @@ def running_sum(df: DataFrame, value: Column, order_cols, partition_cols=(), nam
 
 
 def take_first(df: DataFrame, n: int, order_cols) -> DataFrame:
-    """First min(len, n) rows in order. Small n -> TakeOrderedAndProject
-    (a per-partition top-n then a merge); large n -> dense index filter."""
+    """First min(len, n) rows in order (NULL keys first, for every n).
+    Small n -> TakeOrderedAndProject (a per-partition top-n then a merge);
+    large n -> dense index filter."""
     if n <= 0:
         raise ValueError("n must be > 0")
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
@@ -169,14 +106,31 @@ def take_first(df: DataFrame, n: int, order_cols) -> DataFrame:
     return with_row_index(df, order_cols, name="__i").where(F.col("__i") < n).drop("__i")
 
 
-def head_percent_split(df: DataFrame, percent: float, order_cols, split_col: str = "split") -> DataFrame:
-    """validation = first p% rows in order (cut = round(p*n/100)),
-    train = the rest."""
-    n = df.count()
+def key_at(df: DataFrame, index: int, order_cols):
+    """The order key (a Row) of the row at ``index``, or None beyond the end.
+    Only the key columns are read and moved."""
+    keys = df.select(*order_cols)
+    return with_row_index(keys, order_cols, name="__i").where(F.col("__i") == index).drop("__i").first()
+
+
+def head_percent_split(df: DataFrame, percent: float, order_cols, split_col: str = "split",
+                       has_validation: bool = False) -> DataFrame:
+    """validation = first p% rows in order (cut = round(p*n/100)), train =
+    the rest; with a validation split at hand (``has_validation``) every row
+    is train. The cut is a comparison with one boundary key, so the rows
+    themselves are neither shuffled nor sorted."""
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    n = 0 if has_validation else df.count()
     cut = int(round(percent * n / 100.0))
-    idx = with_row_index(df, order_cols, name="__i")
-    return idx.withColumn(split_col, F.when(F.col("__i") < cut, F.lit("validation")).otherwise(F.lit("train"))) \
-              .drop("__i")
+    if cut <= 0:
+        return df.withColumn(split_col, F.lit("train"))
+    edge = key_at(df, cut, order_cols)
+    if edge is None:
+        return df.withColumn(split_col, F.lit("validation"))
+    fields = {f.name: f.dataType for f in df.select(*order_cols).schema.fields}
+    bound = F.struct(*[F.lit(edge[c]).cast(t).alias(c) for c, t in fields.items()])
+    head = F.struct(*order_cols) < bound  # structs compare field by field, NULL first
+    return df.withColumn(split_col, F.when(head, F.lit("validation")).otherwise(F.lit("train")))
 
 
 def shuffle_key(row_id: str, seed: int) -> Column:
@@ -187,12 +141,9 @@ def shuffle_key(row_id: str, seed: int) -> Column:
 
 
 def shuffled_index(df: DataFrame, row_id: str, seed: int, name: str = "perm_idx") -> DataFrame:
-    """Position of each row in the seeded permutation. The first 60 bits
-    of the hash (numeric, same order as the hex string) drive the range
-    buckets of the dense index."""
-    keyed = df.withColumn("__h", shuffle_key(row_id, seed)) \
-              .withColumn("__h60", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long"))
-    return with_row_index(keyed, ["__h60", "__h", row_id], name=name).drop("__h", "__h60")
+    """Position of each row in the seeded permutation."""
+    keyed = df.withColumn("__h", shuffle_key(row_id, seed))
+    return with_row_index(keyed, ["__h", row_id], name=name).drop("__h")
 
 
 def assign_batches(idx: str, batch_size: int) -> Column:
@@ -264,7 +215,7 @@ def length_groups(df: DataFrame, row_id: str, length: Column, batch_size: int, s
     perm = shuffled_index(df.withColumn("__len", length), row_id, seed, "__p")
     perm = perm.withColumn("__mega", F.floor(F.col("__p") / m).cast("long"))
     rn = F.row_number().over(Window.partitionBy("__mega").orderBy(F.desc("__len"), F.col("__p")))
-    ranked = perm.withColumn("pos", F.col("__mega") * m + rn - 1)
+    ranked = cut_lineage(perm.withColumn("pos", F.col("__mega") * m + rn - 1))  # read twice below
     # first element of each mega-batch is its maximum; pick the first mega
     # with the overall maximum and swap its head with position 0.
     heads = ranked.where(F.col("pos") == F.col("__mega") * m)

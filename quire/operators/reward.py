@@ -44,7 +44,11 @@ def vector_contrastive(c: Column, r: Column) -> Column:
 
 
 def preference_from_predictions(preds: DataFrame, key: str = "row_id", question: str = "question",
-                                gold: str = "label", model: str = "predict") -> DataFrame:
-    """(question, chosen = gold answer, rejected = model answer)."""
-    return preds.select(key, F.col(question).alias("question"), F.col(gold).alias("response_chosen"),
-                        F.col(model).alias("response_rejected"))
+                                gold: str = "label", model: str = "predict",
+                                prompts: DataFrame | None = None) -> DataFrame:
+    """(question, chosen = gold answer, rejected = model answer). With
+    ``prompts`` (key, question, gold) the predictions (key, model) are joined
+    on the row id; without, the table already holds all columns."""
+    rows = preds if prompts is None else prompts.select(key, question, gold).join(preds.select(key, model), key)
+    return rows.select(key, F.col(question).alias("question"), F.col(gold).alias("response_chosen"),
+                       F.col(model).alias("response_rejected"))

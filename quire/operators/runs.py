@@ -55,12 +55,14 @@ def best_trial(trials: DataFrame, trial_col: str, objective: str, direction: str
                       (F.min(objective) if direction == "minimize" else F.max(objective)).alias("best_objective"))
 
 
-def default_objective(metrics: dict) -> float:
-    """A13 default: eval loss if present, else the sum of the other metrics."""
-    if "eval_loss" in metrics:
-        return metrics["eval_loss"]
-    return sum(v for k, v in metrics.items() if k not in ("epoch",) and not k.endswith("_runtime")
-               and not k.endswith("_per_second"))
+def default_objective(metrics: Column) -> Column:
+    """A13 default objective of a metrics map: the sum of all metrics but the
+    evaluation loss, the epoch and the speed figures; the evaluation loss
+    only where nothing else is left."""
+    others = F.map_filter(metrics, lambda k, v: ~k.isin("eval_loss", "epoch") & ~k.endswith("_runtime")
+                          & ~k.endswith("_per_second"))
+    total = F.aggregate(F.map_values(others), F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    return F.when(F.size(others) > 0, total).otherwise(F.try_element_at(metrics, F.lit("eval_loss")).cast("double"))
 
 
 def clear_segments(df: DataFrame, user: str, order: str, is_clear: Column, is_empty: Column | None = None) -> DataFrame:
@@ -73,11 +75,14 @@ def clear_segments(df: DataFrame, user: str, order: str, is_clear: Column, is_em
     return running_sum(out, F.when(F.col("is_clear"), 1).otherwise(0), [order], [user], name="segment")
 
 
-def interval_loss(df: DataFrame, run: str, step: str, loss: str, logging_steps: int) -> DataFrame:
-    """Mean loss since the last log, rounded to 4 digits."""
+def interval_loss(df: DataFrame, run: str, step: str, loss: str, logging_steps: int,
+                  epoch: str | None = None) -> DataFrame:
+    """Mean loss since the last log, rounded to 4 digits; with ``epoch``
+    (a fraction) also the epoch of the log, rounded to 2."""
     interval = F.ceil(F.col(step) / F.lit(logging_steps)).cast("long")
+    more = [] if epoch is None else [F.bround(F.max(epoch), 2).alias("epoch")]
     return df.groupBy(run, interval.alias("interval")).agg(
-        F.bround(F.avg(loss), 4).alias("loss"), F.max(step).alias("step"), F.count(F.lit(1)).alias("steps"))
+        F.bround(F.avg(loss), 4).alias("loss"), F.max(step).alias("step"), F.count(F.lit(1)).alias("steps"), *more)
 
 
 def nan_filtered_interval(df: DataFrame, run: str, step: str, loss: str, logging_steps: int) -> DataFrame:
@@ -102,23 +107,19 @@ def best_so_far(df: DataFrame, run: str, step: str, metric: str, greater_is_bett
     """Running best with a strict comparison (first value wins ties).
     A leading NaN compares false against everything, so it stays best.
 
-    Built from two-pass prefix aggregates (``running_agg``), so one very
-    long run is not a single task: previous best (exclusive prefix max),
-    new-best flags, last new-best step (inclusive prefix max), then the
-    metric at that step by an equi-join on (run, step)."""
+    One two-pass prefix maximum (``running_agg``) over (value, -step, metric):
+    the greatest value so far, of equal ones the earliest, with its metric
+    carried along. A very long run is spread over many tasks."""
     from quire.operators.order import running_agg
-    from quire.session import broadcast_if_small
     sign = 1.0 if greater_is_better else -1.0
-    clean = F.when(F.isnan(F.col(metric)), F.lit(None)).otherwise(F.col(metric) * F.lit(sign))
-    heads = df.groupBy(run).agg(F.min(step).alias("__first_step"),
-                                F.min_by(F.isnan(F.col(metric)), F.col(step)).alias("__first_nan"))
-    base = df.select(run, step, metric).join(broadcast_if_small(heads, 1_000_000), run)
-    prev = running_agg(base, clean, [step], [run], "max", inclusive=False, name="__prev")
-    flagged = prev.withColumn("__new_best", F.when(F.col("__first_nan"), F.col(step) == F.col("__first_step"))
-                              .otherwise(clean.isNotNull() & (F.col("__prev").isNull() | (clean > F.col("__prev")))))
-    best = running_agg(flagged, F.when(F.col("__new_best"), F.col(step)), [step], [run], "max",
-                       inclusive=True, name="best_step")
-    at = df.select(F.col(run).alias("__r"), F.col(step).alias("best_step"), F.col(metric).alias("best_metric"))
-    out = best.join(at, (best[run] == at["__r"]) & (best["best_step"] == at["best_step"]), "left") \
-        .select(best[run], best[step], best[metric], best["best_step"], "best_metric")
-    return out
+    value = F.col(metric) * F.lit(sign)
+    cand = F.when(F.col(metric).isNotNull() & ~F.isnan(F.col(metric)),
+                  F.struct(value.alias("v"), (-F.col(step)).alias("back"), F.col(metric).alias("m")))
+    heads = df.groupBy(F.col(run).alias("__run")).agg(
+        F.min(F.struct(F.col(step).alias("s"), F.isnan(F.col(metric)).alias("nan"), F.col(metric).alias("m"))).alias("__head"))
+    out = running_agg(df.select(run, step, metric), cand, [step], [run], "max", name="__best")
+    out = out.join(heads, F.col(run).eqNullSafe(F.col("__run")))
+    stuck = F.col("__head")["nan"]
+    return out.select(run, step, metric,
+                      F.when(stuck, F.col("__head")["s"]).otherwise(-F.col("__best")["back"]).alias("best_step"),
+                      F.when(stuck, F.col("__head")["m"]).otherwise(F.col("__best")["m"]).alias("best_metric"))

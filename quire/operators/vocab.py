@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import text as tx
+from quire.operators.order import with_row_index
 from quire.session import broadcast_if_small, cut_lineage
 
 VOCAB_BROADCAST_ROWS = 2_000_000
@@ -108,8 +109,9 @@ def merge_vocab(base: DataFrame, domain: DataFrame, cjk_words: DataFrame | None
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    w = Window.orderBy("step", "__o", "piece")
-    return allp.select((F.row_number().over(w) - 1).cast("long").alias("id"), "piece", "score", "origin", "step")
+    # the all-Han words can be corpus-sized: numbered by ranges, not by one window
+    return with_row_index(allp.drop("id"), ["step", "__o", "piece"], name="id") \
+        .select("id", "piece", "score", "origin", "step")
 
 
 # ------------------------------------------------------------- encoding ---
@@ -203,41 +205,85 @@ def nfkc() -> Column:
     return _NFKC_CACHE["f"]
 
 
+# Scripts whose change ends a pre-token; the East Asian ones are mixed within
+# words and count as one.
+SCRIPTS = (("Han", "Hiragana", "Katakana"), ("Latin",), ("Greek",), ("Cyrillic",), ("Arabic",), ("Hebrew",),
+           ("Devanagari",), ("Hangul",), ("Thai",))
+
+
+def pretoken_pattern(script_prefix: str = "Is") -> str:
+    """Words of one script, single digits, runs of other characters, each
+    with the boundary marker that stands before it (``script_prefix``: how
+    the regex dialect spells a script)."""
+    names = [[f"\\p{{{script_prefix}{n}}}" for n in group] for group in SCRIPTS]
+    words = [f"{SP_SPACE}?[{''.join(g)}\\p{{M}}]+" for g in names]
+    known = "".join(n for g in names for n in g)
+    other = f"{SP_SPACE}?[^{known}\\p{{M}}\\p{{N}}\\p{{P}}\\p{{S}}\\p{{Z}}\\p{{C}}{SP_SPACE}]+"
+    return "|".join([*words, other, f"{SP_SPACE}?\\p{{N}}",
+                     f"{SP_SPACE}?[^{known}\\p{{L}}\\p{{M}}\\p{{N}}{SP_SPACE}]+", SP_SPACE])
+
+
 def pretokens(text: Column, normalise: bool = True) -> Column:
     """Pre-tokens for BPE: NFKC, spaces -> marker with a leading marker,
-    split before every marker, every digit alone, and where the script
-    class (letters / other) changes."""
+    split before every marker, every digit alone, and where the script or
+    the kind of character changes."""
     t = nfkc()(text) if normalise else text
     t = F.concat(F.lit(SP_SPACE), F.regexp_replace(t, " ", SP_SPACE))
-    # boundaries: before a marker, around digits, between letter/non-letter
-    pat = (f"{SP_SPACE}?[\\p{{L}}\\p{{M}}]+|{SP_SPACE}?\\p{{N}}|{SP_SPACE}?[^\\p{{L}}\\p{{M}}\\p{{N}}{SP_SPACE}]+"
-           f"|{SP_SPACE}")
-    return F.regexp_extract_all(t, F.lit(f"({pat})"), 1)
+    return F.regexp_extract_all(t, F.lit(f"({pretoken_pattern()})"), 1)
+
+
+def text_lines(corpus: DataFrame, text_col: str = "text", keep=(), max_bytes: int | None = None) -> DataFrame:
+    """The non-empty lines of every text (``keep`` columns, line_no, line).
+    ``max_bytes`` leaves out longer lines; by default none is left out."""
+    lines = corpus.select(*keep, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line")).where("line <> ''")
+    return lines if max_bytes is None else lines.where(F.octet_length("line") <= max_bytes)
+
 
+def skipped_lines(corpus: DataFrame, max_bytes: int, text_col: str = "text") -> DataFrame:
+    """How many lines, and bytes of them, a limit of ``max_bytes`` leaves out."""
+    n = F.octet_length("line")
+    return text_lines(corpus, text_col).where(n > max_bytes).agg(
+        F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("bytes"))
 
-def bpe_words(corpus: DataFrame, text_col: str = "text", max_bytes: int = 16384,
+
+def bpe_words(corpus: DataFrame, text_col: str = "text", max_bytes: int | None = None,
               normalise: bool = True) -> DataFrame:
-    """Distinct weighted pre-tokens (lines over ``max_bytes`` UTF-8 bytes are
-    skipped) with their symbol arrays (one symbol per character)."""
-    lines = corpus.where(F.octet_length(text_col) <= max_bytes)
-    w = lines.select(F.explode(pretokens(F.col(text_col), normalise)).alias("word")) \
+    """Distinct weighted pre-tokens of all lines (those over ``max_bytes``
+    UTF-8 bytes only if a limit is asked for) with their symbol arrays (one
+    symbol per character)."""
+    w = text_lines(corpus, text_col, max_bytes=max_bytes) \
+        .select(F.explode(pretokens(F.col("line"), normalise)).alias("word")) \
         .groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
     return w.select("word", "freq", tx.chars(F.col("word")).alias("syms"))
 
 
-def _apply_merge(syms: Column, left: str, right: str) -> Column:
-    """Merge left-to-right, non-overlapping occurrences of (left, right)."""
-    merged = left + right
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
+def _merged(syms, left: str, right: str) -> list[str]:
+    """Left-to-right, non-overlapping occurrences of (left, right) joined."""
+    out, i, n = [], 0, len(syms)
+    while i < n:
+        if i + 1 < n and syms[i] == left and syms[i + 1] == right:
+            out.append(left + right)
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
+
 
-    def step(acc, i):
-        cur = F.element_at(syms, i + 1)
-        nxt = F.try_element_at(syms, i + 2)
-        hit = (~acc["skip"]) & (cur == F.lit(left)) & F.coalesce(nxt == F.lit(right), F.lit(False))
-        return F.when(acc["skip"], F.struct(acc["out"].alias("out"), F.lit(False).alias("skip"))) \
-            .when(hit, F.struct(F.concat(acc["out"], F.array(F.lit(merged))).alias("out"), F.lit(True).alias("skip"))) \
-            .otherwise(F.struct(F.concat(acc["out"], F.array(cur)).alias("out"), F.lit(False).alias("skip")))
-    return F.aggregate(F.sequence(F.lit(0), F.size(syms) - 1), init, step, lambda a: a["out"])
+def _apply_merges(words: DataFrame, picked) -> DataFrame:
+    """A round's merges in one Arrow pass; words without both symbols of a
+    merge pass through untouched."""
+    def run(it):
+        for pdf in it:
+            rows = []
+            for syms in pdf["syms"]:
+                have = set(syms)
+                for left, right in picked:
+                    if left in have and right in have:
+                        syms = _merged(syms, left, right)
+                rows.append(list(syms))
+            yield pd.DataFrame({"freq": pdf["freq"], "syms": rows})
+    return words.mapInPandas(run, "freq long, syms array<string>")
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
@@ -284,11 +330,10 @@ def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", checkp
         picked = _disjoint_best(cands, k)
         if not picked:
             break
-        nxt = words
         for l, r, cnt in picked:
             merges.append((len(merges), l, r, l + r, cnt))
-            # one projection per merge (symbol-disjoint, so order is free)
-            nxt = nxt.select("freq", _apply_merge(F.col("syms"), l, r).alias("syms"))
+        # symbol-disjoint, so the order within a round is free
+        nxt = _apply_merges(words, [(l, r) for l, r, _ in picked])
         rnd += 1
         if rnd % checkpoint_every == 0:
             nxt = cut_lineage(nxt)
@@ -319,32 +364,111 @@ def bpe_vocab(merges: DataFrame, alphabet: DataFrame, specials=("<unk>", "<s>",
     return head.unionByName(m).unionByName(a)
 
 
-def bpe_encode_words(words: DataFrame, merges: DataFrame, max_merges: int = 100_000) -> DataFrame:
-    """T4: encode each distinct pre-token once with the ranked merges
-    (broadcast under a checked bound) in an Arrow batch function; callers
-    join the pieces back to their texts."""
+def train_vocab(corpus: DataFrame, vocab_size: int, text_col: str = "text", normalise: bool = True,
+                merges_per_round: int = 16, specials=("<unk>", "<s>", "</s>", "<pad>"),
+                byte_fallback: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A vocabulary of ``vocab_size`` pieces (specials, byte pieces, the
+    merges that fit, the corpus' characters) and its merges."""
+    chars = cut_lineage(bpe_words(corpus, text_col, normalise=normalise)
+                        .select(F.explode("syms").alias("char")).distinct())
+    room = vocab_size - len(specials) - (256 if byte_fallback else 0) - chars.count()
+    merges = cut_lineage(train_bpe(corpus, max(0, room), text_col, normalise=normalise,
+                                   merges_per_round=merges_per_round))
+    return bpe_vocab(merges, chars, specials, byte_fallback), merges
+
+
+MERGE_BLOCK = 100_000  # merges broadcast at once
+
+
+def _ranked(syms: list[str], table: dict) -> list[str]:
+    """BPE by rank: the lowest-ranked pair, leftmost first, until none is left."""
+    syms = list(syms)
+    none = len(table) + (1 << 40)
+    ranks = [table.get(p, none) for p in zip(syms, syms[1:])]
+    while ranks and (best := min(ranks)) != none:
+        i = ranks.index(best)
+        syms[i:i + 2] = [syms[i] + syms[i + 1]]
+        del ranks[i]
+        if i:
+            ranks[i - 1] = table.get((syms[i - 1], syms[i]), none)
+        if i < len(ranks):
+            ranks[i] = table.get((syms[i], syms[i + 1]), none)
+    return syms
+
+
+def bpe_encode_words(words: DataFrame, merges: DataFrame, block: int = MERGE_BLOCK) -> DataFrame:
+    """T4: encode each distinct pre-token once. Up to ``block`` merges are
+    broadcast; longer lists go block by block in rank order, again until no
+    word changes (a later block may join symbols that an earlier one
+    continues), so any number of merges is handled."""
     spark = words.sparkSession
     n = merges.count()
-    if n > max_merges:
-        raise ValueError(f"{n} merges exceed the broadcast bound {max_merges}")
-    ranks = {(r["left"], r["right"]): r["rank"] for r in merges.select("left", "right", "rank").collect()}
-    bc = spark.sparkContext.broadcast(ranks)
 
-    def enc(it):
-        table = bc.value
-        for pdf in it:
-            out = []
-            for w in pdf["word"]:
-                syms = list(w)
-                while len(syms) > 1:
-                    best, bi = None, -1
-                    for i in range(len(syms) - 1):
-                        rk = table.get((syms[i], syms[i + 1]))
-                        if rk is not None and (best is None or rk < best):
-                            best, bi = rk, i
-                    if best is None:
-                        break
-                    syms = syms[:bi] + [syms[bi] + syms[bi + 1]] + syms[bi + 2:]
-                out.append(syms)
-            yield pd.DataFrame({"word": pdf["word"], "pieces": out})
-    return words.select("word").mapInPandas(enc, "word string, pieces array<string>")
+    def pass_over(df: DataFrame, lo: int) -> DataFrame:
+        part = merges.where(F.col("rank").between(lo, lo + block - 1)).select("left", "right", "rank").collect()
+        bc = spark.sparkContext.broadcast({(r["left"], r["right"]): r["rank"] for r in part})
+
+        def enc(it):
+            table = bc.value
+            for pdf in it:
+                yield pd.DataFrame({"word": pdf["word"], "pieces": [_ranked(p, table) for p in pdf["pieces"]]})
+        return df.mapInPandas(enc, "word string, pieces array<string>")
+    out = words.select("word", tx.chars(F.col("word")).alias("pieces"))
+    if n <= block:
+        return pass_over(out, 0)
+    size = None
+    while True:
+        for lo in range(0, n, block):
+            out = pass_over(out, lo)
+        out = cut_lineage(out)
+        total = out.agg(F.sum(F.size("pieces"))).first()[0]
+        if total == size:
+            return out
+        size = total
+
+
+def bpe_encode_texts(df: DataFrame, key_cols, merges: DataFrame, vocab: DataFrame | None = None,
+                     text_col: str = "text", normalise: bool = True) -> DataFrame:
+    """T4 for a corpus: (key, line_no, pieces[, ids]) of every line. Distinct
+    pre-tokens are encoded once and joined back; a piece outside the
+    vocabulary falls back to its UTF-8 byte pieces."""
+    keys = list(key_cols)
+    toks = (text_lines(df, text_col, keep=keys)
+            .select(*keys, "line_no", F.posexplode(pretokens(F.col("line"), normalise)).alias("pos", "word")))
+    enc = bpe_encode_words(toks.select("word").distinct(), merges)
+    if vocab is not None:
+        enc = _with_ids(enc, vocab)
+    more = [] if vocab is None else ["ids"]
+    joined = toks.join(enc, "word").groupBy(*keys, "line_no").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "pieces", *more))).alias("w"))
+    return joined.select(*keys, "line_no", *[F.flatten(F.col(f"w.{c}")).alias(c) for c in ["pieces", *more]])
+
+
+def _with_ids(enc: DataFrame, vocab: DataFrame) -> DataFrame:
+    """ids of the pieces of each distinct word; shuffles by piece, so the
+    vocabulary may have any size."""
+    flat = enc.select("word", "pieces", F.posexplode("pieces").alias("i", "piece"))
+    v = vocab.select("piece", F.col("id").cast("long").alias("id"))
+    known = flat.join(v, "piece", "left")
+    raw = F.hex(F.encode(F.col("piece"), "UTF-8"))
+    parts = F.when(F.col("id").isNotNull(), F.array("piece")).otherwise(F.transform(
+        F.regexp_extract_all(raw, F.lit("(..)"), 1), lambda h: F.concat(F.lit("<0x"), h, F.lit(">"))))
+    units = known.select("word", "i", F.posexplode(parts).alias("j", "piece"))
+    byte_ids = units.join(v, "piece", "left").groupBy("word").agg(
+        F.array_sort(F.collect_list(F.struct("i", "j", "piece", "id"))).alias("u"))
+    return byte_ids.select("word", F.col("u.piece").alias("pieces"), F.col("u.id").alias("ids"))
+
+
+def decode_byte_pieces(pieces) -> Column:
+    """T5 with byte fallback: runs of ``<0xNN>`` become the characters that
+    their bytes spell."""
+    @F.pandas_udf(T.StringType())
+    def run(col: pd.Series) -> pd.Series:
+        out = []
+        for parts in col:
+            text = bytearray()
+            for p in parts:
+                text += bytes([int(p[3:5], 16)]) if len(p) == 6 and p.startswith("<0x") else p.encode("utf-8")
+            out.append(text.decode("utf-8", "replace").replace(SP_SPACE, " ").removeprefix(" "))
+        return pd.Series(out)
+    return run(_c(pieces))

@@ -234,8 +234,9 @@ def _steps_sql():
 
 
 def _steps(spark, sf):
-    ev = table(spark, sf, "events")
-    return ev.withColumn("step", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")))
+    from quire.operators.order import with_row_index
+    ev = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
+    return with_row_index(ev, ["event_id"], ["user_id"], name="step").withColumn("step", (F.col("step") + 1).cast("int"))
 
 
 @register("interval_loss", sql=f"""
@@ -326,9 +327,8 @@ def chunk_assembly(spark, sf):
     first chunk holding the stop string (newline), cut there."""
     d = table(spark, sf, "documents")
     n = F.ceil(F.length("text") / F.lit(CHUNK)).cast("int")
-    chunks = d.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("seq")) \
-        .where(F.col("seq") < n) \
-        .select("doc_id", "seq", F.substring("text", F.col("seq") * CHUNK + 1, F.lit(CHUNK)).alias("t"))
+    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring("text", i * CHUNK + 1, F.lit(CHUNK)))
+    chunks = d.where(F.length("text") > 0).select("doc_id", F.posexplode(pieces).alias("seq", "t"))
     return inf.assemble_chunks(chunks, "doc_id", "seq", "t", STOP)
 
 
@@ -350,10 +350,9 @@ def generate_echo(spark, sf):
     cut at the stop string and stripped -> {Input, Output}."""
     u = table(spark, sf, "conversations").where(F.col("role") == "user")
     msgs = F.array(F.struct(F.col("text").alias("q"), F.lit("").alias("a")))
-    p = u.select(F.concat_ws(":", "conv_id", "turn").alias("k"), "conv_id", "turn",
+    p = u.select("conv_id", "turn",
                  pp.render_chat(msgs, "SYSTEM", ("USER", "ASSISTANT"), NL).alias("prompt"))
-    g = inf.generate(p, "k", "prompt", _echo, stop="ASSISTANT")
-    return p.select("k", "conv_id", "turn").join(g, "k").select("conv_id", "turn", "Input", "Output")
+    return inf.generate(p, ["conv_id", "turn"], "prompt", _echo, stop="ASSISTANT")
 
 
 @register("token_layout", sql="""

@@ -241,5 +241,117 @@ def test_row_index_hot_value(spark):
     got = sorted((r["a"], r["b"], r["row_idx"]) for r in od.with_row_index(df, ["a", "b"], buckets=8).collect())
     want = sorted(rows)
     assert [(a, b) for a, b, _ in sorted(got, key=lambda x: x[2])] == want
-    bk, sub = od._hot_split(df, ["a", "b"], 8)
-    assert df.select(sub.alias("s")).where("a = 5").distinct().count() > 1
+    assert od._ranged(df, [], ["a", "b"], 8).where("a = 5").select("__pid").distinct().count() > 1
+
+
+def test_row_index_nulls_and_text_keys(spark):
+    rows = [(g, k, i) for i, (g, k) in enumerate(
+        [(None, "b"), (None, None), ("x", "a"), ("x", None), (None, "a"), ("y", "c"), ("x", "b")] * 40)]
+    df = spark.createDataFrame(rows, "g string, k string, i int").repartition(5)
+    first = lambda r: (r[1] is not None, r[1] or "", r[2])  # noqa: E731  NULL keys first
+    want = {r[2]: n for n, r in enumerate(sorted(rows, key=first))}
+    assert {r["i"]: r["row_idx"] for r in od.with_row_index(df, ["k", "i"]).collect()} == want
+    grouped = {r["i"]: r["row_idx"] for r in od.with_row_index(df, ["k", "i"], ["g"]).collect()}
+    assert len(grouped) == len(rows)
+    for g in (None, "x", "y"):
+        own = sorted((r for r in rows if r[0] == g), key=first)
+        assert [grouped[r[2]] for r in own] == list(range(len(own)))
+    total = {r["i"]: r["running"] for r in od.running_sum(df, F.col("i"), ["k", "i"], ["g"]).collect()}
+    acc = 0
+    for r in sorted((r for r in rows if r[0] is None), key=first):
+        acc += r[2]
+        assert total[r[2]] == acc
+    text = spark.range(400).select(F.md5(F.col("id").cast("string")).alias("h"))
+    assert od._ranged(text, [], ["h"], 8).select("__pid").distinct().count() > 4
+
+
+def test_take_first_and_split_agree_for_all_sizes(spark, monkeypatch):
+    rows = [(None if i % 4 == 0 else i % 7, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, i int").repartition(3)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    few = [(r["k"], r["i"]) for r in od.take_first(df, 70, ["k", "i"]).collect()]
+    all_ = od.take_first(df, 100_001, ["k", "i"]).collect()
+    assert few == want[:70] and sorted((r["k"] is not None, r["k"] or 0, r["i"]) for r in all_) == \
+        sorted((r[0] is not None, r[0] or 0, r[1]) for r in rows)
+    cut = od.head_percent_split(df, 30, ["k", "i"])
+    assert {r["i"] for r in cut.where("split = 'validation'").collect()} == {r[1] for r in want[:60]}
+    assert cut.count() == 200 and "rangepartitioning" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert od.head_percent_split(df, 30, ["k", "i"], has_validation=True).where("split = 'train'").count() == 200
+    assert od.head_percent_split(df, 100, ["k", "i"]).where("split = 'validation'").count() == 200
+
+
+def test_default_objective_and_epoch(spark):
+    from quire.operators import runs as rn
+    df = spark.createDataFrame([(1, {"eval_loss": 1.0, "eval_bleu": 2.0, "epoch": 3.0, "eval_runtime": 9.0}),
+                                (2, {"eval_loss": 1.5, "epoch": 1.0, "eval_samples_per_second": 4.0}), (3, {})],
+                               "t int, m map<string,double>")
+    got = {r["t"]: r["o"] for r in df.select("t", rn.default_objective(F.col("m")).alias("o")).collect()}
+    assert got == {1: 2.0, 2: 1.5, 3: None}
+    log = spark.createDataFrame([(1, i, 1.0, i / 7) for i in range(1, 11)], "run int, step int, loss double, epoch double")
+    assert [r["epoch"] for r in rn.interval_loss(log, "run", "step", "loss", 5, "epoch").orderBy("interval").collect()] == [0.71, 1.43]
+
+
+def test_inference_surface(spark, tmp_path):
+    import pandas as pd
+
+    from quire.operators import infer as inf
+    log = str(tmp_path / "loads")
+
+    def model():
+        import os
+        with open(log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+        return lambda texts: texts.str.len()
+    df = spark.range(200).select("id", F.concat(F.lit("x"), F.col("id")).alias("t")).repartition(32)
+    assert inf.score_texts(df, ["id"], "t", model).where("score = length(concat('x', id))").count() == 200
+    with open(log) as f:
+        pids = f.read().split()
+    assert len(pids) == len(set(pids))  # one load per worker process, not per task
+    df = spark.createDataFrame([(1, "a b c d e"), (2, None), (3, "STOP")], "k int, p string")
+    got = {r["k"]: (r["Input"], r["Output"]) for r in inf.generate(
+        df, "k", "p", lambda: lambda s: s.map(lambda t: None if t == "STOP" else t + " !END tail"), stop="END",
+        context=13, max_new=2).collect()}
+    assert got == {1: ("a b c d e", "c d e !"), 2: (None, "!"), 3: ("STOP", None)}
+    double = lambda pdf: pd.DataFrame({"n": pdf["k"] * 2})
+    assert inf.transform_batches(df, double, "n long").columns == ["n"]
+    both = inf.transform_batches(df, double, "n long", remove_columns=False)
+    assert both.columns == ["k", "p", "n"] and both.where("n = 2 * k").count() == 3
+
+
+def test_segmenter_plug_in(spark):
+    from quire.functions import text as tx
+    df = spark.createDataFrame([("ab cd",), ("",)], "t string")
+    by_char = df.select(tx.segment(F.col("t"), lambda c: F.split(c, "")).alias("s")).collect()
+    assert [r["s"] for r in by_char] == ["a b   c d", ""] and df.select(tx.segment("t").alias("s")).first()["s"] == "ab cd"
+
+
+def test_pretokens_lines_and_scripts(spark):
+    from quire.operators import vocab as vc
+    df = spark.createDataFrame([(1, "中文abc дом1a\n\nx  y", "z")], "k int, text string, line string")
+    got = vc.text_lines(df, keep=["k"]).select(vc.pretokens(F.col("line")).alias("w")).collect()
+    assert [r["w"] for r in got] == [["▁中文", "abc", "▁дом", "1", "a"], ["▁x", "▁", "▁y"]]
+    assert vc.bpe_words(df, "text").count() == 8 and vc.bpe_words(df, "text", max_bytes=5).count() == 3
+    skipped = vc.skipped_lines(df, 5).first()
+    assert (skipped["lines"], skipped["bytes"]) == (1, len("中文abc дом1a".encode()))
+
+
+def test_corpus_tokenizer_round_trip(spark):
+    from quire.operators import vocab as vc
+    texts = ["the low lower lowest newer newest wide", "low 中文 wider", "the newest\nthe widest 12"] * 5
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    vocab, merges = vc.train_vocab(train, 320, merges_per_round=1)
+    rows = vocab.orderBy("id").collect()
+    assert [r["id"] for r in rows] == list(range(len(rows))) and len(rows) == 320
+    ranks = {(r["left"], r["right"]): r["rank"] for r in merges.collect()}
+    other = spark.createDataFrame([(1, "lowest newest é🙂 unseen\n\nthe 中"), (2, "the"), (3, "")], "id int, text string")
+    got = vc.bpe_encode_texts(other, ["id"], merges, vocab) \
+        .withColumn("back", vc.decode_byte_pieces(F.col("pieces"))).orderBy("id", "line_no").collect()
+    assert [(r["id"], r["line_no"], r["back"]) for r in got] == [
+        (1, 0, "lowest newest é🙂 unseen"), (1, 2, "the 中"), (2, 0, "the")]
+    ids = {r["piece"]: r["id"] for r in rows}
+    for r in got:
+        assert [ids[p] for p in r["pieces"]] == r["ids"]
+    words = train.select(F.explode(vc.pretokens(F.col("text"))).alias("word")).distinct()
+    whole = {r["word"]: r["pieces"] for r in vc.bpe_encode_words(words, merges).collect()}
+    blocks = {r["word"]: r["pieces"] for r in vc.bpe_encode_words(words, merges, block=3).collect()}
+    assert whole == blocks == {w: vc._ranked(list(w), ranks) for w in whole}
