@@ -41,16 +41,16 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from tokenizers import Regex, normalizers, pre_tokenizers
 
 from quire.llm.common import materialise, packed, small_batches
 
 LEXICON_WORDS = 50_000
 LEXICON_BYTES = 64       # longer words take the exact path
-MEMO_WORDS = 400_000     # per worker; forgotten beyond that
+MEMO_WORDS = 200_000     # per worker; forgotten beyond that
 LEAST_COUNT = 3          # rarer words are not in the lexicon
-FLUSH_WORDS = 300_000
+FLUSH_WORDS = 150_000
 # White space as in Unicode, without the separators U+001C..U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHORT = "'(?:s|t|re|ve|m|ll|d)"
@@ -309,10 +309,19 @@ class Encoder:
 
 # ----------------------------------------------------------------- Spark side
 
-@lru_cache(maxsize=4)
+CODED = StructType([StructField("ids", BinaryType()), StructField("decoded", StringType())])
+
+
+@lru_cache(maxsize=1)
+def _vocabulary(tokenizer: str) -> Vocabulary:
+    return Vocabulary(SparkFiles.get(tokenizer))
+
+
+@lru_cache(maxsize=1)
 def _encoder(tokenizer: str, lexicon: str | None) -> Encoder:
-    """One per worker process; the names are those of files added to the job."""
-    return Encoder(Vocabulary(SparkFiles.get(tokenizer)), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
+    """One per worker process, the last one used; the names are those of
+    files added to the job."""
+    return Encoder(_vocabulary(tokenizer), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
 
 
 def _ship(spark: SparkSession, path: str) -> str:
@@ -327,7 +336,7 @@ def frequent_words(df: DataFrame, tokenizer_path: str, text_col: str = "text", w
     tokenizer = _ship(df.sparkSession, tokenizer_path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, seen = _encoder(tokenizer, None).vocabulary, Counter()
+        vocabulary, seen = _vocabulary(tokenizer), Counter()
 
         def out():
             got = [(w, n) for w, n in seen.items() if len(w) <= LEXICON_BYTES]
@@ -369,21 +378,25 @@ def build_lexicon(df: DataFrame, tokenizer_path: str, text_col: str = "text", wo
     return path
 
 
-def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> DataFrame:
+def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS,
+           decoded: bool = False) -> DataFrame:
     """``row`` (the input row), ``ids`` (binary: little-endian unsigned
-    32-bit token ids)."""
+    32-bit token ids); with ``decoded`` also the text that the ids decode to,
+    made in the same pass."""
     spark = df.sparkSession
     small_batches(spark)
     lexicon = _ship(spark, build_lexicon(df, tokenizer_path, text_col, words))
     tokenizer = os.path.basename(tokenizer_path)
 
-    @F.pandas_udf(BinaryType())
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(CODED)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer, lexicon)
         for texts in batches:
-            yield pd.Series([encoder.encode(t) for t in texts], dtype="object")
+            ids = [encoder.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [encoder.decode(x) for x in ids] if decoded else None})
 
-    return packed(df).withColumn("ids", run(F.col("row")[text_col]))
+    out = packed(df).withColumn("coded", run(F.col("row")[text_col])).select("row", "coded.*")
+    return out if decoded else out.drop("decoded")
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> DataFrame:
@@ -392,7 +405,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> DataFram
 
     @F.pandas_udf(StringType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(tokenizer, None)
+        encoder = Encoder(_vocabulary(tokenizer), None)
         for ids in batches:
             yield pd.Series([encoder.decode(x) for x in ids], dtype="object")
 

@@ -25,19 +25,26 @@ SIZE = WORDS + SHAPES + 2 * BINS
 MEMO_WORDS = 1 << 17
 
 
+PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%$&@-_/\\~`+=^"
+PLAIN = [[zlib.crc32(f"plain|{upper}|{size}".encode()) % SHAPES for size in range(4)] for upper in range(2)]
+
+
 class _Codes(dict):
     """word -> word bucket and shape bucket in one number; forgotten when
     it grows beyond its bound."""
 
     def __missing__(self, word: str) -> int:
-        low = word.lower()
-        core = low.strip(".,;:!?\"'()[]{}<>|*#%$&@-_/\\~`+=^")
-        tail = low[len(low.rstrip(".,;:!?\"'()[]{}<>|*#%$&@-_/\\~`+=^")):][:3]
-        shape = f"{tail}|{word.isupper() and len(word) > 1}|{any(map(str.isdigit, word))}|{not core}|{min(len(core), 24) // 8}"
-        code = zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS << SHAPE_BITS | zlib.crc32(shape.encode()) % SHAPES
-        if len(self) >= MEMO_WORDS:
-            self.clear()
+        if word.isalpha():
+            core, shape = word.lower(), PLAIN[len(word) > 1 and word.isupper()][min(len(word), 24) // 8]
+        else:
+            low = word.lower()
+            core, bare = low.strip(PUNCTUATION), low.rstrip(PUNCTUATION)
+            name = f"{low[len(bare):][:3]}|{word.isupper()}|{core.isalpha()}|{not core}|{min(len(core), 24) // 8}"
+            shape = zlib.crc32(name.encode("utf-8", "surrogatepass")) % SHAPES
+        code = zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS << SHAPE_BITS | shape
         if len(word) <= 64:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
             self[word] = code
         return code
 
@@ -75,20 +82,21 @@ def sample(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str, rows:
 
 
 class Sparse:
-    """Rows of features, and products with them."""
+    """Rows of features (none is empty), and products with them."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, int]]):
         self.rows = len(rows)
         self.index = np.concatenate([*(r[0] for r in rows), np.zeros(0, np.int32)]).astype(np.int64)
-        self.value = np.concatenate([*(r[1] for r in rows), np.zeros(0, np.float32)]).astype(np.float64)
-        self.row = np.repeat(np.arange(self.rows), [len(r[0]) for r in rows])
+        self.value = np.concatenate([*(r[1] for r in rows), np.zeros(0, np.float32)], dtype=np.float32)
+        self.sizes = np.array([len(r[0]) for r in rows], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
         self.label = np.array([r[2] for r in rows], dtype=np.int64)
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * w[self.index], self.rows)
+        return np.add.reduceat(self.value * w[self.index], self.starts)
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, self.value * g[self.row], SIZE)
+        return np.bincount(self.index, self.value * np.repeat(g, self.sizes), SIZE)
 
 
 def training_rows(chosen: DataFrame) -> Sparse:
@@ -107,7 +115,7 @@ def training_rows(chosen: DataFrame) -> Sparse:
     return Sparse([(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), label) for label, i, v in rows])
 
 
-def descend(params: np.ndarray, gradient, steps: int = 200, rate: float = 0.2) -> np.ndarray:
+def descend(params: np.ndarray, gradient, steps: int = 120, rate: float = 0.25) -> np.ndarray:
     """Adam over the whole sample, with a falling rate."""
     m, v = np.zeros_like(params), np.zeros_like(params)
     for k in range(1, steps + 1):

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from quire.llm import hashing
 from quire.llm.common import materialise, packed, small_batches
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 RIDGE = 1e-4
 STEPS = 25
 CLOSE = 1e-3

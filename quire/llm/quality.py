@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from quire.llm import hashing
 from quire.llm.common import packed, small_batches
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 RIDGE = 1e-4
 RATED = T.StructType([T.StructField("expected_grade", T.DoubleType()), T.StructField("tail", T.DoubleType())])
 

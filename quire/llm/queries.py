@@ -69,7 +69,7 @@ def tokenizer_file() -> str:
 def op3_bpe_codec(spark, sf, tokenizer_path: str | None = None):
     path = tokenizer_path or tokenizer_file()
     docs = read(spark, sf, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, path, decoded=True)
     return coded.select(F.col("row")["doc_id"].alias("doc_id"), *bpe.digests(coded))
 
 

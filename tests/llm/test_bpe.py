@@ -67,8 +67,10 @@ def test_operator_matches_the_library(spark, library, words):
     data = [(i, t, i, "r") for i, t in enumerate([*ODD, None, "the same words the same words", "the same words " * 20_000])]
     data.append(data[-1])
     df = spark.createDataFrame(data, "doc_id long, text string, ids long, row string").repartition(3)
-    coded = bpe.decode(bpe.encode(df, tokenizer_file(), words=words), tokenizer_file())
-    for r in coded.collect():
+    coded = bpe.encode(df, tokenizer_file(), words=words, decoded=True)
+    assert coded.columns == ["row", "ids", "decoded"]
+    again = bpe.decode(coded.select("row", "ids"), tokenizer_file())
+    for r in [*coded.collect(), *again.collect()]:
         ids, decoded = expected(library, r.row.text)
         assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.decoded == decoded
 
