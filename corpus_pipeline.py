@@ -50,8 +50,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Token ids (packed, little-endian unsigned 32 bits) of every text, and
     the digests of the ids and of the text that they decode to."""
     _ready(spark)
-    path = tokenizer_file()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, tokenizer_file(), decoded=True)
     return coded.select(F.col("row")["doc_id"].alias("doc_id"), "ids", *bpe.digests(coded))
 
 
