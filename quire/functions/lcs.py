@@ -81,7 +81,7 @@ def union_lcs(ref_sentence_words, hyp_sentences_words, prev_union=None, exclusiv
     hypothesis sentence, carried over ``prev_union``. Returns
     (new_count, union) where new_count = len(union) - len(prev_union)."""
     if not hyp_sentences_words:
-        raise ValueError("Collections must contain at least 1 sentence.")
+        raise ValueError("no hypothesis sentence to compare with")
     union = list(prev_union or [])
     if exclusive:
         union = list(dict.fromkeys(union))
@@ -119,3 +119,31 @@ def union_lcs_udf(exclusive: bool = True):
             unions.append(u)
         return pd.DataFrame({"new_count": pd.Series(counts, dtype="Int32"), "union": unions})
     return _f
+
+
+_CARRIED_SCHEMA = T.StructType([
+    T.StructField("new_counts", T.ArrayType(T.IntegerType())),
+    T.StructField("union", T.ArrayType(T.StringType())),
+])
+
+
+def union_lcs_carried(exclusive: bool = True):
+    """R7 over all reference sentences: the union of one sentence is the
+    start of the next. NULL or no hypothesis sentences give NULL."""
+    @F.pandas_udf(_CARRIED_SCHEMA)
+    def _f(refs: pd.Series, hyps: pd.Series) -> pd.DataFrame:
+        counts, unions = [], []
+        for rs, hs in zip(refs, hyps):
+            if rs is None or hs is None or len(hs) == 0:
+                counts.append(None)
+                unions.append(None)
+                continue
+            union, new = [], []
+            words = [list(h) for h in hs]
+            for r in rs:
+                n, union = union_lcs(list(r), words, prev_union=union, exclusive=exclusive)
+                new.append(n)
+            counts.append(new)
+            unions.append(union)
+        return pd.DataFrame({"new_counts": counts, "union": unions})
+    return _f

@@ -50,6 +50,16 @@ def set_overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
+def set_union(a, b) -> Column:
+    """The distinct items of both arrays."""
+    return F.array_union(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
+
+
+def multiset_union(a, b) -> Column:
+    """All items of both arrays, repeats included."""
+    return F.concat(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
+
+
 def ngram_counts(hyp_words: Column, ref_words: Column, n: int, exclusive: bool = True) -> Column:
     """struct(hyp, ref, overlap) n-gram counts."""
     gh, gr = tx.ngrams(hyp_words, n), tx.ngrams(ref_words, n)

@@ -85,6 +85,21 @@ def interval_loss(df: DataFrame, run: str, step: str, loss: str, logging_steps:
         F.bround(F.avg(loss), 4).alias("loss"), F.max(step).alias("step"), F.count(F.lit(1)).alias("steps"), *more)
 
 
+def _nan_fold(xs: Column) -> Column:
+    """(sum, steps) of a sorted array<struct<s, l>> by the NaN rule."""
+    init = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("k"))
+
+    def step_fn(acc, x):
+        bad = F.isnan(x["l"]) | (F.abs(x["l"]) == F.lit(float("inf")))
+        add = F.when(bad, acc["sum"] / (F.lit(1) + acc["k"])).otherwise(x["l"])
+        return F.struct((acc["sum"] + add).alias("sum"), (acc["k"] + 1).alias("k"))
+    return F.aggregate(xs, init, step_fn)
+
+
+def nan_filtered_sum(xs: Column) -> Column:
+    return _nan_fold(xs)["sum"]
+
+
 def nan_filtered_interval(df: DataFrame, run: str, step: str, loss: str, logging_steps: int) -> DataFrame:
     """Inside one logging interval, a NaN/inf step adds
     running_sum / (1 + steps since the last log) instead of its loss;
@@ -92,13 +107,7 @@ def nan_filtered_interval(df: DataFrame, run: str, step: str, loss: str, logging
     interval = F.ceil(F.col(step) / F.lit(logging_steps)).cast("long")
     g = df.groupBy(run, interval.alias("interval")).agg(
         F.array_sort(F.collect_list(F.struct(F.col(step).alias("s"), F.col(loss).cast("double").alias("l")))).alias("xs"))
-    init = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("k"))
-
-    def step_fn(acc, x):
-        bad = F.isnan(x["l"]) | (F.abs(x["l"]) == F.lit(float("inf")))
-        add = F.when(bad, acc["sum"] / (F.lit(1) + acc["k"])).otherwise(x["l"])
-        return F.struct((acc["sum"] + add).alias("sum"), (acc["k"] + 1).alias("k"))
-    folded = F.aggregate("xs", init, step_fn)
+    folded = _nan_fold(F.col("xs"))
     return g.select(run, "interval", folded["sum"].alias("running_sum"), folded["k"].alias("steps"),
                     F.bround(folded["sum"] / folded["k"], 4).alias("loss"))
 

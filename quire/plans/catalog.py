@@ -79,7 +79,7 @@ def generation_metrics(spark, sf):
 
 def _load_all():
     # import for side effects: every module registers its queries
-    from quire.plans import queries_io, queries_more, queries_order, queries_runs, queries_streams  # noqa: F401
+    from quire.plans import queries_files, queries_io, queries_more, queries_order, queries_runs, queries_streams  # noqa: F401
 
 
 def normalise_types(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
-from quire.functions.lcs import union_lcs_udf
+from quire.functions.lcs import union_lcs_carried
 from quire.operators import infer as inf
 from quire.operators import order as od
 from quire.operators import prep as pp
@@ -38,18 +38,19 @@ def select_mode_prune(spark, sf):
 
 @register("zip_join", sql="""
 WITH h AS (SELECT text AS hyp, row_number() OVER (ORDER BY conv_id, turn) - 1 AS i FROM conversations),
-r AS (SELECT text AS ref, row_number() OVER (ORDER BY md5('5:' || CAST(conv_id * 1000 + turn AS VARCHAR)),
-                                             conv_id * 1000 + turn) - 1 AS i FROM conversations)
+r AS (SELECT text AS ref, row_number() OVER (ORDER BY md5('5:' || conv_id || ':' || turn),
+                                             conv_id || ':' || turn) - 1 AS i FROM conversations)
 SELECT h.i AS line, length(hyp) AS hyp_chars, length(ref) AS ref_chars FROM h JOIN r USING (i)""")
 def zip_join(spark, sf):
     """Positional pairing of two equally long tables (turns in order
     against turns in a seeded order) by dense index; counts checked first."""
-    c = table(spark, sf, "conversations").withColumn("rid", F.col("conv_id") * 1000 + F.col("turn"))
-    h = od.with_row_index(c, ["conv_id", "turn"], name="line").select("line", F.col("text").alias("hyp"))
-    r = od.shuffled_index(c, "rid", 5, "line").select("line", F.col("text").alias("ref"))
-    n, m = h.count(), r.count()
+    c = table(spark, sf, "conversations").withColumn("rid", F.concat_ws(":", "conv_id", "turn"))
+    left, right = c.select("conv_id", "turn", "text"), c.select("rid", "text")
+    n, m = left.count(), right.count()  # of the sources: nothing is numbered for it
     if n != m:
         raise ValueError(f"row counts differ: {n} vs {m}")
+    h = od.with_row_index(left, ["conv_id", "turn"], name="line").select("line", F.col("text").alias("hyp"))
+    r = od.shuffled_index(right, "rid", 5, "line").select("line", F.col("text").alias("ref"))
     return h.join(r, "line").select("line", F.length("hyp").alias("hyp_chars"), F.length("ref").alias("ref_chars"))
 
 
@@ -81,13 +82,16 @@ def metric_surface(spark, sf):
 
 @register("union_lcs")
 def union_lcs(spark, sf):
-    """Union-LCS of the first question sentence against every answer
-    sentence (iterative backtrace; checked in pytest)."""
+    """For every question sentence in turn its union-LCS against every
+    answer sentence, the union carried from sentence to sentence (iterative
+    backtrace; checked in pytest)."""
     p = _pairs(spark, sf)
-    ref = F.split(F.element_at(tx.normalise_sentences(tx.split_sentences(F.col("query"))), 1), " ")
-    hyps = F.transform(tx.normalise_sentences(tx.split_sentences(F.col("answer"))), lambda s: F.split(s, " "))
-    u = p.select("conv_id", "turn", union_lcs_udf()(ref, hyps).alias("u"))
-    return u.select("conv_id", "turn", F.col("u.new_count").alias("new_count"), F.size("u.union").alias("union_size"))
+
+    def sentences(c):
+        return F.transform(tx.normalise_sentences(tx.split_sentences(F.col(c))), lambda s: F.split(s, " "))
+    u = p.select("conv_id", "turn", union_lcs_carried()(sentences("query"), sentences("answer")).alias("u"))
+    return u.select("conv_id", "turn", F.array_join(F.transform("u.new_counts", lambda x: x.cast("string")), " ").alias("new_counts"),
+                    F.size("u.union").alias("union_size"))
 
 
 @register("json_roundtrip", sql="SELECT conv_id, turn, role, text FROM conversations")

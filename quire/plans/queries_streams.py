@@ -28,11 +28,11 @@ def stream_ingest(spark, sf):
 
 @register("stream_scores", sql="""
 SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS k, round(length(text) * 0.001 - 1.0, 6) AS score,
-       CAST(hash_shard AS BIGINT) AS shard
-FROM (SELECT *, 0 AS hash_shard FROM conversations)""")
+       CAST(0 AS BIGINT) AS shard
+FROM conversations""")
 def stream_scores(spark, sf):
     """X2 + Q8: a pluggable scorer (mapInPandas) on a stream, rows dealt to
-    one shard here (world = 1) by a stable key hash."""
+    one shard here (world = 1; ``stream_batches`` deals to more)."""
     from quire.operators.infer import score_texts
     s = st.table_stream(spark, sf, "conversations").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("k"), "text")
@@ -60,26 +60,46 @@ def stream_clear_segments(spark, sf):
     h = st.chat_history_stream(ev, is_clear=F.col("event_type") == "error", is_empty=F.col("value") < 1.0)
     out = st.scratch_dir(spark, "x3")
     st.run_available_now(h, out + "/data", out + "/ckpt")
-    return spark.read.parquet(out + "/data")
+    return st.latest(spark.read.parquet(out + "/data"), ["user_id", "event_id"])
 
 
 @register("stream_run_monitor", sql="""
-SELECT user_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS samples,
-       round(avg(value), 6) AS mean_value
-FROM events GROUP BY user_id, date_trunc('day', ts)""")
+WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE ELSE value END AS v FROM events),
+g AS (SELECT user_id, date_trunc('day', ts) AS w, list(v ORDER BY event_id) AS xs, count(*) AS samples,
+             avg(CASE WHEN isnan(v) THEN NULL ELSE v END) AS mean_value, max(CASE WHEN isnan(v) THEN NULL ELSE v END) AS best_value
+      FROM e GROUP BY user_id, date_trunc('day', ts)),
+f AS (SELECT *, list_reduce(list_zip(xs, range(0, len(xs))), lambda acc, x: CASE WHEN isnan(x[1])
+                    THEN acc + acc / (1 + x[2]) ELSE acc + x[1] END, 0.0::DOUBLE) AS total FROM g)
+SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, samples, round(mean_value, 6) AS mean_value,
+       round(best_value, 6) AS best_value, round(total / samples, 6) AS filtered_loss
+FROM f WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def stream_run_monitor(spark, sf):
-    """Watermarked tumbling-window monitor (samples, mean value per run
-    and day)."""
-    ev = st.table_stream(spark, sf, "events")
-    mon = st.run_monitor_stream(ev, "ts", "user_id", "value")
+    """Watermarked tumbling-window monitor (samples, mean, best and
+    NaN-filtered loss per run and day) in append mode: the windows that the
+    watermark has passed; 'error' events are NaN."""
+    ev = st.table_stream(spark, sf, "events").withColumn(
+        "v", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")))
+    mon = st.run_monitor_stream(ev, "ts", "user_id", "v", step="event_id")
     out = st.scratch_dir(spark, "x4")
-
-    def sink(batch, _epoch):
-        batch.write.mode("overwrite").parquet(out + "/data")
-    st.run_foreach_batch(mon, sink, out + "/ckpt", output_mode="complete")
+    st.run_available_now(mon, out + "/data", out + "/ckpt")
     r = spark.read.parquet(out + "/data")
-    return r.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    "samples", r6(F.col("mean_value")).alias("mean_value"))
+    return r.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "samples",
+                    *[r6(F.col(c)).alias(c) for c in ("mean_value", "best_value", "filtered_loss")])
+
+
+@register("stream_batches", sql="""
+WITH i AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents)
+SELECT doc_id, i // 21 AS "group", (i // 7) % 3 AS shard FROM i WHERE i < n // 21 * 21""")
+def stream_batches(spark, sf):
+    """Q8: a stream dealt to 3 workers in batches of 7 by micro-batch, the
+    short last group dropped (one file is one micro-batch here)."""
+    d = st.table_stream(spark, sf, "documents").select("doc_id")
+    out = st.scratch_dir(spark, "q8")
+
+    def sink(batch, epoch):
+        st.deal_batches(batch, ["doc_id"], 3, 7, drop_last=True).write.mode("overwrite").parquet(f"{out}/data/epoch={epoch}")
+    st.run_foreach_batch(d, sink, out + "/ckpt")
+    return spark.read.parquet(out + "/data").select("doc_id", "group", F.col("shard").cast("long").alias("shard"))
 
 
 @register("stream_chunks", sql=f"""
@@ -95,11 +115,10 @@ def stream_chunks(spark, sf):
     streaming state until the stop string; equals batch I4."""
     d = st.table_stream(spark, sf, "documents")
     n = F.ceil(F.length("text") / F.lit(CHUNK)).cast("int")
-    chunks = (d.select("doc_id", "text", n.alias("n"),
-                       F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("seq"))
-              .select("doc_id", "seq", F.substring("text", F.col("seq") * CHUNK + 1, F.lit(CHUNK)).alias("t"),
-                      (F.col("seq") == F.col("n") - 1).alias("last")))
+    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring("text", i * CHUNK + 1, F.lit(CHUNK)))
+    chunks = (d.where(F.length("text") > 0).select("doc_id", n.alias("n"), F.posexplode(pieces).alias("seq", "t"))
+              .withColumn("last", F.col("seq") == F.col("n") - 1))
     a = st.chunk_assembly_stream(chunks, STOP, key="doc_id", seq="seq", text="t", last="last")
     out = st.scratch_dir(spark, "x5")
     st.run_available_now(a, out + "/data", out + "/ckpt")
-    return spark.read.parquet(out + "/data")
+    return st.latest(spark.read.parquet(out + "/data"), ["request_id"]).select("request_id", "text")

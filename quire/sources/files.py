@@ -84,7 +84,7 @@ def _read_one(spark: SparkSession, path: str, schema: T.StructType | None) -> Da
     if ext == "parquet":
         return spark.read.parquet(path)
     if ext == "txt":
-        return read_lines(spark, path).select(F.col("text"))
+        return read_lines(spark, path, numbers=False)
     raise ValueError(f"unsupported file type: {path}")
 
 
@@ -104,9 +104,10 @@ def read_splits(spark: SparkSession, files: dict, schema: T.StructType | None =
     return out
 
 
-def read_lines(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
-    """one row per line with ``file`` and 0-based ``line`` number."""
-    out = _number_lines(spark, path)
+def read_lines(spark: SparkSession, path: str, strip: bool = True, numbers: bool = True) -> DataFrame:
+    """one row per line with ``file`` and 0-based ``line`` number; without
+    ``numbers`` only the text, straight from the scan."""
+    out = _number_lines(spark, path) if numbers else spark.read.text(path)
     return out.withColumn("text", tx.strip_py(F.col("value")) if strip else F.col("value")).drop("value")
 
 
@@ -124,7 +125,10 @@ def _number_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_named(spark: SparkSession, name: str, config: str | None = None) -> DataFrame:
-    """a named dataset is a catalog table (``name`` or ``name_config``)."""
+    """a named dataset is a catalog table: ``name``, or ``name.config``
+    (database and table) where it exists, else ``name_config``."""
+    if config and spark.catalog.tableExists(f"{name}.{config}"):
+        return spark.table(f"{name}.{config}")
     return spark.table(f"{name}_{config}" if config else name)
 
 
@@ -155,7 +159,7 @@ def read_aligned(spark: SparkSession, hyp_path: str, ref_path: str) -> DataFrame
     trailing newline is removed from a line (fixes D11)."""
     h = _number_lines(spark, hyp_path).select("line", F.col("value").alias("hyp"))
     r = _number_lines(spark, ref_path).select("line", F.col("value").alias("ref"))
-    n, m = h.count(), r.count()
+    n, m = spark.read.text(hyp_path).count(), spark.read.text(ref_path).count()
     if n != m:
         raise ValueError(f"line counts differ: {n} vs {m}")
     strip_cr = lambda c: F.regexp_replace(c, "\r\\z", "")

@@ -3,14 +3,17 @@
 * X1/X2 are stateless: the batch expressions (P4, E2, P12, I1) applied to a
   file stream, written by a checkpointed file sink (exactly-once).
 * X3/X5 keep per-key state with ``applyInPandasWithState``: the key is the
-  user / request id, so state is spread over the cluster by key; event ids /
-  sequence numbers make replays idempotent (already-seen ids are skipped).
-* X4 is a watermarked tumbling-window aggregate (state bounded by the
-  watermark) for the run-log monitor.
+  user / request id (any type), so state is spread over the cluster by key;
+  event ids / sequence numbers make replays idempotent. Both emit versions
+  of a row: a late event or chunk changes rows that were emitted before, and
+  ``latest`` reads the last version of each.
+* X4 is a watermarked tumbling-window aggregate in append mode: a window is
+  emitted, and leaves the state store, when the watermark passes its end.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -68,105 +71,152 @@ def shard_stream(stream: DataFrame, key: str, world: int) -> DataFrame:
     return stream.withColumn("shard", F.pmod(F.xxhash64(F.col(key)), F.lit(world)).cast("int"))
 
 
+def deal_batches(batch: DataFrame, order_cols, world: int, batch_size: int, drop_last: bool = False) -> DataFrame:
+    """Q8 inside ``foreachBatch``: the rows of one micro-batch in order are
+    cut into groups of ``world * batch_size``; worker k takes the k-th block
+    of each group. The short last group goes (``drop_last``) or is dealt as
+    far as it reaches. Adds ``group``, ``shard``."""
+    from quire.operators.order import with_row_index
+    group = world * batch_size
+    idx = with_row_index(batch, order_cols, name="__i")
+    if drop_last:
+        idx = idx.where(F.col("__i") < (batch.count() // group) * group)
+    return idx.withColumns({"group": F.floor(F.col("__i") / group).cast("long"),
+                            "shard": (F.floor(F.col("__i") / batch_size) % world).cast("int")}).drop("__i")
+
+
+def latest(df: DataFrame, keys) -> DataFrame:
+    """The last version of each row of an X3 / X5 sink."""
+    rest = [c for c in df.columns if c not in (*keys, "version")]
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "version").alias("__r"))
+    return best.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
+
+
 # ------------------------------------------------------------------ X3 ---
 
-_X3_OUT = "user_id long, event_id long, segment long, history_len long"
-_X3_STATE = "segment long, history_len long, last_event long"
+_X3_STATE = "segment long, history_len long, done_event long, version long, pending string"
 
 
-def _chat_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    seg, hist, last = state.get if state.exists else (0, 0, -1)
-    parts = [p for p in pdfs]
-    if not parts:
-        return
-    df = pd.concat(parts).sort_values("event_id")
-    out_ev, out_seg, out_len = [], [], []
-    for ev, is_clear, is_empty in zip(df["event_id"], df["is_clear"], df["is_empty"]):
-        if ev <= last:  # replayed event: already applied
-            continue
-        last = ev
+def _chat_state_fn(user: str, lateness: int | None):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seg, hist, done, version, packed = state.get if state.exists else (0, 0, -(1 << 62), 0, "[]")
+        held = {int(e): (c, m) for e, c, m in json.loads(packed)}  # id -> (is_clear, is_empty)
+        told = _walk(seg, hist, held)
+        for pdf in pdfs:
+            for ev, is_clear, is_empty in zip(pdf["event_id"], pdf["is_clear"], pdf["is_empty"]):
+                if int(ev) > done and int(ev) not in held:  # else replayed, or later than agreed
+                    held[int(ev)] = (bool(is_clear), bool(is_empty))
+        now = _walk(seg, hist, held)
+        changed = {e: x for e, x in now.items() if told.get(e) != x}
+        version += 1
+        if lateness is not None and held:
+            edge = max(held) - lateness
+            for e in sorted(x for x in held if x <= edge):
+                if e in now:
+                    seg, hist = now[e]
+                done = e
+                del held[e]
+        state.update((seg, hist, done, version, json.dumps([[e, *x] for e, x in sorted(held.items())])))
+        if changed:
+            yield pd.DataFrame({user: [key[0]] * len(changed), "event_id": list(changed),
+                                "segment": [x[0] for x in changed.values()],
+                                "history_len": [x[1] for x in changed.values()], "version": version})
+    return fn
+
+
+def _walk(seg: int, hist: int, held: dict) -> dict[int, tuple[int, int]]:
+    """(segment, history length) after each event that counts, in id order."""
+    out = {}
+    for e in sorted(held):
+        is_clear, is_empty = held[e]
         if is_empty:
             continue
-        if is_clear:
-            seg += 1
-            hist = 0
-        else:
-            hist += 1
-        out_ev.append(int(ev))
-        out_seg.append(seg)
-        out_len.append(hist)
-    state.update((seg, hist, last))
-    yield pd.DataFrame({"user_id": [key[0]] * len(out_ev), "event_id": out_ev,
-                        "segment": out_seg, "history_len": out_len})
+        seg, hist = (seg + 1, 0) if is_clear else (seg, hist + 1)
+        out[e] = (seg, hist)
+    return out
 
 
 def chat_history_stream(events: DataFrame, user: str = "user_id", event: str = "event_id",
-                        is_clear=None, is_empty=None) -> DataFrame:
+                        is_clear=None, is_empty=None, lateness: int | None = None) -> DataFrame:
     """Per-user history segments; a clear command starts a new history,
-    empty inputs are skipped (same rule as the batch W2)."""
-    ev = events.select(F.col(user).alias("user_id"), F.col(event).alias("event_id"),
+    empty inputs are skipped (same rule as the batch W2). A late event is put
+    in its place and the rows behind it are emitted again with a higher
+    ``version``. ``lateness`` bounds the state: events whose id lies that far
+    below the highest seen are final (None: any event may still come)."""
+    ev = events.select(F.col(user), F.col(event).cast("long").alias("event_id"),
                        is_clear.alias("is_clear"), is_empty.alias("is_empty"))
-    return ev.groupBy("user_id").applyInPandasWithState(
-        _chat_state, _X3_OUT, _X3_STATE, "append", GroupStateTimeout.NoTimeout)
+    kind = dict(ev.dtypes)[user]
+    return ev.groupBy(user).applyInPandasWithState(
+        _chat_state_fn(user, lateness), f"`{user}` {kind}, event_id long, segment long, history_len long, version long",
+        _X3_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 # ------------------------------------------------------------------ X4 ---
 
 def run_monitor_stream(events: DataFrame, ts: str, run: str, value: str, window: str = "1 day",
-                       delay: str = "1 hour") -> DataFrame:
-    """Samples and mean loss per run and tumbling window, watermarked
-    so finished windows leave the state store."""
+                       delay: str = "1 hour", step: str | None = None) -> DataFrame:
+    """Per run and tumbling window the samples, the mean loss (W3), the
+    best value (W5, greater is better) and samples per second (A12); with
+    ``step`` also the loss by the NaN rule (W4). Watermarked: finished
+    windows are appended and leave the state store."""
+    from quire.operators.runs import nan_filtered_sum
     events = events.withColumn(ts, F.col(ts).cast("timestamp"))
-    return (events.withWatermark(ts, delay)
-            .groupBy(F.window(F.col(ts), window).alias("w"), F.col(run))
-            .agg(F.count(F.lit(1)).alias("samples"), F.avg(value).alias("mean_value"))
-            .select(run, F.col("w.start").alias("window_start"), "samples", "mean_value"))
+    x = F.col(value)
+    clean = F.when(~F.isnan(x), x)
+    secs = (F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / F.lit(1e6)
+    more = [] if step is None else [F.sort_array(F.collect_list(F.struct(F.col(step).alias("s"), x.cast("double").alias("l")))).alias("xs")]
+    out = (events.withWatermark(ts, delay)
+           .groupBy(F.window(F.col(ts), window).alias("w"), F.col(run))
+           .agg(F.count(F.lit(1)).alias("samples"), F.avg(clean).alias("mean_value"), F.max(clean).alias("best_value"),
+                secs.alias("runtime"), *more))
+    cols = [run, F.col("w.start").alias("window_start"), "samples", "mean_value", "best_value",
+            F.when(F.col("runtime") > 0, F.col("samples") / F.col("runtime")).alias("samples_per_second")]
+    if step is not None:
+        cols.append((nan_filtered_sum(F.col("xs")) / F.col("samples")).alias("filtered_loss"))
+    return out.select(*cols)
 
 
 # ------------------------------------------------------------------ X5 ---
 
-_X5_OUT = "request_id long, text string"  # noqa: E501
-_X5_STATE = "next_seq long, text string, stopped boolean, pending string"
-
+_X5_STATE = "next_seq long, text string, stopped boolean, version long, pending string"
 
-def _chunk_state_fn(stop: str):
-    import json
 
+def _chunk_state_fn(stop: str, key_name: str):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        nxt, text, stopped, pending = state.get if state.exists else (0, "", False, "{}")
+        nxt, text, stopped, version, pending = state.get if state.exists else (0, "", False, 0, "{}")
         if stopped:  # late chunks after the stop are dropped
             for _ in pdfs:
                 pass
             return
+        before, parts = len(text), [text]
         buf = {int(k): tuple(v) for k, v in json.loads(pending).items()}
         for p in pdfs:
             for s, t, last in zip(p["seq"], p["text"], p["last"]):
                 if int(s) >= nxt:
-                    buf[int(s)] = (t, bool(last))
+                    buf[int(s)] = (t or "", bool(last))
         while nxt in buf and not stopped:
             chunk, last = buf.pop(nxt)
             pos = chunk.find(stop)
-            if pos >= 0:
-                text += chunk[:pos]
-                stopped = True
-            else:
-                text += chunk
-                stopped = last  # the final chunk ends the request
+            parts.append(chunk if pos < 0 else chunk[:pos])
+            stopped = last or pos >= 0  # the final chunk ends the request
             nxt += 1
+        text, version = "".join(parts), version + 1
         # once stopped only a tombstone is kept (late chunks are dropped)
-        state.update((nxt, "" if stopped else text, stopped, "{}" if stopped else json.dumps(buf)))
-        if stopped:
-            yield pd.DataFrame({"request_id": [key[0]], "text": [text]})
+        state.update((nxt, "" if stopped else text, stopped, version, "{}" if stopped else json.dumps(buf)))
+        if stopped or len(text) > before or version == 1:
+            yield pd.DataFrame({key_name: [key[0]], "text": [text], "done": [stopped], "version": [version]})
     return fn
 
 
 def chunk_assembly_stream(chunks: DataFrame, stop: str, key: str = "request_id", seq: str = "seq",
                           text: str = "text", last: str | None = None) -> DataFrame:
-    """Per request, buffer chunks in sequence order and emit the text
-    once the stop string appears or the chunk flagged ``last`` arrives (as
-    I4, emitted when the request ends); chunks after that are dropped."""
-    c = chunks.select(F.col(key).cast("long").alias("request_id"), F.col(seq).cast("long").alias("seq"),
-                      F.col(text).alias("text"),
-                      (F.col(last) if last else F.lit(False)).alias("last"))
+    """Per request, buffer chunks in sequence order and emit the text so
+    far whenever it grows, ``done`` once the stop string appears or the chunk
+    flagged ``last`` arrives (as I4); chunks after that are dropped. A request
+    that never ends is there with ``done`` false, up to its first gap."""
+    c = chunks.select(F.col(key).alias("request_id"), F.col(seq).cast("long").alias("seq"),
+                      F.col(text).alias("text"), (F.col(last) if last else F.lit(False)).alias("last"))
+    kind = dict(c.dtypes)["request_id"]
     return c.groupBy("request_id").applyInPandasWithState(
-        _chunk_state_fn(stop), _X5_OUT, _X5_STATE, "append", GroupStateTimeout.NoTimeout)
+        _chunk_state_fn(stop, "request_id"), f"request_id {kind}, text string, done boolean, version long",
+        _X5_STATE, "append", GroupStateTimeout.NoTimeout)

@@ -1,6 +1,9 @@
 """Stateful stream functions: replays are idempotent, late chunks dropped."""
 
+import json
+
 import pandas as pd
+from pyspark.sql import functions as F
 
 from quire.streaming import streams as st
 
@@ -21,26 +24,87 @@ class FakeState:
         self.value = v
 
 
-def test_chat_state_replay_is_idempotent():
-    s = FakeState()
-    batch = pd.DataFrame({"event_id": [1, 2, 3, 4], "is_clear": [False, True, False, False],
-                          "is_empty": [False, False, True, False]})
-    out1 = pd.concat(list(st._chat_state((7,), iter([batch]), s)))
-    assert out1["segment"].tolist() == [0, 1, 1] and out1["history_len"].tolist() == [1, 0, 1]
-    replay = pd.concat(list(st._chat_state((7,), iter([batch]), s)))  # same events again
-    assert replay.empty
-    more = pd.DataFrame({"event_id": [5], "is_clear": [False], "is_empty": [False]})
-    out2 = pd.concat(list(st._chat_state((7,), iter([more]), s)))
-    assert out2["segment"].tolist() == [1] and out2["history_len"].tolist() == [2]
+def frame(rows):
+    return pd.DataFrame(rows, columns=["event_id", "is_clear", "is_empty"])
+
+
+def sink(outs):
+    """The last version of each event, as ``latest`` reads it."""
+    last = {}
+    for out in outs:
+        for e, seg, n, v in zip(out["event_id"], out["segment"], out["history_len"], out["version"]):
+            if v >= last.get(e, (0, 0, -1))[2]:
+                last[e] = (seg, n, v)
+    return {e: x[:2] for e, x in last.items()}
+
+
+def test_chat_state_replay_and_late_events():
+    fn, s = st._chat_state_fn("user_id", None), FakeState()
+    first = frame([(1, False, False), (5, False, False)])
+    outs = list(fn((7,), iter([first]), s))
+    assert sink(outs) == {1: (0, 1), 5: (0, 2)}
+    assert list(fn((7,), iter([first]), s)) == []  # replayed
+    outs += list(fn((7,), iter([frame([(3, False, False), (4, True, False), (6, False, True), (7, False, False)])]), s))
+    assert sink(outs) == {1: (0, 1), 3: (0, 2), 4: (1, 0), 5: (1, 1), 7: (1, 2)}
+
+
+def test_chat_state_with_bounded_lateness():
+    fn, s = st._chat_state_fn("user_id", 3), FakeState()
+    outs = list(fn(("a",), iter([frame([(1, False, False), (2, True, False), (9, False, False)])]), s))
+    assert len(json.loads(s.value[4])) == 1  # 1 and 2 are final, 9 may still move
+    outs += list(fn(("a",), iter([frame([(2, False, False), (7, False, False)])]), s))  # 2 is too late, 7 is not
+    assert sink(outs) == {1: (0, 1), 2: (1, 0), 7: (1, 1), 9: (1, 2)} and outs[0]["user_id"].tolist() == ["a"] * 3
 
 
 def test_chunk_state_out_of_order_and_late():
-    fn = st._chunk_state_fn("</s>")
+    fn = st._chunk_state_fn("</s>", "request_id")
     s = FakeState()
     b1 = pd.DataFrame({"seq": [1], "text": ["llo</s>x"], "last": [False]})
-    assert list(fn((3,), iter([b1]), s)) == []  # waits for chunk 0
+    out = pd.concat(list(fn(("r",), iter([b1]), s)))  # waits for chunk 0, but is known
+    assert out["text"].tolist() == [""] and out["done"].tolist() == [False]
     b2 = pd.DataFrame({"seq": [0], "text": ["he"], "last": [False]})
-    out = pd.concat(list(fn((3,), iter([b2]), s)))
-    assert out["text"].tolist() == ["hello"]
+    out = pd.concat(list(fn(("r",), iter([b2]), s)))
+    assert out["text"].tolist() == ["hello"] and out["done"].tolist() == [True]
     late = pd.DataFrame({"seq": [2], "text": ["y"], "last": [True]})
-    assert list(fn((3,), iter([late]), s)) == []
+    assert list(fn(("r",), iter([late]), s)) == []
+
+
+def test_streams_over_several_micro_batches(spark, tmp_path):
+    """Three files, one micro-batch each, with ids out of order and text keys."""
+    parts = [[("u1", 1, False), ("u1", 5, False), ("u2", 2, False)], [("u1", 3, True), ("u1", 4, False)],
+             [("u2", 1, True), ("u1", 6, False), ("u2", 3, False)]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, "user string, event_id long, clear boolean").coalesce(1) \
+            .write.parquet(f"{tmp_path}/e/{i}")
+    ev = spark.readStream.schema("user string, event_id long, clear boolean").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(f"{tmp_path}/e")
+    h = st.chat_history_stream(ev, user="user", is_clear=F.col("clear"), is_empty=F.lit(False))
+    st.run_available_now(h, f"{tmp_path}/eo", f"{tmp_path}/ec")
+    got = {(r["user"], r["event_id"]): (r["segment"], r["history_len"])
+           for r in st.latest(spark.read.parquet(f"{tmp_path}/eo"), ["user", "event_id"]).collect()}
+    want = {}
+    for user in ("u1", "u2"):
+        seg = n = 0
+        for e, clear in sorted((e, c) for rows in parts for u, e, c in rows if u == user):
+            seg, n = (seg + 1, 0) if clear else (seg, n + 1)
+            want[user, e] = (seg, n)
+    assert got == want
+
+    chunks = [[("a", 1, "lo", False), ("b", 0, "never ", False)], [("a", 0, "hel", False), ("b", 2, "gap", False)],
+              [("a", 2, "#x", False), ("c", 0, "end", True)]]
+    for i, rows in enumerate(chunks):
+        spark.createDataFrame(rows, "k string, seq long, t string, last boolean").coalesce(1).write.parquet(f"{tmp_path}/c/{i}")
+    cs = spark.readStream.schema("k string, seq long, t string, last boolean").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(f"{tmp_path}/c")
+    a = st.chunk_assembly_stream(cs, "#", key="k", seq="seq", text="t", last="last")
+    st.run_available_now(a, f"{tmp_path}/co", f"{tmp_path}/cc")
+    out = st.latest(spark.read.parquet(f"{tmp_path}/co"), ["request_id"]).collect()
+    assert {r["request_id"]: (r["text"], r["done"]) for r in out} == {
+        "a": ("hello", True), "b": ("never ", False), "c": ("end", True)}
+
+
+def test_dealt_batches(spark):
+    df = spark.range(50).repartition(3)
+    for drop, n in ((True, 48), (False, 50)):
+        rows = st.deal_batches(df, ["id"], 3, 4, drop_last=drop).collect()
+        assert len(rows) == n and all(r["group"] == r["id"] // 12 and r["shard"] == r["id"] // 4 % 3 for r in rows)
