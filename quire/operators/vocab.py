@@ -47,6 +47,13 @@ def word_freq(df: DataFrame, text_col: str = "text") -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
 
+def word_freq_by(df: DataFrame, group_col: str, text_col: str = "text") -> DataFrame:
+    """A14 per group: (group, word, freq) in one scan; sums over the groups
+    give the counts of the corpus."""
+    return (df.select(group_col, F.explode(ws_tokens(text_col)).alias("word"))
+            .groupBy(group_col, "word").agg(F.count(F.lit(1)).alias("freq")))
+
+
 def top_words(freq: DataFrame, k: int, tie_cols=("word",)) -> DataFrame:
     """K most frequent words, frequency descending, ties by ``tie_cols``
     (file line order when read from a frequency file)."""
@@ -177,17 +184,19 @@ def decode_pieces(pieces) -> Column:
     return F.regexp_replace(F.regexp_replace(F.array_join(_c(pieces), ""), SP_SPACE, " "), "^ ", "")
 
 
-def fertility(df: DataFrame, text_col: str, vocab: DataFrame, group_col: str, key_col: str,
-              vocab_rows: int | None = None) -> DataFrame:
-    """Tokens per word by group; a known word is one token, an unknown
-    word falls back to one token per character."""
-    ex = df.select(key_col, group_col, F.explode(ws_tokens(text_col)).alias("piece"))
-    v = broadcast_if_small(vocab.select("piece", F.lit(1).alias("__known")).distinct(), VOCAB_BROADCAST_ROWS,
-                           bound=vocab_rows)
-    toks = ex.join(v, "piece", "left").select(
-        group_col, F.when(F.col("__known").isNotNull(), F.lit(1)).otherwise(F.length("piece")).alias("__t"))
-    return toks.groupBy(group_col).agg((F.sum("__t") / F.count(F.lit(1))).alias("fertility"),
-                                       F.count(F.lit(1)).alias("words"), F.sum("__t").alias("tokens"))
+def fertility(freq: DataFrame, group_col: str, vocabs: dict[str, DataFrame], vocab_rows: int | None = None) -> DataFrame:
+    """Tokens per word by group for several vocabularies at once, from
+    word counts (group, word, freq): a known word is one token, an unknown
+    word falls back to one token per character. Adds ``words`` and a column
+    per vocabulary name."""
+    known = None
+    for name, v in vocabs.items():
+        one = v.select(F.col("piece").alias("word")).distinct().withColumn(name, F.lit(1))
+        known = one if known is None else known.join(one, "word", "full")
+    side = known if vocab_rows is None else broadcast_if_small(known, VOCAB_BROADCAST_ROWS, bound=vocab_rows)
+    seen = freq.join(side, "word", "left")
+    tokens = [F.sum(F.col("freq") * F.when(F.col(name).isNotNull(), 1).otherwise(F.length("word"))) / F.sum("freq") for name in vocabs]
+    return seen.groupBy(group_col).agg(*[t.alias(n) for t, n in zip(tokens, vocabs)], F.sum("freq").alias("words"))
 
 
 # ------------------------------------------------------------------ BPE ---

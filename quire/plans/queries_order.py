@@ -201,6 +201,15 @@ def _lang_top_sql(lang: str, k: int, name: str) -> str:
   FROM (SELECT unnest({_ws_sql('text')}) AS w FROM documents WHERE lang = '{lang}') GROUP BY w) WHERE rk < {k})"""
 
 
+def _lang_top(freq, lang: str, k: int):
+    """(id, piece) of the k most frequent words of a language; the window is
+    over k rows."""
+    from pyspark.sql import Window
+    t = vc.top_words(freq.where(F.col("lang") == lang).select("word", "freq"), k)
+    return t.select((F.row_number().over(Window.orderBy(F.desc("freq"), "word")) - 1).cast("long").alias("id"),
+                    F.col("word").alias("piece"))
+
+
 @register("vocab_merge", sql=f"""
 WITH {_lang_top_sql('en', 400, 'base')}, {_lang_top_sql('de', 400, 'dom')}, {_lang_top_sql('fr', 300, 'topw')},
 {WF_SQL},
@@ -219,17 +228,12 @@ def vocab_merge(spark, sf):
     """T6 + J3/U4 + P13: base = top English words, domain = top German
     words, all-Han words of the corpus, then top French words; each step
     adds only unseen pieces."""
-    d = table(spark, sf, "documents")
-
-    def lang_top(lang, k):
-        t = vc.top_words(vc.word_freq(d.where(F.col("lang") == lang), "text"), k)
-        from pyspark.sql import Window
-        return t.select("word", (F.row_number().over(Window.orderBy(F.desc("freq"), "word")) - 1).alias("rank"))
-    base = lang_top("en", 400).select(F.col("rank").cast("long").alias("id"), F.col("word").alias("piece"),
-                                      F.lit(0.0).alias("score"))
-    dom = lang_top("de", 400).select(F.col("rank").cast("long").alias("id"), F.col("word").alias("piece"))
-    words = vc.word_freq(d, "text")
-    top = lang_top("fr", 300)
+    from quire.session import cut_lineage
+    freq = cut_lineage(vc.word_freq_by(table(spark, sf, "documents"), "lang"))  # one scan for all four lists
+    base = _lang_top(freq, "en", 400).select("id", "piece", F.lit(0.0).alias("score"))
+    dom = _lang_top(freq, "de", 400)
+    words = freq.select("word").distinct()
+    top = _lang_top(freq, "fr", 300).select(F.col("piece").alias("word"), F.col("id").alias("rank"))
     merged = vc.merge_vocab(base, dom, words, top, base_rows=400, domain_rows=400)
     return merged.select("id", "piece", "origin")
 
@@ -267,17 +271,12 @@ FROM toks GROUP BY lang""")
 def fertility(spark, sf):
     """Tokens per word by language before and after adding the
     German top words to the English base vocabulary."""
-    from pyspark.sql import Window
-    d = table(spark, sf, "documents")
-
-    def lang_top(lang, k):
-        t = vc.top_words(vc.word_freq(d.where(F.col("lang") == lang), "text"), k)
-        return t.select(F.col("word").alias("piece"), (F.row_number().over(Window.orderBy(F.desc("freq"), "word")) - 1).alias("id"))
-    base = lang_top("en", 400)
-    new = base.select("piece").unionByName(lang_top("de", 400).select("piece")).distinct()
-    old = vc.fertility(d, "text", base, "lang", "doc_id", 400).select("lang", r6(F.col("fertility")).alias("fertility_old"))
-    nw = vc.fertility(d, "text", new, "lang", "doc_id", 800).select("lang", r6(F.col("fertility")).alias("fertility_new"))
-    return old.join(nw, "lang")
+    from quire.session import cut_lineage
+    freq = cut_lineage(vc.word_freq_by(table(spark, sf, "documents"), "lang"))
+    base = _lang_top(freq, "en", 400)
+    new = base.unionByName(_lang_top(freq, "de", 400))
+    f = vc.fertility(freq, "lang", {"fertility_old": base, "fertility_new": new}, vocab_rows=800)
+    return f.select("lang", r6(F.col("fertility_old")).alias("fertility_old"), r6(F.col("fertility_new")).alias("fertility_new"))
 
 
 def _pretok_sql(t: str) -> str:

@@ -47,17 +47,16 @@ def preference_pairs(docs: DataFrame, labels: DataFrame, question_words: int = 8
     over a whole language; the pairing is an equi-join on (lang, rank).
     Question = first words of the chosen text; the score is a fixed
     arithmetic function of n_chars standing in for a reward model."""
-    joined = docs.select("doc_id", "text", "lang", "n_chars").join(
-        labels.select("doc_id", "quality"), "doc_id")
-    ranked = with_row_index(joined, ["doc_id"], ["lang", "quality"], name="rk")
+    narrow = docs.select("doc_id", "lang").join(labels.select("doc_id", "quality"), "doc_id")
+    ranked = with_row_index(narrow, ["doc_id"], ["lang", "quality"], name="rk")  # ids only: no text is sorted
+    good = ranked.where(F.col("quality") == 1).select("lang", "rk", F.col("doc_id").alias("chosen_id"))
+    bad = ranked.where(F.col("quality") == 0).select("lang", "rk", F.col("doc_id").alias("rejected_id"))
     score = (F.col("n_chars") % 97) / F.lit(10.0) - F.lit(4.0)
-    good = ranked.where(F.col("quality") == 1).select(
-        "lang", "rk", F.col("doc_id").alias("chosen_id"), F.col("text").alias("response_chosen"),
-        score.alias("score_chosen"))
-    bad = ranked.where(F.col("quality") == 0).select(
-        "lang", "rk", F.col("doc_id").alias("rejected_id"), F.col("text").alias("response_rejected"),
-        score.alias("score_rejected"))
-    pairs = good.join(bad, ["lang", "rk"])
+
+    def side(name):
+        return docs.select(F.col("doc_id").alias(f"{name}_id"), F.col("text").alias(f"response_{name}"),
+                           score.alias(f"score_{name}"))
+    pairs = good.join(bad, ["lang", "rk"]).join(side("chosen"), "chosen_id").join(side("rejected"), "rejected_id")
     question = F.array_join(F.slice(F.split(F.col("response_chosen"), " "), 1, question_words), " ")
     return pairs.select(F.col("chosen_id").alias("pair_id"), "lang", question.alias("question"),
                         "response_chosen", "response_rejected", "chosen_id", "rejected_id",

@@ -106,18 +106,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def _row_bytes(df: DataFrame):
+    """A bound of a row's size: strings by their bytes, arrays by 16 bytes an
+    element, other columns by 8, and a fixed share per row."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    size = F.lit(32)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif isinstance(f.dataType, T.ArrayType):
+            size = size + F.coalesce(F.size(c), F.lit(0)) * 16 + 16
+        else:
+            size = size + 8
+    return size
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, count: int | None = None,
-                       bound: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only behind a checked row bound; otherwise return it
-    unchanged so the join falls back to a shuffle join (where AQE may still
-    pick a broadcast from runtime sizes).
-
-    ``bound`` is an upper bound the caller has proven by construction (a
-    top-k limit, a fixed table); without it the rows are counted, stopping
-    after ``max_rows + 1``."""
+                       bound: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only behind a checked bound of rows and bytes;
+    otherwise return it unchanged so the join falls back to a shuffle join
+    (where AQE may still pick a broadcast from runtime sizes).
+
+    ``bound`` is an upper bound of the rows that the caller has proven by
+    construction (a top-k limit, a fixed table); without it rows and bytes
+    are measured, stopping after ``max_rows + 1`` rows."""
     from pyspark.sql import functions as F
-    if bound is not None:
-        n = bound
-    else:
-        n = df.limit(max_rows + 1).count() if count is None else count
-    return F.broadcast(df) if n <= max_rows else df
+    if bound is not None or count is not None:
+        n = bound if bound is not None else count
+        return F.broadcast(df) if n <= max_rows else df
+    seen = df.limit(max_rows + 1).select(_row_bytes(df).alias("b")).agg(F.count(F.lit(1)), F.sum("b")).first()
+    return F.broadcast(df) if seen[0] <= max_rows and (seen[1] or 0) <= max_bytes else df
