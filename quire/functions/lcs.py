@@ -99,28 +99,6 @@ def union_lcs(ref_sentence_words, hyp_sentences_words, prev_union=None, exclusiv
     return len(union) - prev, union
 
 
-_UNION_SCHEMA = T.StructType([
-    T.StructField("new_count", T.IntegerType()),
-    T.StructField("union", T.ArrayType(T.StringType())),
-])
-
-
-def union_lcs_udf(exclusive: bool = True):
-    @F.pandas_udf(_UNION_SCHEMA)
-    def _f(ref: pd.Series, hyps: pd.Series) -> pd.DataFrame:
-        counts, unions = [], []
-        for r, hs in zip(ref, hyps):
-            if r is None or hs is None or len(hs) == 0:
-                counts.append(None)
-                unions.append(None)
-                continue
-            c, u = union_lcs(list(r), [list(h) for h in hs], exclusive=exclusive)
-            counts.append(c)
-            unions.append(u)
-        return pd.DataFrame({"new_count": pd.Series(counts, dtype="Int32"), "union": unions})
-    return _f
-
-
 _CARRIED_SCHEMA = T.StructType([
     T.StructField("new_counts", T.ArrayType(T.IntegerType())),
     T.StructField("union", T.ArrayType(T.StringType())),

@@ -1,6 +1,7 @@
 """Sentence BLEU-4 on characters, one reference, uniform weights,
 smoothing method 3 (Chen & Cherry 2014: the k-th zero numerator becomes
-1 / (2^k * denominator)). Pure Catalyst: clipped counts are multiset
+1 / (2^k * denominator)). The clipped counts come from an Arrow batch
+function by default, or (``engine`` of the JVM) from Catalyst as multiset
 overlaps of character n-grams (substrings of length n, which are already
 unique keys), so the whole score is one projection.
 """
@@ -82,27 +83,3 @@ def bleu4(hyp: Column, ref: Column, engine: str = "arrow") -> Column:
     bp = F.when(h > r, F.lit(1.0)).when(h == 0, F.lit(0.0)).otherwise(F.exp(F.lit(1.0) - r / h))
     return F.aggregate(nd, init, step,
                        lambda acc: F.when(acc["z1"], F.lit(0.0)).otherwise(bp * F.exp(acc["s"])))
-
-
-def bleu4_python(hyp: str, ref: str) -> float:
-    """Independent scalar version for tests."""
-    from collections import Counter
-    nums, dens = [], []
-    for n in range(1, MAX_N + 1):
-        ch = Counter(hyp[i:i + n] for i in range(len(hyp) - n + 1))
-        cr = Counter(ref[i:i + n] for i in range(len(ref) - n + 1))
-        nums.append(sum(min(c, cr[g]) for g, c in ch.items()))
-        dens.append(max(1, sum(ch.values())))
-    if nums[0] == 0:
-        return 0.0
-    k, s = 0, 0.0
-    for num, den in zip(nums, dens):
-        if num == 0:
-            k += 1
-            p = 1.0 / (2 ** k * den)
-        else:
-            p = num / den
-        s += math.log(p) / MAX_N
-    h, r = len(hyp), len(ref)
-    bp = 1.0 if h > r else (0.0 if h == 0 else math.exp(1 - r / h))
-    return bp * math.exp(s)

@@ -200,3 +200,29 @@ def row_index_nulls(spark, sf):
         "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("g"),
         F.when(F.col("o_orderkey") % 7 != 0, F.md5((F.col("o_orderkey") % 1000).cast("string"))).alias("k"))
     return od.with_row_index(o, ["k", "o_orderkey"], ["g"]).select("o_orderkey", "row_idx")
+
+
+@register("vector_norms", sql="""
+SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 5) AS norm,
+       round(list_sum(list_transform(list_zip(embedding, list_reverse(embedding)), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)), 5) AS product
+FROM embeddings""")
+def vector_norms(spark, sf):
+    """L2 norm of every vector and its product with its own reverse."""
+    from quire.functions import arrays as ar
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", F.round(ar.l2norm("embedding"), 5).alias("norm"),
+                    F.round(ar.dot("embedding", F.reverse("embedding")), 5).alias("product"))
+
+
+@register("preference_unmatched", sql="""
+WITH n AS (SELECT lang, quality, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY lang, quality)
+SELECT lang, coalesce(max(CASE WHEN quality = 1 THEN n END), 0) AS good, coalesce(max(CASE WHEN quality = 0 THEN n END), 0) AS bad,
+       abs(coalesce(max(CASE WHEN quality = 1 THEN n END), 0) - coalesce(max(CASE WHEN quality = 0 THEN n END), 0)) AS unmatched
+FROM n GROUP BY lang""")
+def preference_unmatched(spark, sf):
+    """The rows that the stand-in preference pairs leave out: the surplus of
+    the larger quality class of every language."""
+    d = table(spark, sf, "documents").select("doc_id", "lang").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    count = lambda q: F.count(F.when(F.col("quality") == q, 1))
+    return d.groupBy("lang").agg(count(1).alias("good"), count(0).alias("bad")) \
+        .withColumn("unmatched", F.abs(F.col("good") - F.col("bad")))

@@ -110,8 +110,8 @@ def rouge_avg(spark, sf):
     long = rg.long_form(s, [], ["rouge-1", "rouge-2", "rouge-l"])
     lens = s.select(F.lit("lengths").alias("metric"), F.col("len_hyp").cast("double").alias("r"),
                     F.col("len_ref").cast("double").alias("p"), F.lit(None).cast("double").alias("f"))
-    return long.unionByName(lens).groupBy("metric").agg(
-        r6(F.avg("r")).alias("r"), r6(F.avg("p")).alias("p"), r6(F.avg("f")).alias("f"))
+    mean = rg.average(long.unionByName(lens), ["r", "p", "f"], ["metric"])
+    return mean.select("metric", *[r6(F.col(c)).alias(c) for c in ("r", "p", "f")])
 
 
 @register("bleu_pairs", sql=f"""

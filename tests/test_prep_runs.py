@@ -355,3 +355,18 @@ def test_corpus_tokenizer_round_trip(spark):
     whole = {r["word"]: r["pieces"] for r in vc.bpe_encode_words(words, merges).collect()}
     blocks = {r["word"]: r["pieces"] for r in vc.bpe_encode_words(words, merges, block=3).collect()}
     assert whole == blocks == {w: vc._ranked(list(w), ranks) for w in whole}
+
+
+def test_arrow_metric_and_preprocess(spark):
+    from pyspark.sql import types as T
+
+    from quire.operators import infer as inf
+    df = spark.createDataFrame([("a", 1.0, "x"), ("a", 3.0, None), ("a", 8.0, "y"), ("b", 2.0, "z")], "g string, v double, i string")
+
+    @F.pandas_udf(T.DoubleType())
+    def median(v: __import__("pandas").Series) -> float:
+        return float(v.median())
+    got = inf.metric_columns(df, {"m": median("v")}, ["g"], preprocess=lambda d: d.withColumn("v", F.col("v") * 2)).collect()
+    assert {r["g"]: r["m"] for r in got} == {"a": 6.0, "b": 4.0}
+    counted = inf.metric_columns(df, {"n": F.count(F.lit(1))}, ["g"], include_inputs=("i",)).collect()
+    assert {r["g"]: (r["n"], r["n_i"]) for r in counted} == {"a": (3, 2), "b": (1, 1)}
