@@ -48,7 +48,7 @@ from quire.llm.common import materialise, packed, small_batches
 
 LEXICON_WORDS = 50_000
 LEXICON_BYTES = 64       # longer words take the exact path
-MEMO_WORDS = 200_000     # per worker; forgotten beyond that
+MEMO_WORDS = 150_000     # per worker; forgotten beyond that
 LEAST_COUNT = 3          # rarer words are not in the lexicon
 FLUSH_WORDS = 150_000
 # White space as in Unicode, without the separators U+001C..U+001F.

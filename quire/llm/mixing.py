@@ -84,6 +84,15 @@ def learn(df: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     return fit(hashing.training_rows(hashing.sample(df, labelled, id_col, text_col, rows)), domains)
 
 
+def _posteriors(texts: pd.Series, weights: np.ndarray) -> tuple[list[int], np.ndarray]:
+    tokens, scores = [], np.zeros((len(texts), weights.shape[1]))
+    for i, text in enumerate(texts):
+        index, value, n = hashing.features(text)
+        scores[i] = value @ weights[index]
+        tokens.append(n)
+    return tokens, _softmax(scores)
+
+
 def members(df: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
     """``row`` (the input row), ``member`` (tokens, p)."""
     small_batches(df.sparkSession)
@@ -92,12 +101,8 @@ def members(df: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataF
     @F.pandas_udf(MEMBER)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            tokens, scores = [], np.zeros((len(texts), weights.shape[1]))
-            for i, text in enumerate(texts):
-                index, value, n = hashing.features(text)
-                scores[i] = value @ weights[index]
-                tokens.append(n)
-            yield pd.DataFrame({"tokens": tokens, "p": list(_softmax(scores))})
+            tokens, p = _posteriors(texts, weights)
+            yield pd.DataFrame({"tokens": tokens, "p": list(p)})
 
     return packed(df).withColumn("member", run(F.col("row")[text_col]))
 
@@ -182,15 +187,17 @@ def repeated(df: DataFrame, labelled: DataFrame, targets: dict[str, float] = TAR
     input's columns. Texts are not shuffled: posteriors and rates are
     computed where the row is read."""
     order = list(targets)
-    weights = learn(df, labelled, id_col, text_col, len(order))
-    whole = members(df, weights, text_col)
-    found = materialise(whole.select(F.col("member")["tokens"].alias("tokens"), F.col("member")["p"].alias("p")))
+    weights = learn(df, labelled, id_col, text_col, len(order)).astype(np.float32)
+    found = materialise(members(df, weights, text_col).select(
+        F.col("member")["tokens"].alias("tokens"), F.col("member")["p"].alias("p")))
     rates, _ = solve(found, np.array([targets[d] for d in order], dtype=float), growth)
 
-    @F.pandas_udf(T.DoubleType())
-    def rate(ps: pd.Series) -> pd.Series:
-        return pd.Series(rates(np.stack(ps.to_numpy())) if len(ps) else [], dtype="float64")
+    @F.pandas_udf(T.DoubleType())  # one function from text to rate: one Python worker per task
+    def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(rates(_posteriors(texts, weights)[1]), dtype="float64")
 
-    n = copies(rate(F.col("member")["p"]), F.col("row")[id_col])
+    whole = packed(df)
+    n = copies(rate(F.col("row")[text_col]), F.col("row")[id_col])
     return (whole.select("row", n.alias("n")).where("n > 0")
             .select("row", F.explode(F.array_repeat(F.lit(0), F.col("n")))).select("row.*"))
