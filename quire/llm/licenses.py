@@ -34,7 +34,8 @@ WEIGHTS = {1: 0.6, 2: 0.8, 3: 0.9, 4: 0.95}
 
 V = r"(?:,?\s+(?:version\s+|v\.?\s*)?|[ -]v?)"  # before a version number
 # Hand-written table (fixed values): label, identifier, name, keyword of the
-# identifier, keyword of the name, address ("" where there is none).
+# identifier, keyword of the name, address ("" where there is none). A keyword
+# stands, without blanks, in every text that its pattern can match.
 LICENSES = [
     ("apache-2.0", r"Apache-2\.0", rf"Apache\s+(?:Software\s+)?License{V}2(?:\.0)?", "apache", "apache", r"apache\.org/licenses/LICENSE-2\.0"),
     ("apache-1.1", r"Apache-1\.1", rf"Apache\s+(?:Software\s+)?License{V}1\.1", "apache", "apache", r"apache\.org/licenses/LICENSE-1\.1"),
@@ -66,8 +67,8 @@ LICENSES = [
     ("unlicense", r"Unlicense", r"The\s+Unlicense", "unlicense", "unlicense", r"unlicense\.org"),
     ("wtfpl", r"WTFPL", r"Do\s+What\s+The\s+F\w+\s+You\s+Want\s+To\s+Public\s+License", "wtfpl", "public", r"wtfpl\.net"),
     ("cc0-1.0", r"CC0-1\.0", r"(?:Creative\s+Commons\s+)?CC0(?:\s+1\.0)?(?:\s+Universal)?", "cc0", "cc0", r"creativecommons\.org/publicdomain/zero/1\.0"),
-    ("cc-by-3.0", r"CC-BY-3\.0", r"(?:CC\s+BY|Creative\s+Commons\s+Attribution)\s+3\.0", "cc-by", "cc by", r"creativecommons\.org/licenses/by/3\.0"),
-    ("cc-by-4.0", r"CC-BY-4\.0", r"(?:CC\s+BY|Creative\s+Commons\s+Attribution)\s+4\.0", "cc-by", "cc by", r"creativecommons\.org/licenses/by/4\.0"),
+    ("cc-by-3.0", r"CC-BY-3\.0", r"(?:CC\s+BY|Creative\s+Commons\s+Attribution)\s+3\.0", "cc-by", "3.0", r"creativecommons\.org/licenses/by/3\.0"),
+    ("cc-by-4.0", r"CC-BY-4\.0", r"(?:CC\s+BY|Creative\s+Commons\s+Attribution)\s+4\.0", "cc-by", "4.0", r"creativecommons\.org/licenses/by/4\.0"),
     ("cc-by-sa-3.0", r"CC-BY-SA-3\.0", r"CC\s+BY-SA\s+3\.0", "cc-by", "by-sa", r"creativecommons\.org/licenses/by-sa/3\.0"),
     ("cc-by-sa-4.0", r"CC-BY-SA-4\.0", r"CC\s+BY-SA\s+4\.0", "cc-by", "by-sa", r"creativecommons\.org/licenses/by-sa/4\.0"),
     ("cc-by-nd-4.0", r"CC-BY-ND-4\.0", r"CC\s+BY-ND\s+4\.0", "cc-by", "by-nd", r"creativecommons\.org/licenses/by-nd/4\.0"),
@@ -82,6 +83,17 @@ LICENSES = [
     ("ms-pl", r"MS-PL", r"Microsoft\s+Public\s+License", "ms-pl", "microsoft", r"opensource\.org/licenses?/ms-pl"),
     ("ncsa", r"NCSA-License", r"University\s+of\s+Illinois/NCSA\s+Open\s+Source\s+License", "ncsa", "ncsa", r"opensource\.org/licenses?/ncsa"),
 ]
+# SPDX ids of tags where the bare identifier above is a longer form, as the id
+# alone is an everyday word or a project's name: label -> id, its keyword.
+TAGS = {
+    "mit": (r"MIT(?:-License)?", "mit"),
+    "x11": (r"X11(?:-distribute(?:-modifications-variant)?)?", "x11"),
+    "isc": (r"ISC(?:-License)?", "isc"),
+    "zlib": (r"Zlib(?:-License)?", "zlib"),
+    "postgresql": (r"PostgreSQL(?:-License)?", "postgresql"),
+    "openssl": (r"OpenSSL(?:-License)?", "openssl"),
+    "ncsa": (r"NCSA(?:-License)?", "ncsa"),
+}
 GRANT = r"(?:licen[sc]ed|released|distributed|published|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?"
 
 
@@ -89,7 +101,8 @@ def _rules() -> list[tuple[str, str, int, str, str]]:
     """(label, pattern, priority, first keyword, second keyword), in order."""
     out = []
     for label, ident, name, ident_key, name_key, address in LICENSES:
-        out.append((label, rf"(?i)SPDX-License-Identifier:\s*{ident}(?![\w.-])", 4, "spdx", ident_key))
+        tag, tag_key = TAGS.get(label, (ident, ident_key))
+        out.append((label, rf"(?i)SPDX-License-Identifier:\s*{tag}(?![\w.-])", 4, "spdx", tag_key))
         out.append((label, rf"(?i){GRANT}{name}(?![\w])", 3, "under", name_key))
         if address:
             out.append((label, rf"(?i)(?:https?://)?(?:www\.)?{address}", 3, address.split(r"\.")[0].split("/")[0].lower(), "."))

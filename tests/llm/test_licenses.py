@@ -2,6 +2,8 @@
 
 import random
 import re
+from re import _constants as C
+from re import _parser as P
 
 from quire.llm import licenses as lic
 
@@ -73,3 +75,58 @@ def test_keywords_are_implied_by_their_patterns():
         plain = re.sub(r"\\(.)", r"\1", pattern).lower()
         assert one in plain.replace("s+", " ").replace("[cs]", "s") or one in "licensed under", (label, one, pattern)
         assert two in plain.replace("s+", " "), (label, two, pattern)
+
+
+def one_per_choice(parsed):
+    """Texts that a parsed pattern matches: the first choice everywhere, then
+    every other alternative, repeat count, blank and set member once."""
+    options = []
+    for op, arg in parsed:
+        if op is C.LITERAL:
+            options.append([chr(arg)])
+        elif op is C.IN:
+            options.append([t for kind, x in arg for t in
+                            ([" ", "\n", "  "] if kind is C.CATEGORY and x is C.CATEGORY_SPACE else
+                             ["w"] if kind is C.CATEGORY else [chr(x)])])
+        elif op is C.SUBPATTERN:
+            options.append(one_per_choice(arg[3]))
+        elif op is C.BRANCH:
+            options.append([t for way in arg[1] for t in one_per_choice(way)])
+        elif op in (C.MAX_REPEAT, C.MIN_REPEAT):
+            low, high, inner = arg
+            options.append([""] * (low == 0) + one_per_choice(inner))
+        else:
+            assert op in (C.ASSERT_NOT, C.ASSERT), op
+    first = [o[0] for o in options]
+    return ["".join(first)] + ["".join([*first[:i], t, *first[i + 1:]])
+                               for i, o in enumerate(options) for t in o[1:]]
+
+
+def samples():
+    for rule in lic.RULES:
+        for t in one_per_choice(P.parse(rule[1].replace("(?i)", ""))):
+            yield rule, t
+
+
+def test_every_alternative_holds_the_keywords():
+    for (label, pattern, _, one, two), t in samples():
+        assert re.search(pattern, t), (label, t)
+        assert one in t.lower() and two in t.lower(), (label, t, one, two)
+
+
+def test_scan_matches_brute_force_on_every_alternative(spark):
+    texts = sorted({t for _, t in samples()} | {"Creative Commons Attribution 4.0", "CC\nBY 4.0", "CC  BY 3.0"})
+    got = lic.scan(spark.createDataFrame([(i, t, "k", 1) for i, t in enumerate(texts)], SCHEMA).repartition(8)).collect()
+    for r in got:
+        want = brute(r.row.text)
+        assert sorted(map(tuple, r.detections)) == want[5] and list(r.labels) == want[6], r.row.text
+
+
+def test_real_spdx_ids(spark):
+    ids = {"MIT": "mit", "X11": "x11", "ISC": "isc", "Zlib": "zlib", "PostgreSQL": "postgresql", "OpenSSL": "openssl",
+           "NCSA": "ncsa", "MIT-0": "mit-0", "MIT-License": "mit", "Apache-2.0": "apache-2.0"}
+    data = [(i, f"# SPDX-License-Identifier: {k}\n", v, 1) for i, (k, v) in enumerate(ids.items())]
+    data += [(100, "mit zlib isc openssl", "", 1)]
+    for r in lic.scan(spark.createDataFrame(data, SCHEMA)).collect():
+        assert list(r.labels) == [r.row.kept] * bool(r.row.kept), r.row.text
+        assert [d.priority for d in r.detections] == [4] * bool(r.row.kept)
