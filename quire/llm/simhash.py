@@ -181,8 +181,9 @@ def _spread(rows: DataFrame, depth: int, radius: int) -> DataFrame:
 # ------------------------------------------------------------------- operator
 
 def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``prints`` (id, fp) -> (fp, n, component_id): one row per distinct
-    fingerprint."""
+    """``prints`` (id, fp) -> (fp, n, component_id, root): one row per distinct
+    fingerprint; ``root`` is the component's smallest fingerprint, which tells
+    components of one id apart."""
     nodes = materialise(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")))
     roots = components(links(nodes.select("fp"), radius))
     named = nodes.join(roots, F.col("fp") == F.col("node"), "left") \
@@ -190,13 +191,13 @@ def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     linked = materialise(named.where("linked"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     return materialise(
-        named.where("NOT linked").select("fp", "n", F.col("least").alias("component_id"))
-        .union(linked.join(least, "root").select("fp", "n", "component_id")))
+        named.where("NOT linked").select("fp", "n", F.col("least").alias("component_id"), "root")
+        .union(linked.join(least, "root").select("fp", "n", "component_id", "root")))
 
 
 def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(id, mark, fp, component_id), one row per input row; ``mark`` is a
-    64-bit hash of the text, which tells rows of one id apart."""
+    """(id, mark, fp, component_id, root), one row per input row; ``mark`` is
+    a 64-bit hash of the text, which tells rows of one id apart."""
     small_batches(df.sparkSession)
     prints = materialise(df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark"),
                                    fingerprint(F.col(text_col)).alias("fp")))
@@ -206,7 +207,7 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radi
     rest = found.where(F.col("n") < limit).drop("n")
     return (prints.join(hot, "fp")
             .unionByName(prints.join(hot.select("fp"), "fp", "left_anti").join(rest, "fp"))
-            .select("id", "mark", "fp", "component_id"))
+            .select("id", "mark", "fp", "component_id", "root"))
 
 
 def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -216,7 +217,7 @@ def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     once, by the key of a row."""
     marked = annotate(df, id_col, text_col, radius)
     keep = (marked.where(F.col("id").eqNullSafe(F.col("component_id")))
-            .groupBy("id", F.when(F.col("id").isNull(), F.col("fp")).alias("only"))
+            .groupBy("root", "id", F.when(F.col("id").isNull(), F.col("fp")).alias("only"))
             .agg(F.min("mark").alias("mark")))
     name = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("-")), F.col("mark").cast("string"))
     rows = packed(df).withColumns({"id": F.col("row")[id_col], "mark": F.xxhash64(F.col("row")[text_col])}) \

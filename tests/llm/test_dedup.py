@@ -105,6 +105,15 @@ def test_simhash_matches_brute_force(spark):
     assert sorted(ids) == sorted({c for _, _, c in want if c is not None})
 
 
+def test_one_id_on_unlike_texts(spark):
+    """An id that is the smallest of two components stays once in each."""
+    rng = random.Random(8)
+    one, two = [" ".join(str(rng.randrange(10**6)) for _ in range(400)) for _ in range(2)]
+    data = [(1, one, "a", 1), (1, two, "b", 1), (2, one, "c", 1), (3, two, "d", 1), (3, two, "d", 1)]
+    kept = simhash.one_per_group(spark.createDataFrame(data, DOC).repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, one), (1, two)])
+
+
 @pytest.mark.parametrize("bucket", [24, 1024])
 def test_links_of_crowded_buckets(spark, monkeypatch, bucket):
     """Clouds of close fingerprints: also when buckets must be split again."""
