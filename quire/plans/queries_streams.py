@@ -87,6 +87,28 @@ def stream_run_monitor(spark, sf):
                     *[r6(F.col(c)).alias(c) for c in ("mean_value", "best_value", "filtered_loss")])
 
 
+@register("stream_run_monitor_all", sql="""
+WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE ELSE value END AS v FROM events),
+g AS (SELECT user_id, date_trunc('day', ts) AS w, list(v ORDER BY event_id) AS xs, count(*) AS samples,
+             avg(CASE WHEN isnan(v) THEN NULL ELSE v END) AS mean_value, max(CASE WHEN isnan(v) THEN NULL ELSE v END) AS best_value
+      FROM e GROUP BY user_id, date_trunc('day', ts)),
+f AS (SELECT *, list_reduce(list_zip(xs, range(0, len(xs))), lambda acc, x: CASE WHEN isnan(x[1])
+                    THEN acc + acc / (1 + x[2]) ELSE acc + x[1] END, 0.0::DOUBLE) AS total FROM g)
+SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, samples, round(mean_value, 6) AS mean_value,
+       round(best_value, 6) AS best_value, round(total / samples, 6) AS filtered_loss
+FROM f""")
+def stream_run_monitor_all(spark, sf):
+    """X4 over every window, open ones included: the same monitor in update
+    mode, the last version of each run and day read back."""
+    ev = st.table_stream(spark, sf, "events").withColumn(
+        "v", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")))
+    out = st.scratch_dir(spark, "x4")
+    st.run_versions(st.run_monitor_stream(ev, "ts", "user_id", "v", step="event_id"), out + "/data", out + "/ckpt")
+    r = st.latest(spark.read.parquet(out + "/data").drop("epoch"), ["user_id", "window_start"])
+    return r.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "samples",
+                    *[r6(F.col(c)).alias(c) for c in ("mean_value", "best_value", "filtered_loss")])
+
+
 @register("stream_batches", sql="""
 WITH i AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents)
 SELECT doc_id, i // 21 AS "group", (i // 7) % 3 AS shard FROM i WHERE i < n // 21 * 21""")

@@ -108,3 +108,14 @@ def test_dealt_batches(spark):
     for drop, n in ((True, 48), (False, 50)):
         rows = st.deal_batches(df, ["id"], 3, 4, drop_last=drop).collect()
         assert len(rows) == n and all(r["group"] == r["id"] // 12 and r["shard"] == r["id"] // 4 % 3 for r in rows)
+
+
+def test_monitor_reports_open_windows(spark, scratch):
+    spark.createDataFrame([(1, 0, "2024-01-01 10:00:00", 2.0), (1, 1, "2024-01-02 00:30:00", 4.0)],
+                          "user_id long, event_id long, ts string, value double") \
+        .withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(f"{scratch}/in")
+    s = spark.readStream.schema("user_id long, event_id long, ts timestamp, value double").parquet(f"{scratch}/in")
+    st.run_versions(st.run_monitor_stream(s, "ts", "user_id", "value", step="event_id"), f"{scratch}/out", f"{scratch}/ckpt")
+    got = st.latest(spark.read.parquet(f"{scratch}/out").drop("epoch"), ["user_id", "window_start"]).collect()
+    assert sorted((str(r["window_start"])[:10], r["samples"], r["best_value"]) for r in got) == [
+        ("2024-01-01", 1, 2.0), ("2024-01-02", 1, 4.0)]
