@@ -11,8 +11,10 @@ from quire.operators import order as od
 from quire.operators import prep as pp
 from quire.operators import reward as rw
 from quire.operators import runs as rn
+from quire.operators import vocab as vc
 from quire.plans import sqlkit as S
 from quire.plans.catalog import r6, register
+from quire.plans.queries_more import _ws_sql
 from quire.plans.standins import table
 from quire.sources import files as fs
 from quire.sources import sinks as sk
@@ -76,6 +78,30 @@ def read_word_freq(spark, sf):
         bad.select(F.split("raw", " ")[0].alias("word"), F.lit(None).cast("long").alias("freq")))
 
 
+ALL_WORDS_SQL = f"w AS (SELECT w AS word, count(*) AS freq FROM (SELECT unnest({_ws_sql('text')}) AS w FROM documents) GROUP BY w)"
+
+
+@register("read_vocab_words_all", sql=f"WITH {ALL_WORDS_SQL} SELECT word FROM w")
+def read_vocab_words_all(spark, sf):
+    """F5 over a vocabulary file of every word of every document (repeated
+    lines, further tokens)."""
+    out = scratch_dir(spark, "f5")
+    line = F.concat_ws(" ", "word", F.col("freq").cast("string"), F.lit("x"))
+    vc.word_freq(table(spark, sf, "documents"), "text").select(F.explode(F.array(line, line)).alias("value")).write.text(out)
+    return fs.read_vocab_words(spark, out)
+
+
+@register("read_word_freq_all", sql=f"WITH {ALL_WORDS_SQL} SELECT word, freq FROM w")
+def read_word_freq_all(spark, sf):
+    """F6 over a frequency file of every word of every document; a rejected
+    line would come back without its frequency."""
+    out = scratch_dir(spark, "f6")
+    vc.word_freq(table(spark, sf, "documents"), "text").select(F.concat_ws(" ", "word", F.col("freq").cast("string"))).write.text(out)
+    good, bad = fs.read_word_freq(spark, out)
+    return good.select("word", "freq").unionByName(
+        bad.select(F.split("raw", " ")[0].alias("word"), F.lit(None).cast("long").alias("freq")))
+
+
 @register("read_aligned", sql="""
 SELECT conv_id, turn, length(replace(replace(text, chr(10), ' '), chr(13), ' ')) AS hyp_chars, length(role) AS ref_chars
 FROM conversations""")

@@ -145,7 +145,7 @@ def read_word_freq(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     lines = _number_lines(spark, path)
     toks = F.split(tx.strip_py(F.col("value")), tx.WS_CLASS + "+")
     parsed = lines.select("file", "line", "value", toks[0].alias("word"),
-                          F.when(F.size(toks) >= 2, toks[1].try_cast("int")).alias("freq"))
+                          F.when(F.size(toks) >= 2, toks[1].try_cast("long")).alias("freq"))
     good = parsed.where(F.col("freq").isNotNull()).select("word", "freq", "file", "line")
     bad = parsed.where(F.col("freq").isNull() & (F.length(tx.strip_py(F.col("value"))) > 0)) \
         .select("file", "line", F.col("value").alias("raw"))

@@ -208,6 +208,12 @@ def test_word_freq_files(spark, scratch):
     assert sorted(r["word"] for r in fs.read_vocab_words(spark, f"{scratch}/v.txt").collect()) == ["w1", "w2"]
 
 
+def test_word_freq_beyond_an_int(spark, scratch):
+    open(f"{scratch}/wf.txt", "w").write("the 3000000000\n")
+    good, bad = fs.read_word_freq(spark, f"{scratch}/wf.txt")
+    assert [(r["word"], r["freq"]) for r in good.collect()] == [("the", 3000000000)] and bad.count() == 0
+
+
 def test_running_sum_hot_group(spark):
     # one group holds most rows; the prefix sum must equal the sequential one
     rows = [("hot", i, i % 3) for i in range(900)] + [("cold", i, 1) for i in range(50)]
