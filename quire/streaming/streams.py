@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quire.operators import prep as pp
-from quire.session import ensure_checkpoint_dir
+from quire.session import cut_lineage, ensure_checkpoint_dir
 
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
@@ -73,8 +73,8 @@ def shard_stream(stream: DataFrame, key: str, world: int) -> DataFrame:
 
 
 def deal_batches(batch: DataFrame, order_cols, world: int, batch_size: int, drop_last: bool = False) -> DataFrame:
-    """Q8 inside ``foreachBatch``: the rows of one micro-batch in order are
-    cut into groups of ``world * batch_size``; worker k takes the k-th block
+    """Q8 over one whole table (a stream: ``dealt_stream``): the rows in order
+    are cut into groups of ``world * batch_size``; worker k takes the k-th block
     of each group. The short last group goes (``drop_last``) or is dealt as
     far as it reaches. Adds ``group``, ``shard``."""
     from quire.operators.order import with_row_index
@@ -86,6 +86,38 @@ def deal_batches(batch: DataFrame, order_cols, world: int, batch_size: int, drop
                             "shard": (F.floor(F.col("__i") / batch_size) % world).cast("int")}).drop("__i")
 
 
+def dealt_stream(stream: DataFrame, order_cols, world: int, batch_size: int, out_dir: str, checkpoint: str) -> None:
+    """Q8 over a whole stream into ``out_dir``: as ``deal_batches``, with the
+    rows of a micro-batch behind those of the ones before. The rows after the
+    last full group (fewer than ``world * batch_size``) and the number of
+    groups dealt so far wait in the checkpoint folder, by epoch, for the next
+    micro-batch; so only the short group at the end of the stream is not
+    dealt. A replayed epoch writes the same folders again."""
+    from quire.operators.order import with_row_index
+    group = world * batch_size
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        spark, done = batch.sparkSession, 0
+        rows = batch.withColumns({"__turn": F.lit(1), "__was": F.lit(0).cast("long")})
+        if epoch > 0:
+            before = f"{checkpoint}/carried/{epoch - 1}"
+            done = spark.read.parquet(before + "/groups").first()["n"]
+            rows = rows.unionByName(spark.read.parquet(before + "/rows").withColumn("__turn", F.lit(0)))
+        idx = cut_lineage(with_row_index(rows, ["__turn", "__was", *order_cols], name="__i"))
+        full = idx.count() // group
+        idx.where(F.col("__i") < full * group).withColumns({
+            "group": (F.floor(F.col("__i") / group) + done).cast("long"),
+            "shard": (F.floor(F.col("__i") / batch_size) % world).cast("int")}).drop("__i", "__turn", "__was") \
+            .write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+        here = f"{checkpoint}/carried/{epoch}"
+        idx.where(F.col("__i") >= full * group).drop("__turn", "__was").withColumnRenamed("__i", "__was") \
+            .coalesce(1).write.mode("overwrite").parquet(here + "/rows")
+        spark.range(1).select(F.lit(done + full).cast("long").alias("n")).coalesce(1) \
+            .write.mode("overwrite").parquet(here + "/groups")
+    run_foreach_batch(stream, sink, checkpoint)
+
+
 def run_versions(df: DataFrame, out_dir: str, checkpoint: str) -> None:
     """Drive an aggregate in update mode: each micro-batch writes the rows it
     changed with its number as ``version`` (read back with ``latest``)."""

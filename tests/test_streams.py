@@ -110,6 +110,26 @@ def test_dealt_batches(spark):
         assert len(rows) == n and all(r["group"] == r["id"] // 12 and r["shard"] == r["id"] // 4 % 3 for r in rows)
 
 
+def test_dealt_stream_over_several_micro_batches(spark, scratch):
+    """Rows that a micro-batch leaves over are dealt with those of the next."""
+    start = 0
+    for k, n in enumerate((50, 5, 3, 40)):
+        spark.range(start, start + n).coalesce(1).write.parquet(f"{scratch}/in/k={k}")
+        start += n
+    s = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True) \
+        .parquet(f"{scratch}/in")
+    st.dealt_stream(s, ["id"], 3, 4, f"{scratch}/out", f"{scratch}/ckpt")
+    rows = spark.read.parquet(f"{scratch}/out").collect()
+    assert {r["epoch"] for r in rows} == {0, 3}  # two micro-batches are shorter than a group
+    places = {}
+    for r in rows:
+        places[r["group"], r["shard"]] = places.get((r["group"], r["shard"]), 0) + 1
+    assert places == {(g, w): 4 for g in range(98 // 12) for w in range(3)}
+    assert len({r["id"] for r in rows}) == 96
+    left = spark.read.parquet(f"{scratch}/ckpt/carried/3/rows").count()
+    assert left == 2
+
+
 def test_monitor_reports_open_windows(spark, scratch):
     spark.createDataFrame([(1, 0, "2024-01-01 10:00:00", 2.0), (1, 1, "2024-01-02 00:30:00", 4.0)],
                           "user_id long, event_id long, ts string, value double") \
