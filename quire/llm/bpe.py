@@ -330,9 +330,9 @@ def _ship(spark: SparkSession, path: str) -> str:
 
 
 def frequent_words(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words over all texts (at most ``words``, those of the
-    last count that fits); each task counts what it has read before anything
-    is shuffled, and only the chosen words reach the driver."""
+    """The ``words`` most frequent words over all texts (ties by word); each
+    task counts what it has read before anything is shuffled, and only the
+    chosen words reach the driver."""
     tokenizer = _ship(df.sparkSession, tokenizer_path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -355,15 +355,20 @@ def frequent_words(df: DataFrame, tokenizer_path: str, text_col: str = "text", w
     counted = materialise(
         df.select(F.col(text_col).alias("text")).mapInPandas(count, "word string, n long")
         .groupBy("word").agg(F.sum("n").alias("n")).where(f"n >= {LEAST_COUNT}"))
-    # the least count that at most ``words`` words reach, from how often each count occurs
-    reach = counted.groupBy(F.least("n", F.lit(1_000_000)).alias("n")).count().orderBy(F.col("n").desc()).collect()
-    cut, total = 1 << 60, 0
-    for r in reach:
-        total += r["count"]
-        if total > words:
+    # all words of the high bins (64 to a power of two, so few whatever the
+    # counts are) and the best of the bin in which the number is reached
+    size = F.floor(F.log2("n") * 64)
+    total, left, at = 0, 0, None
+    for r in counted.groupBy(size.alias("size")).count().orderBy(F.col("size").desc()).collect():
+        if total + r["count"] > words:
+            at, left = r["size"], words - total
             break
-        cut = r.n
-    return sorted(r.word for r in counted.where(F.col("n") >= cut).select("word").collect())
+        total += r["count"]
+    if at is None:
+        return sorted(r.word for r in counted.select("word").collect())
+    high = counted.where(size > at).select("word").collect()
+    last = counted.where(size == at).orderBy(F.desc("n"), "word").limit(left).select("word").collect()
+    return sorted(r.word for r in high + last)
 
 
 def build_lexicon(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:

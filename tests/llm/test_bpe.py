@@ -75,6 +75,18 @@ def test_operator_matches_the_library(spark, library, words):
         assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.decoded == decoded
 
 
+def test_lexicon_takes_the_most_frequent_words(spark):
+    """Ties at the highest count, and counts of which every one is high."""
+    tied = spark.createDataFrame([("aa bb cc dd ee",)] * 4, "text string")
+    got = bpe.frequent_words(tied, tokenizer_file(), words=3)
+    everything = bpe.frequent_words(tied, tokenizer_file(), words=100)
+    assert len(everything) >= 5 and got == everything[:3]
+    uneven = spark.createDataFrame([("aa " * 90 + "bb " * 50 + "cc " * 7 + "dd " * 7,)], "text string")
+    every = bpe.frequent_words(uneven, tokenizer_file(), words=100)
+    for k in range(1, len(every) + 1):
+        assert len(bpe.frequent_words(uneven, tokenizer_file(), words=k)) == k
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(df, tokenizer_file()), tokenizer_file()).collect() == []
