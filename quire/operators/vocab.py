@@ -377,11 +377,15 @@ def train_vocab(corpus: DataFrame, vocab_size: int, text_col: str = "text", norm
                 merges_per_round: int = 16, specials=("<unk>", "<s>", "</s>", "<pad>"),
                 byte_fallback: bool = True) -> tuple[DataFrame, DataFrame]:
     """A vocabulary of ``vocab_size`` pieces (specials, byte pieces, the
-    merges that fit, the corpus' characters) and its merges."""
+    merges that fit, the corpus' characters) and its merges. A size that
+    leaves no room for a merge is an error."""
     chars = cut_lineage(bpe_words(corpus, text_col, normalise=normalise)
                         .select(F.explode("syms").alias("char")).distinct())
     room = vocab_size - len(specials) - (256 if byte_fallback else 0) - chars.count()
-    merges = cut_lineage(train_bpe(corpus, max(0, room), text_col, normalise=normalise,
+    if room <= 0:
+        raise ValueError(f"vocabulary of {vocab_size} pieces: {1 - room} more are needed for one merge beside the "
+                         "specials, bytes and characters")
+    merges = cut_lineage(train_bpe(corpus, room, text_col, normalise=normalise,
                                    merges_per_round=merges_per_round))
     return bpe_vocab(merges, chars, specials, byte_fallback), merges
 

@@ -214,6 +214,12 @@ def test_word_freq_beyond_an_int(spark, scratch):
     assert [(r["word"], r["freq"]) for r in good.collect()] == [("the", 3000000000)] and bad.count() == 0
 
 
+def test_vocabulary_without_room_for_merges(spark):
+    df = spark.createDataFrame([("".join(map(chr, range(0x4E00, 0x4E00 + 300))),)], "text string")
+    with pytest.raises(ValueError, match="more are needed"):
+        vc.train_vocab(df, 500)
+
+
 def test_running_sum_hot_group(spark):
     # one group holds most rows; the prefix sum must equal the sequential one
     rows = [("hot", i, i % 3) for i in range(900)] + [("cold", i, 1) for i in range(50)]
