@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, topk, toxicity, warc
+from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, topk, toxicity, warc, whitening
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -171,3 +171,12 @@ def op10_quality(spark, sf):
     return quality.annotate(docs, model).select(
         F.col("row")["doc_id"].alias("doc_id"), F.col("rated")["expected_grade"].alias("expected_grade"),
         F.col("rated")["tail"].alias("tail_probability"), (F.col("rated")["tail"] >= 0.5).alias("kept"))
+
+
+# -------------------------------------------------------- 13 embedding whitening
+
+@register("op13_whitening")
+def op13_whitening(spark, sf):
+    found = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("row")["vec_id"].alias("vec_id"), "component", "n", "deviation", "whitened", "explained",
+                        "identity_error", "residual")
