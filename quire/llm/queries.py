@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, simhash, topk, toxicity, warc, whitening
+from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, repair, simhash, topk, toxicity, warc, whitening
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -180,3 +180,31 @@ def op13_whitening(spark, sf):
     found = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
     return found.select(F.col("row")["vec_id"].alias("vec_id"), "component", "n", "deviation", "whitened", "explained",
                         "identity_error", "residual")
+
+
+# ----------------------------------------- 12 conversation structure repair
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of op12, damaged by a checksum of conversation and turn."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    action = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return (conversations.select(
+        "conv_id", "turn", action.alias("action"),
+        F.when(action == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(action == 1, F.lit("")).when(action == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"))
+        .where("action <> 0")
+        .withColumn("again", F.explode(F.when(F.col("action") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .drop("action", "again"))
+
+
+@register("op12_structure_repair")
+def op12_structure_repair(spark, sf):
+    turns = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.summaries(damaged(turns)).withColumnRenamed("conv_id", "found_id").withColumn("found", F.lit(True))
+    every = turns.select("conv_id").distinct()
+    out = every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
