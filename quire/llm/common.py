@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import cut_lineage, ensure_checkpoint_dir
@@ -36,6 +36,14 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def hash_share(share: float, *cols) -> Column:
+    """Rows whose 64-bit hash of the columns lies in the lowest ``share`` of
+    all hashes: about that share of the rows, however small it is."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(F.lit("share"), *cols) < F.lit(-(1 << 63) + int(max(0.0, share) * (1 << 64)))
+
+
 def packed(df: DataFrame) -> DataFrame:
     """The whole input row as one struct column ``row``: columns that an
     operator adds beside it cannot clash with those of its input."""

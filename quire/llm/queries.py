@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, exact_dedup, licenses, mixing, quality, repair, simhash, topk, toxicity, warc, whitening
+from quire.llm import bpe, chat, exact_dedup, langid, licenses, mixing, quality, repair, simhash, topk, toxicity, warc, whitening
 from quire.llm.common import read, shared_dir, unpacked
 from quire.session import ship_package
 
@@ -173,13 +173,16 @@ def op10_quality(spark, sf):
         F.col("rated")["tail"].alias("tail_probability"), (F.col("rated")["tail"] >= 0.5).alias("kept"))
 
 
-# -------------------------------------------------------- 13 embedding whitening
+# ------------------------------------------------------------ 11 language ID
 
-@register("op13_whitening")
-def op13_whitening(spark, sf):
-    found = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
-    return found.select(F.col("row")["vec_id"].alias("vec_id"), "component", "n", "deviation", "whitened", "explained",
-                        "identity_error", "residual")
+@register("op11_language_id")
+def op11_language_id(spark, sf):
+    docs = read(spark, sf, "documents")
+    model = langid.learn(docs)
+    return langid.annotate(docs.select("doc_id", "text"), model).select(
+        F.col("row")["doc_id"].alias("doc_id"), langid.held_out(F.col("row")["doc_id"]).alias("held_out"),
+        F.col("found")["lang"].alias("lang_pred"), F.col("found")["score"].alias("score"),
+        F.array_join(F.col("found")["languages"], ",").alias("languages"))
 
 
 # ----------------------------------------- 12 conversation structure repair
@@ -208,3 +211,12 @@ def op12_structure_repair(spark, sf):
     return out.select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
                       F.coalesce("audit", F.lit("")).alias("audit"),
                       F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+# -------------------------------------------------------- 13 embedding whitening
+
+@register("op13_whitening")
+def op13_whitening(spark, sf):
+    found = whitening.whiten(read(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("row")["vec_id"].alias("vec_id"), "component", "n", "deviation", "whitened", "explained",
+                        "identity_error", "residual")
