@@ -21,9 +21,9 @@ cost. So comparing pieces is enough: the order survives concatenation.)
    ``PIECE`` symbols with their counts.
 2. Re-Pair: the pairs of adjacent symbols are counted over all distinct pieces,
    weighted by how often a piece occurs; in each round the most frequent pairs
-   that share no symbol become rules, until no pair occurs twice or there are
-   ``RULES`` rules. (The grammar only shortens the work; results do not depend
-   on it.)
+   whose occurrences cannot overlap (no symbol ends one and begins another)
+   become rules, until no pair occurs twice or there are ``RULES`` rules. (The
+   grammar only shortens the work; results do not depend on it.)
 3. Each symbol has a min-plus transfer matrix over the pattern's states, whose
    entries are a cost and an audit rope; a rule's matrix is the product of its
    two symbols', evaluated bottom-up once. Every piece of every conversation is
@@ -60,10 +60,11 @@ from quire.llm.common import materialise
 SPACE = " \t\n\x0b\x0c\r"
 HEAD = 64        # characters of a text that order rows of one turn
 PIECE = 1 << 16  # symbols of a piece at most
-RULES = 256      # rules of the grammar at most
+RULES = 128      # rules of the grammar at most
 MEMO = 1 << 16   # pieces whose edits a worker remembers
 KEEP, REROLE, DELETE, INSERT = 0, 3, 4, 3
 TRUNCATED = 3    # more for a truncated row that stays
+TASK_SYMBOLS = 1 << 24  # of the distinct pieces that one task of a round counts
 LEAF = 256       # audit ropes up to this many letters are plain strings
 
 # ------------------------------------------------- min-plus matrices with ropes
@@ -262,10 +263,13 @@ def learn_grammar(sequences: DataFrame, rules: int = RULES) -> list[str]:
 
         pairs = (sequences.mapInPandas(count, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
                  .where("n >= 2").orderBy(F.desc("n"), "pair").limit(rules - len(found)).collect())
-        used: set[str] = set()
+        left: set[str] = set()   # symbols that begin a chosen pair,
+        right: set[str] = set()  # and those that end one
         for r in pairs:
-            if used.isdisjoint(r.pair):
-                used.update(r.pair)
+            a, b = r.pair
+            if b not in left and a not in right and (a != b or a not in left):
+                left.add(a)
+                right.add(b)
                 found.append(r.pair)
         if not pairs:
             break
@@ -468,7 +472,10 @@ def _prepared(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_c
     grammar."""
     rows = _rows(df, conv_col, turn_col, role_col, text_col)
     pieces = materialise(_pieces(_flagged(rows)))
-    rules = learn_grammar(materialise(pieces.groupBy("seq").agg(F.count(F.lit(1)).alias("n"))))
+    distinct = pieces.groupBy("seq").agg(F.count(F.lit(1)).alias("n"))
+    size = pieces.select(F.sum(F.length("seq"))).first()[0] or 0
+    # as many tasks as the symbols are worth: each round of the grammar reads them once
+    rules = learn_grammar(materialise(distinct.coalesce(size // TASK_SYMBOLS + 1)))
     none = F.lit(None)
     heads = pieces.select("conv", "part", F.struct(*PIECES.names[2:]).alias("piece"), none.cast("long").alias("turn"),
                           none.cast("string").alias("role"), none.cast("string").alias("text"),
