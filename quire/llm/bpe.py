@@ -22,6 +22,7 @@ repeated rows are encoded alike; other columns ride along in ``row``.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import mmap
@@ -33,7 +34,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,13 +45,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from quire.llm.common import materialise, packed, small_batches
+from quire.llm.common import materialise, packed, small_batches, stretches
 
 LEXICON_WORDS = 50_000
 LEXICON_BYTES = 64       # longer words take the exact path
-MEMO_WORDS = 150_000     # per worker; forgotten beyond that
+MEMO_WORDS = 400_000     # per worker; forgotten beyond that, but for those of the last texts
 LEAST_COUNT = 3          # rarer words are not in the lexicon
 FLUSH_WORDS = 150_000
+SIDE_BY_SIDE = 4096      # words merged together
+TOGETHER = 1 << 20       # characters of the texts that are encoded together
 # White space as in Unicode, without the separators U+001C..U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHORT = "'(?:s|t|re|ve|m|ll|d)"
@@ -158,6 +161,75 @@ class Vocabulary:
             offer(i)
         return [x for x in ids if x >= 0]
 
+    @cached_property
+    def _sorted_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pair keys in order, their ranks, and the new ids by rank."""
+        size = len(self.pieces)
+        keys = np.array([a * size + b for a, b in self.merges], np.int64)
+        found = np.fromiter(self.merges.values(), np.int64, len(self.merges))
+        order, ranks = np.argsort(keys), found >> 32
+        new = np.zeros(int(ranks.max(initial=-1)) + 1, np.int64)
+        new[ranks] = found & NEW
+        return keys[order], ranks[order], new
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words side by side, words of like lengths
+        together: in each step every word does its best merge."""
+        out: list[list[int]] = [[]] * len(words)
+        left = [i for i, w in enumerate(words) if 0 < len(w) <= LEXICON_BYTES]
+        for i, w in enumerate(words):
+            if len(w) > LEXICON_BYTES:
+                out[i] = self.merge(w)
+        low, high = 0, 8
+        while left and low < LEXICON_BYTES:
+            some = [i for i in left if low < len(words[i]) <= high]
+            for at in range(0, len(some), SIDE_BY_SIDE):
+                part = some[at:at + SIDE_BY_SIDE]
+                for i, ids in zip(part, self._merge_block([words[i] for i in part])):
+                    out[i] = ids
+            low, high = high, 2 * high
+        return out
+
+    def _merge_block(self, words: list[bytes]) -> list[list[int]]:
+        keys, ranks, new = self._sorted_pairs
+        size, none = len(self.pieces), len(new)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(lengths.max())
+        columns = np.arange(width)
+        ids = np.full((len(words), width), -1, np.int64)
+        ids[columns < lengths[:, None]] = np.array(self.inner)[np.frombuffer(b"".join(words), np.uint8)]
+        ids[np.arange(len(words)), lengths - 1] = np.array(self.last)[[w[-1] for w in words]]
+        done: list[list[int]] = [[]] * len(words)
+
+        def rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            key = np.where((a < 0) | (b < 0), -1, a * size + b)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where(keys[at] == key, ranks[at], none) if len(keys) else np.full(key.shape, none)
+
+        beyond = np.full((len(words), 1), -1, np.int64)
+        rest, found = np.arange(len(words)), rank(ids, np.hstack([ids[:, 1:], beyond]))
+        while len(rest):
+            row = np.arange(len(rest))
+            at = found.argmin(axis=1)  # the leftmost of the lowest rank
+            best = found[row, at]
+            over = best == none
+            if over.any():
+                for i, word in zip(rest[over].tolist(), ids[over].tolist()):
+                    done[i] = [x for x in word if x >= 0]
+                go = ~over
+                rest, ids, found, at, best = rest[go], ids[go], found[go], at[go], best[go]
+                row = np.arange(len(rest))
+                if not len(rest):
+                    break
+            ids[row, at] = new[best]
+            take = np.minimum(columns + (columns > at[:, None]), width - 1)
+            ids, found = np.take_along_axis(ids, take, 1), np.take_along_axis(found, take, 1)
+            ids[:, -1], found[:, -1] = -1, none
+            found[row, at] = rank(ids[row, at], np.where(at + 1 < width, ids[row, np.minimum(at + 1, width - 1)], -1))
+            before = np.maximum(at - 1, 0)
+            found[row, before] = rank(ids[row, before], ids[row, np.minimum(before + 1, width - 1)])
+        return done
+
     def _merge_short(self, ids: list[int]) -> list[int]:
         """The same by a list of the pairs' ranks."""
         get, none = self.merges.get, 1 << 62
@@ -261,47 +333,101 @@ class Lexicon:
 
     def find(self, word: bytes) -> list[int] | None:
         """The ids of the word, or None: follow its bytes, add the outputs."""
-        state, place, base = self.root, 0, self.labels
-        search, first = self.map.find, self.first
-        for k in range(len(word)):
-            arc = search(word[k:k + 1], base + first[state], base + first[state + 1]) - base
-            if arc < 0:
-                return None
-            place += self.outputs[arc]
-            state = self.targets[arc]
-        if not self.final[state]:
-            return None
-        return self.ids[self.offsets[place]:self.offsets[place + 1]].tolist()
+        return self.find_all([word])[0]
+
+    @cached_property
+    def _arcs(self) -> tuple[np.ndarray, ...]:
+        """The arcs' keys (state, then label; they are in this order), their
+        targets and outputs, and which states are final."""
+        first = np.asarray(self.first)
+        labels = np.frombuffer(self.map, np.uint8, len(self.targets), self.labels)
+        keys = np.repeat(np.arange(len(first) - 1), np.diff(first)) << 8 | labels
+        return keys, np.asarray(self.targets), np.asarray(self.outputs), np.asarray(self.final) > 0
+
+    def find_all(self, words: list[bytes]) -> list[list[int] | None]:
+        """The same for many words, byte by byte side by side."""
+        keys, targets, outputs, final = self._arcs
+        out: list[list[int] | None] = [None] * len(words)
+        order = sorted((i for i, w in enumerate(words) if len(w) <= LEXICON_BYTES), key=lambda i: -len(words[i]))
+        if not order or not len(keys):
+            return out
+        lengths = np.array([len(words[i]) for i in order])
+        starts = np.cumsum(lengths) - lengths
+        raw = np.frombuffer(b"".join([words[i] for i in order]), np.uint8)
+        state, place, on = np.full(len(order), self.root, np.int64), np.zeros(len(order), np.int64), np.arange(len(order))
+        for k in range(int(lengths[0])):
+            on = on[lengths[on] > k]
+            key = state[on] << 8 | raw[starts[on] + k]
+            arc = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            there = keys[arc] == key
+            state[on[~there]] = -1
+            on, arc = on[there], arc[there]
+            state[on], place[on] = targets[arc], place[on] + outputs[arc]
+        held = np.flatnonzero(state >= 0)
+        held = held[final[state[held]]]
+        for i, at in zip(held.tolist(), place[held].tolist()):
+            out[order[i]] = self.ids[self.offsets[at]:self.offsets[at + 1]].tolist()
+        return out
+
+
+class Memo(dict):
+    """word -> place; a new word gets the next one."""
+
+    def __init__(self):
+        self.words: list[str | int] = []
+
+    def __missing__(self, word: str | int) -> int:
+        self[word] = place = len(self.words)
+        self.words.append(word)
+        return place
 
 
 class Encoder:
-    """Texts to ids (little-endian bytes) and back; a bounded memo of words
-    stands before the automaton and the exact merges."""
+    """Texts to ids (little-endian bytes) and back, many texts together. The
+    words that a bounded memo does not know go through the automaton, and the
+    others are merged exactly; the memo keeps a word's ids and their text."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.memo: dict[str, bytes] = {}
-
-    def word(self, word: str) -> bytes:
-        raw = word.encode("utf-8")
-        ids = self.lexicon.find(raw) if self.lexicon is not None and len(raw) <= LEXICON_BYTES else None
-        if ids is None:
-            ids = self.vocabulary.merge(raw)
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= LEXICON_BYTES:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[word] = out
-        return out
+        self.memo, self.ids, self.texts = Memo(), [], []
+
+    def _learn(self) -> None:
+        """Ids and texts of the words that are new in the memo."""
+        new = self.memo.words[len(self.ids):]
+        raws = [w.encode("utf-8") if isinstance(w, str) else b"" for w in new]
+        found = self.lexicon.find_all(raws) if self.lexicon is not None else [None] * len(new)
+        for i, w in enumerate(new):
+            if isinstance(w, int):  # the id of an added token
+                found[i] = [w]
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(others, self.vocabulary.merge_all([raws[i] for i in others])):
+            found[i] = ids
+        name = self.vocabulary.pieces.__getitem__
+        self.ids += [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+        self.texts += [" ".join(map(name, ids)) for ids in found]
 
     def encode(self, text: str | None) -> bytes:
-        out, known, new = [], self.memo.get, self.word
-        for part in self.vocabulary.parts(text or ""):
-            if isinstance(part, int):
-                out.append(struct.pack("<I", part))
-            else:
-                out += [known(w) or new(w) for w in words_of(part)]
-        return b"".join(out)
+        return self.encode_all([text])[0][0]
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[bytes, str]]:
+        """(ids, the text they decode to) of each text."""
+        place, places = self.memo.__getitem__, []
+        for text in texts:
+            at: list[int] = []
+            for part in self.vocabulary.parts(text or ""):
+                at += map(place, (part,) if isinstance(part, int) else words_of(part))
+            places.append(at)
+        self._learn()
+        ids, decoded = self.ids.__getitem__, self.texts.__getitem__
+        out = [(b"".join(map(ids, at)), " ".join(map(decoded, at))) for at in places]
+        if len(self.ids) > MEMO_WORDS:  # what the last texts held stays, within the bound
+            old, used = self.memo.words, sorted(set().union(*places))
+            used = [i for i in used if isinstance(old[i], int) or len(old[i]) <= LEXICON_BYTES][:MEMO_WORDS // 2]
+            self.memo = Memo()
+            for i in used:
+                self.memo[old[i]]
+            self.ids, self.texts = [self.ids[i] for i in used], [self.texts[i] for i in used]
+        return out
 
     def decode(self, ids: bytes | None) -> str:
         return " ".join(map(self.vocabulary.pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
@@ -321,6 +447,8 @@ def _vocabulary(tokenizer: str) -> Vocabulary:
 def _encoder(tokenizer: str, lexicon: str | None) -> Encoder:
     """One per worker process, the last one used; the names are those of
     files added to the job."""
+    gc.collect()
+    gc.freeze()  # the memo's many small objects are not worth looking through
     return Encoder(_vocabulary(tokenizer), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
 
 
@@ -397,8 +525,10 @@ def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", words: in
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer, lexicon)
         for texts in batches:
-            ids = [encoder.encode(t) for t in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [encoder.decode(x) for x in ids] if decoded else None})
+            out = []
+            for some in stretches(texts, TOGETHER):
+                out += encoder.encode_all(some)
+            yield pd.DataFrame({"ids": [i for i, _ in out], "decoded": [t if decoded else None for _, t in out]})
 
     out = packed(df).withColumn("coded", run(F.col("row")[text_col])).select("row", "coded.*")
     return out if decoded else out.drop("decoded")

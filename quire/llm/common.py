@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +30,31 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Texts reach Python workers in batches of at most ``rows`` rows, so
-    very long documents do not add up in a worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
-        spark.conf.set(key, str(rows))
+BATCH_BYTES = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows reach Python workers in batches of bounded bytes, so very long
+    documents do not add up in a worker's memory. Batches of short rows stay
+    as they are; a bound that the session already has stays, too."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def stretches(texts, size: int) -> Iterator[list]:
+    """Runs of texts of at most ``size`` characters in all; a longer text
+    stands alone."""
+    run, chars = [], 0
+    for text in texts:
+        n = len(text) if text is not None else 0
+        if run and chars + n > size:
+            yield run
+            run, chars = [], 0
+        run.append(text)
+        chars += n
+    if run:
+        yield run
 
 
 def hash_share(share: float, *cols) -> Column:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import small_batches
+from quire.llm.common import hash_share, small_batches
 
 WORD_BITS, SHAPE_BITS, BINS = 14, 10, 16
 WORDS, SHAPES = 1 << WORD_BITS, 1 << SHAPE_BITS
@@ -76,7 +76,7 @@ def sample(df: DataFrame, labelled: DataFrame, id_col: str, text_col: str, rows:
     usable = labelled.toDF("label_id", "label").where("label_id IS NOT NULL AND label IS NOT NULL") \
         .where(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("label").alias("label"))
     share = min(1.0, rows / max(1, usable.count()))
-    chosen = usable.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = usable.where(hash_share(share, "label_id"))
     return (df.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), F.col("text_id") == F.col("label_id")).select("text", "label"))
 

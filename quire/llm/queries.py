@@ -157,9 +157,12 @@ def op8_simhash_near_dedup(spark, sf):
 @register("op9_mixing")
 def op9_mixing(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
-    mixed = mixing.mix(docs, mixing.domains_of(read(spark, sf, "labels")))
+    mixed, rates = mixing.mix(docs, mixing.domains_of(read(spark, sf, "labels")))
+    totals = [F.lit(float(x[k])).alias(f"{name}_{d}") for name, x in (("aim", rates.aim), ("reached", rates.reached))
+              for k, d in enumerate(mixing.DOMAINS)]
     return mixed.select(F.col("id").alias("doc_id"), F.col("tokens").alias("n_tokens"),
-                        *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)], "rate", "copies")
+                        *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)], "rate", "copies",
+                        *totals, F.lit(rates.converged).alias("converged"))
 
 
 # --------------------------------------------------------- 10 quality classifier

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialise
+from quire.llm.common import hash_share, materialise
 
 SAMPLE_ROWS = 4096
 PIVOTS = 64
@@ -170,7 +170,9 @@ def search(index: DataFrame, queries: list, sample: np.ndarray, sample_ids: np.n
         found = [np.concatenate(c) for c in zip(*out)]
         yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
-    return materialise(index.mapInPandas(run, "query_id long, vec_id long, score long"))
+    found = materialise(index.mapInPandas(run, "query_id long, vec_id long, score long"))
+    block.destroy()  # the result is in the shared folder
+    return found
 
 
 def top_k(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -181,7 +183,7 @@ def top_k(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_co
         "v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("norm2")).first()
     n, width, norm2 = sizes.n, max(1, sizes.width or 1), sizes.norm2 or 0.0
     share = min(1.0, SAMPLE_ROWS / max(1, n))
-    chosen = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).collect()  # about SAMPLE_ROWS
+    chosen = vectors.where(hash_share(share, "id")).collect()  # about SAMPLE_ROWS
     chosen.sort(key=lambda r: r.id)
     sample = _matrix([r.v for r in chosen], width, np.int64)
     sample_ids = np.array([r.id for r in chosen], dtype=np.int64)

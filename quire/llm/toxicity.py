@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import materialise, packed, small_batches
+from quire.llm.common import hash_share, materialise, packed, small_batches
 
 SAMPLE_ROWS = 12_000
 MIN_CONTEXTS = 5
@@ -183,7 +183,7 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
     held out; the ids are broadcast (about ``rows`` of them), the texts stay."""
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     share = min(1.0, rows / max(1, usable.count()))
-    chosen = usable.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000)) \
+    chosen = usable.where(hash_share(share, id_col)) \
         .select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic")) \
         .groupBy("label_id").agg(F.max("toxic").alias("toxic"))
     return materialise(df.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text"))
@@ -210,8 +210,11 @@ def _entries(sample: DataFrame) -> tuple[list, int, int]:
              .groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
     toxic = F.col("pos") >= MIN_PRECISION * (F.col("pos") + F.col("neg"))
     seeds = F.col("entry").isin([w + "$" for w in INSULTS])
-    rows = (found.where(((F.col("pos") >= MIN_CONTEXTS) & toxic) | seeds)
-            .orderBy(F.col("pos").desc(), "entry").limit(LEXICON_ROWS).collect())
+    found = materialise(found.where(((F.col("pos") >= MIN_CONTEXTS) & toxic) | seeds).withColumn("seed", seeds))
+    # every seed, whatever its counts, and the others up to the lexicon's size
+    rows = found.where("seed").collect() + (found.where("NOT seed").orderBy(F.col("pos").desc(), "entry")
+                                            .limit(LEXICON_ROWS).collect())
+    rows.sort(key=lambda r: (-r.pos, r.entry))
     return rows, total[0] or 0, total[1] or 0
 
 

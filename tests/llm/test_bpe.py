@@ -40,6 +40,23 @@ def test_texts_match_the_library(library):
         assert own.decode(got) == decoded
 
 
+def test_many_words_side_by_side_merge_as_one_by_one():
+    vocabulary, rng = bpe.Vocabulary(tokenizer_file()), random.Random(3)
+    words = ["".join(rng.choice("abcdeé日 .thein") for _ in range(rng.randrange(1, 90))).encode() for _ in range(600)]
+    assert vocabulary.merge_all(words) == [vocabulary.merge(w) for w in words]
+    assert vocabulary.merge_all([]) == []
+
+
+def test_memo_forgets(monkeypatch, library):
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 20)
+    own = bpe.Encoder(bpe.Vocabulary(tokenizer_file()), None)
+    for k in range(30):
+        texts = [f"word{k} other{k * 7} <|endoftext|> the", "same words again and again"]
+        for text, (ids, decoded) in zip(texts, own.encode_all(texts)):
+            assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expected(library, text)
+        assert len(own.memo) == len(own.ids) == len(own.texts) <= 40
+
+
 def test_lexicon_is_exact_and_minimal():
     rng = random.Random(2)
     words = {"".join(rng.choice("abcä") for _ in range(rng.randrange(1, 7))).encode() for _ in range(500)}

@@ -44,21 +44,55 @@ def test_empty_tables(spark):
     assert quality.select(empty, quality.learn(empty, none)).collect() == []
     some = spark.createDataFrame(ODD, SCHEMA)
     assert quality.select(some, quality.learn(some, none)).count() == len(ODD)
-    assert mixing.mix(empty, none).collect() == [] and mixing.repeated(empty, none).collect() == []
-    assert mixing.mix(some, none).count() == len(ODD)
-
-
-@pytest.mark.parametrize("targets", [[0.5, 0.3, 0.2], [0.9, 0.05, 0.05]])
-def test_rates_meet_targets(spark, targets):
+    assert mixing.mix(empty, none)[0].collect() == [] and mixing.repeated(empty, none).collect() == []
+    assert mixing.mix(some, none)[0].count() == len(ODD)
+
+
+def dense_rates(t, p, targets, growth):
+    """The same least squares by a long plain projected gradient over all
+    documents (with momentum), in one place."""
+    gram = (p * t[:, None]).T @ p
+    aim = gram.sum() * growth * targets / targets.sum()
+    metric = np.linalg.inv(gram + mixing.RIDGE_GRAM * (np.trace(gram) + 1) * np.eye(len(targets)))
+    r = ahead = np.full(len(t), growth)
+    for i in range(60_000):
+        slope = p @ (metric @ (p.T @ (t * ahead) - aim)) + mixing.PULL * (ahead - growth)
+        last, r = r, np.maximum(0.0, ahead - slope / (1 + mixing.PULL))
+        if (slope * (r - last)).sum() > 0:
+            ahead = r  # start the momentum anew
+        else:
+            ahead = r + (i % 2000) / (i % 2000 + 3) * (r - last)
+    return r, aim
+
+
+@pytest.mark.parametrize("targets,growth", [([0.5, 0.3, 0.2], 1.0), ([0.9, 0.05, 0.05], mixing.GROWTH),
+                                            ([0.92, 0.02, 0.06], mixing.GROWTH), ([0.0, 0.0, 1.0], 2.0)])
+def test_rates_equal_dense_least_squares(spark, targets, growth):
     rng = np.random.default_rng(4)
-    p = rng.dirichlet([0.4, 0.3, 0.3], 2000)
-    t = rng.integers(1, 500, 2000)
+    p = rng.dirichlet([0.4, 0.3, 0.3], 500)
+    t = rng.integers(1, 500, 500)
     df = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "tokens long, p array<double>").repartition(5)
-    rates, seen = mixing.solve(df, np.array(targets), growth=1.0, steps=200)
-    r = rates(p)
-    assert (r >= 0).all() and (r <= mixing.MAX_RATE).all()
-    assert np.allclose((p * (t * r)[:, None]).sum(axis=0), seen["reached"])
-    assert np.abs(seen["reached"] - seen["aim"]).sum() <= 0.01 * seen["aim"].sum()
+    got = mixing.solve(df, np.array(targets), growth=growth)
+    assert got.converged and got.steps < mixing.STEPS
+    want, aim = dense_rates(t, p, np.array(targets), growth)
+    rows = df.select("tokens", "p", got.column(F.col("p")).alias("rate")).collect()
+    r = {(x.tokens, tuple(x.p)): x.rate for x in rows}
+    r = np.array([r[int(a), tuple(b.tolist())] for a, b in zip(t, p)])
+    assert (r >= 0).all() and np.allclose(aim, got.aim)
+    assert np.allclose((p * (t * r)[:, None]).sum(axis=0), got.reached)
+    assert np.abs(r - want).max() < 0.02 * max(1.0, want.max())
+    if all(targets):
+        assert np.abs(got.reached - got.aim).sum() <= 1e-3 * got.aim.sum()
+
+
+def test_query_reaches_its_targets(spark):
+    from quire.llm.queries import QUERIES
+    rows = QUERIES["op9_mixing"](spark, "/root/testdata/sf0.01").collect()
+    assert all(r.converged for r in rows)
+    for k, d in enumerate(mixing.DOMAINS):
+        total = sum(r.n_tokens * r.rate * r[f"p_{d}"] for r in rows)
+        assert total == pytest.approx(rows[0][f"reached_{d}"], rel=1e-9)
+        assert total == pytest.approx(rows[0][f"aim_{d}"], rel=5e-3)
 
 
 def test_mixing_treats_odd_rows(spark):
@@ -66,7 +100,7 @@ def test_mixing_treats_odd_rows(spark):
     df = spark.createDataFrame(data, SCHEMA)
     labelled = spark.createDataFrame([(i, g) for i, _, g in graded()], "doc_id long, domain int")
     targets = {"bad": 0.1, "fair": 0.2, "good": 0.7}
-    mixed = mixing.mix(df, labelled, targets, growth=1.0).cache()
+    mixed = mixing.mix(df, labelled, targets, growth=1.0)[0].cache()
     assert mixed.count() == len(data) and mixed.where("rate IS NULL OR copies IS NULL OR copies < 0").count() == 0
     assert mixed.where("id = 9001").first().tokens == 0
     out = mixing.repeated(df, labelled, targets, growth=1.0)
