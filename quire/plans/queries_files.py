@@ -16,6 +16,7 @@ from quire.plans import sqlkit as S
 from quire.plans.catalog import r6, register
 from quire.plans.queries_more import _ws_sql
 from quire.plans.standins import table
+from quire.session import cut_lineage
 from quire.sources import files as fs
 from quire.sources import sinks as sk
 from quire.streaming.streams import scratch_dir
@@ -45,44 +46,11 @@ def read_named(spark, sf):
     return d.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length("text")).alias("chars"))
 
 
-WORDS_SQL = r"""w AS (SELECT lower(regexp_extract(text, '[a-zA-Z]+', 0)) AS word, count(*) AS freq FROM documents GROUP BY 1)"""
-
-
-def _word_lines(spark, sf):
-    word = F.lower(F.regexp_extract("text", "[a-zA-Z]+", 0))
-    return table(spark, sf, "documents").groupBy(word.alias("word")).agg(F.count(F.lit(1)).alias("freq"))
-
-
-@register("read_vocab_words", sql=f"WITH {WORDS_SQL} SELECT word FROM w WHERE word <> ''")
-def read_vocab_words(spark, sf):
-    """the first token of each line of a vocabulary file (lines with
-    further tokens, repeated lines and blank lines among them)."""
-    w = _word_lines(spark, sf)
-    out = scratch_dir(spark, "f5")
-    line = F.concat(F.col("word"), F.when(F.col("word") != "", F.concat(F.lit(" "), F.col("freq"), F.lit(" x"))).otherwise(F.lit("")))
-    w.select(F.explode(F.array(line, line)).alias("value")).write.text(out)
-    return fs.read_vocab_words(spark, out)
-
-
-@register("read_word_freq", sql=f"""
-WITH {WORDS_SQL} SELECT word, CASE WHEN freq % 5 = 0 THEN NULL ELSE freq END AS freq FROM w WHERE word <> ''""")
-def read_word_freq(spark, sf):
-    """'word freq' lines; every line whose frequency is a multiple of 5
-    is written with a broken number and comes back as rejected."""
-    w = _word_lines(spark, sf).where("word <> ''")
-    out = scratch_dir(spark, "f6")
-    w.select(F.concat_ws(" ", "word", F.when(F.col("freq") % 5 == 0, F.lit("many")).otherwise(F.col("freq").cast("string")))) \
-        .write.text(out)
-    good, bad = fs.read_word_freq(spark, out)
-    return good.select("word", F.col("freq").cast("long").alias("freq")).unionByName(
-        bad.select(F.split("raw", " ")[0].alias("word"), F.lit(None).cast("long").alias("freq")))
-
-
 ALL_WORDS_SQL = f"w AS (SELECT w AS word, count(*) AS freq FROM (SELECT unnest({_ws_sql('text')}) AS w FROM documents) GROUP BY w)"
 
 
-@register("read_vocab_words_all", sql=f"WITH {ALL_WORDS_SQL} SELECT word FROM w")
-def read_vocab_words_all(spark, sf):
+@register("read_vocab_words", sql=f"WITH {ALL_WORDS_SQL} SELECT word FROM w")
+def read_vocab_words(spark, sf):
     """F5 over a vocabulary file of every word of every document (repeated
     lines, further tokens)."""
     out = scratch_dir(spark, "f5")
@@ -91,12 +59,15 @@ def read_vocab_words_all(spark, sf):
     return fs.read_vocab_words(spark, out)
 
 
-@register("read_word_freq_all", sql=f"WITH {ALL_WORDS_SQL} SELECT word, freq FROM w")
-def read_word_freq_all(spark, sf):
-    """F6 over a frequency file of every word of every document; a rejected
-    line would come back without its frequency."""
+@register("read_word_freq", sql=f"""
+WITH {ALL_WORDS_SQL} SELECT word, CASE WHEN freq % 5 = 0 THEN NULL ELSE freq END AS freq FROM w""")
+def read_word_freq(spark, sf):
+    """F6 over a frequency file of every word of every document; each line
+    whose frequency is a multiple of 5 is written with a broken number and
+    comes back as rejected."""
     out = scratch_dir(spark, "f6")
-    vc.word_freq(table(spark, sf, "documents"), "text").select(F.concat_ws(" ", "word", F.col("freq").cast("string"))).write.text(out)
+    freq = F.when(F.col("freq") % 5 == 0, F.lit("many")).otherwise(F.col("freq").cast("string"))
+    vc.word_freq(table(spark, sf, "documents"), "text").select(F.concat_ws(" ", "word", freq)).write.text(out)
     good, bad = fs.read_word_freq(spark, out)
     return good.select("word", "freq").unionByName(
         bad.select(F.split("raw", " ")[0].alias("word"), F.lit(None).cast("long").alias("freq")))
@@ -106,11 +77,12 @@ def read_word_freq_all(spark, sf):
 SELECT conv_id, turn, length(replace(replace(text, chr(10), ' '), chr(13), ' ')) AS hyp_chars, length(role) AS ref_chars
 FROM conversations""")
 def read_aligned(spark, sf):
-    """two files whose lines belong together, paired by line number."""
-    c = table(spark, sf, "conversations")
+    """two folders of part files whose lines belong together, paired by
+    their places among all lines."""
     out = scratch_dir(spark, "f7")
     flat = F.translate("text", "\r\n", "  ")
-    rows = c.select("conv_id", "turn", flat.alias("t"), "role").coalesce(1).sortWithinPartitions("conv_id", "turn")
+    rows = cut_lineage(table(spark, sf, "conversations").select("conv_id", "turn", flat.alias("t"), "role")
+                       .repartitionByRange("conv_id", "turn").sortWithinPartitions("conv_id", "turn"))
     rows.select(F.concat_ws("\t", "conv_id", "turn", "t")).write.text(out + "/hyp")
     rows.select("role").write.text(out + "/ref")
     pairs = fs.read_aligned(spark, out + "/hyp", out + "/ref")

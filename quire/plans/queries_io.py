@@ -105,11 +105,13 @@ def json_roundtrip(spark, sf):
 
 
 @register("lines_roundtrip", sql=f"""
-SELECT {S.lit('')} || trim(l, {S.lit(tx.WS_CHARS)}) AS text
-FROM (SELECT unnest(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10))) AS l FROM documents)""")
+SELECT row_number() OVER (ORDER BY doc_id, k) - 1 AS row, {S.lit('')} || trim(l, {S.lit(tx.WS_CHARS)}) AS text
+FROM (SELECT doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS k
+      FROM (SELECT doc_id, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) AS ls FROM documents))""")
 def lines_roundtrip(spark, sf):
-    """document texts written as a text corpus, read back as stripped
-    lines (one row per line, numbered per file)."""
+    """document texts written as a text corpus of part files in the order
+    of their ids, read back as stripped lines with their places in it."""
     out = scratch_dir(spark, "f3")
-    table(spark, sf, "documents").select("text").write.text(out)
-    return fs.read_lines(spark, out).select("text")
+    (table(spark, sf, "documents").select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+     .select("text").write.text(out))
+    return fs.read_lines(spark, out).select("row", "text")

@@ -326,9 +326,8 @@ def chunk_assembly(spark, sf):
     """I4: documents streamed as 40-character chunks; assembled up to the
     first chunk holding the stop string (newline), cut there."""
     d = table(spark, sf, "documents")
-    n = F.ceil(F.length("text") / F.lit(CHUNK)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring("text", i * CHUNK + 1, F.lit(CHUNK)))
-    chunks = d.where(F.length("text") > 0).select("doc_id", F.posexplode(pieces).alias("seq", "t"))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    chunks = d.select("doc_id", F.posexplode(pieces).alias("seq", "t"))
     return inf.assemble_chunks(chunks, "doc_id", "seq", "t", STOP)
 
 

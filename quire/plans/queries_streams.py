@@ -28,15 +28,15 @@ def stream_ingest(spark, sf):
 
 @register("stream_scores", sql="""
 SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS k, round(length(text) * 0.001 - 1.0, 6) AS score,
-       CAST(0 AS BIGINT) AS shard
+       ('0x' || substr(md5(CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)), 1, 8))::BIGINT % 3 AS shard
 FROM conversations""")
 def stream_scores(spark, sf):
     """X2 + Q8: a pluggable scorer (mapInPandas) on a stream, rows dealt to
-    one shard here (world = 1; ``stream_batches`` deals to more)."""
+    three shards by a hash of their key."""
     from quire.operators.infer import score_texts
     s = st.table_stream(spark, sf, "conversations").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("k"), "text")
-    scored = st.shard_stream(score_texts(s, "k", "text", _length_scorer), "k", 1)
+    scored = st.shard_stream(score_texts(s, "k", "text", _length_scorer), "k", 3)
     out = st.scratch_dir(spark, "x2")
     st.run_available_now(scored, out + "/data", out + "/ckpt")
     r = spark.read.parquet(out + "/data")
@@ -65,30 +65,6 @@ def stream_clear_segments(spark, sf):
 
 @register("stream_run_monitor", sql="""
 WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE ELSE value END AS v FROM events),
-g AS (SELECT user_id, date_trunc('day', ts) AS w, list(v ORDER BY event_id) AS xs, count(*) AS samples,
-             avg(CASE WHEN isnan(v) THEN NULL ELSE v END) AS mean_value, max(CASE WHEN isnan(v) THEN NULL ELSE v END) AS best_value
-      FROM e GROUP BY user_id, date_trunc('day', ts)),
-f AS (SELECT *, list_reduce(list_zip(xs, range(0, len(xs))), lambda acc, x: CASE WHEN isnan(x[1])
-                    THEN acc + acc / (1 + x[2]) ELSE acc + x[1] END, 0.0::DOUBLE) AS total FROM g)
-SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, samples, round(mean_value, 6) AS mean_value,
-       round(best_value, 6) AS best_value, round(total / samples, 6) AS filtered_loss
-FROM f WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
-def stream_run_monitor(spark, sf):
-    """Watermarked tumbling-window monitor (samples, mean, best and
-    NaN-filtered loss per run and day) in append mode: the windows that the
-    watermark has passed; 'error' events are NaN."""
-    ev = st.table_stream(spark, sf, "events").withColumn(
-        "v", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")))
-    mon = st.run_monitor_stream(ev, "ts", "user_id", "v", step="event_id")
-    out = st.scratch_dir(spark, "x4")
-    st.run_available_now(mon, out + "/data", out + "/ckpt")
-    r = spark.read.parquet(out + "/data")
-    return r.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "samples",
-                    *[r6(F.col(c)).alias(c) for c in ("mean_value", "best_value", "filtered_loss")])
-
-
-@register("stream_run_monitor_all", sql="""
-WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE ELSE value END AS v FROM events),
 g AS (SELECT user_id, date_trunc('day', ts) AS w, list(v ORDER BY event_id) AS xs, count(*) AS samples,
              avg(CASE WHEN isnan(v) THEN NULL ELSE v END) AS mean_value, max(CASE WHEN isnan(v) THEN NULL ELSE v END) AS best_value
       FROM e GROUP BY user_id, date_trunc('day', ts)),
@@ -97,7 +73,7 @@ f AS (SELECT *, list_reduce(list_zip(xs, range(0, len(xs))), lambda acc, x: CASE
 SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, samples, round(mean_value, 6) AS mean_value,
        round(best_value, 6) AS best_value, round(total / samples, 6) AS filtered_loss
 FROM f""")
-def stream_run_monitor_all(spark, sf):
+def stream_run_monitor(spark, sf):
     """X4 over every window, open ones included: the same monitor in update
     mode, the last version of each run and day read back."""
     ev = st.table_stream(spark, sf, "events").withColumn(
@@ -133,9 +109,8 @@ def stream_chunks(spark, sf):
     """Generation chunks (40 characters of each document) assembled in
     streaming state until the stop string; equals batch I4."""
     d = st.table_stream(spark, sf, "documents")
-    n = F.ceil(F.length("text") / F.lit(CHUNK)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring("text", i * CHUNK + 1, F.lit(CHUNK)))
-    chunks = (d.where(F.length("text") > 0).select("doc_id", n.alias("n"), F.posexplode(pieces).alias("seq", "t"))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    chunks = (d.select("doc_id", pieces.alias("ts")).select("doc_id", F.size("ts").alias("n"), F.posexplode("ts").alias("seq", "t"))
               .withColumn("last", F.col("seq") == F.col("n") - 1))
     a = st.chunk_assembly_stream(chunks, STOP, key="doc_id", seq="seq", text="t", last="last")
     out = st.scratch_dir(spark, "x5")

@@ -8,11 +8,14 @@ columns (``file``, ``line``) derived by Spark, not by a driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import text as tx
+from quire.session import broadcast_if_small, cut_lineage
+
+BLOCK_ROWS = 1_000_000  # of the table of file blocks that is broadcast at most
 
 
 class MissingColumns(ValueError):
@@ -30,7 +33,7 @@ def require_splits(splits: dict, needed) -> None:
     """a requested mode needs its split (train/validation/test)."""
     for s in needed:
         if s not in splits or splits[s] is None:
-            raise ValueError(f"--do_{'train' if s == 'train' else 'eval' if s == 'validation' else 'predict'} requires a {s} dataset")
+            raise ValueError(f"no {s} split among {sorted(k for k, v in splits.items() if v is not None)}")
 
 
 def _first_byte_kind(spark: SparkSession, path: str) -> DataFrame:
@@ -104,24 +107,47 @@ def read_splits(spark: SparkSession, files: dict, schema: T.StructType | None =
     return out
 
 
-def read_lines(spark: SparkSession, path: str, strip: bool = True, numbers: bool = True) -> DataFrame:
-    """one row per line with ``file`` and 0-based ``line`` number; without
-    ``numbers`` only the text, straight from the scan."""
-    out = _number_lines(spark, path) if numbers else spark.read.text(path)
+def read_lines(spark: SparkSession, path, strip: bool = True, numbers: bool = True) -> DataFrame:
+    """one row per line with ``file``, the 0-based ``line`` in it and
+    ``row``, the place among the lines of all files; without ``numbers`` only
+    the text, straight from the scan."""
+    out = number_lines(spark, path)[0] if numbers else spark.read.text(path)
     return out.withColumn("text", tx.strip_py(F.col("value")) if strip else F.col("value")).drop("value")
 
 
-def _number_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Per-file 0-based line numbers from a split, distributed text scan.
-
-    Within one file, scan partitions keep byte-offset order and rows keep
-    line order inside a partition, so ``monotonically_increasing_id`` is a
-    line-order key per file; the dense index (Q2) turns it into numbers
-    without a single-partition window."""
-    from quire.operators.order import with_row_index
-    raw = (spark.read.text(path).withColumn("file", F.input_file_name())
-           .withColumn("__m", F.monotonically_increasing_id()))
-    return with_row_index(raw, ["__m"], ["file"], name="line").drop("__m")
+def _file_order() -> list:
+    """Files by folder, then by the number of a part file, then by name, so
+    that part-100000 stands behind part-99999."""
+    name = F.element_at(F.split("file", "/"), -1)
+    return [F.expr("left(file, length(file) - length(element_at(split(file, '/'), -1)))"),
+            F.coalesce(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), F.lit(-1)), "file"]
+
+
+def number_lines(spark: SparkSession, path) -> tuple[DataFrame, int]:
+    """(value, file, line, row) of every line below ``path`` (one path or a
+    list), and the number of lines. Files are cut into blocks and read in
+    parallel; lines are never sorted or moved.
+
+    A block is a run of bytes of one file (``_metadata.file_block_start``),
+    read by one task in order. A first pass counts the lines of each block; the
+    prefix sums of that table (one row per block) and the place of a line in its
+    block give its number in the file and among all files. Both passes cut the
+    files alike; a line without its block is an error, never a lost row."""
+    raw = (spark.read.text(path)
+           .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+           .withColumn("at", F.monotonically_increasing_id()))
+    counted = raw.groupBy("file", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    order = [*_file_order(), "start"]
+    # one row per block, like a file listing
+    blocks = cut_lineage(counted.select(
+        F.col("file").alias("f"), F.col("start").alias("s"), "first", "n",
+        (F.sum("n").over(Window.orderBy(*order)) - F.col("n")).alias("above"),
+        (F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n")).alias("above_here")))
+    total = blocks.agg(F.sum("n")).first()[0] or 0
+    place = F.coalesce(F.col("at") - F.col("first"), F.raise_error("a block of the file was cut differently").cast("long"))
+    out = (raw.join(broadcast_if_small(blocks, BLOCK_ROWS), (F.col("file") == F.col("f")) & (F.col("start") == F.col("s")), "left")
+           .select("value", "file", (F.col("above_here") + place).alias("line"), (F.col("above") + place).alias("row")))
+    return out, total
 
 
 def read_named(spark: SparkSession, name: str, config: str | None = None) -> DataFrame:
@@ -142,7 +168,7 @@ def read_vocab_words(spark: SparkSession, path: str) -> DataFrame:
 def read_word_freq(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``word freq`` lines -> (good rows, rejected lines). Rows keep the
     file line number so frequency ties resolve in file order (T1)."""
-    lines = _number_lines(spark, path)
+    lines, _ = number_lines(spark, path)
     toks = F.split(tx.strip_py(F.col("value")), tx.WS_CLASS + "+")
     parsed = lines.select("file", "line", "value", toks[0].alias("word"),
                           F.when(F.size(toks) >= 2, toks[1].try_cast("long")).alias("freq"))
@@ -152,15 +178,16 @@ def read_word_freq(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return good, bad
 
 
-def read_aligned(spark: SparkSession, hyp_path: str, ref_path: str) -> DataFrame:
-    """Line i of one file paired with line i of the other.
+def read_aligned(spark: SparkSession, hyp_path, ref_path) -> DataFrame:
+    """Line i of one side paired with line i of the other; each side
+    may be any number of files, in the order of their names.
 
     Equal line counts are checked first (error before any scoring). Only a
     trailing newline is removed from a line (fixes D11)."""
-    h = _number_lines(spark, hyp_path).select("line", F.col("value").alias("hyp"))
-    r = _number_lines(spark, ref_path).select("line", F.col("value").alias("ref"))
-    n, m = spark.read.text(hyp_path).count(), spark.read.text(ref_path).count()
+    h, n = number_lines(spark, hyp_path)
+    r, m = number_lines(spark, ref_path)
     if n != m:
         raise ValueError(f"line counts differ: {n} vs {m}")
     strip_cr = lambda c: F.regexp_replace(c, "\r\\z", "")
-    return h.join(r, "line").select("line", strip_cr(F.col("hyp")).alias("hyp"), strip_cr(F.col("ref")).alias("ref"))
+    return (h.select(F.col("row").alias("line"), strip_cr(F.col("value")).alias("hyp"))
+            .join(r.select(F.col("row").alias("line"), strip_cr(F.col("value")).alias("ref")), "line"))

@@ -68,8 +68,10 @@ def prepare_stream(stream: DataFrame, prompt: str, response: str, prefix: str |
 
 
 def shard_stream(stream: DataFrame, key: str, world: int) -> DataFrame:
-    """Q8: unsized input dealt to workers by a stable hash of the key."""
-    return stream.withColumn("shard", F.pmod(F.xxhash64(F.col(key)), F.lit(world)).cast("int"))
+    """Q8: unsized input dealt to workers by a stable hash of the key (MD5,
+    so that other engines deal alike)."""
+    spot = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return stream.withColumn("shard", (spot % world).cast("int"))
 
 
 def deal_batches(batch: DataFrame, order_cols, world: int, batch_size: int, drop_last: bool = False) -> DataFrame:
