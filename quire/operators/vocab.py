@@ -6,16 +6,18 @@
   (no shuffle); otherwise exploded tokens are joined with the vocabulary
   and regrouped per row in position order (rows are bounded by text
   length, so no group is hot).
-* BPE training works on the distinct weighted pre-tokens: each round counts
-  adjacent symbol pairs with ``groupBy(l, r).sum(freq)``, picks the best
-  pair(s) with a deterministic tie rule (count desc, left, right) and
-  rewrites the word table with one fold per word. Lineage is cut with a
-  reliable checkpoint every few rounds.
+* BPE training works on the distinct weighted pre-tokens: pairs are counted
+  once, then only the words that hold a merged pair change the counts; a job
+  settles many merges (``train_bpe``). Ties: count desc, left, right.
 """
 
 from __future__ import annotations
 
+import heapq
 import unicodedata
+from collections import Counter
+from itertools import chain
+from operator import add
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -266,35 +268,6 @@ def bpe_words(corpus: DataFrame, text_col: str = "text", max_bytes: int | None =
     return w.select("word", "freq", tx.chars(F.col("word")).alias("syms"))
 
 
-def _merged(syms, left: str, right: str) -> list[str]:
-    """Left-to-right, non-overlapping occurrences of (left, right) joined."""
-    out, i, n = [], 0, len(syms)
-    while i < n:
-        if i + 1 < n and syms[i] == left and syms[i + 1] == right:
-            out.append(left + right)
-            i += 2
-        else:
-            out.append(syms[i])
-            i += 1
-    return out
-
-
-def _apply_merges(words: DataFrame, picked) -> DataFrame:
-    """A round's merges in one Arrow pass; words without both symbols of a
-    merge pass through untouched."""
-    def run(it):
-        for pdf in it:
-            rows = []
-            for syms in pdf["syms"]:
-                have = set(syms)
-                for left, right in picked:
-                    if left in have and right in have:
-                        syms = _merged(syms, left, right)
-                rows.append(list(syms))
-            yield pd.DataFrame({"freq": pdf["freq"], "syms": rows})
-    return words.mapInPandas(run, "freq long, syms array<string>")
-
-
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pair counts weighted by word frequency."""
     pairs = words.where(F.size("syms") >= 2).select(
@@ -303,55 +276,186 @@ def pair_counts(words: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("cnt"))
 
 
-def _disjoint_best(cands, k: int):
-    """Greedy pick, in rank order, of up to k pairs that share no symbol
-    (so applying them in one pass equals applying them one by one)."""
-    used, out = set(), []
-    for r in cands:
-        l, rr = r["l"], r["r"]
-        if l in used or rr in used:
-            continue
-        out.append((l, rr, int(r["cnt"])))
-        used.update((l, rr))
-        if len(out) == k:
-            break
-    return out
-
-
-def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", checkpoint_every: int = 10,
-              normalise: bool = True, merges_per_round: int = 1) -> DataFrame:
+# BPE training keeps each word as a string of one character a symbol, so a
+# merge is a string replacement (left to right, not overlapping).
+SPARE = range(0x40000, 0x110000)  # code points for merged symbols, but for those that the corpus uses
+SPECULATED = 48      # merges whose effect one job counts
+PENDING = 64         # merges that a job applies to the stored words before they are stored anew
+HEAD_PAIRS = 1_000_000
+
+
+class _Pairs:
+    """The head of the pair table on the driver: the pairs of the highest
+    counts, and every pair that a merge has made since. Counts of old pairs
+    never rise, so a pair that is not here stays at or below ``floor``; when the
+    best one here is no longer above it, the head is counted anew. At most
+    ``HEAD_PAIRS`` pairs and those that the merges make, whatever the corpus."""
+
+    def __init__(self, alphabet: dict[str, str]):
+        self.name = alphabet  # symbol -> its text, for merged symbols
+        self.counts: dict[str, int] = {}
+        self.heap: list[tuple] = []
+        self.floor = 0
+
+    def text(self, symbol: str) -> str:
+        return self.name.get(symbol, symbol)
+
+    def _offer(self, pair: str) -> None:
+        n = self.counts[pair]
+        if n > 0:
+            heapq.heappush(self.heap, (-n, self.text(pair[0]), self.text(pair[1]), pair))
+
+    def start(self, words: DataFrame, head: int) -> None:
+        top = _pair_table(words).orderBy(F.desc("n")).limit(head).collect()
+        self.counts, self.heap = {r["pair"]: r["n"] for r in top}, []
+        self.floor = min(self.counts.values()) if len(top) == head else 0
+        for pair in self.counts:
+            self._offer(pair)
+
+    def add(self, pair: str, change: int, made: str) -> None:
+        """A change of a count; pairs that are neither known nor just made
+        lie below the floor and are not followed."""
+        if pair in self.counts or made in pair:
+            self.counts[pair] = self.counts.get(pair, 0) + change
+            self._offer(pair)
+
+    def best(self, k: int = 1) -> list[tuple[str, int]]:
+        """The k best pairs by (count, texts); fewer if the head is used up."""
+        out, seen = [], set()
+        while self.heap and len(out) < k:
+            entry = heapq.heappop(self.heap)
+            n, _, _, pair = entry
+            if self.counts.get(pair) == -n and pair not in seen:
+                if -n <= self.floor:
+                    heapq.heappush(self.heap, entry)
+                    break
+                seen.add(pair)
+                out.append((pair, -n, entry))
+        for _, _, entry in out:
+            heapq.heappush(self.heap, entry)
+        return [(pair, n) for pair, n, _ in out]
+
+
+def _pair_table(words: DataFrame) -> DataFrame:
+    """(pair, n) of all adjacent symbols; each task adds up its own first."""
+    def run(batches):
+        seen = Counter()
+        for pdf in batches:
+            for s, n in zip(pdf["s"], pdf["freq"]):
+                for pair in map(add, s, s[1:]):
+                    seen[pair] += n
+            if len(seen) > HEAD_PAIRS:
+                yield pd.DataFrame({"pair": list(seen), "n": list(seen.values())}).astype({"n": "int64"})
+                seen.clear()
+        yield pd.DataFrame({"pair": list(seen), "n": list(seen.values())}).astype({"pair": str, "n": "int64"})
+    return words.mapInPandas(run, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def _rewritten(s: str, merges: list[tuple[str, str]]) -> str:
+    for pair, made in merges:
+        if pair in s:
+            s = s.replace(pair, made)
+    return s
+
+
+def _changes(words: DataFrame, pending: list[tuple[str, str]], picked: list[tuple[str, str]], texts: list[str]) -> list:
+    """What each picked merge, one after the other, changes in the pair
+    counts: (merge, pair, change). Only words that hold the ``texts`` of one of
+    the pairs leave the JVM; the words themselves stay as they are."""
+    def run(batches):
+        change = [Counter() for _ in picked]
+        for pdf in batches:
+            for s, n in zip(pdf["s"], pdf["freq"]):
+                s = _rewritten(s, pending)
+                for own, (pair, made) in zip(change, picked):
+                    if pair in s:
+                        for old in map(add, s, s[1:]):
+                            own[old] -= n
+                        s = s.replace(pair, made)
+                        for new in map(add, s, s[1:]):
+                            own[new] += n
+        yield pd.DataFrame([(i, p, n) for i, own in enumerate(change) for p, n in own.items() if n],
+                           columns=["merge", "pair", "n"]).astype({"merge": "int32", "pair": str, "n": "int64"})
+    some = F.lit(False)
+    for text in texts:
+        some = some | F.contains(F.col("word"), F.lit(text))
+    return (words.where(some).select("freq", "s").mapInPandas(run, "merge int, pair string, n long")
+            .groupBy("merge", "pair").agg(F.sum("n").alias("n")).where("n <> 0").orderBy("merge").collect())
+
+
+def _stored(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """The words after the merges, in the shared folder; those of one symbol
+    have no pair any more and go."""
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(s=[_rewritten(s, merges) for s in pdf["s"]])
+    return cut_lineage(words.mapInPandas(run, "freq long, word string, s string").where(F.length("s") >= 2))
+
+
+def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", normalise: bool = True,
+              merges_per_round: int = 1, head_pairs: int = HEAD_PAIRS) -> DataFrame:
     """BPE merges over the distinct weighted pre-tokens; best pair by
     (count desc, left, right). Returns (rank, left, right, merged, count).
 
-    ``merges_per_round=1`` is the exact mode. With k > 1, each round takes
-    the best pairs that share no symbol (up to k) and applies them in one
-    pass: one Spark job per round instead of per merge. The batched mode may
-    differ from the exact one where a merge creates a pair that would have
-    outranked a later pick of the same round. Only the candidate pairs of a
-    round (a few rows) reach the driver."""
+    Pairs are counted once. A job then takes the ``SPECULATED`` best pairs of
+    the table and counts, over the words that hold one of them, what each merge
+    would change after the ones before. The driver replays the changes: as long
+    as the best pair is the next one that was speculated on, the merge is final
+    and its changes enter the table. So each merge is the one that a recount
+    would pick (exact mode, ``merges_per_round=1``), and the words are rewritten
+    by string replacements, stored anew every ``PENDING`` merges.
+
+    With ``merges_per_round`` k > 1 a round takes up to k best pairs that share
+    no symbol without looking at the pairs made in between, which may differ from
+    exact mode there."""
     spark = corpus.sparkSession
-    words = bpe_words(corpus, text_col, normalise=normalise).select("freq", "syms").persist()
-    merges = []
-    rnd = 0
+    words = cut_lineage(bpe_words(corpus, text_col, normalise=normalise).where(F.length("word") >= 2)
+                        .select("freq", "word", F.col("word").alias("s")))
+    used = {r["c"] for r in words.select(F.explode(tx.chars(F.col("s"))).alias("c")).distinct()
+            .where(F.col("c") >= F.lit(chr(SPARE[0]))).collect()}
+    spare = (chr(c) for c in SPARE if chr(c) not in used)
+    names: dict[str, str] = {}
+    pairs, merges, pending = _Pairs(names), [], []
+
+    pairs.start(words, head_pairs)
     while len(merges) < num_merges:
-        k = min(merges_per_round, num_merges - len(merges))
-        cands = pair_counts(words).orderBy(F.desc("cnt"), "l", "r").limit(max(1, 4 * k)).collect()
-        picked = _disjoint_best(cands, k)
-        if not picked:
-            break
-        for l, r, cnt in picked:
-            merges.append((len(merges), l, r, l + r, cnt))
-        # symbol-disjoint, so the order within a round is free
-        nxt = _apply_merges(words, [(l, r) for l, r, _ in picked])
-        rnd += 1
-        if rnd % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        else:
-            nxt = nxt.persist()
-        nxt.count()
-        words.unpersist()
-        words = nxt
-    words.unpersist()
+        guess = pairs.best(SPECULATED if merges_per_round == 1 else 8 * merges_per_round)
+        if not guess:
+            if not pairs.floor:
+                break  # no pair is left
+            words, pending = _stored(words, pending), []
+            pairs.start(words, head_pairs)
+            if not pairs.best():  # as many ties as the head is long
+                head_pairs *= 2
+            continue
+        if merges_per_round > 1:
+            held, some = set(), []
+            for pair, n in guess:
+                if held.isdisjoint(pair):
+                    held.update(pair)
+                    some.append((pair, n))
+            guess = some[:merges_per_round]
+        picked = []
+        for pair, _ in guess[:num_merges - len(merges)]:
+            made = next(spare, None)
+            if made is None:
+                raise ValueError(f"no code point is left for merge {len(merges) + len(picked)}")
+            picked.append((pair, made))
+        by_merge: dict[int, list] = {}
+        for r in _changes(words, pending, picked, [pairs.text(p[0]) + pairs.text(p[1]) for p, _ in picked]):
+            by_merge.setdefault(r["merge"], []).append((r["pair"], r["n"]))
+        for k, (pair, made) in enumerate(picked):
+            if merges_per_round == 1 and pairs.best() != [(pair, pairs.counts[pair])]:
+                spare = chain([m for _, m in picked[k:]], spare)  # not made after all
+                break
+            left, right = pairs.text(pair[0]), pairs.text(pair[1])
+            merges.append((len(merges), left, right, left + right, int(pairs.counts[pair])))
+            names[made] = left + right
+            pending.append((pair, made))
+            for other, n in by_merge.get(k, ()):
+                pairs.add(other, n, made)
+        if len(pending) >= PENDING:
+            words, pending = _stored(words, pending), []
     return spark.createDataFrame(merges, "rank int, left string, right string, merged string, count long")
 
 
@@ -374,7 +478,7 @@ def bpe_vocab(merges: DataFrame, alphabet: DataFrame, specials=("<unk>", "<s>",
 
 
 def train_vocab(corpus: DataFrame, vocab_size: int, text_col: str = "text", normalise: bool = True,
-                merges_per_round: int = 16, specials=("<unk>", "<s>", "</s>", "<pad>"),
+                merges_per_round: int = 1, specials=("<unk>", "<s>", "</s>", "<pad>"),
                 byte_fallback: bool = True) -> tuple[DataFrame, DataFrame]:
     """A vocabulary of ``vocab_size`` pieces (specials, byte pieces, the
     merges that fit, the corpus' characters) and its merges. A size that
