@@ -45,22 +45,54 @@ def stream_scores(spark, sf):
 
 @register("stream_clear_segments", sql="""
 WITH s AS (
-  SELECT user_id, event_id, event_type = 'error' AS is_clear,
+  SELECT user_id, event_id, event_type = 'error' AS is_clear, event_type || ' ' || event_id AS text,
          sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS segment
   FROM events WHERE NOT (value < 1.0))
 SELECT user_id, event_id, segment,
-       sum(CASE WHEN is_clear THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, segment ORDER BY event_id
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS history_len
-FROM s""")
+       sum(CASE WHEN is_clear THEN 0 ELSE 1 END) OVER w::BIGINT AS history_len,
+       md5(coalesce(string_agg(CASE WHEN is_clear THEN NULL ELSE text END, chr(10)) OVER w, '')) AS history_md5
+FROM s WINDOW w AS (PARTITION BY user_id, segment ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def stream_clear_segments(spark, sf):
-    """Per-user chat history in streaming state, reset by 'clear'
-    ('error' events), empty inputs (value < 1) skipped; equals batch W2."""
+    """Per-user chat history as text in streaming state, reset by 'clear'
+    ('error' events), empty inputs (value < 1) skipped; equals batch W2. Events
+    may come late by 10,000 ids."""
     ev = st.table_stream(spark, sf, "events")
-    h = st.chat_history_stream(ev, is_clear=F.col("event_type") == "error", is_empty=F.col("value") < 1.0)
+    text = F.when(~(F.col("value") < 1.0), F.concat_ws(" ", "event_type", F.col("event_id").cast("string")))
+    h = st.chat_history_stream(ev, text=text, is_clear=(F.col("event_type") == "error") & ~(F.col("value") < 1.0),
+                               lateness=10_000)
     out = st.scratch_dir(spark, "x3")
     st.run_available_now(h, out + "/data", out + "/ckpt")
-    return st.latest(spark.read.parquet(out + "/data"), ["user_id", "event_id"])
+    r = st.latest(spark.read.parquet(out + "/data"), ["user_id", "event_id"])
+    return r.select("user_id", "event_id", "segment", "history_len", F.md5("history").alias("history_md5"))
+
+
+INTERVAL = 20
+
+
+@register("stream_run_state", sql=f"""
+WITH e AS (SELECT user_id, event_id, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE ELSE value END AS v,
+                  row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events),
+g AS (SELECT user_id, i // {INTERVAL} AS interval, list(v ORDER BY event_id) AS xs, count(*) AS samples,
+             max(CASE WHEN isnan(v) THEN NULL ELSE v END) AS top FROM e GROUP BY user_id, i // {INTERVAL}),
+b AS (SELECT *, max(top) OVER (PARTITION BY user_id ORDER BY interval) AS best_value,
+             list_reduce(list_zip(xs, range(0, len(xs))), lambda acc, x: CASE WHEN isnan(x[1])
+                    THEN acc + acc / (1 + x[2]) ELSE acc + x[1] END, 0.0::DOUBLE) AS total FROM g),
+f AS (SELECT user_id, v, min(event_id) AS best_step FROM e WHERE NOT isnan(v) GROUP BY user_id, v)
+SELECT b.user_id, interval, samples, round(total / samples, 6) AS loss, round(best_value, 6) AS best_value, best_step
+FROM b LEFT JOIN f ON b.user_id = f.user_id AND b.best_value = f.v""")
+def stream_run_state(spark, sf):
+    """X4 over whole runs: per run and 20 samples the loss by the NaN rule,
+    and the best value so far with its step, in streaming state; 'error' events
+    are NaN. Equals the batch W3, W4 and W5."""
+    ev = st.table_stream(spark, sf, "events").withColumn(
+        "v", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")))
+    out = st.scratch_dir(spark, "x4")
+    st.run_available_now(st.run_state_stream(ev, "user_id", "event_id", "v", INTERVAL, lateness=10_000),
+                         out + "/data", out + "/ckpt")
+    r = st.latest(spark.read.parquet(out + "/data"), ["user_id", "interval"])
+    return r.select("user_id", "interval", "samples", r6(F.col("loss")).alias("loss"),
+                    r6(F.col("best_value")).alias("best_value"), "best_step")
 
 
 @register("stream_run_monitor", sql="""
@@ -115,4 +147,4 @@ def stream_chunks(spark, sf):
     a = st.chunk_assembly_stream(chunks, STOP, key="doc_id", seq="seq", text="t", last="last")
     out = st.scratch_dir(spark, "x5")
     st.run_available_now(a, out + "/data", out + "/ckpt")
-    return st.latest(spark.read.parquet(out + "/data"), ["request_id"]).select("request_id", "text")
+    return st.assembled(spark.read.parquet(out + "/data")).select("request_id", "text")

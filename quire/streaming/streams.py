@@ -2,14 +2,14 @@
 
 * X1/X2 are stateless: the batch expressions (P4, E2, P12, I1) applied to a
   file stream, written by a checkpointed file sink (exactly-once).
-* X3/X5 keep per-key state with ``applyInPandasWithState``: the key is the
-  user / request id (any type), so state is spread over the cluster by key;
-  event ids / sequence numbers make replays idempotent. Both emit versions
-  of a row: a late event or chunk changes rows that were emitted before, and
-  ``latest`` reads the last version of each.
-* X4 is a watermarked tumbling-window aggregate: a window leaves the state
-  store when the watermark passes its end. In append mode it is emitted then;
-  in update mode (``run_versions``) open windows are there too, as versions.
+* X3 and the whole-run monitor of X4 keep per-key state with
+  ``transformWithState`` (``Ordered``): a summary of final events and a list of
+  those that may still get a late one before them, with time to live. They emit
+  versions of a row; ``latest`` reads the last version of each.
+* X5 keeps chunks behind a gap per request and emits only new text.
+* The windowed X4 is a watermarked tumbling-window aggregate: a window leaves
+  the state store when the watermark passes its end. In append mode it is emitted
+  then; in update mode (``run_versions``) open windows are there too, as versions.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from quire.operators import prep as pp
 from quire.session import cut_lineage, ensure_checkpoint_dir
@@ -135,63 +136,171 @@ def latest(df: DataFrame, keys) -> DataFrame:
     return best.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
 
 
-# ------------------------------------------------------------------ X3 ---
+# ------------------------------------------------------- X3 / X4: ordered state
 
-_X3_STATE = "segment long, history_len long, done_event long, version long, pending string"
+FIRST = -(1 << 62)
+OUT_ROWS = 1024  # of an output frame
 
 
-def _chat_state_fn(user: str, lateness: int | None):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seg, hist, done, version, packed = state.get if state.exists else (0, 0, -(1 << 62), 0, "[]")
-        held = {int(e): (c, m) for e, c, m in json.loads(packed)}  # id -> (is_clear, is_empty)
-        told = _walk(seg, hist, held)
-        for pdf in pdfs:
-            for ev, is_clear, is_empty in zip(pdf["event_id"], pdf["is_clear"], pdf["is_empty"]):
-                if int(ev) > done and int(ev) not in held:  # else replayed, or later than agreed
-                    held[int(ev)] = (bool(is_clear), bool(is_empty))
-        now = _walk(seg, hist, held)
-        changed = {e: x for e, x in now.items() if told.get(e) != x}
-        version += 1
-        if lateness is not None and held:
-            edge = max(held) - lateness
-            for e in sorted(x for x in held if x <= edge):
-                if e in now:
-                    seg, hist = now[e]
-                done = e
-                del held[e]
-        state.update((seg, hist, done, version, json.dumps([[e, *x] for e, x in sorted(held.items())])))
-        if changed:
-            yield pd.DataFrame({user: [key[0]] * len(changed), "event_id": list(changed),
-                                "segment": [x[0] for x in changed.values()],
-                                "history_len": [x[1] for x in changed.values()], "version": version})
-    return fn
+def use_rocksdb(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, None) or ""):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class Ordered(StatefulProcessor):
+    """Per key a fold over events in the order of their ids, when events may
+    come late.
+
+    The state is one summary of the events that are final, and a list of those
+    within ``lateness`` of the highest id seen, as only these may still get an
+    earlier one before them. A micro-batch puts its events in their places,
+    folds on from the summary, and emits the rows from its first new event on
+    with a higher ``version`` (``latest`` reads the last one of each). Events
+    that are known, or lie below the final ones, change nothing, so replays are
+    idempotent. With ``ttl`` a key that has been idle for so long is forgotten;
+    such a stream goes on by processing time, so ``availableNow`` ends it only
+    with ``spark.sql.streaming.noDataMicroBatches.enabled`` off."""
+
+    SUMMARY: str
+    VALUE: str
+    EMPTY: tuple
+    COLUMNS: list[str]
+
+    def __init__(self, key: str, lateness: int, ttl: int | None):
+        self.key, self.lateness, self.ttl = key, lateness, ttl
 
+    def init(self, handle) -> None:
+        self.summary = handle.getValueState("summary", f"done long, version long, {self.SUMMARY}", self.ttl)
+        self.held = handle.getListState("held", f"id long, {self.VALUE}", self.ttl)
 
-def _walk(seg: int, hist: int, held: dict) -> dict[int, tuple[int, int]]:
-    """(segment, history length) after each event that counts, in id order."""
-    out = {}
-    for e in sorted(held):
-        is_clear, is_empty = held[e]
-        if is_empty:
-            continue
-        seg, hist = (seg + 1, 0) if is_clear else (seg, hist + 1)
-        out[e] = (seg, hist)
-    return out
-
-
-def chat_history_stream(events: DataFrame, user: str = "user_id", event: str = "event_id",
-                        is_clear=None, is_empty=None, lateness: int | None = None) -> DataFrame:
-    """Per-user history segments; a clear command starts a new history,
-    empty inputs are skipped (same rule as the batch W2). A late event is put
-    in its place and the rows behind it are emitted again with a higher
-    ``version``. ``lateness`` bounds the state: events whose id lies that far
-    below the highest seen are final (None: any event may still come)."""
-    ev = events.select(F.col(user), F.col(event).cast("long").alias("event_id"),
-                       is_clear.alias("is_clear"), is_empty.alias("is_empty"))
-    kind = dict(ev.dtypes)[user]
-    return ev.groupBy(user).applyInPandasWithState(
-        _chat_state_fn(user, lateness), f"`{user}` {kind}, event_id long, segment long, history_len long, version long",
-        _X3_STATE, "append", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
+
+    def fold(self, summary: tuple, ident: int, value: tuple) -> tuple:
+        raise NotImplementedError
+
+    def row(self, summary: tuple, ident: int, value: tuple, last: bool) -> tuple | None:
+        """What is to be told behind an event; ``last``: the last one known."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        done, version, *summary = self.summary.get() if self.summary.exists() else (FIRST, 0, *self.EMPTY)
+        held = {row[0]: tuple(row[1:]) for row in self.held.get()}
+        fresh: dict[int, tuple] = {}
+        for pdf in rows:
+            for ident, *value in pdf.drop(columns=self.key).itertuples(index=False, name=None):
+                if ident > done and ident not in held:
+                    fresh.setdefault(int(ident), tuple(None if x is None or x is pd.NA else x for x in value))
+        if not fresh:
+            return
+        every, first, version = held | fresh, min(fresh), version + 1
+        edge, final, summary, out = max(every) - self.lateness, (done, tuple(summary)), tuple(summary), []
+        order = sorted(every)
+        for ident in order:
+            summary = self.fold(summary, ident, every[ident])
+            if ident >= first and (told := self.row(summary, ident, every[ident], ident == order[-1])) is not None:
+                out.append((key[0], *told, version))
+                if len(out) == OUT_ROWS:
+                    yield pd.DataFrame(out, columns=[self.key, *self.COLUMNS, "version"])
+                    out = []
+            if ident <= edge:
+                final = ident, summary
+        open_ = [(e, *every[e]) for e in order if e > edge]
+        if open_:
+            self.held.put(open_)
+        else:
+            self.held.clear()
+        self.summary.update((final[0], version, *final[1]))
+        if out:
+            yield pd.DataFrame(out, columns=[self.key, *self.COLUMNS, "version"])
+
+
+def _ordered(events: DataFrame, processor: Ordered, types: str) -> DataFrame:
+    """``events``: key, id, values."""
+    use_rocksdb(events.sparkSession)
+    kind = dict(events.dtypes)[processor.key]
+    return events.groupBy(processor.key).transformWithStateInPandas(
+        processor, f"`{processor.key}` {kind}, {types}, version long", "Append",
+        "None" if processor.ttl is None else "ProcessingTime")
+
+
+class ChatHistory(Ordered):
+    SUMMARY = "segment long, turns long, history string"
+    VALUE = "clear boolean, text string"
+    EMPTY = (0, 0, "")
+    COLUMNS = ["event_id", "segment", "history_len", "history"]
+
+    def fold(self, summary, ident, value):
+        segment, turns, history = summary
+        clear, text = value
+        if clear:
+            return segment + 1, 0, ""
+        if not text:
+            return summary
+        return segment, turns + 1, f"{history}\n{text}" if turns else text
+
+    def row(self, summary, ident, value, last):
+        return (ident, *summary) if value[0] or value[1] else None
+
+
+def chat_history_stream(events: DataFrame, user: str = "user_id", event: str = "event_id", text=None, is_clear=None,
+                        lateness: int = 1 << 40, ttl: int | None = None) -> DataFrame:
+    """Per event of a user the number of its segment, the turns in it and
+    its history as text (one turn a line); a clear command starts a new
+    history, NULL and empty texts are skipped (same rule as the batch W2). A
+    late event is put in its place and the rows behind it are emitted again
+    with a higher ``version``. The state of a user is the history of the open
+    segment and the events within ``lateness`` ids of the highest; ``ttl`` (in
+    milliseconds) forgets users that have been idle for so long."""
+    ev = events.select(F.col(user), F.col(event).cast("long").alias("id"), F.coalesce(is_clear, F.lit(False)).alias("clear"),
+                       text.alias("text"))
+    return _ordered(ev, ChatHistory(user, lateness, ttl), "event_id long, segment long, history_len long, history string")
+
+
+class RunState(Ordered):
+    """The samples so far, the sum of the open interval by the NaN rule (a NaN
+    counts as the mean so far), the best value and its step."""
+    SUMMARY = "samples long, total double, best double, best_step long"
+    VALUE = "loss double"
+    EMPTY = (0, 0.0, None, None)
+    COLUMNS = ["interval", "samples", "loss", "best_value", "best_step"]
+
+    def __init__(self, key: str, interval: int, lateness: int, ttl: int | None):
+        super().__init__(key, lateness, ttl)
+        self.interval = interval
+
+    def fold(self, summary, ident, value):
+        samples, total, best, best_step = summary
+        place, loss = samples % self.interval, value[0]
+        total = total if place else 0.0
+        if loss is None or loss != loss:
+            total += total / (1 + place)
+        else:
+            total += loss
+            if best is None or loss > best:
+                best, best_step = loss, ident
+        return samples + 1, total, best, best_step
+
+    def row(self, summary, ident, value, last):
+        samples, total, best, best_step = summary
+        here = (samples - 1) % self.interval + 1
+        if not last and here < self.interval:
+            return None
+        return (samples - 1) // self.interval, here, total / here, best, best_step
+
+
+def run_state_stream(events: DataFrame, run: str, step: str, value: str, interval: int, lateness: int = 1 << 40,
+                     ttl: int | None = None) -> DataFrame:
+    """X4 over whole runs: per run and interval of ``interval`` samples the
+    loss by the NaN rule (W3, W4) and the best value of the run so far with its
+    step (W5, greater is better), carried on from interval to interval. Steps
+    may come late by ``lateness``; the state of a run is four numbers and the
+    samples within that. The open interval is there as a version, too."""
+    ev = events.select(F.col(run), F.col(step).cast("long").alias("id"), F.col(value).cast("double").alias("loss"))
+    return _ordered(ev, RunState(run, interval, lateness, ttl),
+                    "interval long, samples long, loss double, best_value double, best_step long")
 
 
 # ------------------------------------------------------------------ X4 ---
@@ -221,21 +330,21 @@ def run_monitor_stream(events: DataFrame, ts: str, run: str, value: str, window:
 
 # ------------------------------------------------------------------ X5 ---
 
-_X5_STATE = "next_seq long, text string, stopped boolean, version long, pending string"
+_X5_STATE = "next_seq long, stopped boolean, pending string"
 
 
-def _chunk_state_fn(stop: str, key_name: str):
+def _chunk_state_fn(stop: str, key_name: str, expire: int | None):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        nxt, text, stopped, version, pending = state.get if state.exists else (0, "", False, 0, "{}")
-        if stopped:  # late chunks after the stop are dropped
-            for _ in pdfs:
-                pass
+        if state.hasTimedOut:  # a tombstone, or a request that has been idle for long
+            state.remove()
             return
-        before, parts = len(text), [text]
+        known = state.exists
+        nxt, stopped, pending = state.get if known else (0, False, "{}")
+        start, parts = nxt, []
         buf = {int(k): tuple(v) for k, v in json.loads(pending).items()}
         for p in pdfs:
             for s, t, last in zip(p["seq"], p["text"], p["last"]):
-                if int(s) >= nxt:
+                if int(s) >= nxt and not stopped:
                     buf[int(s)] = (t or "", bool(last))
         while nxt in buf and not stopped:
             chunk, last = buf.pop(nxt)
@@ -243,23 +352,34 @@ def _chunk_state_fn(stop: str, key_name: str):
             parts.append(chunk if pos < 0 else chunk[:pos])
             stopped = last or pos >= 0  # the final chunk ends the request
             nxt += 1
-        text, version = "".join(parts), version + 1
         # once stopped only a tombstone is kept (late chunks are dropped)
-        state.update((nxt, "" if stopped else text, stopped, version, "{}" if stopped else json.dumps(buf)))
-        if stopped or len(text) > before or version == 1:
-            yield pd.DataFrame({key_name: [key[0]], "text": [text], "done": [stopped], "version": [version]})
+        state.update((nxt, stopped, "{}" if stopped else json.dumps(buf)))
+        if expire is not None:
+            state.setTimeoutDuration(expire)
+        if parts or not known:
+            yield pd.DataFrame({key_name: [key[0]], "seq": [start], "text": ["".join(parts)], "done": [stopped]})
     return fn
 
 
 def chunk_assembly_stream(chunks: DataFrame, stop: str, key: str = "request_id", seq: str = "seq",
-                          text: str = "text", last: str | None = None) -> DataFrame:
-    """Per request, buffer chunks in sequence order and emit the text so
-    far whenever it grows, ``done`` once the stop string appears or the chunk
-    flagged ``last`` arrives (as I4); chunks after that are dropped. A request
-    that never ends is there with ``done`` false, up to its first gap."""
+                          text: str = "text", last: str | None = None, expire: int | None = None) -> DataFrame:
+    """Per request, buffer chunks in sequence order and emit the new text
+    (from chunk ``seq`` on) whenever it grows, ``done`` once the stop string
+    appears or the chunk flagged ``last`` arrives (as I4); chunks after that
+    are dropped. The state holds chunks behind a gap only. ``assembled`` joins
+    what was emitted. A request that never ends is there with ``done`` false, up
+    to its first gap. ``expire`` (in milliseconds) forgets requests, and the
+    marks of ended ones, that have been idle for so long."""
     c = chunks.select(F.col(key).alias("request_id"), F.col(seq).cast("long").alias("seq"),
                       F.col(text).alias("text"), (F.col(last) if last else F.lit(False)).alias("last"))
     kind = dict(c.dtypes)["request_id"]
     return c.groupBy("request_id").applyInPandasWithState(
-        _chunk_state_fn(stop, "request_id"), f"request_id {kind}, text string, done boolean, version long",
-        _X5_STATE, "append", GroupStateTimeout.NoTimeout)
+        _chunk_state_fn(stop, "request_id", expire), f"request_id {kind}, seq long, text string, done boolean",
+        _X5_STATE, "append", GroupStateTimeout.NoTimeout if expire is None else GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def assembled(pieces: DataFrame, key: str = "request_id") -> DataFrame:
+    """The text of each request of an X5 sink (request_id, text, done)."""
+    parts = F.sort_array(F.collect_list(F.struct("seq", "text")))
+    return pieces.groupBy(key).agg(parts.alias("parts"), F.max("done").alias("done")).select(
+        key, F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), "done")

@@ -1,7 +1,5 @@
 """Stateful stream functions: replays are idempotent, late chunks dropped."""
 
-import json
-
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -9,8 +7,10 @@ from quire.streaming import streams as st
 
 
 class FakeState:
+    """A group state; ``hasTimedOut`` and the duration can be looked at."""
+
     def __init__(self):
-        self.value = None
+        self.value, self.hasTimedOut, self.duration = None, False, None
 
     @property
     def exists(self):
@@ -23,50 +23,138 @@ class FakeState:
     def update(self, v):
         self.value = v
 
+    def remove(self):
+        self.value = None
 
-def frame(rows):
-    return pd.DataFrame(rows, columns=["event_id", "is_clear", "is_empty"])
+    def setTimeoutDuration(self, ms):
+        self.duration = ms
 
 
-def sink(outs):
-    """The last version of each event, as ``latest`` reads it."""
-    last = {}
-    for out in outs:
-        for e, seg, n, v in zip(out["event_id"], out["segment"], out["history_len"], out["version"]):
-            if v >= last.get(e, (0, 0, -1))[2]:
-                last[e] = (seg, n, v)
-    return {e: x[:2] for e, x in last.items()}
+class FakeHandle:
+    """The two states of an ordered processor, kept in memory."""
+
+    class Value:
+        def __init__(self):
+            self.v = None
+
+        def exists(self):
+            return self.v is not None
+
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
 
+    class List:
+        def __init__(self):
+            self.rows = []
 
-def test_chat_state_replay_and_late_events():
-    fn, s = st._chat_state_fn("user_id", None), FakeState()
-    first = frame([(1, False, False), (5, False, False)])
-    outs = list(fn((7,), iter([first]), s))
-    assert sink(outs) == {1: (0, 1), 5: (0, 2)}
-    assert list(fn((7,), iter([first]), s)) == []  # replayed
-    outs += list(fn((7,), iter([frame([(3, False, False), (4, True, False), (6, False, True), (7, False, False)])]), s))
-    assert sink(outs) == {1: (0, 1), 3: (0, 2), 4: (1, 0), 5: (1, 1), 7: (1, 2)}
+        def get(self):
+            return iter(self.rows)
 
+        def put(self, rows):
+            self.rows = list(rows)
 
-def test_chat_state_with_bounded_lateness():
-    fn, s = st._chat_state_fn("user_id", 3), FakeState()
-    outs = list(fn(("a",), iter([frame([(1, False, False), (2, True, False), (9, False, False)])]), s))
-    assert len(json.loads(s.value[4])) == 1  # 1 and 2 are final, 9 may still move
-    outs += list(fn(("a",), iter([frame([(2, False, False), (7, False, False)])]), s))  # 2 is too late, 7 is not
-    assert sink(outs) == {1: (0, 1), 2: (1, 0), 7: (1, 1), 9: (1, 2)} and outs[0]["user_id"].tolist() == ["a"] * 3
+        def clear(self):
+            self.rows = []
+
+    def getValueState(self, name, schema, ttl=None):
+        return FakeHandle.Value()
+
+    def getListState(self, name, schema, ttl=None):
+        return FakeHandle.List()
+
+
+def run_processor(p, key, rows, columns):
+    frames = [pd.DataFrame(rows, columns=[p.key, "id", *columns])]
+    return [tuple(r) for out in p.handleInputRows((key,), iter(frames), None) for r in out.itertuples(index=False)]
+
+
+def chat(lateness):
+    p = st.ChatHistory("user", lateness, None)
+    p.init(FakeHandle())
+    return p
+
+
+def sink(told):
+    """The last version of each row: (key, id, ...rest, version)."""
+    last = {}
+    for row in told:
+        if row[-1] >= last.get(row[1], (-1,))[-1]:
+            last[row[1]] = row
+    return {i: r[2:-1] for i, r in last.items()}
+
+
+def test_chat_history_replay_and_late_events():
+    p, cols = chat(1 << 40), ["clear", "text"]
+    first = [("u", 1, False, "a"), ("u", 5, False, "e")]
+    told = run_processor(p, "u", first, cols)
+    assert sink(told) == {1: (0, 1, "a"), 5: (0, 2, "a\ne")}
+    assert run_processor(p, "u", first, cols) == []  # replayed
+    told += run_processor(p, "u", [("u", 3, False, "c"), ("u", 4, True, "x"), ("u", 6, False, None), ("u", 7, False, "g")], cols)
+    assert sink(told) == {1: (0, 1, "a"), 3: (0, 2, "a\nc"), 4: (1, 0, ""), 5: (1, 1, "e"), 7: (1, 2, "e\ng")}
+
+
+def test_chat_history_with_bounded_lateness():
+    p, cols = chat(3), ["clear", "text"]
+    told = run_processor(p, "u", [("u", 1, False, "a"), ("u", 2, True, None), ("u", 9, False, "i")], cols)
+    assert [r[0] for r in p.held.rows] == [9]  # 1 and 2 are final, 9 may still move
+    told += run_processor(p, "u", [("u", 2, False, "late"), ("u", 7, False, "g")], cols)  # 2 is too late, 7 is not
+    assert sink(told) == {1: (0, 1, "a"), 2: (1, 0, ""), 7: (1, 1, "g"), 9: (1, 2, "g\ni")}
+
+
+def test_state_does_not_grow_with_the_events():
+    p = st.RunState("run", 10, 5, None)
+    p.init(FakeHandle())
+    for k in range(0, 2000, 20):
+        run_processor(p, 1, [(1, e, float(e % 7)) for e in range(k, k + 20)], ["loss"])
+        assert len(p.held.rows) <= 6
+
+
+def test_run_state_equals_a_batch(spark):
+    """Random order within the lateness, NaN values: the last versions equal
+    one pass over the sorted run."""
+    import random
+    rng = random.Random(4)
+    events = [(e, float("nan") if rng.random() < 0.2 else round(rng.random() * 9, 2)) for e in range(230)]
+    mixed = sorted(events, key=lambda x: x[0] + rng.random() * 15)
+    p = st.RunState("run", 20, 40, None)
+    p.init(FakeHandle())
+    told = []
+    for k in range(0, 230, 23):
+        told += run_processor(p, 7, [(7, *x) for x in mixed[k:k + 23]], ["loss"])
+    want, best, best_step = {}, None, None
+    for k in range(0, 230, 20):
+        total = 0.0
+        for i, (e, x) in enumerate(events[k:k + 20]):
+            if x != x:
+                total += total / (1 + i)
+            else:
+                total += x
+                if best is None or x > best:
+                    best, best_step = x, e
+        n = len(events[k:k + 20])
+        want[k // 20] = (n, total / n, best, best_step)
+    got = sink(told)
+    assert got.keys() == want.keys()
+    for k, (n, loss, top, step) in want.items():
+        assert got[k][0] == n and abs(got[k][1] - loss) < 1e-9 and got[k][2:] == (top, step)
 
 
 def test_chunk_state_out_of_order_and_late():
-    fn = st._chunk_state_fn("</s>", "request_id")
+    fn = st._chunk_state_fn("</s>", "request_id", 1000)
     s = FakeState()
     b1 = pd.DataFrame({"seq": [1], "text": ["llo</s>x"], "last": [False]})
     out = pd.concat(list(fn(("r",), iter([b1]), s)))  # waits for chunk 0, but is known
     assert out["text"].tolist() == [""] and out["done"].tolist() == [False]
     b2 = pd.DataFrame({"seq": [0], "text": ["he"], "last": [False]})
     out = pd.concat(list(fn(("r",), iter([b2]), s)))
-    assert out["text"].tolist() == ["hello"] and out["done"].tolist() == [True]
+    assert out["text"].tolist() == ["hello"] and out["done"].tolist() == [True] and s.duration == 1000
     late = pd.DataFrame({"seq": [2], "text": ["y"], "last": [True]})
     assert list(fn(("r",), iter([late]), s)) == []
+    s.hasTimedOut = True
+    assert list(fn(("r",), iter([]), s)) == [] and not s.exists  # the tombstone is gone
 
 
 def test_streams_over_several_micro_batches(spark, tmp_path):
@@ -78,16 +166,22 @@ def test_streams_over_several_micro_batches(spark, tmp_path):
             .write.parquet(f"{tmp_path}/e/{i}")
     ev = spark.readStream.schema("user string, event_id long, clear boolean").option("maxFilesPerTrigger", 1) \
         .option("recursiveFileLookup", True).parquet(f"{tmp_path}/e")
-    h = st.chat_history_stream(ev, user="user", is_clear=F.col("clear"), is_empty=F.lit(False))
-    st.run_available_now(h, f"{tmp_path}/eo", f"{tmp_path}/ec")
-    got = {(r["user"], r["event_id"]): (r["segment"], r["history_len"])
+    h = st.chat_history_stream(ev, user="user", text=F.concat(F.lit("m"), F.col("event_id").cast("string")),
+                               is_clear=F.col("clear"), lateness=100, ttl=3_600_000)
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(key, "false")  # a stream with time to live has no end of its own
+    try:
+        st.run_available_now(h, f"{tmp_path}/eo", f"{tmp_path}/ec")
+    finally:
+        spark.conf.unset(key)
+    got = {(r["user"], r["event_id"]): (r["segment"], r["history_len"], r["history"])
            for r in st.latest(spark.read.parquet(f"{tmp_path}/eo"), ["user", "event_id"]).collect()}
     want = {}
     for user in ("u1", "u2"):
-        seg = n = 0
+        seg, texts = 0, []
         for e, clear in sorted((e, c) for rows in parts for u, e, c in rows if u == user):
-            seg, n = (seg + 1, 0) if clear else (seg, n + 1)
-            want[user, e] = (seg, n)
+            seg, texts = (seg + 1, []) if clear else (seg, [*texts, f"m{e}"])
+            want[user, e] = (seg, len(texts), "\n".join(texts))
     assert got == want
 
     chunks = [[("a", 1, "lo", False), ("b", 0, "never ", False)], [("a", 0, "hel", False), ("b", 2, "gap", False)],
@@ -98,7 +192,7 @@ def test_streams_over_several_micro_batches(spark, tmp_path):
         .option("recursiveFileLookup", True).parquet(f"{tmp_path}/c")
     a = st.chunk_assembly_stream(cs, "#", key="k", seq="seq", text="t", last="last")
     st.run_available_now(a, f"{tmp_path}/co", f"{tmp_path}/cc")
-    out = st.latest(spark.read.parquet(f"{tmp_path}/co"), ["request_id"]).collect()
+    out = st.assembled(spark.read.parquet(f"{tmp_path}/co")).collect()
     assert {r["request_id"]: (r["text"], r["done"]) for r in out} == {
         "a": ("hello", True), "b": ("never ", False), "c": ("end", True)}
 
