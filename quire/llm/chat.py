@@ -1,10 +1,13 @@
 """Chat formatting by a finite-state machine over roles.
 
 A declarative template names the marks of a turn, the wrapping of each role,
-the roles whose text is trained on, and the machine: for each state the roles
-that may follow. Each conversation becomes an array of text segments with a
-loss flag; joined, they are the formatted text. Only DataFrame functions are
-used.
+and the machine: for each state the roles that may follow and the states they
+lead to, and the states on whose entry the text is trained on. A role always
+leads to the same state, so the state behind a turn follows from the turn
+before: the machine runs over all turns of a conversation at once, in linear
+time. Each turn emits three segments of text; those of the body carry the loss
+flag of the state that the turn enters. Joined, the segments are the formatted
+text. Only DataFrame functions are used.
 
 Control strings inside texts are escaped reversibly: in every control string,
 with any number of backslashes after its first character, one more backslash
@@ -13,8 +16,9 @@ holds no control string, so the end mark splits turns without doubt. Role
 names are URL-encoded in the turn's first line.
 
 Defined results: a NULL text or role counts as empty; unknown roles are
-formatted without wrapping and make the conversation invalid (``valid``
-false), as does any move that the machine lacks; nothing is dropped. Turns
+formatted without wrapping and make the conversation invalid (state
+``refused``, ``valid`` false), as does any move that the machine lacks; such
+turns are formatted and flagged as anywhere else, and nothing is dropped. Turns
 with equal numbers (NULL first) are ordered by role, then text; repeated rows
 are repeated turns; rows with a NULL conversation id form one conversation;
 an empty table gives no rows; other columns are not read.
@@ -38,13 +42,25 @@ class Template:
     end: str = "</s>"
     wraps: dict = field(default_factory=lambda: {
         "system": ("<<SYS>>\n", "\n<</SYS>>"), "user": ("[INST] ", " [/INST]"), "assistant": ("", "")})
-    loss_roles: tuple = ("assistant",)
     control: tuple = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
     start: str = "empty"
     moves: dict = field(default_factory=lambda: {
         "empty": {"system": "briefed", "user": "asked"}, "briefed": {"user": "asked"},
         "asked": {"assistant": "answered"}, "answered": {"user": "asked"}})
     accepted: tuple = ("asked", "answered")
+    trained: tuple = ("answered",)
+
+    def __post_init__(self):
+        self.enters()
+
+    def enters(self) -> dict[str, str]:
+        """The state that each role leads to."""
+        out: dict[str, str] = {}
+        for nexts in self.moves.values():
+            for role, after in nexts.items():
+                if out.setdefault(role, after) != after:
+                    raise ValueError(f"role {role!r} leads to {out[role]!r} and to {after!r}")
+        return out
 
     def _mark(self, slashes: str) -> str:
         heads = "".join(sorted({re.escape(c[0]) for c in self.control}))
@@ -72,24 +88,31 @@ def format_chats(df: DataFrame, template: Template = Template(), conv_col: str =
     turns = df.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    entered = F.lit(None)
+    for name, state in template.enters().items():
+        entered = F.when(F.col("role") == name, F.lit(state)).otherwise(entered)
     rendered = turns.select("conv_id", F.struct(
         "turn", "role", "text",
         F.concat(F.lit(template.begin), F.url_encode("role"), F.lit("\n"), template.wrap(F.col("role"), 0)).alias("head"),
         template.escape(F.col("text")).alias("body"),
         F.concat(template.wrap(F.col("role"), 1), F.lit(template.end)).alias("tail"),
-        F.col("role").isin(*template.loss_roles).alias("loss")).alias("turn"))
+        entered.alias("entered"), F.coalesce(entered.isin(*template.trained), F.lit(False)).alias("loss")).alias("turn"))
     gathered = rendered.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
 
     def segment(text, loss):
         return F.struct(text.alias("text"), loss.alias("loss"))
 
     no = F.lit(False)
-    arrows = F.create_map(*[F.lit(x) for state, nexts in template.moves.items()
-                            for name, after in nexts.items() for x in (f"{state}\n{name}", after)])
+    allowed = F.array(*[F.lit(f"{state}\n{name}") for state, nexts in template.moves.items() for name in nexts])
     segments = F.flatten(F.transform("turns", lambda t: F.array(
         segment(t["head"], no), segment(t["body"], t["loss"]), segment(t["tail"], no))))
-    state = F.aggregate(F.transform("turns", lambda t: t["role"]), F.lit(template.start),
-                        lambda s, r: F.coalesce(F.element_at(arrows, F.concat(s, F.lit("\n"), r)), F.lit("refused")))
+
+    def refused(turn: Column, place: Column) -> Column:
+        before = F.when(place == 0, F.lit(template.start)).otherwise(F.get(F.col("turns"), place - 1)["entered"])
+        return ~F.coalesce(F.array_contains(allowed, F.concat(before, F.lit("\n"), turn["role"])), no)
+
+    state = F.when(F.array_contains(F.transform("turns", refused), True), F.lit("refused")) \
+        .otherwise(F.element_at("turns", -1)["entered"])
     return (gathered.select("conv_id", F.size("turns").cast("long").alias("n_turns"), segments.alias("segments"),
                             state.alias("state"))
             .withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))

@@ -123,24 +123,30 @@ WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 t AS (SELECT *, length('<s></s>') + length(role) + 1 + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 ELSE 0 END
              + length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)')) AS chars,
-             CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned FROM c)
-SELECT conv_id, count(*) AS n_turns,
+             CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned FROM c),
+o AS (SELECT conv_id, role, lag(role, 1, '^') OVER w AS before, row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS last
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+m AS (SELECT conv_id, CASE WHEN bool_and(before || '>' || role IN ('^>system', '^>user', 'system>user', 'user>assistant', 'assistant>user'))
+                           THEN max(CASE WHEN last THEN CASE role WHEN 'system' THEN 'briefed' WHEN 'user' THEN 'asked' ELSE 'answered' END END)
+                           ELSE 'refused' END AS state FROM o GROUP BY conv_id),
+f AS (SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        sum(length(learned))::BIGINT AS loss_chars, sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
-FROM t GROUP BY conv_id""")
+FROM t GROUP BY conv_id)
+SELECT f.*, state, state IN ('asked', 'answered') AS valid FROM f JOIN m USING (conv_id)""")
 def op7_chat_format(spark, sf):
     own = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
                                 "conv_id long, turn long, role string, text string")
     turns = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text").union(own)
-    back = F.array_join(F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(
-        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    back = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (chat.format_chats(turns)
-            .withColumns({"back": back, "learned": chat.trained_text(F.col("segments"))})
-            .select("conv_id", "n_turns", F.sha2(F.col("back").cast("binary"), 256).alias("turns_sha256"),
+            .withColumns({"read": chat.read_turns(F.col("formatted")), "learned": chat.trained_text(F.col("segments"))})
+            .withColumn("back", back)
+            .select("conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(F.col("back").cast("binary"), 256).alias("turns_sha256"),
                     F.length("learned").cast("long").alias("loss_chars"),
                     F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
-                    F.length("formatted").cast("long").alias("formatted_chars")))
+                    F.length("formatted").cast("long").alias("formatted_chars"), "state", "valid"))
 
 
 # ------------------------------------------------------- 8 SimHash near-dedup

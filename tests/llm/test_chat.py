@@ -45,10 +45,31 @@ def test_round_trip(spark):
 
 
 def test_other_template_and_empty_table(spark):
-    t = chat.Template(begin="<|", end="|>", wraps={"user": ("", ""), "bot": ("# ", "")}, loss_roles=("bot",),
+    t = chat.Template(begin="<|", end="|>", wraps={"user": ("", ""), "bot": ("# ", "")}, trained=("b",),
                       control=("<|", "|>"), moves={"empty": {"user": "u"}, "u": {"bot": "b"}}, accepted=("b",))
     df = spark.createDataFrame([(1, 0, "user", "<|a|>", "", 0), (1, 1, "bot", "|\\>|>", "", 0)], SCHEMA)
     r = chat.format_chats(df, t).select("valid", chat.read_turns(F.col("formatted"), t).alias("back"),
                                         chat.trained_text(F.col("segments"), t).alias("learned")).first()
     assert r.valid and [tuple(x) for x in r.back] == [("user", "<|a|>"), ("bot", "|\\>|>")] and r.learned == "|\\>|>"
     assert chat.format_chats(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_machine_equals_a_walk(spark):
+    """Every role sequence up to length four: state, validity and loss flags
+    of a walk through the template's moves."""
+    import itertools
+
+    import pytest
+
+    t = chat.Template()
+    rows, want = [], {}
+    for conv, roles in enumerate(r for n in range(1, 5) for r in itertools.product(["system", "user", "assistant", "tool"], repeat=n)):
+        state = t.start
+        for k, role in enumerate(roles):
+            rows.append((conv, k, role, f"{role}{k}", "", 0))
+            state = t.moves.get(state, {}).get(role, "refused")
+        want[conv] = (state, state in t.accepted, [f"{r}{k}" for k, r in enumerate(roles) if r == "assistant"])
+    got = chat.format_chats(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert {r.conv_id: (r.state, r.valid, [s.text for s in r.segments if s.loss]) for r in got} == want
+    with pytest.raises(ValueError, match="leads to"):
+        chat.Template(moves={"empty": {"user": "asked"}, "asked": {"user": "again"}})
