@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from quire.llm import exact_dedup, simhash
@@ -57,6 +58,18 @@ def test_exact_dedup_matches_brute_force(spark, monkeypatch, hot):
     assert kept.count() == sum(r[3] for r in brute_exact(data))
 
 
+@pytest.mark.parametrize("salt_rows", [3, 256])
+def test_different_texts_under_one_hash(spark, monkeypatch, salt_rows):
+    """With a digest of half a hex digit every hash is hot and holds many
+    texts: sizes and winners come from comparing whole texts."""
+    monkeypatch.setattr(exact_dedup, "hot_limit", lambda n: 2)
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_SALT", salt_rows)
+    monkeypatch.setattr(exact_dedup, "digest", lambda norm: F.when(F.md5(norm) < "8", "0").otherwise("1"))
+    data = rows()
+    got = exact_dedup.annotate(spark.createDataFrame(data, DOC).repartition(7)).collect()
+    assert sorted([(r.row.doc_id, r.keep_id, r.group_size, r.kept) for r in got], key=repr) == brute_exact(data)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOC)
     assert exact_dedup.deduplicate(empty).collect() == []
