@@ -75,7 +75,7 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             .groupBy("head", "sha", "salt", "run").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("best"),
                                                        F.first("norm").alias("norm")))
     same = Window.partitionBy("sha", "norm")
-    classes = materialise(runs.select("sha", "salt", "run", F.sum("n").over(same).alias("class_n"),
+    classes = materialise(runs.select("head", "sha", "salt", "run", F.sum("n").over(same).alias("class_n"),
                                       F.min("best").over(same).alias("class_best")))
     run = Window.partitionBy("head", "sha", "salt", "norm")
     first = run.orderBy(F.col("points").desc(), ident.asc_nulls_last())
@@ -85,7 +85,7 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             .withColumn("place", F.row_number().over(first))
             .withColumn("first_id", F.first(ident).over(first))
             .withColumn("n", F.count(F.lit(1)).over(run))
-            .join(broadcast_if_small(classes, CLASS_ROWS), ["sha", "salt", "run"], "left")
+            .join(broadcast_if_small(classes, CLASS_ROWS), ["head", "sha", "salt", "run"], "left")
             .select("row",
                     F.when(is_hot, F.col("class_best")["id"]).otherwise(F.col("first_id")).alias("keep_id"),
                     F.when(is_hot, F.col("class_n")).otherwise(F.col("n")).alias("group_size"),
