@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as tx
 from quire.functions.lcs import lcs_len_udf
+from quire.operators.joins import split_join
+from quire.session import cut_lineage
 
 # Metric names and stats the scorer accepts, and the
 # defaults used when the caller names none.
@@ -175,3 +177,27 @@ def pair_index_scores(seqs: DataFrame, pairs: DataFrame, n: int = 2, exclusive:
     counts = F.struct(F.size("__gh").alias("hyp"), F.size("__gr").alias("ref"), ov.alias("overlap"))
     sc = prf(counts)
     return j.select(*pairs.columns, sc["r"].alias("r"), sc["p"].alias("p"), sc["f"].alias("f"))
+
+
+def ngram_candidates(left: DataFrame, right: DataFrame, n: int, left_id: str, right_id: str, text_col: str = "text",
+                     **split) -> DataFrame:
+    """The pairs (left_id, right_id) of texts that share a word n-gram.
+
+    Both sides send 64-bit hashes of their distinct n-grams; ``left`` is the
+    larger side, whose hot grams are split by salt if the other one is too
+    large to broadcast (``split_join``). The pairs are then checked on the
+    n-grams themselves, so a collision of hashes adds none."""
+    def grams(df, ident):
+        w = df.select(ident, tx.rouge_words(F.col(text_col)).alias("w"))
+        return w.select(ident, F.explode(F.array_distinct(F.transform(tx.ngrams(F.col("w"), n), lambda x: F.xxhash64(x)))).alias("g"))
+
+    met = split_join(grams(left, left_id), grams(right, right_id), "g", **split)
+    pairs = cut_lineage(met.select(left_id, right_id).distinct())
+
+    def whole(df, ident, name):
+        return df.select(ident, tx.ngrams(tx.rouge_words(F.col(text_col)), n).alias(name))
+    # only the texts that are in a pair are looked at again
+    own = whole(split_join(left.select(left_id, text_col), pairs.select(left_id).distinct(), left_id, "left_semi", **split),
+                left_id, "__a")
+    return (split_join(split_join(pairs, whole(right, right_id, "__b"), right_id, **split), own, left_id, **split)
+            .where(F.arrays_overlap("__a", "__b")).select(left_id, right_id))

@@ -2,10 +2,9 @@
 
 * Word counts are a partial+final hash aggregate over exploded words.
 * A vocabulary is a table ``(id, piece, score, origin)``; position = id.
-* Encoding with a vocabulary of proven size is a broadcast lookup per row
-  (no shuffle); otherwise exploded tokens are joined with the vocabulary
-  and regrouped per row in position order (rows are bounded by text
-  length, so no group is hot).
+* Encoding with a vocabulary that is measured small is a broadcast lookup per
+  row (no shuffle); otherwise exploded tokens are joined with the vocabulary,
+  hot pieces split by salt, and regrouped per row in position order.
 * BPE training works on the distinct weighted pre-tokens: pairs are counted
   once, then only the words that hold a merged pair change the counts; a job
   settles many merges (``train_bpe``). Ties: count desc, left, right.
@@ -25,8 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import text as tx
+from quire.operators.joins import split_join
 from quire.operators.order import with_row_index
-from quire.session import broadcast_if_small, cut_lineage
+from quire.session import broadcast_if_small, cut_lineage, fits_broadcast
 
 VOCAB_BROADCAST_ROWS = 2_000_000
 # Fixed value: the SentencePiece word-boundary marker (U+2581).
@@ -126,21 +126,21 @@ def merge_vocab(base: DataFrame, domain: DataFrame, cjk_words: DataFrame | None
 # ------------------------------------------------------------- encoding ---
 
 def encode(df: DataFrame, key_cols, tokens: Column, vocab: DataFrame, unk_id: int,
-           out: str = "ids", vocab_rows: int | None = None) -> DataFrame:
+           out: str = "ids", lookup_rows: int = VOCAB_BROADCAST_ROWS) -> DataFrame:
     """J6/T4 (word level): token strings -> ids in position order.
 
-    With a proven vocabulary bound (``vocab_rows``) the ids come from a
-    broadcast lookup in an Arrow batch function (no shuffle). Without one:
-    posexplode -> join with the vocabulary -> regroup per row key, sorted
-    by position. Rows with no tokens come back with []."""
+    A vocabulary that is measured small (rows and bytes) is looked up in an
+    Arrow batch function (no shuffle). A larger one of any size is joined with
+    the exploded tokens, the tokens of a hot piece split by salt, and rows are
+    regrouped by key in the order of positions. Rows with no tokens come back
+    with []."""
     key_cols = list(key_cols)
-    if vocab_rows is not None and vocab_rows <= VOCAB_BROADCAST_ROWS:
+    pieces = vocab.select("piece", F.col("id").cast("int").alias("__id"))
+    if fits_broadcast(pieces, lookup_rows):
         return df.withColumn(out, encode_lookup(tokens, vocab, unk_id))
     ex = df.select(*key_cols, F.posexplode(tokens).alias("__pos", "piece"))
-    v = broadcast_if_small(vocab.select("piece", F.col("id").cast("int").alias("__id")), VOCAB_BROADCAST_ROWS,
-                           bound=vocab_rows)
-    looked = ex.join(v, "piece", "left").select(*key_cols, "__pos",
-                                                F.coalesce("__id", F.lit(unk_id)).alias("__id"))
+    looked = split_join(ex, pieces, "piece", "left", lookup_rows=lookup_rows).select(
+        *key_cols, "__pos", F.coalesce("__id", F.lit(unk_id)).alias("__id"))
     grouped = looked.groupBy(*key_cols).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__id"))), lambda s: s["__id"]).alias(out))
     return df.join(grouped, key_cols, "left").withColumn(
@@ -148,8 +148,8 @@ def encode(df: DataFrame, key_cols, tokens: Column, vocab: DataFrame, unk_id: in
 
 
 def encode_lookup(tokens: Column, vocab: DataFrame, unk_id: int) -> Column:
-    """J6/T4 for a vocabulary of proven size: the piece -> id table is
-    collected once (bounded), broadcast to the executors, and looked up per
+    """J6/T4 for a vocabulary that has been measured small: the piece -> id
+    table is collected once, broadcast to the executors, and looked up per
     token inside an Arrow batch function. Unlike the join path this needs
     no shuffle of tokens and no shuffle of the rows to regroup them."""
     spark = vocab.sparkSession
@@ -164,16 +164,15 @@ def encode_lookup(tokens: Column, vocab: DataFrame, unk_id: int) -> Column:
 
 
 def decode(df: DataFrame, key_cols, ids: str, vocab: DataFrame, skip_ids=(), out: str = "text",
-           sep: str = " ", vocab_rows: int | None = None) -> DataFrame:
+           sep: str = " ", lookup_rows: int = VOCAB_BROADCAST_ROWS) -> DataFrame:
     """Ids -> pieces (specials in ``skip_ids`` dropped) joined by
-    ``sep``, stripped."""
+    ``sep``, stripped; the lookup as in ``encode``."""
     key_cols = list(key_cols)
     ex = df.select(*key_cols, F.posexplode(F.col(ids)).alias("__pos", "__id"))
     if skip_ids:
         ex = ex.where(~F.col("__id").isin(list(skip_ids)))
-    v = broadcast_if_small(vocab.select(F.col("id").cast("int").alias("__id"), "piece"), VOCAB_BROADCAST_ROWS,
-                           bound=vocab_rows)
-    looked = ex.join(v, "__id", "left")
+    looked = split_join(ex, vocab.select(F.col("id").cast("int").alias("__id"), "piece"), "__id", "left",
+                        lookup_rows=lookup_rows)
     grouped = looked.groupBy(*key_cols).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("piece", F.lit("")).alias("p")))),
                     lambda s: s["p"]).alias("__p"))
@@ -556,7 +555,7 @@ def bpe_encode_texts(df: DataFrame, key_cols, merges: DataFrame, vocab: DataFram
     if vocab is not None:
         enc = _with_ids(enc, vocab)
     more = [] if vocab is None else ["ids"]
-    joined = toks.join(enc, "word").groupBy(*keys, "line_no").agg(
+    joined = split_join(toks, cut_lineage(enc), "word").groupBy(*keys, "line_no").agg(
         F.array_sort(F.collect_list(F.struct("pos", "pieces", *more))).alias("w"))
     return joined.select(*keys, "line_no", *[F.flatten(F.col(f"w.{c}")).alias(c) for c in ["pieces", *more]])
 

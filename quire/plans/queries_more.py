@@ -165,21 +165,13 @@ SELECT item_id, doc_id, round({S.prf('h', 'r', 'o')['r']}, 6) AS r, round({S.prf
        round({S.prf('h', 'r', 'o')['f']}, 6) AS f
 FROM sc""")
 def overlap_candidates(spark, sf):
-    """J4 -> J2: candidate pairs are found by an equi-join on shared
-    8-grams (benchmark grams broadcast under a checked bound; no cross
-    product), then scored with ROUGE-2 over n-grams built once per text."""
+    """J4 -> J2: candidate pairs are found by an equi-join on the hashes of
+    shared 8-grams (broadcast under a measured bound, hot grams split by salt
+    beyond it; no cross product) and checked, then scored with ROUGE-2."""
     from quire.session import broadcast_if_small, cut_lineage
     b = table(spark, sf, "benchmark")
     d = table(spark, sf, "documents")
-    bw = b.select("item_id", tx.rouge_words(F.col("text")).alias("w"))
-    dw = d.select("doc_id", tx.rouge_words(F.col("text")).alias("w"))
-    bg = bw.select("item_id", F.explode(F.array_distinct(tx.ngrams(F.col("w"), CONTAM_N))).alias("g"))
-    dg = dw.select("doc_id", F.explode(F.array_distinct(tx.ngrams(F.col("w"), CONTAM_N))).alias("g"))
-    cand = dg.join(broadcast_if_small(bg, 5_000_000), "g").select("item_id", "doc_id").distinct()
-    # the candidate set is small and feeds three consumers (id check, doc
-    # restriction, pairs): compute the 8-gram join once, into the shared
-    # checkpoint folder (reliable, survives executor loss)
-    cand = cut_lineage(cand)
+    cand = cut_lineage(rg.ngram_candidates(d, b, CONTAM_N, "doc_id", "item_id"))  # feeds three consumers
     # score only the candidate documents: n-grams of the rest are never built
     # (candidate ids are counted first: broadcast them so the document side
     # is filtered in place instead of being shuffled by doc_id)
@@ -224,7 +216,6 @@ def history_prompts(spark, sf):
 SPECIALS = ["<pad>", "<unk>", "<mask>", "<bos>", "<eos>"]
 PAD, UNK, MASK, BOS, EOS = range(5)
 VOCAB_K = 3000
-VOCAB_ROWS = VOCAB_K + len(SPECIALS)  # proven bound: specials + top-k
 
 
 def conv_vocab(spark, sf, k=VOCAB_K):
@@ -280,8 +271,8 @@ def train_examples(spark, sf):
     p = _pairs(spark, sf)
     p = p.select("conv_id", "turn", pp.build_prompt(F.col("query"), F.col("history"), "train").alias("prompt"), "answer")
     v = conv_vocab(spark, sf)
-    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("prompt"), v, UNK, "a_ids", VOCAB_ROWS)
-    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids", VOCAB_ROWS)
+    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("prompt"), v, UNK, "a_ids")
+    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids")
     ex = pp.build_example(F.col("a_ids"), F.col("b_ids"), SRC_LEN, TGT_LEN, MASK, BOS, EOS, PAD)
     return eb.select("conv_id", "turn", ex.alias("e")).select(
         "conv_id", "turn", F.col("e.context_length").alias("context_length"),
@@ -314,8 +305,8 @@ def eval_examples(spark, sf):
     p = _pairs(spark, sf).select("conv_id", "turn", "query", "answer")
     p = od.with_row_index(p, ["conv_id", "turn"], name="idx").withColumn("batch", od.assign_batches("idx", EVAL_BATCH))
     v = conv_vocab(spark, sf)
-    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("query"), v, UNK, "a_ids", VOCAB_ROWS)
-    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids", VOCAB_ROWS)
+    ea = vc.encode(p, ["conv_id", "turn"], vc.ws_tokens("query"), v, UNK, "a_ids")
+    eb = vc.encode(ea, ["conv_id", "turn"], vc.ws_tokens("answer"), v, UNK, "b_ids")
     e = pp.eval_examples(eb, "a_ids", "b_ids", "batch", SRC_LEN, TGT_LEN, MASK, BOS, PAD)
     return e.select("conv_id", "turn", "batch", F.array_join("input_ids", " ").alias("input_ids"),
                     F.array_join("labels", " ").alias("labels"),
@@ -348,8 +339,8 @@ def reward_examples(spark, sf):
     t = pr.select("pair_id", pp.reward_text(F.col("question"), F.col("response_chosen")).alias("tc"),
                   pp.reward_text(F.col("question"), F.col("response_rejected")).alias("tr"))
     v = conv_vocab(spark, sf)
-    e = vc.encode(t, ["pair_id"], vc.ws_tokens("tc"), v, UNK, "c", VOCAB_ROWS)
-    e = vc.encode(e, ["pair_id"], vc.ws_tokens("tr"), v, UNK, "r", VOCAB_ROWS)
+    e = vc.encode(t, ["pair_id"], vc.ws_tokens("tc"), v, UNK, "c")
+    e = vc.encode(e, ["pair_id"], vc.ws_tokens("tr"), v, UNK, "r")
     x = e.select("pair_id", *pp.reward_example("q", "c", "r"))
     x = pp.filter_length(x, ["input_ids_chosen", "input_ids_rejected"], pp.REWARD_MAX_LEN)
     x = od.with_row_index(x, ["pair_id"], name="idx").withColumn("batch", od.assign_batches("idx", 4))

@@ -126,18 +126,25 @@ def _row_bytes(df: DataFrame):
     return size
 
 
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes,
+    measured (the measurement stops after ``max_rows + 1`` rows)."""
+    from pyspark.sql import functions as F
+    seen = df.limit(max_rows + 1).select(_row_bytes(df).alias("b")).agg(F.count(F.lit(1)), F.sum("b")).first()
+    return seen[0] <= max_rows and (seen[1] or 0) <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, count: int | None = None,
                        bound: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only behind a checked bound of rows and bytes;
+    """Broadcast ``df`` only behind a measured bound of rows and bytes;
     otherwise return it unchanged so the join falls back to a shuffle join
     (where AQE may still pick a broadcast from runtime sizes).
 
-    ``bound`` is an upper bound of the rows that the caller has proven by
-    construction (a top-k limit, a fixed table); without it rows and bytes
-    are measured, stopping after ``max_rows + 1`` rows."""
+    ``bound`` (or ``count``) is an upper bound of the rows that the caller
+    knows (a top-k limit, a fixed table): beyond ``max_rows`` nothing is
+    measured. Bytes are measured always."""
     from pyspark.sql import functions as F
-    if bound is not None or count is not None:
-        n = bound if bound is not None else count
-        return F.broadcast(df) if n <= max_rows else df
-    seen = df.limit(max_rows + 1).select(_row_bytes(df).alias("b")).agg(F.count(F.lit(1)), F.sum("b")).first()
-    return F.broadcast(df) if seen[0] <= max_rows and (seen[1] or 0) <= max_bytes else df
+    n = bound if bound is not None else count
+    if n is not None and n > max_rows:
+        return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
