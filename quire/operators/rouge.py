@@ -189,15 +189,17 @@ def ngram_candidates(left: DataFrame, right: DataFrame, n: int, left_id: str, ri
     n-grams themselves, so a collision of hashes adds none."""
     def grams(df, ident):
         w = df.select(ident, tx.rouge_words(F.col(text_col)).alias("w"))
-        return w.select(ident, F.explode(F.array_distinct(F.transform(tx.ngrams(F.col("w"), n), lambda x: F.xxhash64(x)))).alias("g"))
+        return w.select(ident, F.explode(F.array_distinct(tx.ngrams(F.col("w"), n))).alias("g")).select(ident, F.xxhash64("g").alias("g"))
 
     met = split_join(grams(left, left_id), grams(right, right_id), "g", **split)
     pairs = cut_lineage(met.select(left_id, right_id).distinct())
 
     def whole(df, ident, name):
-        return df.select(ident, tx.ngrams(tx.rouge_words(F.col(text_col)), n).alias(name))
+        w = df.select(ident, tx.rouge_words(F.col(text_col)).alias("w"))
+        return w.select(ident, tx.ngrams(F.col("w"), n).alias(name))
     # only the texts that are in a pair are looked at again
     own = whole(split_join(left.select(left_id, text_col), pairs.select(left_id).distinct(), left_id, "left_semi", **split),
                 left_id, "__a")
-    return (split_join(split_join(pairs, whole(right, right_id, "__b"), right_id, **split), own, left_id, **split)
-            .where(F.arrays_overlap("__a", "__b")).select(left_id, right_id))
+    both = split_join(split_join(pairs, cut_lineage(whole(right, right_id, "__b")), right_id, **split),
+                      cut_lineage(own), left_id, **split)
+    return both.where(F.arrays_overlap("__a", "__b")).select(left_id, right_id)
