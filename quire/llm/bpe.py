@@ -49,11 +49,11 @@ from quire.llm.common import materialise, packed, small_batches, stretches
 
 LEXICON_WORDS = 50_000
 LEXICON_BYTES = 64       # longer words take the exact path
-MEMO_WORDS = 400_000     # per worker; forgotten beyond that, but for those of the last texts
+MEMO_WORDS = 120_000     # per worker; forgotten beyond that, but for those of the last texts
 LEAST_COUNT = 3          # rarer words are not in the lexicon
 FLUSH_WORDS = 150_000
 SIDE_BY_SIDE = 4096      # words merged together
-TOGETHER = 1 << 20       # characters of the texts that are encoded together
+TOGETHER = 1 << 18       # characters of the texts that are encoded together
 # White space as in Unicode, without the separators U+001C..U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHORT = "'(?:s|t|re|ve|m|ll|d)"

@@ -30,7 +30,7 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-BATCH_BYTES = "4m"
+BATCH_BYTES = "1m"
 
 
 def small_batches(spark: SparkSession) -> None:
