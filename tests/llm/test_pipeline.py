@@ -55,7 +55,8 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
             break
     rows = [r for i, r in enumerate(rows) if root[i] == i]
     left = spark.createDataFrame(rows, SCHEMA)
-    copies = {r.id: r.copies for r in mixing.mix(left, mixing.domains_of(labels)).collect()}
+    copies = {r.id: r.copies for r in mixing.mix(
+        left, mixing.domains_of(labels, domains=tuple(corpus_pipeline.TARGETS)), corpus_pipeline.TARGETS)[0].collect()}
     library = Tokenizer.from_file(tokenizer_file())
     want = sorted((r[0], library.encode(r[1] or "", add_special_tokens=False).ids) for r in rows for _ in range(copies[r[0]]))
     assert sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got) == want
