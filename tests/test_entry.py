@@ -15,4 +15,4 @@ def test_entry_and_registry(spark):
     # the numbered training-data queries are there exactly when their subpackage is
     spec = importlib.util.find_spec("quire.llm")
     numbered = {n.split("_")[0] for n in q if n.startswith("op") and n[2:3].isdigit()}
-    assert numbered == ({f"op{k}" for k in range(1, 11)} if spec is not None and spec.origin else set())
+    assert numbered == ({f"op{k}" for k in range(1, 14)} if spec is not None and spec.origin else set())
