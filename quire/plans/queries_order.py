@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as tx
 from quire.operators import order as od
+from quire.operators import permute as pm
 from quire.operators import vocab as vc
 from quire.plans import sqlkit as S
 from quire.plans.catalog import r6, register
@@ -123,6 +124,67 @@ def shards_round_robin(spark, sf):
     return od.shard_round_robin(d, "doc_id", 3, seed=42, epoch=1).select("doc_id", "pos", "shard")
 
 
+def _network_sql(seed: int) -> str:
+    """One pass of the network over the column v of a relation with n, a, b
+    (a macro of nested selects), as a subquery text with {src} open."""
+    inner = "SELECT id, n, a, b, v // b AS l, v % b AS r FROM {src}"
+    for k, (m, c) in enumerate(pm.round_keys(seed)):
+        size = "a" if k % 2 == 0 else "b"
+        inner = (f"SELECT id, n, a, b, r AS l, (l + (t * t) % {pm.PRIME}) % {size} AS r "
+                 f"FROM (SELECT *, (r * {m} + {c}) % {pm.PRIME} AS t FROM ({inner}))")
+    return f"SELECT id, n, a, b, l * b + r AS v FROM ({inner})"
+
+
+def _permuted_sql(seed: int, name: str) -> str:
+    net = _network_sql(seed)
+    return f"""
+{name}_walk AS (
+  {net.format(src="indexed")}
+  UNION ALL
+  {net.format(src=f"(SELECT * FROM {name}_walk WHERE v >= n)")}),
+{name} AS (SELECT id, n, v AS p FROM {name}_walk WHERE v < n)"""
+
+
+INDEXED_SQL = """
+indexed AS (SELECT o_orderkey AS id, n, a, CAST(ceil(n / CAST(a AS DOUBLE)) AS BIGINT) AS b, v FROM (
+  SELECT o_orderkey, n, CAST(ceil(sqrt(n)) AS BIGINT) AS a, row_number() OVER (ORDER BY o_orderkey) - 1 AS v
+  FROM orders, (SELECT count(*) AS n FROM orders)))"""
+
+
+@register("epoch_permutation", sql=f"WITH RECURSIVE {INDEXED_SQL}, {_permuted_sql(42, 'e0')}, {_permuted_sql(43, 'e1')}" + """
+SELECT e0.id AS o_orderkey, e0.p AS epoch0, e1.p AS epoch1 FROM e0 JOIN e1 USING (id)""")
+def epoch_permutation(spark, sf):
+    """P9 by a keyed permutation: the orders are indexed once, the places of
+    two epochs are projections of that index."""
+    indexed = od.with_row_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], name="idx")
+    n = indexed.count()
+    return indexed.select("o_orderkey", pm.keyed_index("idx", n, 42).alias("epoch0"),
+                          pm.keyed_index("idx", n, 43).alias("epoch1"))
+
+
+def _epoch_wrap_sql(block: int) -> str:
+    return f"""
+w AS (SELECT id, p + k * n AS pos FROM e1, (SELECT unnest(range(0, {block})) AS k)
+      WHERE p + k * n < CAST(ceil(n / {block}.0) * {block} AS BIGINT))"""
+
+
+@register("epoch_shards", sql=f"WITH RECURSIVE {INDEXED_SQL}, {_permuted_sql(43, 'e1')}, {_epoch_wrap_sql(7)}" + """
+SELECT id AS o_orderkey, pos, pos % 7 AS shard FROM w""")
+def epoch_shards(spark, sf):
+    """Q4 by a keyed permutation: seven shards of epoch 1, the tail wrapped."""
+    indexed = od.with_row_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], name="idx")
+    return pm.epoch_shards(indexed, "idx", indexed.count(), 7, seed=42, epoch=1).select("o_orderkey", "pos", "shard")
+
+
+@register("epoch_loop_shards", sql=f"WITH RECURSIVE {INDEXED_SQL}, {_permuted_sql(43, 'e1')}, {_epoch_wrap_sql(96)}" + """
+SELECT id AS o_orderkey, pos, (pos // 32) % 3 AS shard FROM w""")
+def epoch_loop_shards(spark, sf):
+    """Q6 by a keyed permutation: three shards of full batches of 32."""
+    indexed = od.with_row_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], name="idx")
+    out = pm.epoch_loop_shards(indexed, "idx", indexed.count(), 3, 32, seed=42, epoch=1)
+    return out.select("o_orderkey", "pos", "shard")
+
+
 @register("shards_blocks", sql="WITH " + _wrap_sql(
     "perm AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS p FROM documents)",
     "CAST(ceil(n / 64.0) * 64 AS BIGINT)") + """
