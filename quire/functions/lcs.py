@@ -7,6 +7,8 @@ the O(n*m) dictionary table.
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +22,7 @@ def lcs_length(a, b) -> int:
         return 0
     if len(a) > len(b):
         a, b = b, a
-    masks: dict = {}
-    for i, tok in enumerate(a):
-        masks[tok] = masks.get(tok, 0) | (1 << i)
+    masks = _masks(a)
     full = (1 << len(a)) - 1
     v = full
     for tok in b:
@@ -35,7 +35,7 @@ def lcs_length(a, b) -> int:
 
 
 def lcs_table(a, b):
-    """Full DP table (used by union-LCS backtrace on sentence-sized input)."""
+    """Full DP table: the plain definition that tests compare with."""
     n, m = len(a), len(b)
     t = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(1, n + 1):
@@ -49,20 +49,54 @@ def lcs_table(a, b):
     return t
 
 
+def _masks(a) -> dict:
+    masks: dict = {}
+    for i, tok in enumerate(a):
+        masks[tok] = masks.get(tok, 0) | (1 << i)
+    return masks
+
+
 def lcs_tokens(a, b):
     """Tokens of one LCS of ``a`` (reference) and ``b`` (hypothesis).
 
-    Iterative backtrace; on a tie it moves along ``b`` (goes to i-1 only when
-    that cell is strictly greater), which fixes which LCS is returned."""
-    t = lcs_table(a, b)
-    i, j = len(a), len(b)
-    out = []
+    On a tie the walk back moves along ``b`` (it goes to i-1 only when that
+    cell is strictly greater), which fixes which LCS is returned. Instead of
+    the table of lengths the bit vectors of its columns are used: bit i of
+    column j is 0 where length(i+1, j) = length(i, j) + 1, so a length is the
+    number of zeros in a prefix. Every sqrt(len(b))-th column is kept and the
+    columns of one such block are made again when the walk enters it:
+    O(len(a) * sqrt(len(b))) bits of memory."""
+    n, m = len(a), len(b)
+    if not n or not m:
+        return []
+    masks, full, block = _masks(a), (1 << n) - 1, math.isqrt(m) + 1
+
+    def column(v, tok):
+        u = v & masks.get(tok, 0)
+        return ((v + u) | (v - u)) & full
+    kept, v = [full], full  # columns 0, block, 2 * block, ...
+    for j, tok in enumerate(b, 1):
+        v = column(v, tok)
+        if j % block == 0:
+            kept.append(v)
+    i, j, out = n, m, []
+    base, columns = m + 1, []
     while i > 0 and j > 0:
+        if j - 1 < base:  # columns j - 1 and j are wanted
+            base = (j - 1) // block * block
+            columns = [kept[base // block]]
+            for tok in b[base:min(base + block, m)]:
+                columns.append(column(columns[-1], tok))
         if a[i - 1] == b[j - 1]:
             out.append(a[i - 1])
             i -= 1
             j -= 1
-        elif t[i - 1][j] > t[i][j - 1]:
+            continue
+        here, left = columns[j - base], columns[j - 1 - base]
+        prefix = (1 << (i - 1)) - 1
+        up = i - 1 - (here & prefix).bit_count()            # length(i - 1, j)
+        back = i - (left & (prefix << 1 | 1)).bit_count()   # length(i, j - 1)
+        if up > back:
             i -= 1
         else:
             j -= 1
