@@ -10,8 +10,10 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from quire.functions import arrays as ar
 from quire.functions import text as tx
@@ -104,6 +106,42 @@ def generate(df: DataFrame, key, prompt: str, generator_factory, stop: str | Non
     return df.select(*read, asked.alias("__asked")).mapInPandas(run, f"{_schema(df, keys)}, Input string, `{out}` string")
 
 
+def generate_resumable(df: DataFrame, key, prompt: str, generator_factory, path: str, slices: int = 16,
+                       **options) -> DataFrame:
+    """I3 that survives a failed job: the rows are dealt to ``slices`` by a
+    hash of their key, each slice is one job whose output is committed under
+    ``path`` as it ends. A restart with the same path and slices skips every
+    key that stands there (an anti-join within the slice), so a committed row
+    is not generated again, whether its slice was finished or not. Keys must
+    be unique and not NULL; a changed prompt under a known key is not seen.
+    Returns all rows of ``path`` whose key is in ``df``."""
+    spark, keys = df.sparkSession, [key] if isinstance(key, str) else list(key)
+    if {"quire_slice", "Input", options.get("out", "Output")} & set(keys):
+        raise ValueError("a key is named like a column of the output")
+    schema = df.select(*keys).schema
+    if any(f.dataType.typeName() in ("float", "double", "map") for f in schema):
+        raise TypeError("keys that hash alike on every run are needed")
+    for name in ("Input", options.get("out", "Output")):
+        schema = schema.add(name, "string")
+    sliced = df.withColumn("quire_slice", F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int"))
+
+    def committed():
+        # the first job makes the folder; files carry no schema to rely on
+        try:
+            return spark.read.schema(StructType([*schema.fields, StructField("quire_slice", IntegerType())])).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+    for k in range(slices):
+        todo, done = sliced.where(F.col("quire_slice") == k).drop("quire_slice"), committed()
+        if done is not None:
+            todo = todo.join(done.where(F.col("quire_slice") == k).select(*keys), keys, "left_anti")
+        made = generate(todo, keys, prompt, generator_factory, **options)
+        made.withColumn("quire_slice", F.lit(k)).write.mode("append").partitionBy("quire_slice").parquet(path)
+    return committed().drop("quire_slice").join(df.select(*keys), keys, "left_semi")
+
+
 def assemble_chunks(chunks: DataFrame, key: str, seq: str, text: str, stop: str,
                     across: bool = False) -> DataFrame:
     """I4: concatenate chunks in order up to the first chunk holding the

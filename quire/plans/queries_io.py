@@ -11,6 +11,7 @@ from quire.functions import text as tx
 from quire.functions.lcs import union_lcs_carried
 from quire.operators import infer as inf
 from quire.operators import order as od
+from quire.operators import partials as pt
 from quire.operators import prep as pp
 from quire.plans import sqlkit as S
 from quire.plans.catalog import r6, register
@@ -80,6 +81,34 @@ def metric_surface(spark, sf):
     }, ["role"])
 
 
+@register("metric_mergeable", sql="""
+WITH c AS (SELECT role, length(text) AS n FROM conversations)
+SELECT role, round(sqrt(avg(CAST(n AS DOUBLE) * n)), 6) AS rms_chars FROM c GROUP BY role
+UNION ALL SELECT 'all', round(sqrt(avg(CAST(n AS DOUBLE) * n)), 6) FROM c""")
+def metric_mergeable(spark, sf):
+    """I6 with a user metric of init, update, merge and finish: per role, and
+    over one group of all rows that every task folds its share of."""
+    c = table(spark, sf, "conversations").select("role", F.length("text").alias("n"))
+    rms = {"rms_chars": pt.root_mean_square("n")}
+    whole = pt.merge_metrics(c, rms).select(F.lit("all").alias("role"), "rms_chars")
+    return pt.merge_metrics(c, rms, "role").unionByName(whole).withColumn("rms_chars", r6(F.col("rms_chars")))
+
+
+@register("metric_macro_f1", sql="""
+WITH p AS (SELECT d.source, l.quality AS y, CASE WHEN d.n_chars > 400 THEN 1 ELSE 0 END AS g
+           FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL AND d.n_chars IS NOT NULL),
+k AS (SELECT source, c, 2.0 * count(*) FILTER (y = c AND g = c) / (count(*) FILTER (y = c) + count(*) FILTER (g = c)) AS f1
+      FROM p, (SELECT unnest([0, 1]) AS c) GROUP BY source, c
+      HAVING count(*) FILTER (y = c) + count(*) FILTER (g = c) > 0)
+SELECT source, round(avg(f1), 6) AS macro_f1 FROM k GROUP BY source""")
+def metric_macro_f1(spark, sf):
+    """Mean F1 over the classes, a metric that no sum over rows gives,
+    for a rule that calls long documents good."""
+    d = table(spark, sf, "documents").select("doc_id", "source", (F.col("n_chars") > 400).cast("int").alias("g"))
+    p = d.join(table(spark, sf, "labels").select("doc_id", F.col("quality").cast("int").alias("y")), "doc_id")
+    return pt.merge_metrics(p, {"macro_f1": pt.macro_f1("y", "g")}, "source").withColumn("macro_f1", r6(F.col("macro_f1")))
+
+
 @register("union_lcs")
 def union_lcs(spark, sf):
     """For every question sentence in turn its union-LCS against every

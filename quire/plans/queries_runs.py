@@ -18,6 +18,9 @@ from quire.plans import sqlkit as S
 from quire.plans.catalog import r6, register
 from quire.plans.queries_more import _pairs
 from quire.plans.standins import preference_pairs, table
+from quire.session import cut_lineage
+from quire.sources import sinks as sk
+from quire.streaming.streams import scratch_dir
 
 NL = chr(10)
 
@@ -354,6 +357,40 @@ def generate_echo(spark, sf):
     return inf.generate(p, ["conv_id", "turn"], "prompt", _echo, stop="ASSISTANT")
 
 
+@register("generate_resumed", sql=f"""
+WITH u AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user')
+SELECT conv_id, turn, text AS "Input",
+       regexp_replace(split_part(text, '?', 1), {S.lit('^' + S.WS + '+|' + S.WS + '+$')}, '', 'g') AS "Output"
+FROM u""")
+def generate_resumed(spark, sf):
+    """I3 with committed slices: a first job generates the turns below the
+    fifth, a second one with the same folder goes on with all user turns and
+    generates only what is not there."""
+    u = table(spark, sf, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")
+    out = scratch_dir(spark, "i3")
+    inf.generate_resumable(u.where("turn < 5"), ["conv_id", "turn"], "text", _echo, out, slices=4, stop="?")
+    return inf.generate_resumable(u, ["conv_id", "turn"], "text", _echo, out, slices=4, stop="?")
+
+
+@register("metrics_written", sql="""
+WITH m AS (SELECT source, avg(n_chars) AS mean_chars, count(*) AS examples FROM documents GROUP BY source)
+SELECT 'run-' || run AS run, split, split || '_' || source || '_' || k AS metric, round(v, 6) AS value
+FROM (SELECT source, 'mean_chars' AS k, mean_chars AS v FROM m UNION ALL SELECT source, 'examples', examples FROM m),
+     (SELECT unnest(['1', '2']) AS run), (SELECT unnest(['eval', 'test']) AS split)""")
+def metrics_written(spark, sf):
+    """metrics of two runs and two splits written one after the other,
+    one of them twice, and read back: every row once."""
+    d = table(spark, sf, "documents").groupBy("source").agg(
+        F.avg("n_chars").alias("mean_chars"), F.count(F.lit(1)).cast("double").alias("examples"))
+    rows = d.select(F.explode(F.array(*[
+        F.struct(F.concat_ws("_", "source", F.lit(c)).alias("metric"), F.col(c).alias("value"))
+        for c in ("mean_chars", "examples")])).alias("m")).select("m.*")
+    rows, out = cut_lineage(rows), scratch_dir(spark, "f12")
+    for run, split in [("run-1", "eval"), ("run-1", "test"), ("run-2", "eval"), ("run-2", "test"), ("run-1", "eval")]:
+        sk.write_metrics(rows, out, run, split)
+    return sk.read_metrics(spark, out).withColumn("value", r6(F.col("value")))
+
+
 @register("token_layout", sql="""
 WITH a AS (SELECT conv_id, turn, list_transform(string_split(text, ' '), lambda w: length(w)) AS ids FROM conversations),
 b AS (SELECT conv_id, turn, ids,

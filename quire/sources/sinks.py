@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -51,9 +51,17 @@ def warn_identical_splits(df: DataFrame, text_col: str = "text", split_col: str
 
 
 def write_metrics(metrics: DataFrame, path: str, run: str, split: str) -> None:
-    """metrics as rows (run, split, metric, value) with the
-    ``{split}_`` prefix, appended."""
+    """metrics (metric, value) as rows (run, split, metric, value) with
+    the ``{split}_`` prefix. A folder per run and split is replaced as a
+    whole, so a repeated job leaves its rows once and others alone."""
     out = metrics.select(F.lit(run).alias("run"), F.lit(split).alias("split"),
                          F.concat(F.lit(split + "_"), F.col("metric")).alias("metric"),
                          F.col("value").cast("double").alias("value"))
-    out.write.mode("append").parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "split").parquet(path))
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``write_metrics``; run and split stay text."""
+    return spark.read.schema("metric string, value double, run string, split string").parquet(path) \
+        .select("run", "split", "metric", "value")
