@@ -3,9 +3,12 @@
 Base phrases are looked for among a text's words (runs of ASCII letters and
 digits and of all other non-ASCII characters, A-Z lower-cased); every place is
 counted. The signature rules are regexes in the order of their table: each
-license gives a tag, a grant, an address, a name and an identifier form, with
-falling priority. A text is scanned by a rule only when it holds the rule's
-two keywords, and by any rule only when it holds some rule's first keyword.
+license gives a tag (also as an operand of a tag's expression), a package
+field, a grant, an address, a name and an identifier form, with falling
+priority; the hand-written signatures of ``signatures.py`` (sentences of the
+licenses, headers, names) follow. A text is scanned by a rule only when it
+holds the rule's two keywords; rules of one first keyword stand behind one
+gate, so a text without it never looks at them.
 A match is suppressed when it lies inside that of an earlier rule form of at
 least its priority (equal spans: the higher priority, then the earlier rule
 stays), so "Apache License" inside a full grant is not reported again.
@@ -21,11 +24,14 @@ in ``row``.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import let
 from quire.llm.common import packed
+from quire.llm.signatures import signature_rules
 
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_WEIGHT = 0.5
@@ -96,29 +102,40 @@ TAGS = {
 }
 GRANT = r"(?:licen[sc]ed|released|distributed|published|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?"
 
+# An operand of a tag's expression: only in texts that name SPDX at all, the
+# one rule form with a keyword that its pattern does not hold.
+OPERAND = r"(?i)(?<![\w])(?:AND|OR)\s+\(*"
+
 
 def _rules() -> list[tuple[str, str, int, str, str]]:
     """(label, pattern, priority, first keyword, second keyword), in order."""
     out = []
     for label, ident, name, ident_key, name_key, address in LICENSES:
         tag, tag_key = TAGS.get(label, (ident, ident_key))
-        out.append((label, rf"(?i)SPDX-License-Identifier:\s*{tag}(?![\w.-])", 4, "spdx", tag_key))
-        out.append((label, rf"(?i){GRANT}{name}(?![\w])", 3, "under", name_key))
+        out.append((label, rf"(?i)SPDX-License-Identifier:\s*\(*{tag}(?![\w.-])", 4, "spdx", tag_key))
+        out.append((label, rf"{OPERAND}{tag}(?![\w.-])", 4, "spdx", tag_key))
+        out.append((label, rf"(?i)(?<![\w-])licen[sc]e[\"']?\s*[:=]\s*[\"']?{tag}(?![\w.-])", 3, "licen", tag_key))
+        out.append((label, rf"(?i){GRANT}{name}(?![\w])", 3, name_key, "under"))
         if address:
-            out.append((label, rf"(?i)(?:https?://)?(?:www\.)?{address}", 3, address.split(r"\.")[0].split("/")[0].lower(), "."))
+            host = address.split("/")[0].replace("\\", "").lower()
+            out.append((label, rf"(?i)(?:https?://)?(?:www\.)?{address}", 3, host, host))
         out.append((label, rf"(?i)(?<![\w]){name}(?![\w])", 2, name_key, name_key))
         out.append((label, rf"(?i)(?<![\w.-]){ident}(?![\w-])", 1, ident_key, ident_key))
-    return out
+    return out + signature_rules()
 
 
 RULES = _rules()
 DETECTION = "struct<start:int,before:int,less:int,rule:int,stop:int,label:string,priority:int>"
 
 
-def _table() -> Column:
-    return F.array(*[F.struct(F.lit(k).alias("rule"), F.lit(label).alias("label"), F.lit(pattern).alias("pattern"),
-                              F.lit(priority).alias("priority"), F.lit(one).alias("one"), F.lit(two).alias("two"))
-                     for k, (label, pattern, priority, one, two) in enumerate(RULES)])
+def _gates() -> Column:
+    """The rules behind their first keywords."""
+    behind: dict[str, list[dict]] = {}
+    for k, (label, pattern, priority, one, two) in enumerate(RULES):
+        behind.setdefault(one, []).append(dict(rule=k, label=label, pattern=pattern, priority=priority, two=two))
+    # one literal, folded when the query is planned
+    return F.from_json(F.lit(json.dumps([dict(one=one, rules=rules) for one, rules in behind.items()])),
+                       "array<struct<one:string,rules:array<struct<rule:int,label:string,pattern:string,priority:int,two:string>>>>")
 
 
 def _spans(text: Column, rule: Column) -> Column:
@@ -184,14 +201,11 @@ def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
     firsts = [F.when(n > 0, _spaces(F.element_at(f"cut{k}", 1))) for k, n in enumerate(places)]
     lasts = [F.when(n > 0, F.col("n_words") - _spaces(F.element_at(f"cut{k}", -1)) - len(phrases[k][0].split(" ")))
              for k, n in enumerate(places)]
-    roots = sorted({r[3] for r in RULES})
-    worth = F.lit(False)
-    for root in roots:
-        worth = worth | F.contains("low", F.lit(root))
-    hit = F.filter(_table(), lambda r: F.contains(F.col("low"), r["one"]) & F.contains(F.col("low"), r["two"]))
+    # checked in two steps: first keywords once each, then second ones behind them
+    opened = F.filter(_gates(), lambda g: F.contains(F.col("low"), g["one"]))
+    hit = F.flatten(F.transform(opened, lambda g: F.filter(g["rules"], lambda r: F.contains(F.col("low"), r["two"]))))
     found = F.flatten(F.transform(hit, lambda r: _spans(F.col("text"), r)))
-    none = F.array().cast(f"array<{DETECTION}>")
-    out = (out.withColumn("kept", F.when(worth, _resolved(found)).otherwise(none))
+    out = (out.withColumn("kept", _resolved(found))
            .withColumn("n_base", sum(places, F.lit(0)).cast("long"))
            .withColumn("first_word", F.least(*firsts).cast("long"))
            .withColumn("last_word", F.greatest(*lasts).cast("long"))

@@ -1,11 +1,13 @@
 """License scan against a brute-force version."""
 
+import functools
 import random
 import re
 from re import _constants as C
 from re import _parser as P
 
 from quire.llm import licenses as lic
+from quire.llm import signatures as sig
 
 SCHEMA = "doc_id long, text string, kept string, low int"
 LINES = ["All rights reserved.", "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.",
@@ -15,6 +17,12 @@ LINES = ["All rights reserved.", "Licensed under CC BY-NC 4.0.", "Licensed under
          "BSD-3-Clause or 3-Clause BSD License", "mit", "Apache-2.0", "GNU Lesser General Public License v2.1", "cc-by-sa-4.0"]
 
 
+@functools.cache
+def compiled():
+    return [(label, re.compile(pattern.replace("(?i)", ""), re.I | re.A), priority, pattern.startswith(lic.OPERAND))
+            for label, pattern, priority, *_ in lic.RULES]
+
+
 def brute(text):
     text = text or ""
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
@@ -27,8 +35,8 @@ def brute(text):
                 places.append(i)
                 base.add(label)
     found = []
-    for k, (label, pattern, priority, *_) in enumerate(lic.RULES):
-        for m in re.finditer(pattern.replace("(?i)", ""), text, re.I | re.A):
+    for k, (label, pattern, priority, operand) in enumerate(compiled()):
+        for m in pattern.finditer(text) if not operand or "spdx" in low else ():
             found.append((m.start(), m.end(), priority, k, label))
     kept = []
     for d in found:
@@ -66,15 +74,13 @@ def test_scan_matches_brute_force(spark):
     assert lic.scan(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_keywords_are_implied_by_their_patterns():
-    assert len(lic.RULES) > 200
+def test_rule_table():
+    assert len(lic.RULES) > 500 and len(sig.NOTICES) + len(sig.NAMES) > 170
     samples = {"apache-2.0": "Apache License 2.0", "gpl-3.0": "GPL-3.0"}
     for label, text in samples.items():
         assert label in brute(text)[6]
-    for label, pattern, _, one, two in lic.RULES:
-        plain = re.sub(r"\\(.)", r"\1", pattern).lower()
-        assert one in plain.replace("s+", " ").replace("[cs]", "s") or one in "licensed under", (label, one, pattern)
-        assert two in plain.replace("s+", " "), (label, two, pattern)
+    for label, pattern, priority, one, two in lic.RULES:
+        assert priority in lic.WEIGHTS and one == one.lower() and two == two.lower() and " " not in one + two, (label, pattern)
 
 
 def one_per_choice(parsed):
@@ -104,8 +110,9 @@ def one_per_choice(parsed):
 
 def samples():
     for rule in lic.RULES:
-        for t in one_per_choice(P.parse(rule[1].replace("(?i)", ""))):
-            yield rule, t
+        # one kind of blank for long signatures; the others have a test of their own
+        for t in one_per_choice(P.parse(rule[1].replace("(?i)", "").replace(sig.BLANK, r"\ "))):
+            yield rule, ("SPDX: " if rule[1].startswith(lic.OPERAND) else "") + t
 
 
 def test_every_alternative_holds_the_keywords():
@@ -130,3 +137,39 @@ def test_real_spdx_ids(spark):
     for r in lic.scan(spark.createDataFrame(data, SCHEMA)).collect():
         assert list(r.labels) == [r.row.kept] * bool(r.row.kept), r.row.text
         assert [d.priority for d in r.detections] == [4] * bool(r.row.kept)
+
+
+NOTICES = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files": {"mit"},
+    "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that": {"bsd-any"},
+    "Neither the name of the University nor the names of its contributors may be used to endorse": {"bsd-3-clause"},
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that": {"isc"},
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": {"0bsd"},
+    "BSD 3-Clause License": {"bsd-3-clause"},
+    "License: MIT": {"mit"},
+    '"license": "Apache-2.0",': {"apache-2.0"},
+    "Creative Commons Attribution-ShareAlike 4.0 International": {"cc-by-sa-4.0"},
+    "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License": {"cc-by-nc-nd-4.0"},
+    "Creative Commons Attribution 2.5 Generic": {"cc-by-2.5"},
+    "https://creativecommons.org/licenses/by-nc/2.0/": {"cc-by-nc-2.0"},
+    "under the terms of the GNU General Public License as published by\n// the Free Software Foundation, either version 3 of the License, or\n// (at your option) any later version.": {"gpl-3.0"},
+    "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License": {"lgpl-2.1"},
+    "SPDX-License-Identifier: (MIT OR Apache-2.0)": {"mit", "apache-2.0"},
+    "SPDX-License-Identifier: MIT AND (GPL-2.0-or-later OR ISC)": {"mit", "gpl-2.0", "isc"},
+    "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.": {"mpl-2.0"},
+    "License :: OSI Approved :: MIT License": {"mit"},
+    "This is free and unencumbered software released into the public domain.": {"unlicense"},
+    "To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights": {"cc0-1.0"},
+    "Non-Profit Open Software License version 3.0": {"nposl-3.0"},
+    "The permission slip was granted to any person under the notice of advertising.": set(),
+    "We license software in good faith; a public notice about evil materials and distribution.": set(),
+    "Creative people in the House of Commons 4.0": set(),
+}
+
+
+def test_notices_of_real_licenses(spark):
+    data = [(i, t, ",".join(sorted(want)), 1) for i, (t, want) in enumerate(NOTICES.items())]
+    for r in lic.scan(spark.createDataFrame(data, SCHEMA)).collect():
+        want = brute(r.row.text)
+        assert ",".join(sorted({d.label for d in r.detections})) == r.row.kept, r.row.text
+        assert sorted(map(tuple, r.detections)) == want[5] and list(r.labels) == want[6]
