@@ -34,12 +34,14 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A file stream over one test table (its parquet schema, explicit)."""
+    """A file stream over one test table (its parquet schema, explicit), which
+    may be one file or a folder of files. A stream takes a path as a folder; a
+    pattern (of this one name) may match either."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    return r.parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 def run_available_now(df: DataFrame, out_dir: str, checkpoint: str, fmt: str = "parquet",

@@ -233,3 +233,33 @@ def test_monitor_reports_open_windows(spark, scratch):
     got = st.latest(spark.read.parquet(f"{scratch}/out").drop("epoch"), ["user_id", "window_start"]).collect()
     assert sorted((str(r["window_start"])[:10], r["samples"], r["best_value"]) for r in got) == [
         ("2024-01-01", 1, 2.0), ("2024-01-02", 1, 4.0)]
+
+
+def test_table_stream_reads_a_file_or_a_folder(spark, scratch):
+    """A table may be one file or a folder of several; other tables beside it
+    are left alone."""
+    from pathlib import Path
+    spark.range(20).repartition(3).write.parquet(f"{scratch}/in/documents.parquet")
+    spark.range(5).write.parquet(f"{scratch}/in/more_documents.parquet")
+    spark.range(7).coalesce(1).write.parquet(f"{scratch}/one")
+    (part,) = Path(f"{scratch}/one").glob("*.parquet")
+    Path(f"{scratch}/in/labels.parquet").write_bytes(part.read_bytes())
+    for name, n, most in (("documents", 20, None), ("documents", 20, 1), ("labels", 7, None)):
+        out = st.scratch_dir(spark, "t")
+        st.run_available_now(st.table_stream(spark, f"{scratch}/in", name, most), out + "/data", out + "/ckpt")
+        assert sorted(r["id"] for r in spark.read.parquet(out + "/data").collect()) == list(range(n))
+
+
+def test_stream_queries_over_folders(spark, scratch):
+    """The stream queries on tables of several files give every row."""
+    from quire.plans import catalog
+    q = catalog.queries()
+    spark.createDataFrame([(i // 4, i % 4, "user" if i % 2 else "", f"t{i}") for i in range(40)],
+                          "conv_id long, turn int, role string, text string").repartition(3).write.parquet(f"{scratch}/conversations.parquet")
+    spark.createDataFrame([(i, f"line {i} " * 20 + "\nmore") for i in range(50)], "doc_id long, text string") \
+        .repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    assert q["stream_ingest"](spark, scratch).count() == 20
+    assert q["stream_scores"](spark, scratch).count() == 40
+    assert sorted(r["doc_id"] for r in q["stream_batches"](spark, scratch).collect()) == list(range(42))
+    got = {r["request_id"]: r["text"] for r in q["stream_chunks"](spark, scratch).collect()}
+    assert got == {i: f"line {i} " * 20 for i in range(50)}
