@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import heapq
 import unicodedata
-from collections import Counter
-from itertools import chain
-from operator import add
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -261,9 +262,13 @@ def bpe_words(corpus: DataFrame, text_col: str = "text", max_bytes: int | None =
     """Distinct weighted pre-tokens of all lines (those over ``max_bytes``
     UTF-8 bytes only if a limit is asked for) with their symbol arrays (one
     symbol per character)."""
-    w = text_lines(corpus, text_col, max_bytes=max_bytes) \
-        .select(F.explode(pretokens(F.col("line"), normalise)).alias("word")) \
-        .groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    line = nfkc()(F.col("line")) if normalise else F.col("line")
+    # no pre-token goes on behind a marker, so each run between markers is split once
+    runs = text_lines(corpus, text_col, max_bytes=max_bytes) \
+        .select(F.explode(F.split(line, f"[ {SP_SPACE}]")).alias("run")) \
+        .groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    w = runs.select(F.explode(pretokens(F.col("run"), normalise=False)).alias("word"), "n") \
+        .groupBy("word").agg(F.sum("n").alias("freq"))
     return w.select("word", "freq", tx.chars(F.col("word")).alias("syms"))
 
 
@@ -275,12 +280,165 @@ def pair_counts(words: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("freq").alias("cnt"))
 
 
-# BPE training keeps each word as a string of one character a symbol, so a
-# merge is a string replacement (left to right, not overlapping).
-SPARE = range(0x40000, 0x110000)  # code points for merged symbols, but for those that the corpus uses
-SPECULATED = 48      # merges whose effect one job counts
-PENDING = 64         # merges that a job applies to the stored words before they are stored anew
+# BPE training packs the distinct words into arrays of symbol numbers: a
+# character is its code point, a merged symbol the next free number.
+END = ord("\n")      # after each word (no word holds it, as lines are split there)
+MADE = 0x110000      # the first number of a merged symbol
+PACKED = 1 << 18     # symbols of a packed row, about
+PACKED_WORDS = 200_000  # of a partition
+SPECULATED = 192     # merges whose effect one job counts at most
+PENDING = 128        # merges that a job applies to the stored words before they are stored anew
 HEAD_PAIRS = 1_000_000
+SAMPLE_WORDS = 30_000  # on the driver, to guess the next merges; results do not depend on it
+LOW = (1 << 32) - 1
+
+
+def _places(s: np.ndarray, left: int, right: int) -> np.ndarray:
+    """Where a merge applies, left to right and not overlapping."""
+    at = np.flatnonzero(s[:-1] == left)
+    at = at[s[at + 1] == right]
+    if left == right and len(at) > 1:  # every second place of a run
+        first = np.r_[True, np.diff(at) != 1]
+        at = at[(at - np.maximum.accumulate(np.where(first, at, 0))) % 2 == 0]
+    return at
+
+
+def _merged(s: np.ndarray, at: np.ndarray, made: int) -> np.ndarray:
+    keep = np.ones(len(s), bool)
+    keep[at + 1] = False
+    s = s[keep]
+    s[at - np.arange(len(at))] = made
+    return s
+
+
+def _rewritten(s: np.ndarray, merges: list[tuple[int, int, int]]) -> np.ndarray:
+    for left, right, made in merges:
+        if len(at := _places(s, left, right)):
+            s = _merged(s, at, made)
+    return s
+
+
+def _summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of ``n`` by pair, without zeros."""
+    if not len(pairs):
+        return pairs, n
+    order = np.argsort(pairs, kind="stable")
+    pairs, n = pairs[order], n[order]
+    first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    pairs, n = pairs[first], np.add.reduceat(n, first)
+    return pairs[n != 0], n[n != 0]
+
+
+def _summed_parts(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts]))
+
+
+def _pairs_at(s: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that begin at places, each with its weight; none over the end
+    of a word."""
+    inside = at >= 0
+    at, n = at[inside], n[inside]
+    left, right = s[at].astype(np.int64), s[at + 1].astype(np.int64)
+    inside = (left != END) & (right != END)
+    return (left[inside] << 32) | right[inside], n[inside]
+
+
+def _change(s: np.ndarray, at: np.ndarray, new: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a merge at places changes in the pair counts: the pairs before,
+    at and behind each place go, those before and behind the new symbol come."""
+    n = freq[np.searchsorted(np.flatnonzero(s == END), at)]
+    apart = np.r_[True, np.diff(at) != 2]  # else the pair between two places counts once
+    now = at - np.arange(len(at))
+    gone = [_pairs_at(s, at[apart] - 1, -n[apart]), _pairs_at(s, at, -n), _pairs_at(s, at + 1, -n)]
+    come = [_pairs_at(new, now[apart] - 1, n[apart]), _pairs_at(new, now, n)]
+    return _summed_parts(gone + come)
+
+
+def _unpacked(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for s, freq in zip(pdf["s"], pdf["freq"]):
+        yield np.frombuffer(s, np.int32), np.frombuffer(freq, np.int64)
+
+
+def _packed(words: DataFrame) -> DataFrame:
+    """(s, freq): many words a row, each with END behind it, and their counts."""
+    def pack(held):
+        word = pd.concat([w for w, _ in held])
+        return pd.DataFrame({"s": ["\n".join([*word, ""]).encode("utf-32-le")],
+                             "freq": [np.concatenate([f for _, f in held]).astype(np.int64).tobytes()]})
+
+    def run(batches):
+        held, n = [], 0
+        for pdf in batches:
+            if len(pdf):
+                held.append((pdf["word"], pdf["freq"].to_numpy()))
+                n += int(pdf["word"].str.len().sum()) + len(pdf)
+            if n > PACKED:
+                yield pack(held)
+                held, n = [], 0
+        if held:
+            yield pack(held)
+    return words.select("word", "freq").mapInPandas(run, "s binary, freq binary")
+
+
+def _stored(words: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """The words after the merges, in the shared folder; those of one symbol
+    have no pair any more and go."""
+    def run(batches):
+        for pdf in batches:
+            for s, freq in _unpacked(pdf):
+                s = _rewritten(s, merges)
+                size = np.diff(np.r_[-1, np.flatnonzero(s == END)])  # with END
+                some = size > 2
+                yield pd.DataFrame({"s": [s[np.repeat(some, size)].tobytes()], "freq": [freq[some].tobytes()]})
+    return cut_lineage(words.mapInPandas(run, "s binary, freq binary").where(F.octet_length("s") > 0))
+
+
+def _pair_table(words: DataFrame) -> DataFrame:
+    """(pair, n) of all adjacent symbols (the left one in the upper half of the
+    number); each task adds up its own first."""
+    def run(batches):
+        parts, held = [], 0
+        for pdf in batches:
+            for s, freq in _unpacked(pdf):
+                size = np.diff(np.r_[-1, np.flatnonzero(s == END)])
+                parts.append(_summed(*_pairs_at(s, np.arange(len(s) - 1), np.repeat(freq, size)[:-1])))
+                held += len(parts[-1][0])
+                if held > HEAD_PAIRS:
+                    parts = [_summed_parts(parts)]
+                    held = len(parts[0][0])
+                    if held > HEAD_PAIRS:
+                        yield pd.DataFrame(dict(zip(("pair", "n"), parts.pop())))
+                        held = 0
+        if parts:
+            yield pd.DataFrame(dict(zip(("pair", "n"), _summed_parts(parts))))
+    return words.mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def _changes(words: DataFrame, pending: list[tuple[int, int, int]], picked: list[tuple[int, int, int]]) -> list:
+    """What each picked merge, one after the other, changes in the pair
+    counts: (pairs, changes) per merge. The words themselves stay as they are."""
+    def run(batches):
+        parts = [[] for _ in picked]
+        for pdf in batches:
+            for s, freq in _unpacked(pdf):
+                s = _rewritten(s, pending)
+                for own, (left, right, made) in zip(parts, picked):
+                    if len(at := _places(s, left, right)):
+                        new = _merged(s, at, made)
+                        own.append(_change(s, at, new, freq))
+                        s = new
+                        if len(own) == 32:
+                            own[:] = [_summed_parts(own)]
+        some = [(i, *_summed_parts(own)) for i, own in enumerate(parts) if own]
+        if some:
+            yield pd.DataFrame({"merge": np.repeat(np.array([i for i, _, _ in some], np.int32), [len(p) for _, p, _ in some]),
+                                "pair": np.concatenate([p for _, p, _ in some]), "n": np.concatenate([n for _, _, n in some])})
+    got = (words.mapInPandas(run, "merge int, pair long, n long").groupBy("merge", "pair").agg(F.sum("n").alias("n"))
+           .where("n <> 0").toArrow())
+    merge, pair, n = (got[c].to_numpy() for c in ("merge", "pair", "n"))
+    order = np.argsort(merge, kind="stable")
+    cuts = np.searchsorted(merge[order], np.arange(len(picked) + 1))
+    return [(pair[order[a:b]], n[order[a:b]]) for a, b in zip(cuts, cuts[1:])]
 
 
 class _Pairs:
@@ -290,40 +448,47 @@ class _Pairs:
     best one here is no longer above it, the head is counted anew. At most
     ``HEAD_PAIRS`` pairs and those that the merges make, whatever the corpus."""
 
-    def __init__(self, alphabet: dict[str, str]):
-        self.name = alphabet  # symbol -> its text, for merged symbols
-        self.counts: dict[str, int] = {}
+    def __init__(self):
+        self.name: dict[int, str] = {}   # merged symbol -> its text
+        self.order: dict[int, int] = {}  # merged symbol -> its place among equals
+        self.counts: dict[int, int] = {}
         self.heap: list[tuple] = []
         self.floor = 0
 
-    def text(self, symbol: str) -> str:
-        return self.name.get(symbol, symbol)
+    def text(self, symbol: int) -> str:
+        return self.name[symbol] if symbol >= MADE else chr(symbol)
 
-    def _offer(self, pair: str) -> None:
-        n = self.counts[pair]
-        if n > 0:
-            heapq.heappush(self.heap, (-n, self.text(pair[0]), self.text(pair[1]), pair))
+    def entry(self, pair: int, n: int) -> tuple:
+        left, right = pair >> 32, pair & LOW
+        return -n, self.text(left), self.text(right), self.order.get(left, left), self.order.get(right, right), pair
 
     def start(self, words: DataFrame, head: int) -> None:
         top = _pair_table(words).orderBy(F.desc("n")).limit(head).collect()
-        self.counts, self.heap = {r["pair"]: r["n"] for r in top}, []
+        self.counts = {r["pair"]: r["n"] for r in top}
         self.floor = min(self.counts.values()) if len(top) == head else 0
-        for pair in self.counts:
-            self._offer(pair)
-
-    def add(self, pair: str, change: int, made: str) -> None:
-        """A change of a count; pairs that are neither known nor just made
-        lie below the floor and are not followed."""
-        if pair in self.counts or made in pair:
-            self.counts[pair] = self.counts.get(pair, 0) + change
-            self._offer(pair)
-
-    def best(self, k: int = 1) -> list[tuple[str, int]]:
+        self._heap_anew()
+
+    def _heap_anew(self) -> None:
+        self.heap = [self.entry(pair, n) for pair, n in self.counts.items() if n > 0]
+        heapq.heapify(self.heap)
+
+    def add(self, pairs: list[int], changes: list[int], made: int) -> None:
+        """Changes of counts; pairs that are neither known nor just made lie
+        below the floor and are not followed."""
+        for pair, change in zip(pairs, changes):
+            if pair in self.counts or made in (pair >> 32, pair & LOW):
+                n = self.counts[pair] = self.counts.get(pair, 0) + change
+                if n > 0:
+                    heapq.heappush(self.heap, self.entry(pair, n))
+        if len(self.heap) > 4 * len(self.counts) + 1000:
+            self._heap_anew()
+
+    def best(self, k: int = 1) -> list[tuple[int, int]]:
         """The k best pairs by (count, texts); fewer if the head is used up."""
         out, seen = [], set()
         while self.heap and len(out) < k:
             entry = heapq.heappop(self.heap)
-            n, _, _, pair = entry
+            n, pair = entry[0], entry[-1]
             if self.counts.get(pair) == -n and pair not in seen:
                 if -n <= self.floor:
                     heapq.heappush(self.heap, entry)
@@ -335,60 +500,67 @@ class _Pairs:
         return [(pair, n) for pair, n, _ in out]
 
 
-def _pair_table(words: DataFrame) -> DataFrame:
-    """(pair, n) of all adjacent symbols; each task adds up its own first."""
-    def run(batches):
-        seen = Counter()
-        for pdf in batches:
-            for s, n in zip(pdf["s"], pdf["freq"]):
-                for pair in map(add, s, s[1:]):
-                    seen[pair] += n
-            if len(seen) > HEAD_PAIRS:
-                yield pd.DataFrame({"pair": list(seen), "n": list(seen.values())}).astype({"n": "int64"})
-                seen.clear()
-        yield pd.DataFrame({"pair": list(seen), "n": list(seen.values())}).astype({"pair": str, "n": "int64"})
-    return words.mapInPandas(run, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-
-
-def _rewritten(s: str, merges: list[tuple[str, str]]) -> str:
-    for pair, made in merges:
-        if pair in s:
-            s = s.replace(pair, made)
-    return s
-
-
-def _changes(words: DataFrame, pending: list[tuple[str, str]], picked: list[tuple[str, str]], texts: list[str]) -> list:
-    """What each picked merge, one after the other, changes in the pair
-    counts: (merge, pair, change). Only words that hold the ``texts`` of one of
-    the pairs leave the JVM; the words themselves stay as they are."""
-    def run(batches):
-        change = [Counter() for _ in picked]
-        for pdf in batches:
-            for s, n in zip(pdf["s"], pdf["freq"]):
-                s = _rewritten(s, pending)
-                for own, (pair, made) in zip(change, picked):
-                    if pair in s:
-                        for old in map(add, s, s[1:]):
-                            own[old] -= n
-                        s = s.replace(pair, made)
-                        for new in map(add, s, s[1:]):
-                            own[new] += n
-        yield pd.DataFrame([(i, p, n) for i, own in enumerate(change) for p, n in own.items() if n],
-                           columns=["merge", "pair", "n"]).astype({"merge": "int32", "pair": str, "n": "int64"})
-    some = F.lit(False)
-    for text in texts:
-        some = some | F.contains(F.col("word"), F.lit(text))
-    return (words.where(some).select("freq", "s").mapInPandas(run, "merge int, pair string, n long")
-            .groupBy("merge", "pair").agg(F.sum("n").alias("n")).where("n <> 0").orderBy("merge").collect())
-
-
-def _stored(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """The words after the merges, in the shared folder; those of one symbol
-    have no pair any more and go."""
-    def run(batches):
-        for pdf in batches:
-            yield pdf.assign(s=[_rewritten(s, merges) for s in pdf["s"]])
-    return cut_lineage(words.mapInPandas(run, "freq long, word string, s string").where(F.length("s") >= 2))
+def _disjoint(best: list[tuple[int, int]], k: int) -> list[int]:
+    """Up to k pairs that share no symbol."""
+    held, some = set(), []
+    for pair, _ in best:
+        if held.isdisjoint((pair >> 32, pair & LOW)):
+            held.update((pair >> 32, pair & LOW))
+            some.append(pair)
+    return some[:k]
+
+
+def _sample(words: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most k words, drawn with chances that follow their counts (priority
+    sampling: by count / u, with the weight that keeps sums unbiased)."""
+    u = (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) + 1) / F.lit(float(1 << 30))
+    rows = words.select("word", "freq", (F.col("freq") / u).alias("q")).orderBy(F.desc("q")).limit(k).collect()
+    low = int(rows[-1]["q"]) if len(rows) == k else 0
+    return (np.frombuffer("\n".join([*(r["word"] for r in rows), ""]).encode("utf-32-le"), np.int32),
+            np.array([max(r["freq"], low) for r in rows], np.int64))
+
+
+def _guess(pairs: _Pairs, sample: tuple, queue: list[int], k: int, merges_per_round: int, free: int) -> list[tuple[int, int, int]]:
+    """The next merges, the first of them for certain: the table's best pairs,
+    with the changes that the sample tells of (scaled to the table's count)."""
+    best = pairs.best(max(4 * k, 8 * merges_per_round))
+    known = dict(best)
+    low = best[-1][1] if len(best) == max(4 * k, 8 * merges_per_round) else 0
+    heap, queue, out, (s, freq) = [pairs.entry(*x) for x in best], list(queue), [], sample
+    heapq.heapify(heap)
+
+    def top(most: int) -> list[tuple[int, int]]:
+        some = {}
+        while heap and len(some) < most:
+            entry = heapq.heappop(heap)
+            if known.get(entry[-1]) == -entry[0]:
+                some[entry[-1]] = entry
+        for entry in some.values():
+            heapq.heappush(heap, entry)
+        return [(pair, -entry[0]) for pair, entry in some.items()]
+
+    while len(out) < k:
+        if not queue:
+            queue = [p for p, _ in top(1)] if merges_per_round == 1 else _disjoint(top(8 * merges_per_round), merges_per_round)
+        if not queue:
+            break
+        pair, made = queue.pop(0), free + len(out)
+        left, right = pair >> 32, pair & LOW
+        pairs.name[made] = pairs.text(left) + pairs.text(right)
+        out.append((left, right, made))
+        n = known.pop(pair, 0)
+        if not len(at := _places(s, left, right)):
+            continue
+        new = _merged(s, at, made)
+        other, change = _change(s, at, new, freq)
+        s, scale = new, n / max(1, -int(change[other == pair].sum()))
+        fresh = ((other >> 32) == made) | ((other & LOW) == made)
+        for p, x, isnew in zip(other.tolist(), (change * scale).tolist(), fresh.tolist()):
+            if p in known or isnew:
+                known[p] = known.get(p, 0) + int(x)
+                if known[p] > low:
+                    heapq.heappush(heap, pairs.entry(p, known[p]))
+    return out
 
 
 def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", normalise: bool = True,
@@ -396,30 +568,43 @@ def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", normal
     """BPE merges over the distinct weighted pre-tokens; best pair by
     (count desc, left, right). Returns (rank, left, right, merged, count).
 
-    Pairs are counted once. A job then takes the ``SPECULATED`` best pairs of
-    the table and counts, over the words that hold one of them, what each merge
+    Pairs are counted once. A job then takes up to ``SPECULATED`` merges that a
+    bounded sample of words makes likely and counts, over all words, what each
     would change after the ones before. The driver replays the changes: as long
-    as the best pair is the next one that was speculated on, the merge is final
-    and its changes enter the table. So each merge is the one that a recount
-    would pick (exact mode, ``merges_per_round=1``), and the words are rewritten
-    by string replacements, stored anew every ``PENDING`` merges.
+    as the merge that is due by the table is among them, it is final and its
+    changes enter the table. It may come before others of the list if they do not
+    touch it anywhere: neither changes the count of the other's pair, nor the
+    pairs of the other's new symbol. So each merge is the one that a recount
+    would pick (exact mode, ``merges_per_round=1``); the words are rewritten as
+    arrays, stored anew every ``PENDING`` merges.
 
     With ``merges_per_round`` k > 1 a round takes up to k best pairs that share
     no symbol without looking at the pairs made in between, which may differ from
     exact mode there."""
-    spark = corpus.sparkSession
-    words = cut_lineage(bpe_words(corpus, text_col, normalise=normalise).where(F.length("word") >= 2)
-                        .select("freq", "word", F.col("word").alias("s")))
-    used = {r["c"] for r in words.select(F.explode(tx.chars(F.col("s"))).alias("c")).distinct()
-            .where(F.col("c") >= F.lit(chr(SPARE[0]))).collect()}
-    spare = (chr(c) for c in SPARE if chr(c) not in used)
-    names: dict[str, str] = {}
-    pairs, merges, pending = _Pairs(names), [], []
+    return _train(cut_lineage(bpe_words(corpus, text_col, normalise=normalise).select("word", "freq")),
+                  num_merges, merges_per_round, head_pairs)
+
+
+def _train(counted: DataFrame, num_merges: int, merges_per_round: int = 1, head_pairs: int = HEAD_PAIRS) -> DataFrame:
+    """``train_bpe`` over stored (word, freq)."""
+    spark = counted.sparkSession
+    long = counted.where(F.length("word") >= 2)
+    parts = max(2 * spark.sparkContext.defaultParallelism, long.count() // PACKED_WORDS + 1)
+    words = cut_lineage(_packed(long.repartition(parts)))
+    sample = _sample(long, SAMPLE_WORDS)
+    pairs, merges, pending, free, tried, queue = _Pairs(), [], [], MADE, 64, []
+
+    def due() -> int | None:
+        """The pair that a recount would merge next."""
+        if merges_per_round == 1:
+            return next((pair for pair, _ in pairs.best()), None)
+        if not queue:
+            queue.extend(_disjoint(pairs.best(8 * merges_per_round), merges_per_round))
+        return queue[0] if queue else None
 
     pairs.start(words, head_pairs)
     while len(merges) < num_merges:
-        guess = pairs.best(SPECULATED if merges_per_round == 1 else 8 * merges_per_round)
-        if not guess:
+        if due() is None:
             if not pairs.floor:
                 break  # no pair is left
             words, pending = _stored(words, pending), []
@@ -427,32 +612,27 @@ def train_bpe(corpus: DataFrame, num_merges: int, text_col: str = "text", normal
             if not pairs.best():  # as many ties as the head is long
                 head_pairs *= 2
             continue
-        if merges_per_round > 1:
-            held, some = set(), []
-            for pair, n in guess:
-                if held.isdisjoint(pair):
-                    held.update(pair)
-                    some.append((pair, n))
-            guess = some[:merges_per_round]
-        picked = []
-        for pair, _ in guess[:num_merges - len(merges)]:
-            made = next(spare, None)
-            if made is None:
-                raise ValueError(f"no code point is left for merge {len(merges) + len(picked)}")
-            picked.append((pair, made))
-        by_merge: dict[int, list] = {}
-        for r in _changes(words, pending, picked, [pairs.text(p[0]) + pairs.text(p[1]) for p, _ in picked]):
-            by_merge.setdefault(r["merge"], []).append((r["pair"], r["n"]))
-        for k, (pair, made) in enumerate(picked):
-            if merges_per_round == 1 and pairs.best() != [(pair, pairs.counts[pair])]:
-                spare = chain([m for _, m in picked[k:]], spare)  # not made after all
+        picked = _guess(pairs, sample, queue or [due()], min(tried, num_merges - len(merges)), merges_per_round, free)
+        changes = _changes(words, pending, picked)
+        place = {(left << 32) | right: i for i, (left, right, _) in enumerate(picked)}
+        met = [set(np.concatenate([p >> 32, p & LOW]).tolist()) for p, _ in changes]  # symbols
+        hits = [{x for x in p.tolist() if x in place} for p, _ in changes]            # other picked pairs
+        open_ = dict.fromkeys(range(len(picked)))
+        while len(merges) < num_merges and (pair := due()) in place:
+            k = place.pop(pair)
+            if any(picked[i][2] in met[k] or pair in hits[i] for i in open_ if i < k):
                 break
-            left, right = pairs.text(pair[0]), pairs.text(pair[1])
-            merges.append((len(merges), left, right, left + right, int(pairs.counts[pair])))
-            names[made] = left + right
-            pending.append((pair, made))
-            for other, n in by_merge.get(k, ()):
-                pairs.add(other, n, made)
+            del open_[k]
+            made, n = picked[k][2], int(pairs.counts[pair])
+            pairs.order[made] = MADE + len(merges)
+            merges.append((len(merges), pairs.text(pair >> 32), pairs.text(pair & LOW), pairs.name[made], n))
+            pending.append(picked[k])
+            sample = _rewritten(sample[0], [picked[k]]), sample[1]
+            if queue:
+                queue.pop(0)
+            pairs.add(changes[k][0].tolist(), changes[k][1].tolist(), made)
+        free += len(picked)
+        tried = min(SPECULATED, max(32, 2 * (len(picked) - len(open_))))
         if len(pending) >= PENDING:
             words, pending = _stored(words, pending), []
     return spark.createDataFrame(merges, "rank int, left string, right string, merged string, count long")
@@ -482,14 +662,13 @@ def train_vocab(corpus: DataFrame, vocab_size: int, text_col: str = "text", norm
     """A vocabulary of ``vocab_size`` pieces (specials, byte pieces, the
     merges that fit, the corpus' characters) and its merges. A size that
     leaves no room for a merge is an error."""
-    chars = cut_lineage(bpe_words(corpus, text_col, normalise=normalise)
-                        .select(F.explode("syms").alias("char")).distinct())
+    words = cut_lineage(bpe_words(corpus, text_col, normalise=normalise).select("word", "freq"))
+    chars = cut_lineage(words.select(F.explode(tx.chars(F.col("word"))).alias("char")).distinct())
     room = vocab_size - len(specials) - (256 if byte_fallback else 0) - chars.count()
     if room <= 0:
         raise ValueError(f"vocabulary of {vocab_size} pieces: {1 - room} more are needed for one merge beside the "
                          "specials, bytes and characters")
-    merges = cut_lineage(train_bpe(corpus, room, text_col, normalise=normalise,
-                                   merges_per_round=merges_per_round))
+    merges = cut_lineage(_train(words, room, merges_per_round))
     return bpe_vocab(merges, chars, specials, byte_fallback), merges
 
 
@@ -545,10 +724,87 @@ def bpe_encode_words(words: DataFrame, merges: DataFrame, block: int = MERGE_BLO
 
 def bpe_encode_texts(df: DataFrame, key_cols, merges: DataFrame, vocab: DataFrame | None = None,
                      text_col: str = "text", normalise: bool = True) -> DataFrame:
-    """T4 for a corpus: (key, line_no, pieces[, ids]) of every line. Distinct
-    pre-tokens are encoded once and joined back; a piece outside the
-    vocabulary falls back to its UTF-8 byte pieces."""
+    """T4 for a corpus: (key, line_no, pieces[, ids]) of every line; a piece
+    outside the vocabulary falls back to its UTF-8 byte pieces. With merges and
+    a vocabulary that are measured small, lines are encoded where they are, a
+    distinct pre-token of a batch once (no shuffle); otherwise distinct
+    pre-tokens are encoded once and joined back. Lines of rows that share a key
+    go together in any case."""
     keys = list(key_cols)
+    small = _small_tables(merges, vocab)
+    if small is None:
+        return _encode_by_join(df, keys, merges, vocab, text_col, normalise)
+    same = [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    twice = cut_lineage(df.groupBy(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)])
+                        .agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"))
+    if twice.isEmpty():
+        return _encode_in_place(df, keys, *small, text_col, normalise)
+    once = _encode_in_place(df.join(twice, same, "left_anti"), keys, *small, text_col, normalise)
+    return once.unionByName(_encode_by_join(df.join(twice, same, "left_semi"), keys, merges, vocab, text_col, normalise))
+
+
+def _small_tables(merges: DataFrame, vocab: DataFrame | None) -> tuple[dict, dict | None] | None:
+    """(pair -> rank, piece -> id), if they fit a broadcast and no piece comes
+    twice."""
+    if not fits_broadcast(merges, MERGE_BLOCK) or vocab is not None and not fits_broadcast(
+            vocab.select("piece", "id"), VOCAB_BROADCAST_ROWS):
+        return None
+    ranks = {(r["left"], r["right"]): r["rank"] for r in merges.select("left", "right", "rank").collect()}
+    if vocab is None:
+        return ranks, None
+    rows = vocab.select("piece", F.col("id").cast("long").alias("id")).collect()
+    ids = {r["piece"]: r["id"] for r in rows}
+    return (ranks, ids) if len(ids) == len(rows) else None
+
+
+MEMO_WORDS = 500_000  # of a task
+
+
+def _encode_in_place(df: DataFrame, keys: list[str], ranks: dict, ids: dict | None, text_col: str,
+                     normalise: bool) -> DataFrame:
+    toks = text_lines(df, text_col, keep=keys).select(
+        *keys, "line_no", pretokens(F.col("line"), normalise).alias("toks")).where(F.size("toks") > 0)
+    tables = df.sparkSession.sparkContext.broadcast((ranks, ids))
+
+    def encode_word(word: str) -> tuple[list, list]:
+        ranks, ids = tables.value
+        pieces = _ranked(list(word), ranks)
+        if ids is None:
+            return pieces, []
+        out = []
+        for p in pieces:
+            out += [p] if p in ids else [f"<0x{b:02X}>" for b in p.encode("utf-8")]
+        return out, [ids.get(p) for p in out]
+
+    def run(batches):
+        memo = {}
+        for batch in batches:
+            words = batch.column("toks").flatten().dictionary_encode()
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            coded = []
+            for w in words.dictionary.to_pylist():
+                if w not in memo:
+                    memo[w] = encode_word(w)
+                coded.append(memo[w])
+            sizes = np.array([len(p) for p, _ in coded], np.int64)
+            ends = np.r_[0, np.cumsum(sizes[words.indices.to_numpy()])]
+            lengths = pc.list_value_length(batch.column("toks")).to_numpy()
+            cuts = pa.array(ends[np.r_[0, np.cumsum(lengths)]], pa.int32())
+            columns = [batch.column(c) for c in (*keys, "line_no")]
+            for k, kind in enumerate((pa.string(), pa.int64())[:1 if ids is None else 2]):
+                parts = pa.array([c[k] for c in coded], pa.list_(kind)).take(words.indices)
+                columns.append(pa.ListArray.from_arrays(cuts, parts.flatten()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    schema = T.StructType(toks.schema.fields[:-1]).add("pieces", T.ArrayType(T.StringType()))
+    if ids is not None:
+        schema = schema.add("ids", T.ArrayType(T.LongType()))
+    names = schema.names
+    return toks.mapInArrow(run, schema)
+
+
+def _encode_by_join(df: DataFrame, keys: list[str], merges: DataFrame, vocab: DataFrame | None, text_col: str,
+                    normalise: bool) -> DataFrame:
     toks = (text_lines(df, text_col, keep=keys)
             .select(*keys, "line_no", F.posexplode(pretokens(F.col("line"), normalise)).alias("pos", "word")))
     enc = bpe_encode_words(toks.select("word").distinct(), merges)
@@ -582,6 +838,9 @@ def decode_byte_pieces(pieces) -> Column:
     def run(col: pd.Series) -> pd.Series:
         out = []
         for parts in col:
+            if "<0x" not in (plain := "".join(parts)):
+                out.append(plain.replace(SP_SPACE, " ").removeprefix(" "))
+                continue
             text = bytearray()
             for p in parts:
                 text += bytes([int(p[3:5], 16)]) if len(p) == 6 and p.startswith("<0x") else p.encode("utf-8")

@@ -396,10 +396,12 @@ def bpe_encode(spark, sf):
     vocab, merges = vc.train_vocab(docs, VOCAB_SIZE, "text")
     enc = vc.bpe_encode_texts(docs, ["doc_id"], merges, vocab)
     lines = vc.text_lines(docs, "text", keep=["doc_id"]).select("doc_id", "line_no", vc.nfkc()(F.col("line")).alias("line"))
-    return enc.join(lines, ["doc_id", "line_no"]).select(
+    told = enc.select(
         "doc_id", "line_no", F.size("pieces").alias("n_pieces"), F.size("ids").alias("n_ids"),
-        F.size(F.filter("ids", lambda x: x.isNull())).alias("n_missing"),
-        (vc.decode_byte_pieces(F.col("pieces")) == F.regexp_replace("line", vc.SP_SPACE, " ")).alias("round_trip"))
+        F.size(F.filter("ids", lambda x: x.isNull())).alias("n_missing"), vc.decode_byte_pieces(F.col("pieces")).alias("decoded"))
+    return told.join(lines, ["doc_id", "line_no"]).select(
+        "doc_id", "line_no", "n_pieces", "n_ids", "n_missing",
+        (F.col("decoded") == F.regexp_replace("line", vc.SP_SPACE, " ")).alias("round_trip"))
 
 
 @register("decode_pieces", sql="""
