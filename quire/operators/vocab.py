@@ -289,7 +289,7 @@ PACKED_WORDS = 200_000  # of a partition
 SPECULATED = 192     # merges whose effect one job counts at most
 PENDING = 128        # merges that a job applies to the stored words before they are stored anew
 HEAD_PAIRS = 1_000_000
-SAMPLE_WORDS = 30_000  # on the driver, to guess the next merges; results do not depend on it
+SAMPLE_WORDS = 100_000  # on the driver, to guess the next merges; results do not depend on it
 LOW = (1 << 32) - 1
 
 
